@@ -1,0 +1,15 @@
+"""Parameter grids as tiny DataFrames."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+
+def grid_frame(spark: SparkSession, values: Sequence[float], name: str = "lambda") -> DataFrame:
+    """``<i BIGINT, name DOUBLE>`` rows; a fractional step is not expressible
+    with SQL ``sequence`` so the values come in as literals."""
+    arr = F.array(*[F.lit(float(v)) for v in values])
+    return spark.range(1).select(F.posexplode(arr).alias("i", name)).select(
+        F.col("i").cast("bigint").alias("i"), name)
