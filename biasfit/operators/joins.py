@@ -2,17 +2,22 @@
 
 Every join here goes through :func:`keyed_join`:
 
-1. The right side's row count is checked.  At or below
-   ``JoinPolicy.broadcast_max_rows`` it is broadcast: the fact side is not
-   shuffled at all, and a hot key costs nothing extra.
-2. Above the limit the join is a shuffle join.  When the right side carries
-   the fact-side row count of each key (``count_col``, which every statistics
-   table in this package has), keys holding at least ``hot_fraction`` of all
-   rows are *salted*: their fact rows are spread over ``salt_buckets``
-   partitions and their right-side row is replicated to each.  At most
-   ``1 / hot_fraction`` keys can be hot (their counts sum to at most the
-   total), so the hot-key list that is broadcast to mark fact rows has a
-   proven size bound.
+1. No size is guessed: the right side is an aggregate (or a scan), so AQE
+   sees its real materialised size and turns the join into a broadcast join
+   only below ``spark.sql.adaptive.autoBroadcastJoinThreshold`` -- the size
+   check is Spark's own, at run time.  Explicit ``broadcast()`` hints are used
+   only for tables with a bound proven by construction.
+2. When the right side carries the fact-side row count of each key
+   (``count_col``, which every statistics table here has) and an upper bound
+   ``total`` of the fact rows is known, hot keys are *salted*.  A key is hot
+   when it holds at least ``threshold = max(rows_per_bucket,
+   total / max_hot_keys)`` rows; its fact rows are spread over
+   ``ceil(n_key / rows_per_bucket)`` salts (at most ``max_buckets``) and its
+   right-side row is replicated once per salt.  Hot counts sum to at most
+   ``total``, so at most ``max_hot_keys`` keys are hot: the hot-key list
+   broadcast to mark fact rows has a proven size bound.  A key with a third
+   of all rows is thus split into thousands of tasks instead of one; data
+   too small to have a hot key skips salting entirely.
 3. AQE's skew-join split stays on as a further safety net.
 """
 
@@ -26,9 +31,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 @dataclass(frozen=True)
 class JoinPolicy:
-    broadcast_max_rows: int = 2_000_000
-    hot_fraction: float = 0.001
-    salt_buckets: int = 64
+    rows_per_bucket: int = 2_000_000
+    max_hot_keys: int = 100_000
+    max_buckets: int = 65_536
+
+    def threshold(self, total: int) -> int:
+        return max(self.rows_per_bucket, math.ceil(total / self.max_hot_keys))
 
 
 DEFAULT_POLICY = JoinPolicy()
@@ -61,45 +69,39 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
 
 
 def keyed_join(left: DataFrame, right: DataFrame, keys: str | list[str], how: str = "left", *,
-               count_col: str | None = None, null_safe: bool = False,
+               count_col: str | None = None, total: int | None = None, null_safe: bool = False,
                salt_cols: list[str] | None = None,
                policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Join ``left`` to ``right`` (unique on ``keys``) with a checked strategy.
+    """Join ``left`` to ``right`` (unique on ``keys``); runs no Spark job itself.
 
-    ``count_col`` names a right-side column holding the number of left-side
-    rows expected per key; it enables hot-key salting.  It is kept in the
-    output unless the join is a semi/anti join.
+    ``count_col`` names a right-side column with the number of left-side rows
+    expected per key and ``total`` an upper bound of their sum; together they
+    enable hot-key salting.  ``count_col`` stays in the output unless the join
+    is a semi/anti join.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    if count_col:
-        aggs += [F.sum(count_col).alias("total"), F.max(count_col).alias("top")]
-    stats = right.agg(*aggs).first()
-    if stats["rows"] <= policy.broadcast_max_rows:
-        return _join(left, F.broadcast(right), keys, how, null_safe)
-    if not count_col or not stats["total"]:
-        return _join(left, right, keys, how, null_safe)
-    threshold = max(1, math.ceil(stats["total"] * policy.hot_fraction))
-    if stats["top"] < threshold:
+    if not count_col or not total or total < policy.threshold(total):
         return _join(left, right, keys, how, null_safe)
-    return _salted_join(left, right, keys, how, count_col, threshold, null_safe,
-                        salt_cols or left.columns, policy.salt_buckets)
+    return _salted_join(left, right, keys, how, count_col, policy.threshold(total), null_safe,
+                        salt_cols or left.columns, policy)
 
 
 def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
                  count_col: str, threshold: int, null_safe: bool,
-                 salt_cols: list[str], buckets: int) -> DataFrame:
-    is_hot = F.col(count_col) >= threshold
-    # <= 1/hot_fraction rows by construction: safe to broadcast.
-    hot_keys = right.filter(is_hot).select(*keys, F.lit(True).alias(_HOT))
+                 salt_cols: list[str], policy: JoinPolicy) -> DataFrame:
+    n = F.col(count_col)
+    salts = F.least(F.lit(policy.max_buckets), F.ceil(n / F.lit(policy.rows_per_bucket))).cast("int")
+    is_hot = n >= threshold
+    # at most max_hot_keys rows by construction: safe to broadcast
+    hot_keys = right.filter(is_hot).select(*keys, salts.alias(_HOT))
     marked = _join(left, F.broadcast(hot_keys), keys, "left", null_safe)
     salted_left = marked.withColumn(
         _SALT,
-        F.when(F.col(_HOT), F.pmod(F.xxhash64(*salt_cols), F.lit(buckets))).otherwise(F.lit(0)).cast("int"),
+        F.when(F.col(_HOT).isNotNull(), F.pmod(F.xxhash64(*salt_cols), F.col(_HOT))).otherwise(F.lit(0)).cast("int"),
     ).drop(_HOT)
     salted_right = right.withColumn(
         _SALT,
-        F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))),
+        F.explode(F.when(is_hot, F.sequence(F.lit(0), salts - 1)).otherwise(F.array(F.lit(0)))),
     )
     out = _join(salted_left, salted_right, keys, how, null_safe, extra=[_SALT])
     return out.drop(_SALT)

@@ -120,6 +120,7 @@ def _final_rows(d: DataFrame, key: str, groups: list[str], searches: list[_Searc
     frame = _ranges_frame(d, groups, rows, extra=[("_r", T.LongType())]).withColumnRenamed("_rid", "_sid")
     x = F.col(key)
     w = Window.partitionBy("_sid").orderBy(key, *tie_cols)
+    d = d.select(*groups, key, *[c for c in tie_cols if c not in groups and c != key])
     return (d.join(F.broadcast(frame), on=groups)
             .where((x >= F.col("_lo")) & (x <= F.col("_hi")))
             .withColumn("_rn", F.row_number().over(w))

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from biasfit.functions.hashing import hash_prefix_number, order_hash
 from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
-from biasfit.operators.order_stats import exact_percentiles, group_extents, kth_rows
+from biasfit.operators.order_stats import exact_percentiles, kth_rows, type7_ranks
 
 STRATUM = "_stratum"
 _H = "_h"
@@ -30,17 +30,63 @@ _HX = "_hx"
 _THR = "_thr"
 
 
+# The order key's leading 52 bits are uniform on [0, 16**13 - 1], so the
+# threshold search starts on that range without a min/max pass.
+HASH_RANGE = (0.0, float(16 ** 13 - 1))
+
+
 def quantile_probs(groups: int) -> list[float]:
     g = max(int(groups), 2)
     return [i / (g - 1) for i in range(g)]
 
 
-def strata_breaks(df: DataFrame, target: str, groups: int = 5) -> list[float]:
+def frequency_table(df: DataFrame, target: str, max_distinct: int) -> list[tuple[float, int]] | None:
+    """Sorted ``(value, count)`` of a discrete column, or None when it has more
+    than ``max_distinct`` distinct values (one partial-aggregated job)."""
+    rows = (df.where(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("_n"))
+            .limit(max_distinct + 1).collect())
+    if len(rows) > max_distinct:
+        return None
+    return sorted((float(r[target]), int(r["_n"])) for r in rows)
+
+
+def _value_at(freq: list[tuple[float, int]], rank: int) -> float:
+    cum = 0
+    for v, c in freq:
+        cum += c
+        if cum > rank:
+            return v
+    raise AssertionError("rank outside of the table")
+
+
+def quantiles_from_frequencies(freq: list[tuple[float, int]], probs: Sequence[float]) -> list[float]:
+    n = sum(c for _v, c in freq)
+    out = []
+    for p in probs:
+        lo, hi, w = type7_ranks(n, p)
+        a, b = _value_at(freq, lo), _value_at(freq, hi)
+        out.append(a if w == 0 else a + w * (b - a))
+    return out
+
+
+def strata_breaks(df: DataFrame, target: str, groups: int = 5, max_distinct: int = 4096) -> list[float]:
     """Sorted distinct type-7 quantiles of ``target`` (exact)."""
-    qs = exact_percentiles(df, target, quantile_probs(groups))
-    if not qs:
-        return []
-    return sorted(set(next(iter(qs.values()))))
+    return _breaks_and_freq(df, target, groups, max_distinct)[0]
+
+
+def _breaks_and_freq(df, target, groups, max_distinct):
+    probs = quantile_probs(groups)
+    freq = frequency_table(df, target, max_distinct) if max_distinct else None
+    if freq is not None:
+        if not freq:
+            return [], freq
+        return sorted(set(quantiles_from_frequencies(freq, probs))), freq
+    qs = exact_percentiles(df, target, probs)
+    return (sorted(set(next(iter(qs.values())))) if qs else []), None
+
+
+def _stratum_of(v: float, breaks: Sequence[float]) -> int:
+    return 1 + sum(1 for b in breaks[1:-1] if v > b)
 
 
 def stratum_column(target: str | Column, breaks: Sequence[float]) -> Column:
@@ -57,7 +103,7 @@ def stratum_column(target: str | Column, breaks: Sequence[float]) -> Column:
 
 def _small_frame(df: DataFrame, max_rows: int) -> DataFrame:
     """Re-create a provably small result as a local relation (cuts lineage)."""
-    rows = df.limit(max_rows + 1).collect()
+    rows = df.collect()   # bounded by construction; limit() would scan incrementally
     if len(rows) > max_rows:
         raise ValueError(f"expected at most {max_rows} rows")
     return df.sparkSession.createDataFrame(rows, df.schema)
@@ -66,30 +112,44 @@ def _small_frame(df: DataFrame, max_rows: int) -> DataFrame:
 def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
                             key_cols: Sequence[str], tie_cols: Sequence[str] = (), *,
                             groups: int = 5, flag: str = "sampled",
-                            eligible: Column | None = None, keep_stratum: bool = False) -> DataFrame:
+                            eligible: Column | None = None, keep_stratum: bool = False,
+                            max_distinct: int = 4096, final_rows: int = 100_000) -> DataFrame:
     """Add boolean ``flag``: is the row in the exact stratified sample?
 
     ``eligible`` restricts the population (others get ``False`` and take no
-    part in the quantiles or counts).
+    part in the quantiles or counts).  Jobs: one frequency table of the
+    target (discrete targets; else the histogram quantile search and a count
+    per stratum), then one histogram pass per 4096-fold narrowing while a
+    stratum exceeds ``final_rows``, then the final ranking of the few
+    candidates.  The returned plan itself is a filter plus a broadcast join
+    with at most one row per stratum.
     """
     base = df if eligible is None else df.withColumn("_elig", eligible)
     pop = base if eligible is None else base.where(F.col("_elig"))
-    breaks = strata_breaks(pop, target, groups)
+    breaks, freq = _breaks_and_freq(pop, target, groups, max_distinct)
     stratum = stratum_column(target, breaks)
     if eligible is not None:
         stratum = F.when(F.col("_elig"), stratum)
     h = order_hash(seed, key_cols)
     d = base.withColumn(STRATUM, stratum).withColumn(_H, h).withColumn(_HX, hash_prefix_number(F.col(_H)))
     d_pop = d.where(F.col(STRATUM).isNotNull())
-    extents = group_extents(d_pop, _HX, [STRATUM])
-    ranks = {}
-    for g, (n, _lo, _hi) in extents.items():
+    counts: dict[int, int] = {}
+    if freq is not None:
+        for v, c in freq:
+            k = _stratum_of(v, breaks)
+            counts[k] = counts.get(k, 0) + c
+    else:
+        counts = {r[STRATUM]: r["_n"] for r in
+                  d_pop.groupBy(STRATUM).agg(F.count(F.lit(1)).alias("_n")).collect()}
+    ranks, extents = {}, {}
+    for g, n in counts.items():
         k = math.ceil(n * p)
         if k >= 1:
-            ranks[g] = min(k, n) - 1
+            ranks[(g,)] = min(k, n) - 1
+            extents[(g,)] = (n, *HASH_RANGE)
     order = [_HX, _H, *tie_cols]
     if ranks:
-        thr = kth_rows(d_pop, _HX, [_H, *tie_cols], [STRATUM], ranks, extents)
+        thr = kth_rows(d_pop, _HX, [_H, *tie_cols], [STRATUM], ranks, extents, final_rows=final_rows)
         thr = _small_frame(thr.select(STRATUM, F.struct(*order).alias(_THR)), max_rows=len(ranks))
         out = d.join(F.broadcast(thr), STRATUM, "left")
         chosen = F.coalesce(F.struct(*order) <= F.col(_THR), F.lit(False))
@@ -124,24 +184,28 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
 
 
 def semi_join_keys(df: DataFrame, reference: DataFrame, keys: Sequence[str] = ("movieId", "userId"),
-                   policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Rows of ``df`` whose every key occurs in ``reference`` (NULL matches NULL)."""
+                   total: int | None = None, policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
+    """Rows of ``df`` whose every key occurs in ``reference`` (NULL matches NULL).
+
+    ``total`` bounds the rows of ``df`` (enables hot-key salting)."""
     out = df
     for k in keys:
-        out = keyed_join(out, key_counts(reference, k), k, "left_semi", count_col="_n",
+        out = keyed_join(out, key_counts(reference, k), k, "left_semi", count_col="_n", total=total,
                          null_safe=True, policy=policy)
     return out
 
 
 def mark_known(df: DataFrame, reference: DataFrame, keys: Sequence[str] = ("movieId", "userId"),
-               flag: str = "_known", policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
+               flag: str = "_known", total: int | None = None,
+               policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
     """Add boolean ``flag``: every key of the row occurs in ``reference``."""
     out = df
     marks = []
     for k in keys:
         m = f"_known_{k}"
         ks = key_counts(reference, k).withColumn(m, F.lit(True))
-        out = keyed_join(out, ks, k, "left", count_col="_n", null_safe=True, policy=policy).drop("_n")
+        out = keyed_join(out, ks, k, "left", count_col="_n", total=total, null_safe=True,
+                         policy=policy).drop("_n")
         marks.append(F.coalesce(F.col(m), F.lit(False)))
     cond = marks[0]
     for m in marks[1:]:
@@ -164,7 +228,7 @@ def anti_join_all(left: DataFrame, right: DataFrame) -> DataFrame:
 def assign_holdout_roles(df: DataFrame, sampled: str, *, orphan: str = "return",
                          keys: Sequence[str] = ("movieId", "userId"),
                          held_role: str = "held", rest_role: str = "rest", role: str = "role",
-                         policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
+                         total: int | None = None, policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
     """Leak-free hold-out as one role column.
 
     A sampled row is held out only if its keys all occur among the
@@ -176,7 +240,7 @@ def assign_holdout_roles(df: DataFrame, sampled: str, *, orphan: str = "return",
         raise ValueError("orphan must be 'return' or 'drop'")
     s = F.col(sampled)
     rest = df.where(~s)
-    held = mark_known(df.where(s), rest, keys, policy=policy)
+    held = mark_known(df.where(s), rest, keys, total=total, policy=policy)
     orphan_role = rest_role if orphan == "return" else "dropped"
     held = held.withColumn(role, F.when(F.col("_known"), F.lit(held_role)).otherwise(F.lit(orphan_role))).drop("_known")
     return rest.withColumn(role, F.lit(rest_role)).unionByName(held)

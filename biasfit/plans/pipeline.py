@@ -1,0 +1,225 @@
+"""End-to-end rating analysis as staged Spark jobs.
+
+Stages (each computed once, on first use):
+
+    flagged     facts + one INT column per tag flag (one projection)
+    split       every row with its role: train / test / dropped / validation
+                (exact stratified hold-out with orphans returned, then an
+                exact stratified train/test split with orphans dropped);
+                written once as a parquet table
+    mu, item_stats, bias_sweep, best_bias_lambda, bias_model
+    flag_stats  user-by-flag residual sums and counts, all flags in one pass
+    selection   greedy screening from one Gram aggregate
+    flag_sweep, best_flag_lambda
+    final       validation rows with keys known to train, scored
+
+Parameters are the published analysis's fixed values unless overridden.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+from functools import cached_property
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from biasfit import schemas as S
+from biasfit.functions.flags import add_flags
+from biasfit.functions.metrics import rmse_columns
+from biasfit.operators.effects import (USER, ITEM, attach_bias, fit_bias, global_mean, item_stats,
+                                       predict_bias, predict_flags, residuals, user_flag_effects,
+                                       user_flag_stats)
+from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
+from biasfit.operators.sampling import assign_holdout_roles, exact_stratified_sample, semi_join_keys
+from biasfit.operators.select import Selection, forward_select
+from biasfit.operators.sweep import best_lambda, sweep_bias, sweep_flags
+from biasfit.session import materialize
+
+
+@dataclass
+class PipelineConfig:
+    flags: dict[str, str] = field(default_factory=lambda: dict(S.GENRE_FLAGS))
+    screen_order: Sequence[str] | None = None          # default: all flags in map order
+    p: float = S.HOLDOUT_FRACTION
+    seeds: tuple[str, str] = ("1", "2")
+    groups: int = S.QUANTILE_GROUPS
+    bias_grid: Sequence[float] = field(default_factory=lambda: S.grid_values(S.BIAS_LAMBDA_GRID))
+    flag_grid: Sequence[float] = field(default_factory=lambda: S.grid_values(S.FLAG_LAMBDA_GRID))
+    screen_lambda: float = S.SCREEN_LAMBDA
+    key_cols: Sequence[str] = (USER, ITEM, "timestamp")
+    tie_cols: Sequence[str] = (USER, ITEM, "timestamp", "rating")
+    keep_cols: Sequence[str] | None = None   # identity columns to keep after the split
+    materialize: str = "table"             # the final split: a written table
+    holdout_materialize: str = "persist"   # the intermediate hold-out marks (cuts the plan tree)
+    policy: JoinPolicy = field(default_factory=lambda: DEFAULT_POLICY)
+
+    @property
+    def screen(self) -> list[str]:
+        return list(self.screen_order) if self.screen_order else list(self.flags)
+
+
+class RatingsPipeline:
+    def __init__(self, spark: SparkSession, facts: DataFrame, cfg: PipelineConfig | None = None):
+        self.spark = spark
+        self.facts = facts
+        self.cfg = cfg or PipelineConfig()
+
+    # ---------------------------------------------------------------- data
+    @cached_property
+    def flagged(self) -> DataFrame:
+        """Facts + flags, kept in executor memory/disk for the sampling jobs."""
+        return add_flags(self.facts, self.cfg.flags).persist(StorageLevel.MEMORY_AND_DISK)
+
+    @cached_property
+    def n_rows(self) -> int:
+        return self.flagged.count()
+
+    @cached_property
+    def split(self) -> DataFrame:
+        c = self.cfg
+        n = self.n_rows   # bounds every later fact side: enables hot-key salting
+        s1 = exact_stratified_sample(self.flagged, "rating", c.p, c.seeds[0], c.key_cols, c.tie_cols,
+                                     groups=c.groups, flag="_s1")
+        r1 = assign_holdout_roles(s1, "_s1", orphan="return", held_role="validation", rest_role="edx",
+                                  role="_role1", total=n, policy=c.policy)
+        r1 = materialize(r1.drop("_s1"), c.holdout_materialize, "holdout")
+        s2 = exact_stratified_sample(r1, "rating", c.p, c.seeds[1], c.key_cols, c.tie_cols,
+                                     groups=c.groups, flag="_s2", eligible=F.col("_role1") == "edx")
+        edx = s2.where(F.col("_role1") == "edx")
+        roles = assign_holdout_roles(edx, "_s2", orphan="drop", held_role="test", rest_role="train",
+                                     role="role", total=n, policy=c.policy)
+        val = s2.where(F.col("_role1") == "validation").withColumn("role", F.lit("validation"))
+        out = roles.unionByName(val).drop("_s2", "_role1")
+        if c.keep_cols is not None:
+            out = out.select(*c.keep_cols, "role")
+        split = materialize(out, c.materialize, "split")
+        self.flagged.unpersist()
+        return split
+
+    def part(self, role: str) -> DataFrame:
+        return self.split.where(F.col("role") == role).drop("role")
+
+    @property
+    def train(self) -> DataFrame:
+        return self.part("train")
+
+    @property
+    def test(self) -> DataFrame:
+        return self.part("test")
+
+    @property
+    def validation(self) -> DataFrame:
+        """Hold-out rows whose user and item are both known to *train*."""
+        return semi_join_keys(self.part("validation"), self.train, total=self.n_train, policy=self.cfg.policy)
+
+    # --------------------------------------------------------------- biases
+    @cached_property
+    def _mean(self) -> tuple[float, int]:
+        return global_mean(self.train)
+
+    @property
+    def mu(self) -> float:
+        return self._mean[0]
+
+    @property
+    def n_train(self) -> int:
+        return self._mean[1]
+
+    @cached_property
+    def item_stats(self) -> DataFrame:
+        return item_stats(self.train, self.mu).persist(StorageLevel.MEMORY_AND_DISK)
+
+    @cached_property
+    def bias_sweep(self) -> DataFrame:
+        return sweep_bias(self.train, self.test, self.cfg.bias_grid, self.mu, stats=self.item_stats,
+                          total=self.n_train, policy=self.cfg.policy)
+
+    @cached_property
+    def best_bias(self) -> tuple[float, float]:
+        r = best_lambda(self.bias_sweep).first()
+        return float(r["lambda"]), r["rmse"]
+
+    @cached_property
+    def bias_model(self):
+        m = fit_bias(self.train, self.best_bias[0], self.mu, items_stats=self.item_stats, total=self.n_train,
+                     policy=self.cfg.policy)
+        m.users = m.users.persist(StorageLevel.MEMORY_AND_DISK)
+        return m
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        return attach_bias(df, self.bias_model, self.cfg.policy, self.n_train)
+
+    def predictions(self, df: DataFrame) -> DataFrame:
+        return predict_bias(df, self.bias_model, policy=self.cfg.policy, total=self.n_train)
+
+    @cached_property
+    def test_scored(self) -> DataFrame:
+        """Test rows + ``b_i, b_u`` at the tuned bias lambda."""
+        return self.attach(self.test)
+
+    @cached_property
+    def train_residuals(self) -> DataFrame:
+        return residuals(self.train, self.bias_model, self.cfg.policy, self.n_train)
+
+    # ---------------------------------------------------------------- flags
+    @cached_property
+    def flag_stats(self) -> DataFrame:
+        return user_flag_stats(self.train_residuals, self.cfg.screen).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def flag_effects(self, lam: float, flags: Sequence[str] | None = None) -> DataFrame:
+        return user_flag_effects(self.flag_stats, flags or self.cfg.screen, lam)
+
+    def flag_predictions(self, df_with_bias: DataFrame, flags: Sequence[str], lam: float) -> DataFrame:
+        return predict_flags(df_with_bias, self.mu, self.flag_effects(lam, flags), flags,
+                             policy=self.cfg.policy, total=self.n_train)
+
+    @cached_property
+    def selection(self) -> Selection:
+        flags = self.cfg.screen
+        eff = self.flag_effects(self.cfg.screen_lambda, flags)
+        cols = [USER, "m_u"] + [c for f in flags for c in (f"{f}_down", f"{f}_up")]
+        t = keyed_join(self.test_scored, eff.select(*cols), USER, "left", count_col="m_u",
+                       total=self.n_train, policy=self.cfg.policy)
+        return forward_select(t, flags, self.mu)
+
+    @cached_property
+    def flag_sweep(self) -> DataFrame:
+        return sweep_flags(self.test_scored, self.flag_stats, self.selection.kept, self.cfg.flag_grid, self.mu,
+                           total=self.n_train, policy=self.cfg.policy)
+
+    @cached_property
+    def best_flag(self) -> tuple[float, float]:
+        r = best_lambda(self.flag_sweep).first()
+        return float(r["lambda"]), r["rmse"]
+
+    # ---------------------------------------------------------------- final
+    @cached_property
+    def final_predictions(self) -> DataFrame:
+        v = self.attach(self.validation)
+        return self.flag_predictions(v, self.selection.kept, self.best_flag[0])
+
+    def final_score(self) -> DataFrame:
+        lb, lf = self.best_bias[0], self.best_flag[0]
+        return self.final_predictions.agg(*rmse_columns()).select(
+            "rmse", "n_rows", "n_null_pred",
+            F.lit(lb).alias("bias_lambda"), F.lit(lf).alias("flag_lambda"),
+            F.lit(",".join(self.selection.kept)).alias("flags"))
+
+    def ledger(self) -> DataFrame:
+        """Every reported RMSE with its model and decision (one row each)."""
+        rows = []
+        lb, bias_rmse = self.best_bias
+        rows.append((0, f"bias lambda={lb:g}", float(bias_rmse), None, "baseline"))
+        best = bias_rmse
+        for s in self.selection.steps:
+            rows.append((s["step"], f"+{s['flag']}", float(s["rmse"]), float(s["rmse"] - best), s["decision"]))
+            if s["decision"] == "include":
+                best = s["rmse"]
+        lf, flag_rmse = self.best_flag
+        k = len(rows)
+        rows.append((k, f"flags lambda={lf:g}", float(flag_rmse), float(flag_rmse - best), "tuned"))
+        fin = self.final_score().first()
+        rows.append((k + 1, "validation", fin["rmse"], None, "final"))
+        return self.spark.createDataFrame(rows, "step INT, model STRING, rmse DOUBLE, delta DOUBLE, decision STRING")
