@@ -95,15 +95,44 @@ def residuals(df: DataFrame, model: BiasModel, policy: JoinPolicy = DEFAULT_POLI
 
 
 # ------------------------------------------------------------ flag effects
+# The wide builders below emit SQL expression text: one parse per output
+# column instead of one JVM round-trip per operator (hundreds of columns).
+
+def dlit(x: float) -> str:
+    """A DOUBLE literal in Spark SQL text."""
+    return f"({float(x)!r}D)"
+
+
+def shrunk_sql(total: str, n: str, lam: float | str) -> str:
+    lam_s = dlit(lam) if not isinstance(lam, str) else lam
+    return f"(CASE WHEN {n} > 0 THEN {total} / ({n} + {lam_s}) WHEN {n} = 0 THEN 0.0D END)"
+
+
+def flag_term_sql(flag: str, lam: float | None = None) -> str:
+    """Signed half gap of one flag: ``(2 f - 1) * (up - down) / 2``.
+
+    With ``lam`` the up/down effects come from the raw sums and counts (the
+    sweep form); without it the ``<flag>_up/_down`` columns are read.
+    """
+    if lam is None:
+        up, down = f"`{flag}_up`", f"`{flag}_down`"
+    else:
+        up = shrunk_sql(f"`{flag}__s1`", f"`{flag}__n1`", lam)
+        down = shrunk_sql(f"`{flag}__s0`", f"`{flag}__n0`", lam)
+    return f"((`{flag}` * 2 - 1) * ({up} - {down}) / 2)"
+
+
+def flag_term(flag: str, lam: float | None = None) -> Column:
+    return F.expr(flag_term_sql(flag, lam))
+
 
 def flag_stat_columns(flags: Sequence[str], resid: str = "resid") -> list[Column]:
     """Per user and flag: residual sums and row counts at levels 1 and 0."""
-    e = F.col(resid)
     cols = []
     for f in flags:
-        c = F.col(f)
-        cols += [F.sum(F.when(c == 1, e)).alias(f"{f}__s1"), F.count(F.when(c == 1, 1)).alias(f"{f}__n1"),
-                 F.sum(F.when(c == 0, e)).alias(f"{f}__s0"), F.count(F.when(c == 0, 1)).alias(f"{f}__n0")]
+        for lvl in (1, 0):
+            cols += [F.expr(f"sum(CASE WHEN `{f}` = {lvl} THEN `{resid}` END)").alias(f"{f}__s{lvl}"),
+                     F.expr(f"count(CASE WHEN `{f}` = {lvl} THEN 1 END)").alias(f"{f}__n{lvl}")]
     return cols
 
 
@@ -119,8 +148,8 @@ def flag_effect_columns(flags: Sequence[str], lam: float) -> list[Column]:
     """``<flag>_down, <flag>_up`` at ``lam`` (0 where the user has no such rows)."""
     cols = []
     for f in flags:
-        cols += [shrunk(f"{f}__s0", f"{f}__n0", lam).alias(f"{f}_down"),
-                 shrunk(f"{f}__s1", f"{f}__n1", lam).alias(f"{f}_up")]
+        cols += [F.expr(shrunk_sql(f"`{f}__s0`", f"`{f}__n0`", lam)).alias(f"{f}_down"),
+                 F.expr(shrunk_sql(f"`{f}__s1`", f"`{f}__n1`", lam)).alias(f"{f}_up")]
     return cols
 
 
@@ -128,26 +157,11 @@ def user_flag_effects(stats: DataFrame, flags: Sequence[str], lam: float) -> Dat
     return stats.select(USER, "m_u", *flag_effect_columns(flags, lam))
 
 
-def flag_term(flag: str, lam: float | None = None) -> Column:
-    """Signed half gap of one flag: ``(2 f - 1) * (up - down) / 2``.
-
-    With ``lam`` the up/down effects are computed from the raw sums and counts
-    (the sweep form); without it ``<flag>_up/_down`` columns are read.
-    """
-    if lam is None:
-        up, down = F.col(f"{flag}_up"), F.col(f"{flag}_down")
-    else:
-        up, down = shrunk(f"{flag}__s1", f"{flag}__n1", lam), shrunk(f"{flag}__s0", f"{flag}__n0", lam)
-    return (F.col(flag) * 2 - 1) * (up - down) / 2
-
-
 def predict_flags(df_with_bias: DataFrame, mu: float, effects: DataFrame, flags: Sequence[str],
                   pred: str = "pred", policy: JoinPolicy = DEFAULT_POLICY, total: int | None = None) -> DataFrame:
     """``mu + b_i + b_u + sum(flag terms)`` with one join to the wide user table."""
     cols = [USER, "m_u"] + [c for f in flags for c in (f"{f}_down", f"{f}_up")]
     j = keyed_join(df_with_bias, effects.select(*cols), USER, "left", count_col="m_u", total=total,
                    policy=policy).drop("m_u")
-    p = F.lit(mu) + F.col("b_i") + F.col("b_u")
-    for f in flags:
-        p = p + flag_term(f)
-    return j.withColumn(pred, p)
+    p = " + ".join([f"{dlit(mu)} + b_i + b_u"] + [flag_term_sql(f) for f in flags])
+    return j.withColumn(pred, F.expr(p))

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
-from biasfit.operators.effects import RATING, flag_term
+from biasfit.operators.effects import dlit, flag_term_sql
 
 # Strictly-lower with a tolerance for summation-order noise.
 TOL = 1e-12
@@ -36,12 +36,12 @@ class Selection:
 
 def gram_frame(scored_test: DataFrame, flags: Sequence[str], mu: float) -> DataFrame:
     """One row: ``n, g_e_e, g_e_<f>, g_<f>_<g>`` (f <= g in list order)."""
-    e = F.col(RATING) - (F.lit(mu) + F.col("b_i") + F.col("b_u"))
-    t = scored_test.select(e.alias("_e"), *[flag_term(f).alias(f"_x{k}") for k, f in enumerate(flags)])
+    e = f"rating - ({dlit(mu)} + b_i + b_u)"
+    t = scored_test.select(F.expr(e).alias("_e"), *[F.expr(flag_term_sql(f)).alias(f"_x{k}") for k, f in enumerate(flags)])
     k = len(flags)
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(F.col("_e") * F.col("_e")).alias("g_e_e")]
-    aggs += [F.sum(F.col("_e") * F.col(f"_x{a}")).alias(f"g_e_{a}") for a in range(k)]
-    aggs += [F.sum(F.col(f"_x{a}") * F.col(f"_x{b}")).alias(f"g_{a}_{b}") for a in range(k) for b in range(a, k)]
+    aggs = [F.count(F.lit(1)).alias("n"), F.expr("sum(_e * _e)").alias("g_e_e")]
+    aggs += [F.expr(f"sum(_e * _x{a})").alias(f"g_e_{a}") for a in range(k)]
+    aggs += [F.expr(f"sum(_x{a} * _x{b})").alias(f"g_{a}_{b}") for a in range(k) for b in range(a, k)]
     return t.agg(*aggs)
 
 

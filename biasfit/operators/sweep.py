@@ -19,8 +19,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from biasfit.functions.metrics import rmse_columns, squared_error
-from biasfit.operators.effects import (ITEM, RATING, USER, fit_bias, flag_term,
+from biasfit.functions.metrics import rmse_columns
+from biasfit.operators.effects import (ITEM, RATING, USER, dlit, fit_bias, flag_term_sql,
                                        item_stats, predict_bias)
 from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
 
@@ -49,28 +49,32 @@ def sweep_bias(train: DataFrame, test: DataFrame, grid: Sequence[float], mu: flo
     st = stats if stats is not None else item_stats(train, mu)
     st = st.select(ITEM, "s_i", "n_i")
     parts = []
+    m = dlit(mu)
     for g in _chunks(list(grid), chunk):
         j = keyed_join(train.select(USER, ITEM, RATING), st, ITEM, "left", count_col="n_i", total=total,
                        policy=policy)
-        base = F.col(RATING) - F.lit(mu)
         users = j.groupBy(USER).agg(
             F.count(F.lit(1)).alias("m_u"),
-            *[F.sum(base - F.col("s_i") / (F.col("n_i") + F.lit(l))).alias(f"_u{k}") for k, l in enumerate(g)])
+            *[F.expr(f"sum((rating - {m}) - s_i / (n_i + {dlit(l)}))").alias(f"_u{k}") for k, l in enumerate(g)])
         t = keyed_join(test.select(USER, ITEM, RATING), st, ITEM, "left", count_col="n_i", total=total,
                        policy=policy)
         t = keyed_join(t, users, USER, "left", count_col="m_u", total=total, policy=policy)
-        preds = [F.lit(mu) + F.col("s_i") / (F.col("n_i") + F.lit(l)) + F.col(f"_u{k}") / (F.col("m_u") + F.lit(l))
-                 for k, l in enumerate(g)]
-        wide = t.agg(F.count(F.lit(1)).alias("_n"),
-                     F.count(F.when(preds[0].isNull() | F.col(RATING).isNull(), 1)).alias("_nn"),
-                     *[F.sum(squared_error(RATING, p)).alias(f"_sse{k}") for k, p in enumerate(preds)])
-        parts.append(_rows_from_wide(wide, g, [f"_sse{k}" for k in range(len(g))], "_n", "_nn"))
+        preds = [f"({m} + s_i / (n_i + {dlit(l)}) + _u{k} / (m_u + {dlit(l)}))" for k, l in enumerate(g)]
+        parts.append(_score(t, g, preds))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+def _score(t: DataFrame, grid: Sequence[float], preds: Sequence[str]) -> DataFrame:
+    """One aggregate: squared error of every prediction column -> ``lambda, rmse`` rows."""
+    wide = t.agg(F.count(F.lit(1)).alias("_n"),
+                 F.expr(f"count(CASE WHEN {preds[0]} IS NULL OR rating IS NULL THEN 1 END)").alias("_nn"),
+                 *[F.expr(f"sum((rating - {p}) * (rating - {p}))").alias(f"_sse{k}") for k, p in enumerate(preds)])
+    return _rows_from_wide(wide, grid, [f"_sse{k}" for k in range(len(preds))], "_n", "_nn")
+
+
 def sweep_bias_naive(train: DataFrame, test: DataFrame, grid: Sequence[float], mu: float,
                      policy: JoinPolicy = DEFAULT_POLICY) -> list[tuple[float, float | None]]:
     """One fit and one scoring job per lambda (the reference's loop shape)."""
@@ -101,16 +105,9 @@ def sweep_flags(scored_test: DataFrame, stats: DataFrame, flags: Sequence[str],
     t = keyed_join(scored_test, stats.select(*cols), USER, "left", count_col="m_u", total=total, policy=policy)
     parts = []
     for g in _chunks(list(grid), chunk):
-        preds = []
-        for l in g:
-            p: Column = F.lit(mu) + F.col("b_i") + F.col("b_u")
-            for f in flags:
-                p = p + flag_term(f, l)
-            preds.append(p)
-        wide = t.agg(F.count(F.lit(1)).alias("_n"),
-                     F.count(F.when(preds[0].isNull() | F.col(RATING).isNull(), 1)).alias("_nn"),
-                     *[F.sum(squared_error(RATING, p)).alias(f"_sse{k}") for k, p in enumerate(preds)])
-        parts.append(_rows_from_wide(wide, g, [f"_sse{k}" for k in range(len(g))], "_n", "_nn"))
+        preds = ["(" + " + ".join([f"{dlit(mu)} + b_i + b_u"] + [flag_term_sql(f, l) for f in flags]) + ")"
+                 for l in g]
+        parts.append(_score(t, g, preds))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

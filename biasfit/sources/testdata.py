@@ -45,6 +45,7 @@ def epoch_seconds(ts_ntz):
 
 @dataclass
 class TestdataViews:
+    __test__ = False   # not a pytest class
     spark: SparkSession
     sf_dir: str
     planted: bool = True
