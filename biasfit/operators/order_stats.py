@@ -149,7 +149,7 @@ def type7_ranks(n: int, p: float) -> tuple[int, int, float]:
 
 def exact_percentiles(df: DataFrame, key: str, probs: Sequence[float],
                       group_cols: Sequence[str] = (), *, bins: int = 4096,
-                      final_rows: int = 100_000, max_levels: int = 8) -> dict[tuple, list[float | None]]:
+                      final_rows: int = 10_000, max_levels: int = 8) -> dict[tuple, list[float | None]]:
     """Type-7 quantiles of ``key`` (DOUBLE) per group: ``{group: [q(p) for p]}``.
 
     Groups with no non-null value are absent.  For no grouping the single

@@ -113,7 +113,8 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
                             key_cols: Sequence[str], tie_cols: Sequence[str] = (), *,
                             groups: int = 5, flag: str = "sampled",
                             eligible: Column | None = None, keep_stratum: bool = False,
-                            max_distinct: int = 4096, final_rows: int = 100_000) -> DataFrame:
+                            max_distinct: int = 4096, final_rows: int = 100_000,
+                            info: dict | None = None) -> DataFrame:
     """Add boolean ``flag``: is the row in the exact stratified sample?
 
     ``eligible`` restricts the population (others get ``False`` and take no
@@ -122,7 +123,8 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
     per stratum), then one histogram pass per 4096-fold narrowing while a
     stratum exceeds ``final_rows``, then the final ranking of the few
     candidates.  The returned plan itself is a filter plus a broadcast join
-    with at most one row per stratum.
+    with at most one row per stratum.  ``info`` (a dict) receives the
+    population size, breaks and stratum counts.
     """
     base = df if eligible is None else df.withColumn("_elig", eligible)
     pop = base if eligible is None else base.where(F.col("_elig"))
@@ -141,6 +143,8 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
     else:
         counts = {r[STRATUM]: r["_n"] for r in
                   d_pop.groupBy(STRATUM).agg(F.count(F.lit(1)).alias("_n")).collect()}
+    if info is not None:
+        info.update(n=sum(counts.values()), breaks=breaks, counts=dict(counts))
     ranks, extents = {}, {}
     for g, n in counts.items():
         k = math.ceil(n * p)

@@ -254,6 +254,17 @@ def oracle_sql() -> dict[str, str]:
             (SELECT lb FROM bbest) AS bias_lambda, (SELECT lf FROM fbest) AS flag_lambda,
             (SELECT flags FROM kept) AS flags
         FROM ({_scored('validation', 'fb.lf')})""", "kept")
+    nflags = len(FLAGS)
+    ledger = [f"""SELECT CAST(0 AS INTEGER) AS step, 'bias λ=' || printf('%g', lb) AS model,
+            round(rmse, 6) AS rmse, CAST(NULL AS DOUBLE) AS delta, 'baseline' AS decision FROM bbest"""]
+    ledger += [f"""SELECT CAST({i + 1} AS INTEGER), '+{f}', round(cand{i}, 6), round(cand{i} - best{i}, 6),
+            CASE WHEN inc{i} THEN 'include' ELSE 'reject' END FROM sel""" for i, (f, _p) in enumerate(FLAGS)]
+    ledger += [f"""SELECT CAST({nflags + 1} AS INTEGER), 'flags λ=' || printf('%g', fb.lf), round(fb.rmse, 6),
+            round(fb.rmse - c.best{nflags}, 6), 'tuned' FROM fbest fb CROSS JOIN sel c""",
+               f"""SELECT CAST({nflags + 2} AS INTEGER), 'validation',
+            round(CASE WHEN count(*) = count(pred) AND count(*) > 0 THEN sqrt(avg(power(rating - pred, 2))) END, 6),
+            CAST(NULL AS DOUBLE), 'final' FROM ({_scored('validation', 'fb.lf')})"""]
+    q["model_ledger"] = _with(" UNION ALL ".join(ledger), "kept")
     q["read_ratings_text"] = _with(f"""SELECT CAST(userId AS INTEGER) AS userId, CAST(movieId AS INTEGER) AS movieId,
             rating, timestamp FROM ratings""", "ratings")
     q["read_movies_text"] = _with(

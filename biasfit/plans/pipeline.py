@@ -69,24 +69,34 @@ class RatingsPipeline:
     # ---------------------------------------------------------------- data
     @cached_property
     def flagged(self) -> DataFrame:
-        """Facts + flags, kept in executor memory/disk for the sampling jobs."""
-        return add_flags(self.facts, self.cfg.flags).persist(StorageLevel.MEMORY_AND_DISK)
-
-    @cached_property
-    def n_rows(self) -> int:
-        return self.flagged.count()
+        """Facts + flags, kept in executor memory/disk for the sampling jobs.
+
+        Inputs with fewer splits than task slots (a small single-row-group
+        file) are spread over all slots first; on large inputs, which have
+        far more splits than slots, nothing is shuffled here.
+        """
+        df = add_flags(self.facts, self.cfg.flags)
+        slots = self.spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < slots:
+            df = df.repartition(slots)
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def split(self) -> DataFrame:
         c = self.cfg
-        n = self.n_rows   # bounds every later fact side: enables hot-key salting
+        info: dict = {}
         s1 = exact_stratified_sample(self.flagged, "rating", c.p, c.seeds[0], c.key_cols, c.tie_cols,
-                                     groups=c.groups, flag="_s1")
+                                     groups=c.groups, flag="_s1", info=info)
+        n = info["n"]   # bounds every later fact side: enables hot-key salting
+        # the role assignment reads the flagged sample in three branches (rest,
+        # held, key sets): keep it rather than re-hashing every row per branch
+        s1 = s1.persist(StorageLevel.MEMORY_AND_DISK)
         r1 = assign_holdout_roles(s1, "_s1", orphan="return", held_role="validation", rest_role="edx",
                                   role="_role1", total=n, policy=c.policy)
         r1 = materialize(r1.drop("_s1"), c.holdout_materialize, "holdout")
         s2 = exact_stratified_sample(r1, "rating", c.p, c.seeds[1], c.key_cols, c.tie_cols,
                                      groups=c.groups, flag="_s2", eligible=F.col("_role1") == "edx")
+        s2 = s2.persist(StorageLevel.MEMORY_AND_DISK)
         edx = s2.where(F.col("_role1") == "edx")
         roles = assign_holdout_roles(edx, "_s2", orphan="drop", held_role="test", rest_role="train",
                                      role="role", total=n, policy=c.policy)
@@ -95,7 +105,8 @@ class RatingsPipeline:
         if c.keep_cols is not None:
             out = out.select(*c.keep_cols, "role")
         split = materialize(out, c.materialize, "split")
-        self.flagged.unpersist()
+        for d in (s2, r1, s1, self.flagged):
+            d.unpersist()
         return split
 
     def part(self, role: str) -> DataFrame:
@@ -211,7 +222,7 @@ class RatingsPipeline:
         """Every reported RMSE with its model and decision (one row each)."""
         rows = []
         lb, bias_rmse = self.best_bias
-        rows.append((0, f"bias lambda={lb:g}", float(bias_rmse), None, "baseline"))
+        rows.append((0, f"bias λ={lb:g}", float(bias_rmse), None, "baseline"))
         best = bias_rmse
         for s in self.selection.steps:
             rows.append((s["step"], f"+{s['flag']}", float(s["rmse"]), float(s["rmse"] - best), s["decision"]))
@@ -219,7 +230,31 @@ class RatingsPipeline:
                 best = s["rmse"]
         lf, flag_rmse = self.best_flag
         k = len(rows)
-        rows.append((k, f"flags lambda={lf:g}", float(flag_rmse), float(flag_rmse - best), "tuned"))
+        rows.append((k, f"flags λ={lf:g}", float(flag_rmse), float(flag_rmse - best), "tuned"))
         fin = self.final_score().first()
         rows.append((k + 1, "validation", fin["rmse"], None, "final"))
         return self.spark.createDataFrame(rows, "step INT, model STRING, rmse DOUBLE, delta DOUBLE, decision STRING")
+
+    def write_reports(self, path: str, mode: str = "overwrite") -> dict[str, str]:
+        """Persist the tables behind the analysis's plots and printouts (parquet sink).
+
+        ``bias_sweep`` / ``flag_sweep`` (lambda, rmse): the tuning curves;
+        ``flag_boxstats``: the residual box plots per flag; ``ledger``: every
+        reported RMSE with its decision.
+        """
+        import os
+
+        from biasfit.operators.diagnostics import boxplot_stats
+
+        out = {
+            "bias_sweep": self.bias_sweep,
+            "flag_sweep": self.flag_sweep,
+            "flag_boxstats": boxplot_stats(self.train_residuals, self.cfg.screen, "resid"),
+            "ledger": self.ledger(),
+        }
+        paths = {}
+        for name, df in out.items():
+            paths[name] = os.path.join(path, name)
+            df.write.mode(mode).parquet(paths[name])
+        return paths
+

@@ -23,8 +23,16 @@ def read_ratings_text(spark: SparkSession, path: str) -> DataFrame:
     """
     raw = (spark.read.option("sep", DELIM).option("header", "false")
            .option("mode", "PERMISSIVE")
-           .schema("c0 STRING, c1 STRING, c2 STRING, c3 STRING")
+           .schema(RAW_RATINGS_SCHEMA)
            .csv(path))
+    return type_ratings(raw)
+
+
+RAW_RATINGS_SCHEMA = "c0 STRING, c1 STRING, c2 STRING, c3 STRING"
+
+
+def type_ratings(raw: DataFrame) -> DataFrame:
+    """Four text fields -> typed ratings (shared by the batch and stream readers)."""
     return raw.select(*[
         F.trim(F.col(f"c{i}")).try_cast(f.dataType).alias(f.name)
         for i, f in enumerate(RATINGS_SCHEMA.fields)

@@ -1,0 +1,5 @@
+"""Structured Streaming: score newly arriving ratings against a fitted model."""
+
+from biasfit.streaming.scoring import rating_stream, running_rmse, score_stream
+
+__all__ = ["rating_stream", "running_rmse", "score_stream"]

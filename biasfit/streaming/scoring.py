@@ -1,0 +1,37 @@
+"""Scoring a stream of '::' rating files with a fitted bias model.
+
+The batch operators are reused unchanged: the stream is parsed like
+``read_ratings_text``, joined (stream-static, left outer) to the model's item
+and user tables, and reduced to a running strict RMSE whose state is a single
+row of sums, so the state stays bounded however long the stream runs.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from biasfit.operators.effects import BiasModel, predict_bias
+from biasfit.sources.text import DELIM, RAW_RATINGS_SCHEMA, type_ratings
+
+
+def rating_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    reader = spark.readStream.option("sep", DELIM).option("header", "false").schema(RAW_RATINGS_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return type_ratings(reader.csv(path))
+
+
+def score_stream(stream: DataFrame, model: BiasModel) -> DataFrame:
+    """Each arriving rating with ``b_i, b_u, pred`` (NULL for unknown keys)."""
+    return predict_bias(stream, model)
+
+
+def running_rmse(scored: DataFrame) -> DataFrame:
+    """Running ``rmse, n_rows, n_null_pred`` over everything seen so far
+    (complete or update output mode)."""
+    d = F.col("rating") - F.col("pred")
+    agg = scored.agg(F.count(F.lit(1)).alias("n_rows"), F.count(d).alias("_n_ok"), F.sum(d * d).alias("_sse"))
+    return agg.select(
+        F.when((F.col("n_rows") == F.col("_n_ok")) & (F.col("n_rows") > 0),
+               F.sqrt(F.col("_sse") / F.col("n_rows"))).alias("rmse"),
+        "n_rows", (F.col("n_rows") - F.col("_n_ok")).alias("n_null_pred"))

@@ -106,3 +106,12 @@ def test_null_genres_give_null_flags_and_prediction(spark, mini):
     df = spark.createDataFrame([(1, 99, 3.0, None)], "userId INT, movieId INT, rating DOUBLE, genres STRING")
     out = add_flags(df, FLAGS).first()
     assert out["Comedy"] is None
+
+
+def test_compat_flag_map_keeps_documentary_slip(spark):
+    from biasfit import schemas as S
+    df = spark.createDataFrame([("Documentary",), ("Children|Comedy",)], "genres STRING")
+    d = add_flags(df, S.GENRE_FLAGS, drop=()).collect()
+    c = add_flags(df, S.COMPAT_GENRE_FLAGS, drop=()).collect()
+    assert [r.Documentary for r in d] == [1, 0]
+    assert [r.Documentary for r in c] == [r.Children for r in c] == [0, 1]

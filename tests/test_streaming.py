@@ -1,0 +1,27 @@
+"""Streaming scoring gives the batch RMSE once all files are processed."""
+
+import pytest
+
+from biasfit.functions.metrics import rmse_columns
+from biasfit.operators.effects import fit_bias, predict_bias
+from biasfit.streaming import rating_stream, running_rmse, score_stream
+
+
+def test_stream_rmse_equals_batch(spark, mini, tmp_path):
+    _items, train, test = mini
+    model = fit_bias(train, 1.0, 3.0)
+    src = tmp_path / "in"
+    src.mkdir()
+    (src / "part-0.dat").write_text("1::30::4.0::1\n2::20::2.0::2\n")
+    (src / "part-1.dat").write_text("3::10::3.5::3\n")
+    q = (running_rmse(score_stream(rating_stream(spark, str(src), max_files_per_trigger=1), model))
+         .writeStream.outputMode("complete").format("memory").queryName("stream_rmse")
+         .option("checkpointLocation", str(tmp_path / "ckpt")).start())
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = spark.sql("SELECT * FROM stream_rmse").first()
+    want = predict_bias(test, model).agg(*rmse_columns()).first()
+    assert got["n_rows"] == 3 and got["n_null_pred"] == 0
+    assert got["rmse"] == pytest.approx(want["rmse"], abs=1e-12)
