@@ -104,7 +104,8 @@ class RatingsPipeline:
         out = roles.unionByName(val).drop("_s2", "_role1")
         if c.keep_cols is not None:
             out = out.select(*c.keep_cols, "role")
-        split = materialize(out, c.materialize, "split")
+        # partitioned by role: reading test or validation skips the train files
+        split = materialize(out, c.materialize, "split", partition_by=["role"])
         for d in (s2, r1, s1, self.flagged):
             d.unpersist()
         return split

@@ -65,18 +65,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"biasfit-{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df: DataFrame, mode: str = "table", name: str = "table") -> DataFrame:
+def materialize(df: DataFrame, mode: str = "table", name: str = "table",
+                partition_by: list[str] | None = None) -> DataFrame:
     """Cut lineage of a table reused by many later jobs.
 
     ``table`` writes compressed parquet under the shared checkpoint folder and
     reads it back (survives executor loss without recomputation, and later
-    scans prune columns); ``checkpoint`` uses Spark's reliable checkpoint;
+    scans prune columns, and partitions when ``partition_by`` is given); ``checkpoint`` uses Spark's reliable checkpoint;
     ``persist`` keeps rows in executor memory/disk with the lineage as
     fallback; ``none`` leaves the plan lazy.
     """
     if mode == "table":
         path = scratch_path(df.sparkSession, name)
-        df.write.mode("overwrite").parquet(path)
+        w = df.write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
         return df.sparkSession.read.parquet(path)
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
