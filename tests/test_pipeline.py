@@ -1,0 +1,50 @@
+"""Whole-pipeline metamorphic checks on sf0.001."""
+
+import pytest
+
+from biasfit.operators.joins import JoinPolicy
+from biasfit.plans.catalog import pipeline
+
+from conftest import SF001
+
+
+@pytest.fixture(scope="module")
+def base(spark):
+    p = pipeline(spark, SF001)
+    return p, p.final_score().first()
+
+
+def test_forced_salting_changes_nothing(spark, base):
+    p0, want = base
+    tiny = JoinPolicy(rows_per_bucket=20, max_hot_keys=50, max_buckets=4)
+    p = pipeline(spark, SF001, policy=tiny)
+    got = p.final_score().first()
+    assert p.best_bias == pytest.approx(p0.best_bias, abs=1e-12)
+    assert p.selection.kept == p0.selection.kept
+    assert got["rmse"] == pytest.approx(want["rmse"], abs=1e-12)
+    assert got["n_rows"] == want["n_rows"]
+    # the salted plan really is salted
+    plan = p.bias_sweep._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "xxhash64" in plan
+
+
+def test_split_roles_partition_the_input(spark, base):
+    p0, _ = base
+    n_in = p0.facts.count()
+    roles = {r["role"]: r["count"] for r in p0.split.groupBy("role").count().collect()}
+    assert sum(roles.values()) == n_in
+    assert set(roles) <= {"train", "test", "validation", "dropped"}
+    # hold-out keys are known to train
+    for part in ("test", "validation"):
+        for k in ("movieId", "userId"):
+            assert p0.validation.select(k).subtract(p0.train.select(k)).count() == 0
+            assert p0.test.select(k).subtract(p0.train.select(k)).count() == 0
+
+
+def test_ledger_is_consistent(base):
+    p0, fin = base
+    led = p0.ledger().collect()
+    assert led[0]["decision"] == "baseline" and led[-1]["decision"] == "final"
+    assert led[-1]["rmse"] == pytest.approx(fin["rmse"], abs=1e-12)
+    kept = [r["model"][1:] for r in led[1:-2] if r["decision"] == "include"]
+    assert kept == p0.selection.kept
