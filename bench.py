@@ -17,7 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from biasfit.plans.catalog import QUERIES, pipeline  # noqa: E402
+from biasfit.plans.catalog import QUERIES, analysis  # noqa: E402
 from biasfit.operators.sweep import sweep_bias, sweep_bias_naive  # noqa: E402
 from biasfit.session import get_session  # noqa: E402
 from biasfit.sources.testdata import TestdataViews  # noqa: E402
@@ -47,7 +47,7 @@ def main() -> None:
         times[name] = round(time.time() - t, 3)
 
     # vectorised (one plan for 41 lambdas) vs naive (one fit + score per lambda), same split
-    p = pipeline(spark, sf_dir)
+    p = analysis(spark, sf_dir)
     train, test, mu = p.train, p.test, p.mu
     grid = list(p.cfg.bias_grid)
     t = time.time()

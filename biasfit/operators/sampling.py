@@ -114,7 +114,7 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
                             groups: int = 5, flag: str = "sampled",
                             eligible: Column | None = None, keep_stratum: bool = False,
                             max_distinct: int = 4096, final_rows: int = 100_000,
-                            info: dict | None = None) -> DataFrame:
+                            info: dict | None = None, persist: bool = False) -> DataFrame:
     """Add boolean ``flag``: is the row in the exact stratified sample?
 
     ``eligible`` restricts the population (others get ``False`` and take no
@@ -124,7 +124,9 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
     stratum exceeds ``final_rows``, then the final ranking of the few
     candidates.  The returned plan itself is a filter plus a broadcast join
     with at most one row per stratum.  ``info`` (a dict) receives the
-    population size, breaks and stratum counts.
+    population size, breaks and stratum counts.  ``persist`` keeps the rows
+    with their stratum and hash columns for the passes (the hash is computed
+    once); the kept frame is returned in ``info['work']`` for unpersisting.
     """
     base = df if eligible is None else df.withColumn("_elig", eligible)
     pop = base if eligible is None else base.where(F.col("_elig"))
@@ -133,7 +135,13 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
     if eligible is not None:
         stratum = F.when(F.col("_elig"), stratum)
     h = order_hash(seed, key_cols)
-    d = base.withColumn(STRATUM, stratum).withColumn(_H, h).withColumn(_HX, hash_prefix_number(F.col(_H)))
+    d = base.withColumns({STRATUM: stratum, _H: h})
+    d = d.withColumn(_HX, hash_prefix_number(F.col(_H)))
+    if persist:
+        from pyspark import StorageLevel
+        d = d.persist(StorageLevel.MEMORY_AND_DISK)
+        if info is not None:
+            info["work"] = d
     d_pop = d.where(F.col(STRATUM).isNotNull())
     counts: dict[int, int] = {}
     if freq is not None:

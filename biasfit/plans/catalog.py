@@ -17,7 +17,7 @@ from biasfit.functions.flags import add_flags
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.diagnostics import boxplot_stats, null_cells, null_cells_by_column, preview, row_counts
 from biasfit.operators.sampling import STRATUM, assign_holdout_roles, exact_stratified_sample, strata_breaks
-from biasfit.plans.pipeline import PipelineConfig, RatingsPipeline
+from biasfit.plans.analysis import PipelineConfig, RatingsPipeline
 from biasfit.session import scratch_path
 from biasfit.sources.testdata import KEY_COLS, TIE_COLS, TestdataViews
 from biasfit.sources.text import read_items_text, read_ratings_text, write_items_text, write_ratings_text
@@ -35,7 +35,7 @@ def testdata_config(**kw) -> PipelineConfig:
     return PipelineConfig(flags=dict(S.TESTDATA_FLAGS), key_cols=KEY_COLS, tie_cols=TIE_COLS, **kw)
 
 
-def pipeline(spark: SparkSession, sf_dir: str, **kw) -> RatingsPipeline:
+def analysis(spark: SparkSession, sf_dir: str, **kw) -> RatingsPipeline:
     v = TestdataViews(spark, sf_dir)
     return RatingsPipeline(spark, v.facts(), testdata_config(**kw))
 
@@ -102,53 +102,53 @@ def q_leak_free_validation(spark, sf_dir):
 
 
 def q_train_test_split(spark, sf_dir):
-    p = pipeline(spark, sf_dir)
+    p = analysis(spark, sf_dir)
     return p.split.where("role <> 'validation'").select(*RATING_COLS, *ROW_ID, "role")
 
 
 def q_row_counts(spark, sf_dir):
-    return row_counts(pipeline(spark, sf_dir).split, "role")
+    return row_counts(analysis(spark, sf_dir).split, "role")
 
 
 # ------------------------------------------------------------------ biases
 
 def q_global_mean(spark, sf_dir):
-    p = pipeline(spark, sf_dir)
+    p = analysis(spark, sf_dir)
     return p.train.agg(r6(F.avg("rating")).alias("mu"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def q_item_effect(spark, sf_dir):
-    m = pipeline(spark, sf_dir).bias_model
+    m = analysis(spark, sf_dir).bias_model
     return m.items.select("movieId", r6("b_i").alias("b_i"), "n_i")
 
 
 def q_user_effect(spark, sf_dir):
-    m = pipeline(spark, sf_dir).bias_model
+    m = analysis(spark, sf_dir).bias_model
     return m.users.select("userId", r6("b_u").alias("b_u"), "m_u")
 
 
 def q_bias_predictions(spark, sf_dir):
-    p = pipeline(spark, sf_dir)
+    p = analysis(spark, sf_dir)
     return p.predictions(p.test).select("userId", "movieId", "rating", *ROW_ID, r6("pred").alias("pred"))
 
 
 def q_bias_rmse(spark, sf_dir):
-    p = pipeline(spark, sf_dir)
+    p = analysis(spark, sf_dir)
     return p.predictions(p.test).agg(*rmse_columns()).select(
         r6("rmse").alias("rmse"), "n_rows", "n_null_pred", F.lit(p.best_bias[0]).alias("lambda"))
 
 
 def q_bias_lambda_sweep(spark, sf_dir):
-    return pipeline(spark, sf_dir).bias_sweep.select("lambda", r6("rmse").alias("rmse"))
+    return analysis(spark, sf_dir).bias_sweep.select("lambda", r6("rmse").alias("rmse"))
 
 
 def q_best_bias_lambda(spark, sf_dir):
-    lam, rmse = pipeline(spark, sf_dir).best_bias
+    lam, rmse = analysis(spark, sf_dir).best_bias
     return spark.range(1).select(F.lit(lam).alias("lambda"), F.round(F.lit(rmse), 6).alias("rmse"))
 
 
 def q_bias_residuals(spark, sf_dir):
-    p = pipeline(spark, sf_dir)
+    p = analysis(spark, sf_dir)
     return p.train_residuals.select("userId", "movieId", "rating", *ROW_ID, r6("b_i").alias("b_i"),
                                     r6("b_u").alias("b_u"), r6("resid").alias("resid"))
 
@@ -156,46 +156,46 @@ def q_bias_residuals(spark, sf_dir):
 # ------------------------------------------------------------------- flags
 
 def q_flag_boxstats(spark, sf_dir):
-    p = pipeline(spark, sf_dir)
+    p = analysis(spark, sf_dir)
     b = boxplot_stats(p.train_residuals, FLAGS, "resid")
     return b.select("flag", "level", "n", *[r6(c).alias(c) for c in
                                             ("q1", "median", "q3", "whisker_low", "whisker_high")], "n_outliers")
 
 
 def q_user_flag_effects(spark, sf_dir):
-    p = pipeline(spark, sf_dir)
+    p = analysis(spark, sf_dir)
     e = p.flag_effects(S.SCREEN_LAMBDA)
     return e.select("userId", *[r6(c).alias(c) for f in FLAGS for c in (f"{f}_down", f"{f}_up")])
 
 
 def q_flag_predictions(spark, sf_dir):
-    p = pipeline(spark, sf_dir)
+    p = analysis(spark, sf_dir)
     pr = p.flag_predictions(p.test_scored, p.selection.kept, p.best_flag[0])
     return pr.select("userId", "movieId", "rating", *ROW_ID, r6("pred").alias("pred"))
 
 
 def q_forward_selection(spark, sf_dir):
-    sel = pipeline(spark, sf_dir).selection
+    sel = analysis(spark, sf_dir).selection
     rows = [(s["step"], s["flag"], round(float(s["rmse"]), 6), s["decision"], s["kept"]) for s in sel.steps]
     return spark.createDataFrame(rows, "step INT, flag STRING, rmse DOUBLE, decision STRING, kept STRING")
 
 
 def q_flag_lambda_sweep(spark, sf_dir):
-    return pipeline(spark, sf_dir).flag_sweep.select("lambda", r6("rmse").alias("rmse"))
+    return analysis(spark, sf_dir).flag_sweep.select("lambda", r6("rmse").alias("rmse"))
 
 
 def q_best_flag_lambda(spark, sf_dir):
-    lam, rmse = pipeline(spark, sf_dir).best_flag
+    lam, rmse = analysis(spark, sf_dir).best_flag
     return spark.range(1).select(F.lit(lam).alias("lambda"), F.round(F.lit(rmse), 6).alias("rmse"))
 
 
 def q_final_score(spark, sf_dir):
-    fs = pipeline(spark, sf_dir).final_score()
+    fs = analysis(spark, sf_dir).final_score()
     return fs.select(r6("rmse").alias("rmse"), "n_rows", "n_null_pred", "bias_lambda", "flag_lambda", "flags")
 
 
 def q_model_ledger(spark, sf_dir):
-    led = pipeline(spark, sf_dir).ledger()
+    led = analysis(spark, sf_dir).ledger()
     return led.select("step", "model", r6("rmse").alias("rmse"), r6("delta").alias("delta"), "decision")
 
 

@@ -3,21 +3,21 @@
 import pytest
 
 from biasfit.operators.joins import JoinPolicy
-from biasfit.plans.catalog import pipeline
+from biasfit.plans.catalog import analysis
 
 from conftest import SF001
 
 
 @pytest.fixture(scope="module")
 def base(spark):
-    p = pipeline(spark, SF001)
+    p = analysis(spark, SF001)
     return p, p.final_score().first()
 
 
 def test_forced_salting_changes_nothing(spark, base):
     p0, want = base
     tiny = JoinPolicy(rows_per_bucket=20, max_hot_keys=50, max_buckets=4)
-    p = pipeline(spark, SF001, policy=tiny)
+    p = analysis(spark, SF001, policy=tiny)
     got = p.final_score().first()
     assert p.best_bias == pytest.approx(p0.best_bias, abs=1e-12)
     assert p.selection.kept == p0.selection.kept

@@ -82,8 +82,8 @@ def test_boxplot_stats_match_numpy(spark):
 
 
 def test_plans_have_no_python_udf_or_cartesian(spark):
-    from biasfit.plans.catalog import pipeline
-    p = pipeline(spark, "/root/testdata/sf0.001")
+    from biasfit.plans.catalog import analysis
+    p = analysis(spark, "/root/testdata/sf0.001")
     plans = [p.bias_sweep, p.flag_effects(30.0), p.final_predictions]
     for df in plans:
         s = df._jdf.queryExecution().executedPlan().toString()

@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from biasfit.operators.sampling import exact_stratified_sample  # noqa: E402
 from biasfit.operators.select import gram_frame  # noqa: E402
-from biasfit.plans.catalog import pipeline  # noqa: E402
+from biasfit.plans.catalog import analysis  # noqa: E402
 from biasfit.session import get_session  # noqa: E402
 from biasfit.sources.testdata import KEY_COLS, TIE_COLS  # noqa: E402
 
@@ -33,7 +33,7 @@ def plan(df) -> str:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=16)
-    p = pipeline(spark, sf_dir)
+    p = analysis(spark, sf_dir)
     sections = []
     sample = exact_stratified_sample(p.flagged, "rating", 0.1, "1", KEY_COLS, TIE_COLS).where("sampled")
     sections.append(("Exact stratified sample: a predicate against a broadcast threshold table", sample))
