@@ -6,7 +6,7 @@ model's prediction is ``base + sum_{f in K} x_f`` with fixed per-row terms
 
     n * RMSE(K)^2 = G_ee - 2 sum_{f in K} G_ef + sum_{f,g in K} G_fg
 
-so one aggregate of ``(F + 1)(F + 2) / 2`` sums over the test rows gives
+so one pass computing ``(F + 1)(F + 2) / 2`` sums over the test rows gives
 the RMSE of *every* subset.  The greedy loop (fixed order, keep a flag iff
 the RMSE strictly falls) runs on that small matrix at the driver, and the
 chosen model is re-scored directly as a check.
@@ -34,15 +34,49 @@ class Selection:
     n: int = 0
 
 
-def gram_frame(scored_test: DataFrame, flags: Sequence[str], mu: float) -> DataFrame:
-    """One row: ``n, g_e_e, g_e_<f>, g_<f>_<g>`` (f <= g in list order)."""
+# Sums per aggregate: stays under spark.sql.codegen.maxFields (100), so the
+# Gram aggregate keeps whole-stage code generation however many flags.
+MAX_SUMS = 90
+
+
+def _gram_terms(k: int) -> list[tuple[str, str]]:
+    terms = [("g_e_e", "_e * _e")]
+    terms += [(f"g_e_{a}", f"_e * _x{a}") for a in range(k)]
+    terms += [(f"g_{a}_{b}", f"_x{a} * _x{b}") for a in range(k) for b in range(a, k)]
+    return terms
+
+
+def gram_frame(scored_test: DataFrame, flags: Sequence[str], mu: float, max_sums: int = MAX_SUMS) -> DataFrame:
+    """The Gram sums in one pass: rows ``_c, n, _s0.._s{m-1}``.
+
+    The (F+1)(F+2)/2 sums are cut into chunks of ``max_sums``; each row is
+    repeated once per chunk (``explode``) and the aggregate, grouped by chunk,
+    sums that chunk's products -- one scan, one small aggregate per chunk.
+    Term ``c * max_sums + j`` is column ``_s{j}`` of row ``_c = c``.
+    """
     e = f"rating - ({dlit(mu)} + b_i + b_u)"
     t = scored_test.select(F.expr(e).alias("_e"), *[F.expr(flag_term_sql(f)).alias(f"_x{k}") for k, f in enumerate(flags)])
-    k = len(flags)
-    aggs = [F.count(F.lit(1)).alias("n"), F.expr("sum(_e * _e)").alias("g_e_e")]
-    aggs += [F.expr(f"sum(_e * _x{a})").alias(f"g_e_{a}") for a in range(k)]
-    aggs += [F.expr(f"sum(_x{a} * _x{b})").alias(f"g_{a}_{b}") for a in range(k) for b in range(a, k)]
-    return t.agg(*aggs)
+    terms = _gram_terms(len(flags))
+    chunks = [terms[i:i + max_sums] for i in range(0, len(terms), max_sums)]
+    width = max(len(c) for c in chunks)
+    t = t.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(chunks) - 1))).alias("_c"))
+    aggs = []
+    for j in range(width):
+        branches = " ".join(f"WHEN {c} THEN {chunk[j][1]}" for c, chunk in enumerate(chunks) if j < len(chunk))
+        aggs.append(F.expr(f"sum(CASE _c {branches} END)").alias(f"_s{j}"))
+    return t.groupBy("_c").agg(F.count(F.lit(1)).alias("n"), *aggs)
+
+
+def gram_sums(scored_test: DataFrame, flags: Sequence[str], mu: float, max_sums: int = MAX_SUMS) -> dict:
+    """``{n, g_e_e, g_e_<a>, g_<a>_<b>}`` from :func:`gram_frame` (at most a few rows)."""
+    terms = _gram_terms(len(flags))
+    out: dict = {"n": 0}
+    for r in gram_frame(scored_test, flags, mu, max_sums).collect():
+        c = r["_c"]
+        out["n"] = r["n"]
+        for j, (name, _expr) in enumerate(terms[c * max_sums:(c + 1) * max_sums]):
+            out[name] = r[f"_s{j}"]
+    return out
 
 
 def subset_rmse(g: dict, n: int, subset: Sequence[int]) -> float:
@@ -59,7 +93,7 @@ def subset_rmse(g: dict, n: int, subset: Sequence[int]) -> float:
 def forward_select(scored_test: DataFrame, flags: Sequence[str], mu: float, tol: float = TOL) -> Selection:
     """Screen ``flags`` in order; ``scored_test`` holds ``rating, b_i, b_u`` and,
     per flag, the flag column and ``<flag>_up/_down`` effects."""
-    row = gram_frame(scored_test, flags, mu).first().asDict()
+    row = gram_sums(scored_test, flags, mu)
     n = row["n"]
     if not n:
         return Selection(float("nan"))

@@ -115,3 +115,15 @@ def test_compat_flag_map_keeps_documentary_slip(spark):
     c = add_flags(df, S.COMPAT_GENRE_FLAGS, drop=()).collect()
     assert [r.Documentary for r in d] == [1, 0]
     assert [r.Documentary for r in c] == [r.Children for r in c] == [0, 1]
+
+
+def test_gram_chunking_is_exact(mini):
+    from biasfit.operators.select import gram_sums
+    tr, te = _flagged(mini)
+    m = fit_bias(tr, 1.0, 3.0)
+    stats = user_flag_stats(residuals(tr, m), list(FLAGS))
+    scored = attach_bias(te, m).join(user_flag_effects(stats, list(FLAGS), 30.0), "userId", "left")
+    whole = gram_sums(scored, list(FLAGS), 3.0)
+    assert len(whole) == 1 + 10
+    for width in (1, 3, 4):
+        assert gram_sums(scored, list(FLAGS), 3.0, max_sums=width) == pytest.approx(whole, abs=1e-12)
