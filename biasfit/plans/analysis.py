@@ -83,20 +83,26 @@ class RatingsPipeline:
 
     @cached_property
     def split(self) -> DataFrame:
+        """Each cached copy is released as soon as the next one replaces it,
+        so at most two copies of the rows are held at any time."""
         c = self.cfg
         info: dict = {}
         # persist=True: rows + stratum + order hash are kept for the sampler's
         # passes and the role assignment's branches (hashed once per split)
         s1 = exact_stratified_sample(self.flagged, "rating", c.p, c.seeds[0], c.key_cols, c.tie_cols,
                                      groups=c.groups, flag="_s1", info=info, persist=True)
+        self.flagged.unpersist()          # the sampler's work table holds the rows now
         n = info["n"]   # bounds every later fact side: enables hot-key salting
         r1 = assign_holdout_roles(s1, "_s1", orphan="return", held_role="validation", rest_role="edx",
                                   role="_role1", total=n, policy=c.policy)
         r1 = materialize(r1.drop("_s1"), c.holdout_materialize, "holdout")
+        info["work"].unpersist()
         info2: dict = {}
         s2 = exact_stratified_sample(r1, "rating", c.p, c.seeds[1], c.key_cols, c.tie_cols,
                                      groups=c.groups, flag="_s2", eligible=F.col("_role1") == "edx",
                                      info=info2, persist=True)
+        if c.holdout_materialize == "persist":
+            r1.unpersist()
         edx = s2.where(F.col("_role1") == "edx")
         roles = assign_holdout_roles(edx, "_s2", orphan="drop", held_role="test", rest_role="train",
                                      role="role", total=n, policy=c.policy)
@@ -106,8 +112,7 @@ class RatingsPipeline:
             out = out.select(*c.keep_cols, "role")
         # partitioned by role: reading test or validation skips the train files
         split = materialize(out, c.materialize, "split", partition_by=["role"])
-        for d in (info2["work"], r1, info["work"], self.flagged):
-            d.unpersist()
+        info2["work"].unpersist()
         return split
 
     def part(self, role: str) -> DataFrame:
