@@ -115,6 +115,14 @@ class RatingsPipeline:
         info2["work"].unpersist()
         return split
 
+    def release(self) -> None:
+        """Unpersist the cached statistics tables of this analysis."""
+        for name in ("item_stats", "flag_stats"):
+            if name in self.__dict__:
+                self.__dict__[name].unpersist()
+        if "bias_model" in self.__dict__:
+            self.__dict__["bias_model"].users.unpersist()
+
     def part(self, role: str) -> DataFrame:
         return self.split.where(F.col("role") == role).drop("role")
 

@@ -35,9 +35,32 @@ def testdata_config(**kw) -> PipelineConfig:
     return PipelineConfig(flags=dict(S.TESTDATA_FLAGS), key_cols=KEY_COLS, tie_cols=TIE_COLS, **kw)
 
 
+_ANALYSES: dict[tuple[str, str], RatingsPipeline] = {}
+
+
 def analysis(spark: SparkSession, sf_dir: str, **kw) -> RatingsPipeline:
+    """The staged analysis of ``sf_dir``.
+
+    With the default configuration it is kept per Spark application and
+    folder, so queries run in one session share the written split and the
+    persisted statistics (like reusing a materialised table); every stage is
+    still computed from the parquet tables by Spark the first time.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if not kw and key in _ANALYSES:
+        return _ANALYSES[key]
     v = TestdataViews(spark, sf_dir)
-    return RatingsPipeline(spark, v.facts(), testdata_config(**kw))
+    p = RatingsPipeline(spark, v.facts(), testdata_config(**kw))
+    if not kw:
+        _ANALYSES[key] = p
+    return p
+
+
+def reset_analyses() -> None:
+    """Forget kept analyses (and release their cached tables)."""
+    for p in _ANALYSES.values():
+        p.release()
+    _ANALYSES.clear()
 
 
 # ------------------------------------------------------------- data stages

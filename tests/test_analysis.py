@@ -48,3 +48,12 @@ def test_ledger_is_consistent(base):
     assert led[-1]["rmse"] == pytest.approx(fin["rmse"], abs=1e-12)
     kept = [r["model"][1:] for r in led[1:-2] if r["decision"] == "include"]
     assert kept == p0.selection.kept
+
+
+def test_write_reports_sink(spark, base, tmp_path):
+    p0, _ = base
+    paths = p0.write_reports(str(tmp_path / "reports"))
+    got = {k: spark.read.parquet(v).count() for k, v in paths.items()}
+    assert got["bias_sweep"] == 41 and got["flag_sweep"] == 9
+    assert got["flag_boxstats"] == 2 * len(p0.cfg.screen)
+    assert got["ledger"] == len(p0.cfg.screen) + 3
