@@ -37,14 +37,6 @@ def item_stats(train: DataFrame, mu: float, item: str = ITEM, rating: str = RATI
         F.count(F.lit(1)).alias("n_i"))
 
 
-def shrunk(total: str | Column, n: str | Column, lam: float) -> Column:
-    """``total / (n + lam)``; 0 for an empty cell (safe at lambda 0 under ANSI),
-    NULL when the count itself is unknown (key absent from the table)."""
-    t = F.col(total) if isinstance(total, str) else total
-    c = F.col(n) if isinstance(n, str) else n
-    return F.when(c > 0, t / (c + F.lit(float(lam)))).when(c == 0, F.lit(0.0))
-
-
 @dataclass
 class BiasModel:
     mu: float

@@ -7,7 +7,6 @@ plate, rod with the listed RMSEs and decisions.
 """
 
 import pytest
-from pyspark.sql import functions as F
 
 from biasfit import schemas as S
 from biasfit.functions.flags import add_flags

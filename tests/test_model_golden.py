@@ -1,7 +1,6 @@
 """Hand-computed values of the golden mini fixture (FIXTURES.md section 2)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from biasfit.functions.flags import add_flags
 from biasfit.functions.metrics import rmse_columns

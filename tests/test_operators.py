@@ -2,7 +2,6 @@
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from biasfit.operators.diagnostics import boxplot_stats, null_cells, null_cells_by_column
 from biasfit.operators.joins import JoinPolicy, keyed_join
