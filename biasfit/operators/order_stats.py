@@ -115,17 +115,27 @@ def _refine(d: DataFrame, key: str, groups: list[str], searches: list[_Search],
 
 def _final_rows(d: DataFrame, key: str, groups: list[str], searches: list[_Search],
                 tie_cols: Sequence[str]) -> DataFrame:
-    """The wanted row of every search: ``_sid, groups..., key, tie_cols...``."""
+    """The wanted row of every search: ``_sid, groups..., key, tie_cols..., _take, _copies``.
+
+    Candidates are first collapsed to distinct order values with their copy
+    counts (partial aggregation), so even a value repeated on a third of all
+    rows is one line here; the bounded set of distinct values is then ranked
+    with a running sum of copies.  ``_copies`` is how many rows carry the
+    wanted value and ``_take`` how many of them fall at or before the rank.
+    """
     rows = [(s.sid, *s.group, s.lo, s.hi, s.rank) for s in searches]
     frame = _ranges_frame(d, groups, rows, extra=[("_r", T.LongType())]).withColumnRenamed("_rid", "_sid")
     x = F.col(key)
-    w = Window.partitionBy("_sid").orderBy(key, *tie_cols)
-    d = d.select(*groups, key, *[c for c in tie_cols if c not in groups and c != key])
-    return (d.join(F.broadcast(frame), on=groups)
+    order = [key, *[c for c in tie_cols if c not in groups and c != key]]
+    d = d.select(*groups, *order)
+    vals = (d.join(F.broadcast(frame), on=groups)
             .where((x >= F.col("_lo")) & (x <= F.col("_hi")))
-            .withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") == F.col("_r") + 1)
-            .select("_sid", *groups, key, *tie_cols))
+            .groupBy("_sid", "_r", *groups, *order).agg(F.count(F.lit(1)).alias("_copies")))
+    w = Window.partitionBy("_sid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vals = vals.withColumn("_cum", F.sum("_copies").over(w))
+    before = F.col("_cum") - F.col("_copies")
+    return (vals.where((before <= F.col("_r")) & (F.col("_r") < F.col("_cum")))
+            .select("_sid", *groups, *order, (F.col("_r") - before + 1).alias("_take"), "_copies"))
 
 
 def _make_searches(extents: Mapping[tuple, tuple], ranks: Mapping[tuple, Sequence[int]]) -> list[_Search]:
@@ -182,8 +192,9 @@ def kth_rows(df: DataFrame, key: str, tie_cols: Sequence[str], group_cols: Seque
              bins: int = 4096, final_rows: int = 100_000, max_levels: int = 8) -> DataFrame:
     """The row at 0-based ``rank`` of each group in the order ``(key, *tie_cols)``.
 
-    Returns ``groups..., key, tie_cols...`` with one row per group in
-    ``ranks``; a lazy plan (the final ranking runs when it is used).
+    Returns ``groups..., key, tie_cols..., _take, _copies`` with one row per
+    group in ``ranks`` (``_copies`` rows share that order value; the first
+    ``_take`` of them lie at or before the rank); a lazy plan.
     """
     d, groups = _prep(df, key, group_cols)
     extents = extents if extents is not None else group_extents(df, key, group_cols)
@@ -191,3 +202,9 @@ def kth_rows(df: DataFrame, key: str, tie_cols: Sequence[str], group_cols: Seque
     _refine(d, key, groups, searches, bins, final_rows, max_levels, settle_equal=False)
     out = _final_rows(d, key, groups, searches, tie_cols).drop("_sid")
     return out.drop(_G0) if not group_cols else out
+
+
+def kth_rows_plain(df: DataFrame, key: str, group_cols: Sequence[str], ranks: Mapping[tuple, int],
+                   extents: Mapping[tuple, tuple] | None = None, **kw) -> DataFrame:
+    """:func:`kth_rows` without the copy columns (unique keys)."""
+    return kth_rows(df, key, (), group_cols, ranks, extents, **kw).drop("_take", "_copies")

@@ -27,6 +27,7 @@ from biasfit.operators.order_stats import exact_percentiles, kth_rows, type7_ran
 STRATUM = "_stratum"
 _H = "_h"
 _HX = "_hx"
+_U = "_u"
 _THR = "_thr"
 
 
@@ -136,7 +137,9 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
         stratum = F.when(F.col("_elig"), stratum)
     h = order_hash(seed, key_cols)
     d = base.withColumns({STRATUM: stratum, _H: h})
-    d = d.withColumn(_HX, hash_prefix_number(F.col(_H)))
+    # _u tells identical copies apart (only used when a copy run straddles the
+    # threshold); it is stable for a persisted or deterministically read input
+    d = d.withColumns({_HX: hash_prefix_number(F.col(_H)), _U: F.monotonically_increasing_id().cast("double")})
     if persist:
         from pyspark import StorageLevel
         d = d.persist(StorageLevel.MEMORY_AND_DISK)
@@ -159,16 +162,29 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
         if k >= 1:
             ranks[(g,)] = min(k, n) - 1
             extents[(g,)] = (n, *HASH_RANGE)
-    order = [_HX, _H, *tie_cols]
+    order = [_HX, _H, *[c for c in tie_cols if c not in (_HX, _H)]]
     if ranks:
-        thr = kth_rows(d_pop, _HX, [_H, *tie_cols], [STRATUM], ranks, extents, final_rows=final_rows)
-        thr = _small_frame(thr.select(STRATUM, F.struct(*order).alias(_THR)), max_rows=len(ranks))
+        thr = kth_rows(d_pop, _HX, order[1:], [STRATUM], ranks, extents, final_rows=final_rows)
+        thr = _small_frame(thr.select(STRATUM, F.struct(*order).alias(_THR), "_take", "_copies"),
+                           max_rows=len(ranks))
+        # strata whose threshold value is carried by several identical rows of
+        # which only some are taken: pick exactly that many by the row id
+        partial = {(r[STRATUM],): r["_take"] - 1 for r in thr.collect() if r["_take"] < r["_copies"]}
+        if partial:
+            at = d_pop.join(F.broadcast(thr.select(STRATUM, _THR)), STRATUM).where(F.struct(*order) == F.col(_THR))
+            ids = kth_rows(at, _U, (), [STRATUM], partial, final_rows=final_rows)
+            ids = _small_frame(ids.select(STRATUM, F.col(_U).alias("_umax")), max_rows=len(partial))
+            thr = thr.join(ids, STRATUM, "left")
+        else:
+            thr = thr.withColumn("_umax", F.lit(None).cast("double"))
         out = d.join(F.broadcast(thr), STRATUM, "left")
-        chosen = F.coalesce(F.struct(*order) <= F.col(_THR), F.lit(False))
+        row = F.struct(*order)
+        at_thr = (row == F.col(_THR)) & (F.col("_umax").isNull() | (F.col(_U) <= F.col("_umax")))
+        chosen = F.coalesce((row < F.col(_THR)) | at_thr, F.lit(False))
     else:
         out, chosen = d, F.lit(False)
     out = out.withColumn(flag, chosen)
-    drop = [_H, _HX, _THR, "_elig"] + ([] if keep_stratum else [STRATUM])
+    drop = [_H, _HX, _U, _THR, "_take", "_copies", "_umax", "_elig"] + ([] if keep_stratum else [STRATUM])
     return out.drop(*[c for c in drop if c in out.columns])
 
 

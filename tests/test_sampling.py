@@ -111,3 +111,21 @@ def test_anti_join_removes_every_copy_null_safe(spark):
     a = spark.createDataFrame([(1, None), (1, None), (2, "x")], "k INT, g STRING")
     b = spark.createDataFrame([(1, None)], "k INT, g STRING")
     assert sorted(tuple(r) for r in anti_join_all(a, b).collect()) == [(2, "x")]
+
+
+@pytest.mark.parametrize("p", [0.1, 0.3, 0.5, 0.7])
+def test_identical_copies_straddling_the_threshold(spark, p):
+    """A run of identical rows (a third of the data) around the cut: exactly
+    ceil(n*p) rows, same multiset as the window definition, no copy-sized window."""
+    rows = [(i, 4.0) for i in range(200)] + [(7, 4.0)] * 100
+    df = spark.createDataFrame(rows, "id INT, rating DOUBLE").repartition(5)
+    a = exact_stratified_sample(df, "rating", p, "s", ["id"], ["id"], final_rows=5, persist=True).where("sampled")
+    b = window_stratified_sample(df, "rating", p, "s", ["id"], ["id"]).where("sampled")
+    assert a.count() == math.ceil(300 * p)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_all_rows_identical(spark):
+    df = spark.createDataFrame([(1, 4.0)] * 300, "id INT, rating DOUBLE")
+    a = exact_stratified_sample(df, "rating", 0.1, "s", ["id"], ["id"], final_rows=5, persist=True)
+    assert a.where("sampled").count() == 30
