@@ -91,8 +91,9 @@ def q_null_cells_by_column(spark, sf_dir):
 
 def _split1(spark, sf_dir):
     facts = TestdataViews(spark, sf_dir).facts()
+    # persist: the sampler's passes (and the row id that splits copy runs) read one stable copy
     return exact_stratified_sample(facts, "rating", S.HOLDOUT_FRACTION, "1", KEY_COLS, TIE_COLS,
-                                   flag="sampled", keep_stratum=True)
+                                   flag="sampled", keep_stratum=True, persist=True)
 
 
 def q_rating_strata(spark, sf_dir):
