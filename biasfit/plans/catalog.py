@@ -16,7 +16,7 @@ from biasfit import schemas as S
 from biasfit.functions.flags import add_flags
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.diagnostics import boxplot_stats, null_cells, null_cells_by_column, preview, row_counts
-from biasfit.operators.sampling import STRATUM, assign_holdout_roles, exact_stratified_sample, strata_breaks
+from biasfit.operators.sampling import STRATUM, assign_holdout_roles, exact_stratified_sample
 from biasfit.plans.analysis import PipelineConfig, RatingsPipeline
 from biasfit.session import scratch_path
 from biasfit.sources.testdata import KEY_COLS, TIE_COLS, TestdataViews
@@ -89,17 +89,17 @@ def q_null_cells_by_column(spark, sf_dir):
     return null_cells_by_column(q_genre_flags(spark, sf_dir))
 
 
-def _split1(spark, sf_dir):
+def _split1(spark, sf_dir, info: dict | None = None):
     facts = TestdataViews(spark, sf_dir).facts()
     # persist: the sampler's passes (and the row id that splits copy runs) read one stable copy
     return exact_stratified_sample(facts, "rating", S.HOLDOUT_FRACTION, "1", KEY_COLS, TIE_COLS,
-                                   flag="sampled", keep_stratum=True, persist=True)
+                                   flag="sampled", keep_stratum=True, persist=True, info=info)
 
 
 def q_rating_strata(spark, sf_dir):
-    facts = TestdataViews(spark, sf_dir).facts()
-    b = strata_breaks(facts, "rating", S.QUANTILE_GROUPS)
-    s = _split1(spark, sf_dir)
+    info: dict = {}
+    s = _split1(spark, sf_dir, info)
+    b = info["breaks"]        # the sample's own exact type-7 breaks
     bounds = spark.createDataFrame([(i + 1, float(b[i]), float(b[i + 1])) for i in range(len(b) - 1)],
                                    f"{STRATUM} INT, lower DOUBLE, upper DOUBLE")
     agg = s.groupBy(STRATUM).agg(F.count(F.lit(1)).alias("n_rows"),
