@@ -88,3 +88,22 @@ def test_plans_have_no_python_udf_or_cartesian(spark):
         s = df._jdf.queryExecution().executedPlan().toString()
         for bad in ("PythonUDF", "BatchEvalPython", "ArrowEvalPython", "CartesianProduct"):
             assert bad not in s
+
+
+def test_sample_plan_is_a_predicate_not_a_window(spark):
+    from biasfit.operators.sampling import exact_stratified_sample
+    from biasfit.sources.testdata import KEY_COLS, TIE_COLS, TestdataViews
+    r = TestdataViews(spark, "/root/testdata/sf0.001").ratings()
+    s = exact_stratified_sample(r, "rating", 0.1, "1", KEY_COLS, TIE_COLS)
+    plan = s._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan            # thresholds arrive as a local relation
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_split_reads_prune_columns_and_partitions(spark):
+    from biasfit.plans.catalog import analysis
+    p = analysis(spark, "/root/testdata/sf0.001")
+    plan = p.test.select("rating")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(role" in plan and "= test)" in plan
+    read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+    assert read_schema == "struct<rating:double>"
