@@ -107,3 +107,14 @@ def test_split_reads_prune_columns_and_partitions(spark):
     assert "PartitionFilters: [isnotnull(role" in plan and "= test)" in plan
     read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert read_schema == "struct<rating:double>"
+
+
+def test_keyed_join_runs_no_job_while_planning(spark):
+    tracker = spark.sparkContext.statusTracker()
+    fact = spark.range(1000).selectExpr("id % 3 AS k", "id")
+    dim = spark.range(3).selectExpr("id AS k", "id * 10 AS v", "CAST(600 AS BIGINT) AS n")
+    before = len(tracker.getJobIdsForGroup())
+    tiny = JoinPolicy(rows_per_bucket=100, max_hot_keys=10, max_buckets=4)
+    keyed_join(fact, dim, "k", "left", count_col="n", total=1000, policy=tiny)
+    keyed_join(fact, dim, "k", "left_semi", null_safe=True)
+    assert len(tracker.getJobIdsForGroup()) == before
