@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, mixing, packing, rules, simhash, tokens, toxicity
+from . import licenses, lines, mixing, neighbours, packing, pii, rules, simhash, tokens, toxicity
 from .common import read
 
 
@@ -12,6 +12,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(read(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality(read(spark, sf_dir, "documents"))
 
@@ -28,6 +32,14 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(read(spark, sf_dir, "documents"))
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_dedup(read(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(read(spark, sf_dir, "documents"))
 
@@ -37,5 +49,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_quality_rules, op4_toxicity, op5_simhash, op6_license_scan, op9_token_counts, op10_mixing)}
-ORACLE = {"op3_quality_rules": rules.ORACLE, "op10_mixing": mixing.ORACLE}
+QUERIES = {f.__name__: f for f in (
+    op1_packing, op2_pii, op3_quality_rules, op4_toxicity, op5_simhash, op6_license_scan, op7_neighbours, op8_line_dedup,
+    op9_token_counts, op10_mixing)}
+ORACLE = {"op3_quality_rules": rules.ORACLE, "op8_line_dedup": lines.ORACLE, "op10_mixing": mixing.ORACLE}

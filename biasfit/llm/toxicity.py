@@ -79,7 +79,7 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars: int) -
 
 
 def fit(rows: list[tuple[int, bytes]], share: float, *, alpha: float = 1.0, min_rows: int = 4, min_ratio: float = 1.0,
-        l2: float = 2e-3, steps: int = 150) -> tuple[np.ndarray, float]:
+        l2: float = 1e-4, steps: int = 150) -> tuple[np.ndarray, float]:
     """(weight by feature, intercept).  ``share`` of class 1 in the population
     weighs the classes of the sample."""
     y = np.array([r[0] for r in rows], dtype=np.float64)
@@ -108,7 +108,7 @@ def fit(rows: list[tuple[int, bytes]], share: float, *, alpha: float = 1.0, min_
     for t in range(1, steps + 1):
         z = b + np.bincount(row, weights=(r * w)[col], minlength=len(y))
         err = c * (1 / (1 + np.exp(-z)) - y)
-        g = np.append(r * np.bincount(col, weights=err[row], minlength=len(use)) + l2 * w / len(use) ** 0.5, err.sum())
+        g = np.append(r * np.bincount(col, weights=err[row], minlength=len(use)) + l2 * w, err.sum())
         m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
         step = 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(s / (1 - 0.999 ** t)) + 1e-8)
         w, b = w - step[:-1], b - step[-1]
