@@ -53,3 +53,11 @@ QUERIES = {f.__name__: f for f in (
     op1_packing, op2_pii, op3_quality_rules, op4_toxicity, op5_simhash, op6_license_scan, op7_neighbours, op8_line_dedup,
     op9_token_counts, op10_mixing)}
 ORACLE = {"op3_quality_rules": rules.ORACLE, "op8_line_dedup": lines.ORACLE, "op10_mixing": mixing.ORACLE}
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
