@@ -1 +1,53 @@
-"""Corpus pipeline (stages follow)."""
+"""Corpus pipeline: quality rules, line dedup, near-duplicates, mixing, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a table that is written as
+Parquet and read again as the next stage's ``docs``.  All stages but the last
+return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from biasfit.llm import lines, mixing, packing, rules, simhash
+from biasfit.llm.common import read, table
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return rules.keep_documents(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return lines.dedup_documents(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("near_duplicates", near_duplicates),
+    ("mix_sources", mix_sources),
+    ("pack_sequences", pack_sequences),
+]
+
+#: Tokenising and hashing of shingles have no SQL; the stages are tested
+#: against brute force instead.
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = table(stage(spark, docs, sf_dir), name)
+    return docs
