@@ -124,7 +124,8 @@ def _cut(text: Column, cut: Column) -> Column:
 
 def _with_cuts(docs: DataFrame, doc_id: Column, text: Column, found: DataFrame) -> DataFrame:
     found = found.select(F.col("doc_id").alias(TMP + "d"), F.col("th").alias(TMP + "t"), F.col("cut").alias(TMP + "cut"))
-    return docs.join(found, doc_id.eqNullSafe(F.col(TMP + "d")) & (F.xxhash64(text) == F.col(TMP + "t")), "left")
+    # the cuts grow with the corpus: one plan at every size, no broadcast of a small table's
+    return docs.join(found.hint("merge"), doc_id.eqNullSafe(F.col(TMP + "d")) & (F.xxhash64(text) == F.col(TMP + "t")), "left")
 
 
 def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 25) -> DataFrame:

@@ -199,7 +199,8 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     kept = kept.join(comps.select(F.col("component_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
     kept = table(kept.select(F.col("doc_id").alias(TMP + "id"), TMP + "copies"), "kept")
     cols = docs.columns
-    out = docs.join(kept, docs[id_col].cast("long") == F.col(TMP + "id"))
+    # the kept ids grow with the corpus: one plan at every size
+    out = docs.join(kept.hint("merge"), docs[id_col].cast("long") == F.col(TMP + "id"))
     once = out.filter(F.col(TMP + "copies") == 1).select(*cols)
     order = Window.partitionBy(TMP + "id").orderBy(F.col(text_col).asc_nulls_first(), *[F.col(c) for c in cols if c != text_col])
     more = out.filter(F.col(TMP + "copies") > 1).withColumn(TMP + "k", F.row_number().over(order))
