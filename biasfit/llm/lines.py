@@ -106,8 +106,9 @@ def repeated_lines(docs: DataFrame, min_words: int) -> DataFrame:
     docs: doc_id, text."""
     rows, levels = suffix_ranks(docs, min_words)
     windows = table(_windows(rows, levels, min_words), "windows")
-    classes = windows.groupBy("l", "a", "b").agg(
-        F.min(F.struct("doc_id", "th", "s")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # written, so that both sides of the join are plain shuffles whose hot keys Spark can split
+    classes = table(windows.groupBy("l", "a", "b").agg(
+        F.min(F.struct("doc_id", "th", "s")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "classes")
     total = windows.count()
     later = keyed_join(windows, classes, ["l", "a", "b"], "inner", count_col="n", total=total, salt_cols=KEY + ["s"]).filter(
         ~F.struct("doc_id", "th", "s").eqNullSafe(F.col("first")))
