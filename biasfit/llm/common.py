@@ -12,6 +12,8 @@ from ..session import materialize
 SPACE = " \t\n\x0b\x0c\r"
 #: The same class as a Java regular expression.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
+#: Found in anything that holds a word.
+WORD = r"[^\x20\x09-\x0D]"
 TMP = "__llm_"
 
 

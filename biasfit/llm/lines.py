@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.joins import keyed_join
-from .common import TMP, SPACE, global_index, let, n_words, pick, table
+from .common import TMP, WORD, global_index, let, n_words, pick, table
 
 KEY = ["doc_id", "th"]
 
@@ -36,9 +36,8 @@ KEY = ["doc_id", "th"]
 def _lines(docs: DataFrame) -> DataFrame:
     """(doc_id, th, i, j, h, g, w): the i-th line with a word, at line j, its
     two hashes (96 bits together) and its words."""
-    blank = lambda x: F.length(F.translate(x, SPACE, "")) == 0                         # noqa: E731
     placed = F.filter(F.transform(F.split("text", "\n"), lambda x, j: F.struct(x.alias("x"), j.alias("j"))),
-                      lambda s: ~blank(s["x"]))
+                      lambda s: s["x"].rlike(WORD))
     d = docs.filter("text is not null").select("doc_id", F.xxhash64("text").alias("th"), F.posexplode(placed).alias("i", "s"))
     return d.select("doc_id", "th", "i", F.col("s.j").alias("j"), F.xxhash64("s.x").alias("h"), F.hash("s.x").alias("g"),
                     n_words(F.col("s.x")).cast("int").alias("w"))
