@@ -58,11 +58,11 @@ def held_out(doc_id: Column) -> Column:
 def _features_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield pa.RecordBatch.from_pydict({
-            "y": batch.column("y"), "x": pa.array([features(t.as_py()).tobytes() for t in batch.column("text")], pa.binary())})
+            "doc_id": batch.column("doc_id"), "y": batch.column("y"), "x": pa.array([features(t.as_py()).tobytes() for t in batch.column("text")], pa.binary())})
 
 
-def _sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars: int) -> tuple[list, float, dict[int, int]]:
-    """Training rows (y, features), the share of toxic labels, labels by class."""
+def _sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars: int) -> tuple[np.ndarray, list, float]:
+    """Labels and features of the training rows, and the share of toxic labels."""
     l = labels.filter("y is not null and doc_id is not null").filter(~held_out(F.col("doc_id")))
     l = l.groupBy("doc_id").agg(F.max("y").alias("y"))
     n = {int(r["y"]): r["count"] for r in l.groupBy("y").count().collect()}
@@ -73,21 +73,21 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars: int) -
         chosen = one if chosen is None else chosen.unionByName(one)
     texts = (docs.filter(F.length("text") <= max_chars).join(F.broadcast(chosen), "doc_id")
              .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")))
-    rows = texts.select(F.col("y").cast("int").alias("y"), "text").mapInArrow(_features_task, "y int, x binary").collect()
-    rows = sorted(((r["y"], bytes(r["x"])) for r in rows))
-    return rows, pos / (pos + neg) if pos + neg else 0.5, n
+    got = texts.select("doc_id", F.col("y").cast("int").alias("y"), "text").mapInArrow(
+        _features_task, "doc_id long, y int, x binary").toArrow()
+    got = got.take(np.argsort(got.column("doc_id").to_numpy()))      # reruns add up in one order
+    share = pos / (pos + neg) if pos + neg else 0.5
+    return got.column("y").to_numpy().astype(float), [np.frombuffer(x.as_buffer(), dtype=np.int32) for x in got.column("x")], share
 
 
-def fit(rows: list[tuple[int, bytes]], share: float, *, alpha: float = 1.0, min_rows: int = 4, min_ratio: float = 1.0,
+def fit(y: np.ndarray, xs: list[np.ndarray], share: float, *, alpha: float = 1.0, min_rows: int = 4, min_ratio: float = 1.0,
         l2: float = 1e-4, steps: int = 150) -> tuple[np.ndarray, float]:
     """(weight by feature, intercept).  ``share`` of class 1 in the population
     weighs the classes of the sample."""
-    y = np.array([r[0] for r in rows], dtype=np.float64)
     weights = np.zeros(1 << BITS, dtype=np.float32)
     prior = float(np.log((share + 1e-6) / (1 - share + 1e-6)))
     if len(set(y.tolist())) < 2:
         return weights, prior
-    xs = [np.frombuffer(x, dtype=np.int32) for _, x in rows]
     count = np.zeros((2, 1 << BITS))
     for x, label in zip(xs, y):
         count[int(label), x] += 1
@@ -99,7 +99,7 @@ def fit(rows: list[tuple[int, bytes]], share: float, *, alpha: float = 1.0, min_
     place = np.full(1 << BITS, -1, dtype=np.int32)
     place[use] = np.arange(len(use))
     xs = [p[p >= 0] for p in (place[x] for x in xs)]
-    row = np.repeat(np.arange(len(xs)), [len(x) for x in xs])
+    row = np.repeat(np.arange(len(xs), dtype=np.int32), [len(x) for x in xs])
     col = np.concatenate(xs)
     r = ratio[use]
     c = np.where(y == 1, share / n[1], (1 - share) / n[0])
@@ -137,7 +137,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     as text leaves 1 modulo 3 are held out from training."""
     d = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
     l = pick(labels, doc_id=id_col, y=label_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    rows, share, _ = _sample(d, l.withColumn("y", F.when(F.col("y").isin(0, 1), F.col("y"))), max_rows, max_chars)
-    shared = docs.sparkSession.sparkContext.broadcast(fit(rows, share))
+    y, xs, share = _sample(d, l.withColumn("y", F.when(F.col("y").isin(0, 1), F.col("y"))), max_rows, max_chars)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(y, xs, share))
     d = d.withColumn("held_out", held_out(F.col("doc_id")))
     return d.mapInArrow(_score_task(shared, threshold), "doc_id long, held_out boolean, score double, predicted int")
