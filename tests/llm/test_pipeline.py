@@ -1,0 +1,37 @@
+"""The pipeline's stages one after another, and its queries' SQL."""
+
+import corpus_pipeline
+from biasfit.llm import queries
+from biasfit.llm.common import table
+from pyspark.sql import functions as F
+
+
+def test_stages(spark):
+    docs = queries.read(spark, "/root/testdata/sf0.001", "documents")
+    cols, before = docs.columns, docs
+    names = [n for n, _ in corpus_pipeline.STAGES]
+    assert names == ["quality_rules", "line_dedup", "near_duplicates", "mix_sources", "pack_sequences"]
+    for name, stage in corpus_pipeline.STAGES:
+        after = table(stage(spark, before, ""), name)
+        if name != "pack_sequences":
+            assert after.columns == cols
+            assert after.select("doc_id").distinct().join(before, "doc_id", "left_anti").count() == 0
+        if name in ("quality_rules", "near_duplicates"):
+            assert 0 < after.count() <= before.count()
+        if name == "line_dedup":
+            assert after.count() == before.count()
+        mixed, before = before, after
+    assert after.select("doc_id").distinct().count() == mixed.select("doc_id").distinct().count()
+    assert after.agg(F.sum("length")).first()[0] > 0
+
+
+def test_run_on_an_empty_table(spark, tmp_path):
+    docs = queries.read(spark, "/root/testdata/sf0.001", "documents").limit(0)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_every_query_is_named():
+    found = [n for n in queries.QUERIES if n.startswith("op")]
+    assert [int(n[2:].split("_")[0]) for n in found] == list(range(1, 11))
+    assert set(queries.ORACLE) <= set(queries.QUERIES)
