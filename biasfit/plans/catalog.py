@@ -8,6 +8,7 @@ the DuckDB twins live in ``plans.oracle``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,8 +18,9 @@ from biasfit.functions.flags import add_flags
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.diagnostics import boxplot_stats, null_cells, null_cells_by_column, preview, row_counts
 from biasfit.operators.sampling import STRATUM, assign_holdout_roles, exact_stratified_sample
+from biasfit.plans import edge_cases
 from biasfit.plans.analysis import PipelineConfig, RatingsPipeline
-from biasfit.session import scratch_path
+from biasfit.session import materialize, scratch_path
 from biasfit.sources.testdata import KEY_COLS, TIE_COLS, TestdataViews
 from biasfit.sources.text import read_items_text, read_ratings_text, write_items_text, write_ratings_text
 
@@ -90,10 +92,10 @@ def q_null_cells_by_column(spark, sf_dir):
 
 
 def _split1(spark, sf_dir, info: dict | None = None):
-    facts = TestdataViews(spark, sf_dir).facts()
-    # persist: the sampler's passes (and the row id that splits copy runs) read one stable copy
+    # written: the sampler's passes (and the row id that splits copy runs) read one stable copy
+    facts = materialize(TestdataViews(spark, sf_dir).facts(), "table", "facts")
     return exact_stratified_sample(facts, "rating", S.HOLDOUT_FRACTION, "1", KEY_COLS, TIE_COLS,
-                                   flag="sampled", keep_stratum=True, persist=True, info=info)
+                                   flag="sampled", keep_stratum=True, info=info)
 
 
 def q_rating_strata(spark, sf_dir):
@@ -114,11 +116,11 @@ def q_stratified_holdout(spark, sf_dir):
 
 def _holdout(spark, sf_dir):
     s = _split1(spark, sf_dir).drop(STRATUM)
-    return assign_holdout_roles(s, "sampled", orphan="return", held_role="validation", rest_role="edx")
+    return assign_holdout_roles(s, "sampled", orphan="return", held_role="validation", rest_role="pool")
 
 
 def q_leak_free_train(spark, sf_dir):
-    return _holdout(spark, sf_dir).where("role = 'edx'").select(*RATING_COLS, *ROW_ID)
+    return _holdout(spark, sf_dir).where("role = 'pool'").select(*RATING_COLS, *ROW_ID)
 
 
 def q_leak_free_validation(spark, sf_dir):
@@ -200,7 +202,8 @@ def q_flag_predictions(spark, sf_dir):
 
 def q_forward_selection(spark, sf_dir):
     sel = analysis(spark, sf_dir).selection
-    rows = [(s["step"], s["flag"], round(float(s["rmse"]), 6), s["decision"], s["kept"]) for s in sel.steps]
+    rows = [(s["step"], s["flag"], None if math.isnan(s["rmse"]) else round(float(s["rmse"]), 6), s["decision"], s["kept"])
+            for s in sel.steps]
     return spark.createDataFrame(rows, "step INT, flag STRING, rmse DOUBLE, decision STRING, kept STRING")
 
 
@@ -268,4 +271,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_ledger": q_model_ledger,
     "read_ratings_text": q_read_ratings_text,
     "read_movies_text": q_read_movies_text,
+    **edge_cases.QUERIES,
 }

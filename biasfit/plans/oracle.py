@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 
 from biasfit import schemas as S
+from biasfit.plans import edge_cases
 
 FLAGS = list(S.TESTDATA_FLAGS.items())
 P = repr(float(S.HOLDOUT_FRACTION))
@@ -19,7 +20,6 @@ PROBS = "[0.0, 0.25, 0.5, 0.75, 1.0]"
 TIE = ("l_orderkey, l_linenumber, movieId, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
        "l_returnflag, l_linestatus, timestamp")
 KEY = ", ".join(f"CAST({c} AS VARCHAR)" for c in ("l_orderkey", "l_linenumber", "movieId", "l_suppkey"))
-TOL = "1e-12"
 SCREEN = f"CAST({float(S.SCREEN_LAMBDA)!r} AS DOUBLE)"
 B0, B1, BSTEP = S.BIAS_LAMBDA_GRID
 F0, F1, FSTEP = S.FLAG_LAMBDA_GRID
@@ -81,12 +81,12 @@ def _ctes() -> list[tuple[str, str]]:
     c += [
         ("rest1", "SELECT * EXCLUDE (sampled, stratum) FROM samp1 WHERE NOT sampled"),
         ("hold1", "SELECT * EXCLUDE (sampled, stratum) FROM samp1 WHERE sampled"),
-        ("role1", f"""SELECT *, 'edx' AS role1 FROM rest1
+        ("role1", f"""SELECT *, 'pool' AS role1 FROM rest1
             UNION ALL
-            SELECT h.*, CASE WHEN {_known('h', 'rest1')} THEN 'validation' ELSE 'edx' END FROM hold1 h"""),
-        ("edx", "SELECT * EXCLUDE (role1) FROM role1 WHERE role1 = 'edx'"),
+            SELECT h.*, CASE WHEN {_known('h', 'rest1')} THEN 'validation' ELSE 'pool' END FROM hold1 h"""),
+        ("pool", "SELECT * EXCLUDE (role1) FROM role1 WHERE role1 = 'pool'"),
     ]
-    c += _sample("2", "edx", "2")
+    c += _sample("2", "pool", "2")
     c += [
         ("rest2", "SELECT * EXCLUDE (sampled, stratum) FROM samp2 WHERE NOT sampled"),
         ("hold2", "SELECT * EXCLUDE (sampled, stratum) FROM samp2 WHERE sampled"),
@@ -139,8 +139,8 @@ def _ctes() -> list[tuple[str, str]]:
         c += [
             (f"c{i + 1}a", f"""SELECT p.*, (SELECT sqrt(avg(power(xs.e - ({kept}) - xs.x{i}, 2))) FROM xs) AS cand{i}
                 FROM c{i} p"""),
-            (f"c{i + 1}", f"""SELECT *, cand{i} < best{i} - {TOL} AS inc{i},
-                CASE WHEN cand{i} < best{i} - {TOL} THEN cand{i} ELSE best{i} END AS best{i + 1} FROM c{i + 1}a"""),
+            (f"c{i + 1}", f"""SELECT *, cand{i} < best{i} AS inc{i},
+                CASE WHEN cand{i} < best{i} THEN cand{i} ELSE best{i} END AS best{i + 1} FROM c{i + 1}a"""),
         ]
     last = f"c{len(FLAGS)}"
     sel_terms = " + ".join(
@@ -203,7 +203,7 @@ def oracle_sql() -> dict[str, str]:
     q["stratified_holdout"] = _with(
         f"SELECT {RATING_COLS}, l_orderkey, l_linenumber FROM samp1 WHERE sampled", "samp1")
     q["leak_free_train"] = _with(
-        f"SELECT {RATING_COLS}, l_orderkey, l_linenumber FROM role1 WHERE role1 = 'edx'", "role1")
+        f"SELECT {RATING_COLS}, l_orderkey, l_linenumber FROM role1 WHERE role1 = 'pool'", "role1")
     q["leak_free_validation"] = _with(
         f"SELECT {RATING_COLS}, l_orderkey, l_linenumber FROM role1 WHERE role1 = 'validation'", "role1")
     q["train_test_split"] = _with(
@@ -265,8 +265,8 @@ def oracle_sql() -> dict[str, str]:
             round(CASE WHEN count(*) = count(pred) AND count(*) > 0 THEN sqrt(avg(power(rating - pred, 2))) END, 6),
             CAST(NULL AS DOUBLE), 'final' FROM ({_scored('validation', 'fb.lf')})"""]
     q["model_ledger"] = _with(" UNION ALL ".join(ledger), "kept")
-    q["read_ratings_text"] = _with(f"""SELECT CAST(userId AS INTEGER) AS userId, CAST(movieId AS INTEGER) AS movieId,
+    q["read_ratings_text"] = _with(f"""SELECT CAST(userId AS BIGINT) AS userId, CAST(movieId AS BIGINT) AS movieId,
             rating, timestamp FROM ratings""", "ratings")
     q["read_movies_text"] = _with(
-        "SELECT CAST(movieId AS INTEGER) AS movieId, title, genres FROM items", "items")
-    return q
+        "SELECT CAST(movieId AS BIGINT) AS movieId, title, genres FROM items", "items")
+    return q | edge_cases.oracle_sql(_with)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 RATINGS_SCHEMA = T.StructType([
-    T.StructField("userId", T.IntegerType(), True),
-    T.StructField("movieId", T.IntegerType(), True),
+    T.StructField("userId", T.LongType(), True),
+    T.StructField("movieId", T.LongType(), True),
     T.StructField("rating", T.DoubleType(), True),
     T.StructField("timestamp", T.LongType(), True),
 ])
 
 ITEMS_SCHEMA = T.StructType([
-    T.StructField("movieId", T.IntegerType(), True),
+    T.StructField("movieId", T.LongType(), True),
     T.StructField("title", T.StringType(), True),
     T.StructField("genres", T.StringType(), True),
 ])

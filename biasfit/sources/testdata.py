@@ -56,15 +56,17 @@ class TestdataViews:
 
     def items(self) -> DataFrame:
         """``movieId, title, genres`` (the item dimension)."""
-        p = self.table("part")
-        return p.select(
-            F.col("p_partkey").alias("movieId"),
+        return self._parts().drop("p_type")
+
+    def _parts(self) -> DataFrame:
+        return self.table("part").select(
+            F.col("p_partkey").alias("movieId"), "p_type",
             F.col("p_name").alias("title"),
             F.concat_ws("|", F.col("p_type"), F.regexp_replace(F.col("p_name"), " ", "|")).alias("genres"),
         )
 
-    def ratings(self, with_identity: bool = True) -> DataFrame:
-        """``userId, movieId, rating, timestamp`` (+ identity columns)."""
+    def ratings(self, with_identity: bool = True, item_cols: tuple[str, ...] = ()) -> DataFrame:
+        """``userId, movieId, rating, timestamp`` (+ identity and item columns)."""
         li = self.table("lineitem").select(
             "l_orderkey", "l_linenumber", F.col("l_partkey").alias("movieId"), "l_suppkey",
             "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
@@ -73,18 +75,19 @@ class TestdataViews:
                                              F.col("o_custkey").alias("userId"))
         # Two large tables on a unique, unskewed key: a plain shuffle join.
         r = li.join(orders, "l_orderkey", "inner")
+        # one join with the item table gives the rating's input and, if wanted, the item columns
+        items = self._parts()
+        if self.planted or item_cols:
+            r = keyed_join(r, items.select("movieId", "p_type", *item_cols), "movieId", "left", policy=self.policy)
         if self.planted:
-            ptype = self.table("part").select(F.col("p_partkey").alias("movieId"), "p_type")
-            r = keyed_join(r, ptype, "movieId", "left", policy=self.policy)
             rating = planted_rating(F.col("l_quantity"), F.col("movieId"), F.col("userId"), F.col("p_type"))
         else:
             rating = plain_rating(F.col("l_quantity"))
         cols = ["userId", "movieId", rating.alias("rating"), "timestamp"]
         if with_identity:
             cols += [c for c in TIE_COLS if c not in ("movieId", "timestamp")]
-        return r.select(*cols)
+        return r.select(*cols, *item_cols)
 
     def facts(self, with_identity: bool = True) -> DataFrame:
         """Ratings left-joined with the item dimension (title, genres)."""
-        return keyed_join(self.ratings(with_identity), self.items(), "movieId", "left",
-                          policy=self.policy)
+        return self.ratings(with_identity, ("title", "genres"))
