@@ -7,6 +7,10 @@
           sum(e | u, f = v) / (count(u, f = v) + lambda), 0 when the user has no such rows
     prediction term of flag f: (2 f - 1) * (up - down) / 2
 
+A NULL in any row of a group makes the group's sum, and what follows from it,
+NULL; a NULL key is a key like any other (it matches NULL).  A NULL rating in
+train makes mu, and so every prediction, NULL.
+
 Counts are row counts (``count(1)``).  Every statistics table keeps its row
 count so joins back to the fact side can salt hot keys (operators/joins.py).
 """
@@ -30,10 +34,16 @@ def global_mean(train: DataFrame, rating: str = RATING) -> tuple[float | None, i
     return mu, r["n"]
 
 
+def strict_sum_sql(expr: str) -> str:
+    """Sum that is NULL if any row's value is NULL or NaN, in one aggregate: a
+    missing value goes in as NaN, which no sum leaves."""
+    return f"nullif(sum(coalesce({expr}, double('NaN'))), double('NaN'))"
+
+
 def item_stats(train: DataFrame, mu: float, item: str = ITEM, rating: str = RATING) -> DataFrame:
     """``item, s_i = sum(r - mu), n_i`` (partial + final hash aggregate)."""
     return train.groupBy(item).agg(
-        F.sum(F.col(rating) - F.lit(mu)).alias("s_i"),
+        F.expr(strict_sum_sql(f"`{rating}` - {dlit(mu)}")).alias("s_i"),
         F.count(F.lit(1)).alias("n_i"))
 
 
@@ -54,9 +64,9 @@ def fit_bias(train: DataFrame, lam: float, mu: float | None = None, *,
     st = items_stats if items_stats is not None else item_stats(train, mu)
     items = st.select(ITEM, (F.col("s_i") / (F.col("n_i") + F.lit(float(lam)))).alias("b_i"), "n_i")
     j = keyed_join(train.select(USER, ITEM, RATING), items, ITEM, "left", count_col="n_i", total=total,
-                   policy=policy)
+                   null_safe=True, policy=policy)
     users = j.groupBy(USER).agg(
-        (F.sum(F.col(RATING) - F.col("b_i") - F.lit(mu)) / (F.count(F.lit(1)) + F.lit(float(lam)))).alias("b_u"),
+        (F.expr(strict_sum_sql(f"`{RATING}` - b_i - {dlit(mu)}")) / (F.count(F.lit(1)) + F.lit(float(lam)))).alias("b_u"),
         F.count(F.lit(1)).alias("m_u"))
     return BiasModel(mu, lam, items, users)
 
@@ -67,9 +77,9 @@ def attach_bias(df: DataFrame, model: BiasModel, policy: JoinPolicy = DEFAULT_PO
 
     Hot keys are judged by their *training* counts; ``total`` bounds them."""
     out = keyed_join(df, model.items.select(ITEM, "b_i", "n_i"), ITEM, "left", count_col="n_i", total=total,
-                     policy=policy)
+                     null_safe=True, policy=policy)
     out = keyed_join(out.drop("n_i"), model.users.select(USER, "b_u", "m_u"), USER, "left",
-                     count_col="m_u", total=total, policy=policy)
+                     count_col="m_u", total=total, null_safe=True, policy=policy)
     return out.drop("m_u")
 
 
@@ -90,9 +100,9 @@ def residuals(df: DataFrame, model: BiasModel, policy: JoinPolicy = DEFAULT_POLI
 # The wide builders below emit SQL expression text: one parse per output
 # column instead of one JVM round-trip per operator (hundreds of columns).
 
-def dlit(x: float) -> str:
+def dlit(x: float | None) -> str:
     """A DOUBLE literal in Spark SQL text."""
-    return f"({float(x)!r}D)"
+    return "CAST(NULL AS DOUBLE)" if x is None else f"({float(x)!r}D)"
 
 
 def shrunk_sql(total: str, n: str, lam: float | str) -> str:
@@ -123,7 +133,8 @@ def flag_stat_columns(flags: Sequence[str], resid: str = "resid") -> list[Column
     cols = []
     for f in flags:
         for lvl in (1, 0):
-            cols += [F.expr(f"sum(CASE WHEN `{f}` = {lvl} THEN `{resid}` END)").alias(f"{f}__s{lvl}"),
+            # strict: a missing residual counts as NaN; rows of the other level add nothing
+            cols += [F.expr(f"nullif(sum(CASE WHEN `{f}` = {lvl} THEN coalesce(`{resid}`, double('NaN')) END), double('NaN'))").alias(f"{f}__s{lvl}"),
                      F.expr(f"count(CASE WHEN `{f}` = {lvl} THEN 1 END)").alias(f"{f}__n{lvl}")]
     return cols
 
@@ -154,6 +165,6 @@ def predict_flags(df_with_bias: DataFrame, mu: float, effects: DataFrame, flags:
     """``mu + b_i + b_u + sum(flag terms)`` with one join to the wide user table."""
     cols = [USER, "m_u"] + [c for f in flags for c in (f"{f}_down", f"{f}_up")]
     j = keyed_join(df_with_bias, effects.select(*cols), USER, "left", count_col="m_u", total=total,
-                   policy=policy).drop("m_u")
+                   null_safe=True, policy=policy).drop("m_u")
     p = " + ".join([f"{dlit(mu)} + b_i + b_u"] + [flag_term_sql(f) for f in flags])
     return j.withColumn(pred, F.expr(p))

@@ -50,7 +50,7 @@ def _prep(df: DataFrame, key: str, group_cols: Sequence[str]) -> tuple[DataFrame
     if not groups:
         df = df.withColumn(_G0, F.lit(0))
         groups = [_G0]
-    return df.where(F.col(key).isNotNull()), groups
+    return df.where(F.col(key).isNotNull() & ~F.isnan(F.col(key).cast("double"))), groups
 
 
 def group_extents(df: DataFrame, key: str, group_cols: Sequence[str], max_groups: int = 100_000):
@@ -73,12 +73,16 @@ def _ranges_frame(d: DataFrame, groups: list[str], rows: list[tuple], extra: Seq
 
 
 def _refine(d: DataFrame, key: str, groups: list[str], searches: list[_Search],
-            bins: int, final_rows: int, max_levels: int, settle_equal: bool) -> None:
-    """Narrow every search until it is small (or resolved when ``settle_equal``)."""
-    for _ in range(max_levels):
+            bins: int, final_rows: int, settle_equal: bool) -> None:
+    """Narrow every search until it is small (or resolved when ``settle_equal``).
+
+    A range shrinks at every level (its least value is in the first bucket and
+    its largest in the last), so this ends however the values are spread.
+    """
+    while True:
         open_ = [s for s in searches if not s.done and s.cnt > final_rows and s.hi > s.lo]
         if not open_:
-            return
+            break
         # searches sharing a range share one histogram
         rid_of: dict[tuple, int] = {}
         for s in open_:
@@ -159,7 +163,7 @@ def type7_ranks(n: int, p: float) -> tuple[int, int, float]:
 
 def exact_percentiles(df: DataFrame, key: str, probs: Sequence[float],
                       group_cols: Sequence[str] = (), *, bins: int = 4096,
-                      final_rows: int = 10_000, max_levels: int = 8) -> dict[tuple, list[float | None]]:
+                      final_rows: int = 10_000) -> dict[tuple, list[float | None]]:
     """Type-7 quantiles of ``key`` (DOUBLE) per group: ``{group: [q(p) for p]}``.
 
     Groups with no non-null value are absent.  For no grouping the single
@@ -170,7 +174,7 @@ def exact_percentiles(df: DataFrame, key: str, probs: Sequence[float],
     plan = {g: [type7_ranks(ext[0], p) for p in probs] for g, ext in extents.items()}
     ranks = {g: [r for lo, hi, _w in pl for r in (lo, hi)] for g, pl in plan.items()}
     searches = _make_searches(extents, ranks)
-    _refine(d, key, groups, searches, bins, final_rows, max_levels, settle_equal=True)
+    _refine(d, key, groups, searches, bins, final_rows, settle_equal=True)
     pending = [s for s in searches if not s.done]
     if pending:
         for r in _final_rows(d, key, groups, pending, ()).collect():
@@ -189,7 +193,7 @@ def exact_percentiles(df: DataFrame, key: str, probs: Sequence[float],
 
 def kth_rows(df: DataFrame, key: str, tie_cols: Sequence[str], group_cols: Sequence[str],
              ranks: Mapping[tuple, int], extents: Mapping[tuple, tuple] | None = None, *,
-             bins: int = 4096, final_rows: int = 100_000, max_levels: int = 8) -> DataFrame:
+             bins: int = 4096, final_rows: int = 100_000) -> DataFrame:
     """The row at 0-based ``rank`` of each group in the order ``(key, *tie_cols)``.
 
     Returns ``groups..., key, tie_cols..., _take, _copies`` with one row per
@@ -199,12 +203,7 @@ def kth_rows(df: DataFrame, key: str, tie_cols: Sequence[str], group_cols: Seque
     d, groups = _prep(df, key, group_cols)
     extents = extents if extents is not None else group_extents(df, key, group_cols)
     searches = _make_searches(extents, {g: [r] for g, r in ranks.items()})
-    _refine(d, key, groups, searches, bins, final_rows, max_levels, settle_equal=False)
+    _refine(d, key, groups, searches, bins, final_rows, settle_equal=False)
     out = _final_rows(d, key, groups, searches, tie_cols).drop("_sid")
     return out.drop(_G0) if not group_cols else out
 
-
-def kth_rows_plain(df: DataFrame, key: str, group_cols: Sequence[str], ranks: Mapping[tuple, int],
-                   extents: Mapping[tuple, tuple] | None = None, **kw) -> DataFrame:
-    """:func:`kth_rows` without the copy columns (unique keys)."""
-    return kth_rows(df, key, (), group_cols, ranks, extents, **kw).drop("_take", "_copies")

@@ -44,7 +44,7 @@ def quantile_probs(groups: int) -> list[float]:
 def frequency_table(df: DataFrame, target: str, max_distinct: int) -> list[tuple[float, int]] | None:
     """Sorted ``(value, count)`` of a discrete column, or None when it has more
     than ``max_distinct`` distinct values (one partial-aggregated job)."""
-    rows = (df.where(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("_n"))
+    rows = (df.where(F.col(target).isNotNull() & ~F.isnan(F.col(target).cast("double"))).groupBy(target).agg(F.count(F.lit(1)).alias("_n"))
             .limit(max_distinct + 1).collect())
     if len(rows) > max_distinct:
         return None
@@ -93,13 +93,13 @@ def _stratum_of(v: float, breaks: Sequence[float]) -> int:
 def stratum_column(target: str | Column, breaks: Sequence[float]) -> Column:
     """1-based stratum of right-closed intervals, lowest value included.
 
-    NULL target -> NULL stratum (never sampled).
+    NULL or NaN target -> NULL stratum (never sampled).
     """
     t = F.col(target) if isinstance(target, str) else target
     s = F.lit(1)
     for b in breaks[1:-1]:
         s = s + (t > F.lit(float(b))).cast("int")
-    return F.when(t.isNotNull(), s)
+    return F.when(t.isNotNull() & ~F.isnan(t.cast("double")), s)
 
 
 def _small_frame(df: DataFrame, max_rows: int) -> DataFrame:

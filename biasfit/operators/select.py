@@ -22,16 +22,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from biasfit.operators.effects import dlit, flag_term_sql
 
-# Strictly-lower with a tolerance for summation-order noise.
-TOL = 1e-12
-
-
 @dataclass
 class Selection:
     base_rmse: float
     steps: list[dict] = field(default_factory=list)   # step, flag, rmse, decision, kept
     kept: list[str] = field(default_factory=list)
     n: int = 0
+    direct_rmse: float | None = None     # of the kept set, scored row by row
 
 
 # Sums per aggregate: stays under spark.sql.codegen.maxFields (100), so the
@@ -63,7 +60,10 @@ def gram_frame(scored_test: DataFrame, flags: Sequence[str], mu: float, max_sums
     aggs = []
     for j in range(width):
         branches = " ".join(f"WHEN {c} THEN {chunk[j][1]}" for c, chunk in enumerate(chunks) if j < len(chunk))
-        aggs.append(F.expr(f"sum(CASE _c {branches} END)").alias(f"_s{j}"))
+        # a row of the chunk without the product makes its sum NaN
+        mine = " ".join(f"WHEN {c} THEN true" for c, chunk in enumerate(chunks) if j < len(chunk))
+        aggs.append(F.expr(f"sum(CASE WHEN CASE _c {mine} END THEN coalesce(CASE _c {branches} END, double('NaN')) END)")
+                    .alias(f"_s{j}"))
     return t.groupBy("_c").agg(F.count(F.lit(1)).alias("n"), *aggs)
 
 
@@ -87,24 +87,25 @@ def subset_rmse(g: dict, n: int, subset: Sequence[int]) -> float:
         for b in subset[i:]:
             lo, hi = min(a, b), max(a, b)
             q += g[f"g_{lo}_{hi}"] * (1 if a == b else 2)
-    return math.sqrt(max(q, 0.0) / n)
+    return q if math.isnan(q) else math.sqrt(max(q, 0.0) / n)
 
 
-def forward_select(scored_test: DataFrame, flags: Sequence[str], mu: float, tol: float = TOL) -> Selection:
+def forward_select(scored_test: DataFrame, flags: Sequence[str], mu: float) -> Selection:
     """Screen ``flags`` in order; ``scored_test`` holds ``rating, b_i, b_u`` and,
-    per flag, the flag column and ``<flag>_up/_down`` effects."""
+    per flag, the flag column and ``<flag>_up/_down`` effects.
+
+    A flag is kept iff the RMSE strictly falls.  A set with a NULL term in any
+    row has RMSE NaN and is rejected."""
     row = gram_sums(scored_test, flags, mu)
     n = row["n"]
     if not n:
         return Selection(float("nan"))
-    if any(v is None for v in row.values()):
-        raise ValueError("NULL in Gram sums: some test row lacks a prediction term")
     kept: list[int] = []
     best = subset_rmse(row, n, [])
     sel = Selection(best, n=n)
     for i, f in enumerate(flags):
         cand = subset_rmse(row, n, kept + [i])
-        take = cand < best - tol
+        take = cand < best
         if take:
             kept.append(i)
             best = cand
@@ -114,7 +115,3 @@ def forward_select(scored_test: DataFrame, flags: Sequence[str], mu: float, tol:
     sel.kept = [flags[j] for j in kept]
     return sel
 
-
-def selection_frame(spark, sel: Selection) -> DataFrame:
-    rows = [(s["step"], s["flag"], float(s["rmse"]), s["decision"], s["kept"]) for s in sel.steps]
-    return spark.createDataFrame(rows, "step INT, flag STRING, rmse DOUBLE, decision STRING, kept STRING")

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.effects import (ITEM, RATING, USER, dlit, fit_bias, flag_term_sql,
-                                       item_stats, predict_bias)
+                                       item_stats, predict_bias, strict_sum_sql)
 from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
 
 CHUNK = 64   # sums per aggregate; stays under spark.sql.codegen.maxFields (100)
@@ -52,13 +52,13 @@ def sweep_bias(train: DataFrame, test: DataFrame, grid: Sequence[float], mu: flo
     m = dlit(mu)
     for g in _chunks(list(grid), chunk):
         j = keyed_join(train.select(USER, ITEM, RATING), st, ITEM, "left", count_col="n_i", total=total,
-                       policy=policy)
+                       null_safe=True, policy=policy)
         users = j.groupBy(USER).agg(
             F.count(F.lit(1)).alias("m_u"),
-            *[F.expr(f"sum((rating - {m}) - s_i / (n_i + {dlit(l)}))").alias(f"_u{k}") for k, l in enumerate(g)])
+            *[F.expr(strict_sum_sql(f"(rating - {m}) - s_i / (n_i + {dlit(l)})")).alias(f"_u{k}") for k, l in enumerate(g)])
         t = keyed_join(test.select(USER, ITEM, RATING), st, ITEM, "left", count_col="n_i", total=total,
-                       policy=policy)
-        t = keyed_join(t, users, USER, "left", count_col="m_u", total=total, policy=policy)
+                       null_safe=True, policy=policy)
+        t = keyed_join(t, users, USER, "left", count_col="m_u", total=total, null_safe=True, policy=policy)
         preds = [f"({m} + s_i / (n_i + {dlit(l)}) + _u{k} / (m_u + {dlit(l)}))" for k, l in enumerate(g)]
         parts.append(_score(t, g, preds))
     out = parts[0]
@@ -102,7 +102,8 @@ def sweep_flags(scored_test: DataFrame, stats: DataFrame, flags: Sequence[str],
     ``effects.user_flag_stats`` (frozen biases, one table for all lambdas).
     """
     cols = [USER, "m_u"] + [f"{f}__{x}" for f in flags for x in ("s1", "n1", "s0", "n0")]
-    t = keyed_join(scored_test, stats.select(*cols), USER, "left", count_col="m_u", total=total, policy=policy)
+    t = keyed_join(scored_test, stats.select(*cols), USER, "left", count_col="m_u", total=total,
+                   null_safe=True, policy=policy)
     parts = []
     for g in _chunks(list(grid), chunk):
         preds = ["(" + " + ".join([f"{dlit(mu)} + b_i + b_u"] + [flag_term_sql(f, l) for f in flags]) + ")"

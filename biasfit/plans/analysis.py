@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from biasfit import schemas as S
 from biasfit.functions.flags import add_flags
 from biasfit.functions.metrics import rmse_columns
-from biasfit.operators.effects import (USER, ITEM, attach_bias, fit_bias, global_mean, item_stats,
+from biasfit.operators.effects import (USER, ITEM, attach_bias, dlit, fit_bias, flag_term_sql, global_mean, item_stats,
                                        predict_bias, predict_flags, residuals, user_flag_effects,
                                        user_flag_stats)
 from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
@@ -71,13 +71,12 @@ class RatingsPipeline:
     def flagged(self) -> DataFrame:
         """Facts + flags, kept in executor memory/disk for the sampling jobs.
 
-        Inputs with fewer splits than task slots (a small single-row-group
-        file) are spread over all slots first; on large inputs, which have
-        far more splits than slots, nothing is shuffled here.
+        Inputs with fewer files than task slots are spread over all slots
+        first; on large inputs, which have far more, nothing is shuffled here.
         """
         df = add_flags(self.facts, self.cfg.flags)
         slots = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < slots:
+        if len(df.inputFiles()) < slots:      # planning only, no job
             df = df.repartition(slots)
         return df.persist(StorageLevel.MEMORY_AND_DISK)
 
@@ -93,18 +92,18 @@ class RatingsPipeline:
                                      groups=c.groups, flag="_s1", info=info, persist=True)
         self.flagged.unpersist()          # the sampler's work table holds the rows now
         n = info["n"]   # bounds every later fact side: enables hot-key salting
-        r1 = assign_holdout_roles(s1, "_s1", orphan="return", held_role="validation", rest_role="edx",
+        r1 = assign_holdout_roles(s1, "_s1", orphan="return", held_role="validation", rest_role="pool",
                                   role="_role1", total=n, policy=c.policy)
         r1 = materialize(r1.drop("_s1"), c.holdout_materialize, "holdout")
         info["work"].unpersist()
         info2: dict = {}
         s2 = exact_stratified_sample(r1, "rating", c.p, c.seeds[1], c.key_cols, c.tie_cols,
-                                     groups=c.groups, flag="_s2", eligible=F.col("_role1") == "edx",
+                                     groups=c.groups, flag="_s2", eligible=F.col("_role1") == "pool",
                                      info=info2, persist=True)
         if c.holdout_materialize == "persist":
             r1.unpersist()
-        edx = s2.where(F.col("_role1") == "edx")
-        roles = assign_holdout_roles(edx, "_s2", orphan="drop", held_role="test", rest_role="train",
+        pool = s2.where(F.col("_role1") == "pool")
+        roles = assign_holdout_roles(pool, "_s2", orphan="drop", held_role="test", rest_role="train",
                                      role="role", total=n, policy=c.policy)
         val = s2.where(F.col("_role1") == "validation").withColumn("role", F.lit("validation"))
         out = roles.unionByName(val).drop("_s2", "_role1")
@@ -164,6 +163,8 @@ class RatingsPipeline:
     @cached_property
     def best_bias(self) -> tuple[float, float]:
         r = best_lambda(self.bias_sweep).first()
+        if r["lambda"] is None:
+            raise ValueError("no lambda has an RMSE: a rating is NULL or a test row has no prediction")
         return float(r["lambda"]), r["rmse"]
 
     @cached_property
@@ -186,7 +187,8 @@ class RatingsPipeline:
 
     @cached_property
     def train_residuals(self) -> DataFrame:
-        return residuals(self.train, self.bias_model, self.cfg.policy, self.n_train)
+        """Written once: the flag sums and the box plots read it many times."""
+        return materialize(residuals(self.train, self.bias_model, self.cfg.policy, self.n_train), "table", "residuals")
 
     # ---------------------------------------------------------------- flags
     @cached_property
@@ -206,8 +208,15 @@ class RatingsPipeline:
         eff = self.flag_effects(self.cfg.screen_lambda, flags)
         cols = [USER, "m_u"] + [c for f in flags for c in (f"{f}_down", f"{f}_up")]
         t = keyed_join(self.test_scored, eff.select(*cols), USER, "left", count_col="m_u",
-                       total=self.n_train, policy=self.cfg.policy)
-        return forward_select(t, flags, self.mu)
+                       total=self.n_train, null_safe=True, policy=self.cfg.policy)
+        sel = forward_select(t, flags, self.mu)
+        # the chosen set, scored directly on the same rows
+        flag_sum = " + ".join([f"{dlit(self.mu)} + b_i + b_u"] + [flag_term_sql(f) for f in sel.kept])
+        sel.direct_rmse = t.withColumn("pred", F.expr(flag_sum)).agg(*rmse_columns()).first()["rmse"]
+        best = next((s["rmse"] for s in reversed(sel.steps) if s["decision"] == "include"), sel.base_rmse)
+        if sel.direct_rmse is not None and abs(sel.direct_rmse - best) > 1e-9 * max(1.0, best):
+            raise AssertionError(f"selection: RMSE {best} from the sums, {sel.direct_rmse} scored directly")
+        return sel
 
     @cached_property
     def flag_sweep(self) -> DataFrame:
@@ -217,6 +226,8 @@ class RatingsPipeline:
     @cached_property
     def best_flag(self) -> tuple[float, float]:
         r = best_lambda(self.flag_sweep).first()
+        if r["lambda"] is None:
+            raise ValueError("no lambda has an RMSE: a test row lacks a flag or a prediction")
         return float(r["lambda"]), r["rmse"]
 
     # ---------------------------------------------------------------- final

@@ -69,8 +69,8 @@ def test_single_value_target_is_one_stratum(spark):
 
 def test_holdout_properties(ratings):
     s = exact_stratified_sample(ratings, "rating", 0.1, "1", KEY_COLS, TIE_COLS)
-    r = assign_holdout_roles(s, "sampled", orphan="return", held_role="validation", rest_role="edx")
-    train, held = r.where("role = 'edx'"), r.where("role = 'validation'")
+    r = assign_holdout_roles(s, "sampled", orphan="return", held_role="validation", rest_role="pool")
+    train, held = r.where("role = 'pool'"), r.where("role = 'validation'")
     # multiset: train + held = input
     assert r.drop("role", "sampled").exceptAll(ratings).count() == 0
     assert r.count() == ratings.count()
@@ -100,10 +100,10 @@ def test_literal_composition_equals_roles(spark):
     rest, temp = df.where("NOT sampled"), df.where("sampled")
     validation = semi_join_keys(temp, rest)
     removed = anti_join_all(temp, validation)
-    edx = rest.unionByName(removed)
+    pool = rest.unionByName(removed)
     roles = assign_holdout_roles(df, "sampled", orphan="return")
-    assert edx.exceptAll(roles.where("role = 'rest'").drop("role")).count() == 0
-    assert roles.where("role = 'rest'").drop("role").exceptAll(edx).count() == 0
+    assert pool.exceptAll(roles.where("role = 'rest'").drop("role")).count() == 0
+    assert roles.where("role = 'rest'").drop("role").exceptAll(pool).count() == 0
     assert validation.exceptAll(roles.where("role = 'held'").drop("role")).count() == 0
 
 
