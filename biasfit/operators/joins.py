@@ -12,12 +12,14 @@ Every join here goes through :func:`keyed_join`:
    ``total`` of the fact rows is known, hot keys are *salted*.  A key is hot
    when it holds at least ``threshold = max(rows_per_bucket,
    total / max_hot_keys)`` rows; its fact rows are spread over
-   ``ceil(n_key / rows_per_bucket)`` salts (at most ``max_buckets``) and its
+   ``ceil(n_key / rows_per_bucket)`` salts and its
    right-side row is replicated once per salt.  Hot counts sum to at most
    ``total``, so at most ``max_hot_keys`` keys are hot: the hot-key list
    broadcast to mark fact rows has a proven size bound.  A key with a third
    of all rows is thus split into thousands of tasks instead of one; data
    too small to have a hot key skips salting entirely.
+   The salt is a hash of the whole row, so only identical rows stay together:
+   a salt by row number would not survive a recomputed task.
 3. AQE's skew-join split stays on as a further safety net.
 """
 
@@ -33,7 +35,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 class JoinPolicy:
     rows_per_bucket: int = 2_000_000
     max_hot_keys: int = 100_000
-    max_buckets: int = 65_536
 
     def threshold(self, total: int) -> int:
         return max(self.rows_per_bucket, math.ceil(total / self.max_hot_keys))
@@ -68,36 +69,43 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
     return out.drop(*ren.values(), *[r[e] for e in extra])
 
 
+def key_counts(df: DataFrame, key: str) -> DataFrame:
+    """Distinct keys of ``df`` with their row counts (partial-aggregated)."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+
+
 def keyed_join(left: DataFrame, right: DataFrame, keys: str | list[str], how: str = "left", *,
                count_col: str | None = None, total: int | None = None, null_safe: bool = False,
-               salt_cols: list[str] | None = None,
+               counts: DataFrame | None = None,
                policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
     """Join ``left`` to ``right`` (unique on ``keys``); runs no Spark job itself.
 
     ``count_col`` names a right-side column with the number of left-side rows
     expected per key and ``total`` an upper bound of their sum; together they
-    enable hot-key salting.  ``count_col`` stays in the output unless the join
-    is a semi/anti join.
+    enable hot-key salting.  ``counts`` is a narrow table of ``keys`` and
+    ``count_col`` to list the hot keys from, for a ``right`` that is costly to
+    compute twice.  ``count_col`` stays in the output unless the join is a
+    semi/anti join.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not count_col or not total or total < policy.threshold(total):
         return _join(left, right, keys, how, null_safe)
     return _salted_join(left, right, keys, how, count_col, policy.threshold(total), null_safe,
-                        salt_cols or left.columns, policy)
+                        right if counts is None else counts, policy)
 
 
 def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
                  count_col: str, threshold: int, null_safe: bool,
-                 salt_cols: list[str], policy: JoinPolicy) -> DataFrame:
+                 counts: DataFrame, policy: JoinPolicy) -> DataFrame:
     n = F.col(count_col)
-    salts = F.least(F.lit(policy.max_buckets), F.ceil(n / F.lit(policy.rows_per_bucket))).cast("int")
+    salts = F.ceil(n / F.lit(policy.rows_per_bucket)).cast("int")
     is_hot = n >= threshold
     # at most max_hot_keys rows by construction: safe to broadcast
-    hot_keys = right.filter(is_hot).select(*keys, salts.alias(_HOT))
+    hot_keys = counts.filter(is_hot).select(*keys, salts.alias(_HOT))
     marked = _join(left, F.broadcast(hot_keys), keys, "left", null_safe)
     salted_left = marked.withColumn(
         _SALT,
-        F.when(F.col(_HOT).isNotNull(), F.pmod(F.xxhash64(*salt_cols), F.col(_HOT))).otherwise(F.lit(0)).cast("int"),
+        F.when(F.col(_HOT).isNotNull(), F.pmod(F.xxhash64(*left.columns), F.col(_HOT))).otherwise(F.lit(0)).cast("int"),
     ).drop(_HOT)
     salted_right = right.withColumn(
         _SALT,

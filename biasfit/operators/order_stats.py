@@ -27,7 +27,9 @@ import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 _G0 = "_grp0"
 
@@ -69,7 +71,11 @@ def _ranges_frame(d: DataFrame, groups: list[str], rows: list[tuple], extra: Seq
     fields += [T.StructField(g, d.schema[g].dataType, True) for g in groups]
     fields += [T.StructField("_lo", T.DoubleType(), False), T.StructField("_hi", T.DoubleType(), False)]
     fields += [T.StructField(n, t, False) for n, t in extra]
-    return d.sparkSession.createDataFrame(rows, T.StructType(fields))
+    schema = T.StructType(fields)
+    names = [f.name for f in fields]
+    # by way of Arrow a small table is part of the plan, without a job of its own
+    return d.sparkSession.createDataFrame(
+        pa.Table.from_pylist([dict(zip(names, r)) for r in rows], schema=to_arrow_schema(schema)), schema)
 
 
 def _refine(d: DataFrame, key: str, groups: list[str], searches: list[_Search],
@@ -119,27 +125,30 @@ def _refine(d: DataFrame, key: str, groups: list[str], searches: list[_Search],
 
 def _final_rows(d: DataFrame, key: str, groups: list[str], searches: list[_Search],
                 tie_cols: Sequence[str]) -> DataFrame:
-    """The wanted row of every search: ``_sid, groups..., key, tie_cols..., _take, _copies``.
+    """The wanted row of every search: ``_sid, groups..., key, tie_cols..., _take, _copies, _same``.
 
     Candidates are first collapsed to distinct order values with their copy
     counts (partial aggregation), so even a value repeated on a third of all
     rows is one line here; the bounded set of distinct values is then ranked
     with a running sum of copies.  ``_copies`` is how many rows carry the
-    wanted value and ``_take`` how many of them fall at or before the rank.
+    wanted value, ``_take`` how many of them fall at or before the rank, and
+    ``_same`` how many rows share its ``key``, whatever their ties.
     """
     rows = [(s.sid, *s.group, s.lo, s.hi, s.rank) for s in searches]
     frame = _ranges_frame(d, groups, rows, extra=[("_r", T.LongType())]).withColumnRenamed("_rid", "_sid")
     x = F.col(key)
     order = [key, *[c for c in tie_cols if c not in groups and c != key]]
-    d = d.select(*groups, *order)
+    # constant bounds reach the scan, before costly tie columns are computed
+    d = d.where(x.between(min(s.lo for s in searches), max(s.hi for s in searches))).select(*groups, *order)
     vals = (d.join(F.broadcast(frame), on=groups)
             .where((x >= F.col("_lo")) & (x <= F.col("_hi")))
             .groupBy("_sid", "_r", *groups, *order).agg(F.count(F.lit(1)).alias("_copies")))
     w = Window.partitionBy("_sid").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vals = vals.withColumn("_cum", F.sum("_copies").over(w))
+    vals = vals.withColumns({"_cum": F.sum("_copies").over(w),
+                             "_same": F.sum("_copies").over(Window.partitionBy("_sid", key))})
     before = F.col("_cum") - F.col("_copies")
     return (vals.where((before <= F.col("_r")) & (F.col("_r") < F.col("_cum")))
-            .select("_sid", *groups, *order, (F.col("_r") - before + 1).alias("_take"), "_copies"))
+            .select("_sid", *groups, *order, (F.col("_r") - before + 1).alias("_take"), "_copies", "_same"))
 
 
 def _make_searches(extents: Mapping[tuple, tuple], ranks: Mapping[tuple, Sequence[int]]) -> list[_Search]:
@@ -196,9 +205,10 @@ def kth_rows(df: DataFrame, key: str, tie_cols: Sequence[str], group_cols: Seque
              bins: int = 4096, final_rows: int = 100_000) -> DataFrame:
     """The row at 0-based ``rank`` of each group in the order ``(key, *tie_cols)``.
 
-    Returns ``groups..., key, tie_cols..., _take, _copies`` with one row per
-    group in ``ranks`` (``_copies`` rows share that order value; the first
-    ``_take`` of them lie at or before the rank); a lazy plan.
+    Returns ``groups..., key, tie_cols..., _take, _copies, _same`` with one row
+    per group in ``ranks`` (``_copies`` rows share that order value, ``_same``
+    its key; the first ``_take`` of the copies lie at or before the rank); a
+    lazy plan.
     """
     d, groups = _prep(df, key, group_cols)
     extents = extents if extents is not None else group_extents(df, key, group_cols)

@@ -16,19 +16,22 @@ over a stratum, no shuffle of the rows themselves.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from biasfit.functions.hashing import hash_prefix_number, order_hash
-from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
+from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, key_counts, keyed_join
 from biasfit.operators.order_stats import exact_percentiles, kth_rows, type7_ranks
+from biasfit.session import materialize
 
 STRATUM = "_stratum"
 _H = "_h"
 _HX = "_hx"
 _U = "_u"
 _THR = "_thr"
+#: Place of a row in a written table: file and row number.
+ROW_ID = ("_file", "_row")
 
 
 # The order key's leading 52 bits are uniform on [0, 16**13 - 1], so the
@@ -102,12 +105,12 @@ def stratum_column(target: str | Column, breaks: Sequence[float]) -> Column:
     return F.when(t.isNotNull() & ~F.isnan(t.cast("double")), s)
 
 
-def _small_frame(df: DataFrame, max_rows: int) -> DataFrame:
-    """Re-create a provably small result as a local relation (cuts lineage)."""
-    rows = df.collect()   # bounded by construction; limit() would scan incrementally
-    if len(rows) > max_rows:
-        raise ValueError(f"expected at most {max_rows} rows")
-    return df.sparkSession.createDataFrame(rows, df.schema)
+def written_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once and read back, with the ``ROW_ID`` of every row.
+
+    The id stays the same however often, and by whichever executor, the table is read."""
+    return materialize(df, "table", name).select(
+        "*", F.col("_metadata.file_name").alias(ROW_ID[0]), F.col("_metadata.row_index").alias(ROW_ID[1]))
 
 
 def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
@@ -115,7 +118,8 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
                             groups: int = 5, flag: str = "sampled",
                             eligible: Column | None = None, keep_stratum: bool = False,
                             max_distinct: int = 4096, final_rows: int = 100_000,
-                            info: dict | None = None, persist: bool = False) -> DataFrame:
+                            info: dict | None = None, hash_col: str | None = None,
+                            row_id: Sequence[str] = ()) -> DataFrame:
     """Add boolean ``flag``: is the row in the exact stratified sample?
 
     ``eligible`` restricts the population (others get ``False`` and take no
@@ -125,10 +129,14 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
     stratum exceeds ``final_rows``, then the final ranking of the few
     candidates.  The returned plan itself is a filter plus a broadcast join
     with at most one row per stratum.  ``info`` (a dict) receives the
-    population size, breaks and stratum counts.  ``persist`` keeps the rows
-    with their stratum and hash columns for the passes (the hash is computed
-    once); the kept frame is returned in ``info['work']`` for unpersisting.
+    population size, breaks and stratum counts.  ``hash_col`` names a column
+    that already holds the leading digits of the order key as a number.
+    ``row_id`` names columns that tell identical copies apart
+    (:func:`written_rows`); without them copies are told apart by their place
+    in the plan, which is the same in each pass only if the input is read in
+    a fixed order.
     """
+    spark = df.sparkSession
     base = df if eligible is None else df.withColumn("_elig", eligible)
     pop = base if eligible is None else base.where(F.col("_elig"))
     breaks, freq = _breaks_and_freq(pop, target, groups, max_distinct)
@@ -137,14 +145,13 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
         stratum = F.when(F.col("_elig"), stratum)
     h = order_hash(seed, key_cols)
     d = base.withColumns({STRATUM: stratum, _H: h})
-    # _u tells identical copies apart (only used when a copy run straddles the
-    # threshold); it is stable for a persisted or deterministically read input
-    d = d.withColumns({_HX: hash_prefix_number(F.col(_H)), _U: F.monotonically_increasing_id().cast("double")})
-    if persist:
-        from pyspark import StorageLevel
-        d = d.persist(StorageLevel.MEMORY_AND_DISK)
-        if info is not None:
-            info["work"] = d
+    # _u (with the ids behind it) orders identical copies; only used when a copy run straddles the threshold
+    ids = list(row_id)
+    if not ids:
+        ids = ["_mid"]
+        d = d.withColumn("_mid", F.monotonically_increasing_id())
+    d = d.withColumns({_HX: F.col(hash_col) if hash_col else hash_prefix_number(F.col(_H)),
+                       _U: F.shiftright(F.xxhash64(*ids), 12).cast("double")})
     d_pop = d.where(F.col(STRATUM).isNotNull())
     counts: dict[int, int] = {}
     if freq is not None:
@@ -163,28 +170,34 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
             ranks[(g,)] = min(k, n) - 1
             extents[(g,)] = (n, *HASH_RANGE)
     order = [_HX, _H, *[c for c in tie_cols if c not in (_HX, _H)]]
+    out, chosen = d, F.lit(False)
     if ranks:
         thr = kth_rows(d_pop, _HX, order[1:], [STRATUM], ranks, extents, final_rows=final_rows)
-        thr = _small_frame(thr.select(STRATUM, F.struct(*order).alias(_THR), "_take", "_copies"),
-                           max_rows=len(ranks))
-        # strata whose threshold value is carried by several identical rows of
-        # which only some are taken: pick exactly that many by the row id
-        partial = {(r[STRATUM],): r["_take"] - 1 for r in thr.collect() if r["_take"] < r["_copies"]}
-        if partial:
-            at = d_pop.join(F.broadcast(thr.select(STRATUM, _THR)), STRATUM).where(F.struct(*order) == F.col(_THR))
-            ids = kth_rows(at, _U, (), [STRATUM], partial, final_rows=final_rows)
-            ids = _small_frame(ids.select(STRATUM, F.col(_U).alias("_umax")), max_rows=len(partial))
-            thr = thr.join(ids, STRATUM, "left")
+        row, place = F.struct(*order), F.struct(_U, *ids)
+        thr = thr.select(STRATUM, row.alias(_THR), "_take", "_copies", "_same")
+        cuts = thr.collect()     # one row per stratum
+        if all(r["_take"] == r["_same"] for r in cuts):
+            # no row beyond the cut shares its number: two narrow columns decide, without a join
+            for r in cuts:
+                chosen = chosen | ((F.col(STRATUM) == r[STRATUM]) & (F.col(_HX) <= F.lit(float(r[_THR][_HX]))))
+            chosen = F.coalesce(chosen, F.lit(False))
         else:
-            thr = thr.withColumn("_umax", F.lit(None).cast("double"))
-        out = d.join(F.broadcast(thr), STRATUM, "left")
-        row = F.struct(*order)
-        at_thr = (row == F.col(_THR)) & (F.col("_umax").isNull() | (F.col(_U) <= F.col("_umax")))
-        chosen = F.coalesce((row < F.col(_THR)) | at_thr, F.lit(False))
-    else:
-        out, chosen = d, F.lit(False)
+            # strata whose threshold value is carried by several identical rows of
+            # which only some are taken: pick exactly that many by the row id
+            partial = {(r[STRATUM],): r["_take"] - 1 for r in cuts if r["_take"] < r["_copies"]}
+            at_thr = row == F.col(_THR)
+            thr = spark.createDataFrame(cuts, thr.schema)
+            if partial:
+                at = d_pop.join(F.broadcast(thr.select(STRATUM, _THR)), STRATUM).where(row == F.col(_THR))
+                last = kth_rows(at, _U, ids, [STRATUM], partial, final_rows=final_rows)
+                last = last.select(STRATUM, place.alias("_last"))
+                last = spark.createDataFrame(last.collect(), last.schema)
+                thr = thr.join(last, STRATUM, "left")
+                at_thr = at_thr & (F.col("_last").isNull() | (place <= F.col("_last")))
+            out = d.join(F.broadcast(thr), STRATUM, "left")
+            chosen = F.coalesce((row < F.col(_THR)) | at_thr, F.lit(False))
     out = out.withColumn(flag, chosen)
-    drop = [_H, _HX, _U, _THR, "_take", "_copies", "_umax", "_elig"] + ([] if keep_stratum else [STRATUM])
+    drop = [_H, _HX, _U, _THR, "_take", "_copies", "_same", "_last", "_mid", "_elig"] + ([] if keep_stratum else [STRATUM])
     return out.drop(*[c for c in drop if c in out.columns])
 
 
@@ -206,19 +219,17 @@ def window_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
 
 # ---------------------------------------------------------------- hold-outs
 
-def key_counts(df: DataFrame, key: str) -> DataFrame:
-    """Distinct keys of ``df`` with their row counts (partial-aggregated)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-
-
 def semi_join_keys(df: DataFrame, reference: DataFrame, keys: Sequence[str] = ("movieId", "userId"),
-                   total: int | None = None, policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
+                   total: int | None = None, policy: JoinPolicy = DEFAULT_POLICY,
+                   counts: Mapping[str, DataFrame] | None = None) -> DataFrame:
     """Rows of ``df`` whose every key occurs in ``reference`` (NULL matches NULL).
 
-    ``total`` bounds the rows of ``df`` (enables hot-key salting)."""
+    ``total`` bounds the rows of ``df`` (enables hot-key salting); ``counts``
+    holds tables of ``reference``'s keys (``key, _n``) that exist already."""
     out = df
     for k in keys:
-        out = keyed_join(out, key_counts(reference, k), k, "left_semi", count_col="_n", total=total,
+        ks = counts[k] if counts and k in counts else key_counts(reference, k)
+        out = keyed_join(out, ks, k, "left_semi", count_col="_n", total=total,
                          null_safe=True, policy=policy)
     return out
 
@@ -271,4 +282,6 @@ def assign_holdout_roles(df: DataFrame, sampled: str, *, orphan: str = "return",
     held = mark_known(df.where(s), rest, keys, total=total, policy=policy)
     orphan_role = rest_role if orphan == "return" else "dropped"
     held = held.withColumn(role, F.when(F.col("_known"), F.lit(held_role)).otherwise(F.lit(orphan_role))).drop("_known")
+    # only the sampled share is shuffled, into files of a good size when written by role
+    held = held.hint("rebalance", role)
     return rest.withColumn(role, F.lit(rest_role)).unionByName(held)

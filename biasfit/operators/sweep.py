@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.effects import (ITEM, RATING, USER, dlit, fit_bias, flag_term_sql,
                                        item_stats, predict_bias, strict_sum_sql)
-from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
+from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, key_counts, keyed_join
 
 CHUNK = 64   # sums per aggregate; stays under spark.sql.codegen.maxFields (100)
 
@@ -44,8 +44,13 @@ def _chunks(grid: Sequence[float], size: int):
 
 def sweep_bias(train: DataFrame, test: DataFrame, grid: Sequence[float], mu: float, *,
                stats: DataFrame | None = None, chunk: int = CHUNK, total: int | None = None,
-               policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
-    """``lambda, rmse`` of ``mu + b_i(l) + b_u(l)`` on ``test`` for every l."""
+               policy: JoinPolicy = DEFAULT_POLICY, user_counts: DataFrame | None = None) -> DataFrame:
+    """``lambda, rmse`` of ``mu + b_i(l) + b_u(l)`` on ``test`` for every l.
+
+    ``user_counts`` (``userId, _n``): train rows per user, the list of hot
+    users of a salted join; by default counted here in one narrow pass."""
+    if user_counts is None:
+        user_counts = key_counts(train, USER)
     st = stats if stats is not None else item_stats(train, mu)
     st = st.select(ITEM, "s_i", "n_i")
     parts = []
@@ -58,7 +63,8 @@ def sweep_bias(train: DataFrame, test: DataFrame, grid: Sequence[float], mu: flo
             *[F.expr(strict_sum_sql(f"(rating - {m}) - s_i / (n_i + {dlit(l)})")).alias(f"_u{k}") for k, l in enumerate(g)])
         t = keyed_join(test.select(USER, ITEM, RATING), st, ITEM, "left", count_col="n_i", total=total,
                        null_safe=True, policy=policy)
-        t = keyed_join(t, users, USER, "left", count_col="m_u", total=total, null_safe=True, policy=policy)
+        t = keyed_join(t, users, USER, "left", count_col="m_u", total=total, null_safe=True, policy=policy,
+                       counts=user_counts.withColumnRenamed("_n", "m_u"))
         preds = [f"({m} + s_i / (n_i + {dlit(l)}) + _u{k} / (m_u + {dlit(l)}))" for k, l in enumerate(g)]
         parts.append(_score(t, g, preds))
     out = parts[0]

@@ -2,7 +2,8 @@
 
 Stages (each computed once, on first use):
 
-    flagged     facts + one INT column per tag flag (one projection)
+    work        facts + one INT column per tag flag + the samples' order keys;
+                written once as a parquet table
     split       every row with its role: train / test / dropped / validation
                 (exact stratified hold-out with orphans returned, then an
                 exact stratified train/test split with orphans dropped);
@@ -27,12 +28,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from biasfit import schemas as S
 from biasfit.functions.flags import add_flags
+from biasfit.functions.hashing import hash_prefix_number, order_hash
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.effects import (USER, ITEM, attach_bias, dlit, fit_bias, flag_term_sql, global_mean, item_stats,
                                        predict_bias, predict_flags, residuals, user_flag_effects,
                                        user_flag_stats)
 from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
-from biasfit.operators.sampling import assign_holdout_roles, exact_stratified_sample, semi_join_keys
+from biasfit.operators.sampling import (ROW_ID, assign_holdout_roles, exact_stratified_sample, key_counts, mark_known,
+                                        semi_join_keys, written_rows)
 from biasfit.operators.select import Selection, forward_select
 from biasfit.operators.sweep import best_lambda, sweep_bias, sweep_flags
 from biasfit.session import materialize
@@ -51,8 +54,7 @@ class PipelineConfig:
     key_cols: Sequence[str] = (USER, ITEM, "timestamp")
     tie_cols: Sequence[str] = (USER, ITEM, "timestamp", "rating")
     keep_cols: Sequence[str] | None = None   # identity columns to keep after the split
-    materialize: str = "table"             # the final split: a written table
-    holdout_materialize: str = "persist"   # the intermediate hold-out marks (cuts the plan tree)
+    materialize: str = "table"             # hold-out marks and the final split: written tables
     policy: JoinPolicy = field(default_factory=lambda: DEFAULT_POLICY)
 
     @property
@@ -68,55 +70,39 @@ class RatingsPipeline:
 
     # ---------------------------------------------------------------- data
     @cached_property
-    def flagged(self) -> DataFrame:
-        """Facts + flags, kept in executor memory/disk for the sampling jobs.
-
-        Inputs with fewer files than task slots are spread over all slots
-        first; on large inputs, which have far more, nothing is shuffled here.
-        """
-        df = add_flags(self.facts, self.cfg.flags)
-        slots = self.spark.sparkContext.defaultParallelism
-        if len(df.inputFiles()) < slots:      # planning only, no job
-            df = df.repartition(slots)
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    def work(self) -> DataFrame:
+        """Facts, flags and the order keys of both samples, written once: every
+        pass of the sampler reads the two or three narrow columns it needs."""
+        c = self.cfg
+        keys = {f"_h{i}": hash_prefix_number(order_hash(s, c.key_cols)) for i, s in enumerate(c.seeds)}
+        return written_rows(add_flags(self.facts, c.flags).withColumns(keys), "facts")
 
     @cached_property
     def split(self) -> DataFrame:
-        """Each cached copy is released as soon as the next one replaces it,
-        so at most two copies of the rows are held at any time."""
+        """Only sampled rows meet the key joins; nothing is kept on executors."""
         c = self.cfg
         info: dict = {}
-        # persist=True: rows + stratum + order hash are kept for the sampler's
-        # passes and the role assignment's branches (hashed once per split)
-        s1 = exact_stratified_sample(self.flagged, "rating", c.p, c.seeds[0], c.key_cols, c.tie_cols,
-                                     groups=c.groups, flag="_s1", info=info, persist=True)
-        self.flagged.unpersist()          # the sampler's work table holds the rows now
+        s1 = exact_stratified_sample(self.work, "rating", c.p, c.seeds[0], c.key_cols, c.tie_cols, groups=c.groups,
+                                     flag="_s1", info=info, hash_col="_h0", row_id=ROW_ID)
         n = info["n"]   # bounds every later fact side: enables hot-key salting
-        r1 = assign_holdout_roles(s1, "_s1", orphan="return", held_role="validation", rest_role="pool",
-                                  role="_role1", total=n, policy=c.policy)
-        r1 = materialize(r1.drop("_s1"), c.holdout_materialize, "holdout")
-        info["work"].unpersist()
-        info2: dict = {}
-        s2 = exact_stratified_sample(r1, "rating", c.p, c.seeds[1], c.key_cols, c.tie_cols,
-                                     groups=c.groups, flag="_s2", eligible=F.col("_role1") == "pool",
-                                     info=info2, persist=True)
-        if c.holdout_materialize == "persist":
-            r1.unpersist()
-        pool = s2.where(F.col("_role1") == "pool")
-        roles = assign_holdout_roles(pool, "_s2", orphan="drop", held_role="test", rest_role="train",
-                                     role="role", total=n, policy=c.policy)
-        val = s2.where(F.col("_role1") == "validation").withColumn("role", F.lit("validation"))
-        out = roles.unionByName(val).drop("_s2", "_role1")
-        if c.keep_cols is not None:
-            out = out.select(*c.keep_cols, "role")
+        rest = s1.where(~F.col("_s1")).drop("_s1")
+        held = mark_known(s1.where("_s1").drop("_s1"), rest, total=n, policy=c.policy)
+        # about p of the rows: the second sample's passes need to know which of them go back
+        held = materialize(held.hint("rebalance"), c.materialize, "holdout")
+        pool = rest.unionByName(held.where(~F.col("_known")).drop("_known"))
+        s2 = exact_stratified_sample(pool, "rating", c.p, c.seeds[1], c.key_cols, c.tie_cols, groups=c.groups,
+                                     flag="_s2", hash_col="_h1", row_id=ROW_ID)
+        roles = assign_holdout_roles(s2, "_s2", orphan="drop", held_role="test", rest_role="train",
+                                     role="role", total=n, policy=c.policy).drop("_s2")
+        val = held.where("_known").drop("_known").withColumn("role", F.lit("validation"))
+        out = roles.unionByName(val)
+        out = out.select(*c.keep_cols, "role") if c.keep_cols is not None else out.drop("_h0", "_h1", *ROW_ID)
         # partitioned by role: reading test or validation skips the train files
-        split = materialize(out, c.materialize, "split", partition_by=["role"])
-        info2["work"].unpersist()
-        return split
+        return materialize(out, c.materialize, "split", partition_by=["role"])
 
     def release(self) -> None:
         """Unpersist the cached statistics tables of this analysis."""
-        for name in ("item_stats", "flag_stats"):
+        for name in ("item_stats", "user_counts", "flag_stats"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
         if "bias_model" in self.__dict__:
@@ -136,7 +122,9 @@ class RatingsPipeline:
     @property
     def validation(self) -> DataFrame:
         """Hold-out rows whose user and item are both known to *train*."""
-        return semi_join_keys(self.part("validation"), self.train, total=self.n_train, policy=self.cfg.policy)
+        return semi_join_keys(self.part("validation"), self.train, total=self.n_train, policy=self.cfg.policy,
+                              counts={ITEM: self.item_stats.select(ITEM, F.col("n_i").alias("_n")),
+                                      USER: self.user_counts})
 
     # --------------------------------------------------------------- biases
     @cached_property
@@ -155,10 +143,15 @@ class RatingsPipeline:
     def item_stats(self) -> DataFrame:
         return item_stats(self.train, self.mu).persist(StorageLevel.MEMORY_AND_DISK)
 
+    @cached_property
+    def user_counts(self) -> DataFrame:
+        """Train rows per user: the hot users of every later join, and the known ones."""
+        return key_counts(self.train, USER).persist(StorageLevel.MEMORY_AND_DISK)
+
     @cached_property
     def bias_sweep(self) -> DataFrame:
         return sweep_bias(self.train, self.test, self.cfg.bias_grid, self.mu, stats=self.item_stats,
-                          total=self.n_train, policy=self.cfg.policy)
+                          user_counts=self.user_counts, total=self.n_train, policy=self.cfg.policy)
 
     @cached_property
     def best_bias(self) -> tuple[float, float]:

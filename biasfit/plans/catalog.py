@@ -17,15 +17,15 @@ from biasfit import schemas as S
 from biasfit.functions.flags import add_flags
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.diagnostics import boxplot_stats, null_cells, null_cells_by_column, preview, row_counts
-from biasfit.operators.sampling import STRATUM, assign_holdout_roles, exact_stratified_sample
+from biasfit.operators.sampling import ROW_ID, STRATUM, assign_holdout_roles, exact_stratified_sample, written_rows
 from biasfit.plans import edge_cases
 from biasfit.plans.analysis import PipelineConfig, RatingsPipeline
-from biasfit.session import materialize, scratch_path
+from biasfit.session import scratch_path
 from biasfit.sources.testdata import KEY_COLS, TIE_COLS, TestdataViews
 from biasfit.sources.text import read_items_text, read_ratings_text, write_items_text, write_ratings_text
 
 RATING_COLS = ["userId", "movieId", "rating", "timestamp"]
-ROW_ID = ["l_orderkey", "l_linenumber"]
+LINE_ID = ["l_orderkey", "l_linenumber"]
 FLAGS = list(S.TESTDATA_FLAGS)
 
 
@@ -93,9 +93,9 @@ def q_null_cells_by_column(spark, sf_dir):
 
 def _split1(spark, sf_dir, info: dict | None = None):
     # written: the sampler's passes (and the row id that splits copy runs) read one stable copy
-    facts = materialize(TestdataViews(spark, sf_dir).facts(), "table", "facts")
-    return exact_stratified_sample(facts, "rating", S.HOLDOUT_FRACTION, "1", KEY_COLS, TIE_COLS,
-                                   flag="sampled", keep_stratum=True, info=info)
+    facts = written_rows(TestdataViews(spark, sf_dir).facts(), "facts")
+    return exact_stratified_sample(facts, "rating", S.HOLDOUT_FRACTION, "1", KEY_COLS, TIE_COLS, flag="sampled",
+                                   keep_stratum=True, info=info, row_id=ROW_ID).drop(*ROW_ID)
 
 
 def q_rating_strata(spark, sf_dir):
@@ -111,7 +111,7 @@ def q_rating_strata(spark, sf_dir):
 
 
 def q_stratified_holdout(spark, sf_dir):
-    return _split1(spark, sf_dir).where("sampled").select(*RATING_COLS, *ROW_ID)
+    return _split1(spark, sf_dir).where("sampled").select(*RATING_COLS, *LINE_ID)
 
 
 def _holdout(spark, sf_dir):
@@ -120,16 +120,16 @@ def _holdout(spark, sf_dir):
 
 
 def q_leak_free_train(spark, sf_dir):
-    return _holdout(spark, sf_dir).where("role = 'pool'").select(*RATING_COLS, *ROW_ID)
+    return _holdout(spark, sf_dir).where("role = 'pool'").select(*RATING_COLS, *LINE_ID)
 
 
 def q_leak_free_validation(spark, sf_dir):
-    return _holdout(spark, sf_dir).where("role = 'validation'").select(*RATING_COLS, *ROW_ID)
+    return _holdout(spark, sf_dir).where("role = 'validation'").select(*RATING_COLS, *LINE_ID)
 
 
 def q_train_test_split(spark, sf_dir):
     p = analysis(spark, sf_dir)
-    return p.split.where("role <> 'validation'").select(*RATING_COLS, *ROW_ID, "role")
+    return p.split.where("role <> 'validation'").select(*RATING_COLS, *LINE_ID, "role")
 
 
 def q_row_counts(spark, sf_dir):
@@ -155,7 +155,7 @@ def q_user_effect(spark, sf_dir):
 
 def q_bias_predictions(spark, sf_dir):
     p = analysis(spark, sf_dir)
-    return p.predictions(p.test).select("userId", "movieId", "rating", *ROW_ID, r6("pred").alias("pred"))
+    return p.predictions(p.test).select("userId", "movieId", "rating", *LINE_ID, r6("pred").alias("pred"))
 
 
 def q_bias_rmse(spark, sf_dir):
@@ -175,7 +175,7 @@ def q_best_bias_lambda(spark, sf_dir):
 
 def q_bias_residuals(spark, sf_dir):
     p = analysis(spark, sf_dir)
-    return p.train_residuals.select("userId", "movieId", "rating", *ROW_ID, r6("b_i").alias("b_i"),
+    return p.train_residuals.select("userId", "movieId", "rating", *LINE_ID, r6("b_i").alias("b_i"),
                                     r6("b_u").alias("b_u"), r6("resid").alias("resid"))
 
 
@@ -197,7 +197,7 @@ def q_user_flag_effects(spark, sf_dir):
 def q_flag_predictions(spark, sf_dir):
     p = analysis(spark, sf_dir)
     pr = p.flag_predictions(p.test_scored, p.selection.kept, p.best_flag[0])
-    return pr.select("userId", "movieId", "rating", *ROW_ID, r6("pred").alias("pred"))
+    return pr.select("userId", "movieId", "rating", *LINE_ID, r6("pred").alias("pred"))
 
 
 def q_forward_selection(spark, sf_dir):

@@ -73,8 +73,9 @@ class TestdataViews:
             "l_linestatus", epoch_seconds(F.col("l_shipdate")).alias("timestamp"))
         orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                              F.col("o_custkey").alias("userId"))
-        # Two large tables on a unique, unskewed key: a plain shuffle join.
-        r = li.join(orders, "l_orderkey", "inner")
+        # Two large tables on a unique, unskewed key: a shuffle join, which also
+        # spreads a table of few files over all tasks.
+        r = li.join(orders.hint("shuffle_hash"), "l_orderkey", "inner")
         # one join with the item table gives the rating's input and, if wanted, the item columns
         items = self._parts()
         if self.planted or item_cols:

@@ -16,7 +16,7 @@ def base(spark):
 
 def test_forced_salting_changes_nothing(spark, base):
     p0, want = base
-    tiny = JoinPolicy(rows_per_bucket=20, max_hot_keys=50, max_buckets=4)
+    tiny = JoinPolicy(rows_per_bucket=20, max_hot_keys=50)
     p = analysis(spark, SF001, policy=tiny)
     got = p.final_score().first()
     assert p.best_bias == pytest.approx(p0.best_bias, abs=1e-12)

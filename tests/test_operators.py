@@ -34,7 +34,7 @@ def test_salted_join_equals_plain_join(spark, how, null_safe):
     fact = spark.createDataFrame([(k, i) for i in range(400) for k in ([1] * 3 + [2, 3, None])][:1200],
                                  "k INT, i INT")
     dim = spark.createDataFrame([(1, "a", 900), (2, "b", 150), (None, "n", 150), (4, "d", 0)], "k INT, v STRING, n BIGINT")
-    tiny = JoinPolicy(rows_per_bucket=50, max_hot_keys=10, max_buckets=8)
+    tiny = JoinPolicy(rows_per_bucket=50, max_hot_keys=10)
     salted = keyed_join(fact, dim, "k", how, count_col="n", total=1200, null_safe=null_safe, policy=tiny)
     plain = keyed_join(fact, dim, "k", how, null_safe=null_safe)
     assert salted.count() == plain.count()
@@ -114,7 +114,7 @@ def test_keyed_join_runs_no_job_while_planning(spark):
     fact = spark.range(1000).selectExpr("id % 3 AS k", "id")
     dim = spark.range(3).selectExpr("id AS k", "id * 10 AS v", "CAST(600 AS BIGINT) AS n")
     before = len(tracker.getJobIdsForGroup())
-    tiny = JoinPolicy(rows_per_bucket=100, max_hot_keys=10, max_buckets=4)
+    tiny = JoinPolicy(rows_per_bucket=100, max_hot_keys=10)
     keyed_join(fact, dim, "k", "left", count_col="n", total=1000, policy=tiny)
     keyed_join(fact, dim, "k", "left_semi", null_safe=True)
     assert len(tracker.getJobIdsForGroup()) == before

@@ -119,7 +119,7 @@ def test_identical_copies_straddling_the_threshold(spark, p):
     ceil(n*p) rows, same multiset as the window definition, no copy-sized window."""
     rows = [(i, 4.0) for i in range(200)] + [(7, 4.0)] * 100
     df = spark.createDataFrame(rows, "id INT, rating DOUBLE").repartition(5)
-    a = exact_stratified_sample(df, "rating", p, "s", ["id"], ["id"], final_rows=5, persist=True).where("sampled")
+    a = exact_stratified_sample(df, "rating", p, "s", ["id"], ["id"], final_rows=5).where("sampled")
     b = window_stratified_sample(df, "rating", p, "s", ["id"], ["id"]).where("sampled")
     assert a.count() == math.ceil(300 * p)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
@@ -127,5 +127,5 @@ def test_identical_copies_straddling_the_threshold(spark, p):
 
 def test_all_rows_identical(spark):
     df = spark.createDataFrame([(1, 4.0)] * 300, "id INT, rating DOUBLE")
-    a = exact_stratified_sample(df, "rating", 0.1, "s", ["id"], ["id"], final_rows=5, persist=True)
+    a = exact_stratified_sample(df, "rating", 0.1, "s", ["id"], ["id"], final_rows=5)
     assert a.where("sampled").count() == 30
