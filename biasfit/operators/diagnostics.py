@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from biasfit.operators.order_stats import exact_percentiles
+from biasfit.operators.order_stats import ranked_values, type7_ranks
 
 
 def null_cells(df: DataFrame) -> DataFrame:
@@ -42,29 +42,93 @@ def unpivot_flags(df: DataFrame, flags: Sequence[str], value: str) -> DataFrame:
         "_x.flag", "_x.level", "value")
 
 
+BINS = 4096
+LEVELS = (0, 1)
+
+
+def _level_counts(flags: Sequence[str]) -> list:
+    return [F.count(F.when(F.col(f) == v, 1)).alias(f"{f}__{v}") for f in flags for v in LEVELS]
+
+
+def flag_quantiles(df: DataFrame, flags: Sequence[str], value: str, probs: Sequence[float],
+                   final_rows: int = 10_000) -> dict[tuple[str, int], tuple[int, list[float]]]:
+    """``{(flag, level): (n, type-7 quantiles)}`` of the rows at each level of each 0/1 flag.
+
+    One histogram over the whole value range counts every (flag, level) in its
+    own column, so rows are not repeated by flag; only rows of the buckets that
+    hold a wanted rank are, for the exact search among them.
+    """
+    d = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(F.col(value).alias("value"), *flags)
+    lo, hi = d.agg(F.min("value"), F.max("value")).first()
+    if lo is None:
+        return {}
+    scale = BINS / (hi - lo) if hi > lo else 0.0
+    bucket = F.least(F.lit(BINS - 1), F.floor((F.col("value") - F.lit(lo)) * F.lit(scale))).cast("int")
+    hist = d.groupBy(bucket.alias("_b")).agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"),
+                                             *_level_counts(flags)).orderBy("_b").collect()   # at most BINS rows
+    plan, ranks, bounds, wanted = {}, {}, {}, set()
+    for f in flags:
+        for v in LEVELS:
+            col = f"{f}__{v}"
+            n = sum(r[col] for r in hist)
+            if n == 0:
+                continue
+            pl = plan[(f, v)] = [type7_ranks(n, p) for p in probs]
+            for rank in {r for a, b, _w in pl for r in (a, b)}:
+                before = 0
+                for r in hist:
+                    if before + r[col] > rank:
+                        break
+                    before += r[col]
+                ranks.setdefault((f, v), []).append(rank)
+                bounds[(f, v, rank)] = (rank - before, r["_mn"], r["_mx"], r[col])
+                wanted.add(r["_b"])
+    near = unpivot_flags(d.where(bucket.isin(sorted(wanted))), flags, "value").where(F.col("level").isNotNull())
+    at = ranked_values(near, "value", ["flag", "level"], bounds, final_rows=final_rows)
+    out = {}
+    for g, pl in plan.items():
+        qs = []
+        for a, b, w in pl:
+            x, y = at[(*g, a)], at[(*g, b)]
+            qs.append(x if w == 0 else x + w * (y - x))
+        out[g] = (sum(r[f"{g[0]}__{g[1]}"] for r in hist), qs)
+    return out
+
+
 def boxplot_stats(df: DataFrame, flags: Sequence[str], value: str = "resid",
-                  coef: float = 1.5) -> DataFrame:
+                  coef: float = 1.5, chunk: int = 12) -> DataFrame:
     """Per flag and level: ``n, q1, median, q3, whisker_low, whisker_high, n_outliers``.
 
     Quartiles are exact type-7 (histogram search, no group gathered in one
     task); whiskers are the most extreme values within ``coef * IQR`` of the
-    hinges; outliers lie beyond.  Rows with a NULL flag are left out.
+    hinges; outliers lie beyond.  Rows with a NULL flag are left out.  Flags go
+    in chunks, whose aggregates stay under the whole-stage-codegen field limit.
     """
-    long = unpivot_flags(df, flags, value).where(F.col("level").isNotNull() & F.col("value").isNotNull())
-    qs = exact_percentiles(long, "value", [0.25, 0.5, 0.75], ["flag", "level"])
-    spark = df.sparkSession
-    fences = spark.createDataFrame(
-        [(g[0], int(g[1]), float(q[0]), float(q[1]), float(q[2])) for g, q in qs.items()],
-        "flag STRING, level INT, q1 DOUBLE, median DOUBLE, q3 DOUBLE")
-    iqr = F.col("q3") - F.col("q1")
-    lo = F.col("q1") - F.lit(coef) * iqr
-    hi = F.col("q3") + F.lit(coef) * iqr
-    v = F.col("value")
-    inside = (v >= lo) & (v <= hi)
-    # fences has at most 2 x len(flags) rows
-    j = long.join(F.broadcast(fences), ["flag", "level"])
-    return j.groupBy("flag", "level", "q1", "median", "q3").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.when(inside, v)).alias("whisker_low"),
-        F.max(F.when(inside, v)).alias("whisker_high"),
-        F.count(F.when(~inside, 1)).alias("n_outliers"))
+    parts = []
+    v = F.col(value)
+    for i in range(0, len(flags), chunk):
+        some = list(flags[i:i + chunk])
+        aggs, rows = [], []
+        for (f, lvl), (n, (q1, q2, q3)) in flag_quantiles(df, some, value, [0.25, 0.5, 0.75]).items():
+            at = F.col(f) == lvl
+            inside = (v >= F.lit(q1 - coef * (q3 - q1))) & (v <= F.lit(q3 + coef * (q3 - q1)))
+            k = len(rows)
+            aggs += [F.min(F.when(at & inside, v)).alias(f"_lo{k}"), F.max(F.when(at & inside, v)).alias(f"_hi{k}"),
+                     F.count(F.when(at & ~inside, 1)).alias(f"_out{k}")]
+            rows.append(F.struct(
+                F.lit(f).alias("flag"), F.lit(lvl).alias("level"), F.lit(q1).alias("q1"), F.lit(q2).alias("median"),
+                F.lit(q3).alias("q3"), F.lit(n).cast("bigint").alias("n"), F.col(f"_lo{k}").alias("whisker_low"),
+                F.col(f"_hi{k}").alias("whisker_high"), F.col(f"_out{k}").alias("n_outliers")))
+        if rows:
+            wide = df.where(v.isNotNull() & ~F.isnan(v)).agg(*aggs)
+            parts.append(wide.select(F.inline(F.array(*rows))))
+    if not parts:
+        return df.sparkSession.createDataFrame([], BOX_SCHEMA)
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+BOX_SCHEMA = ("flag STRING, level INT, q1 DOUBLE, median DOUBLE, q3 DOUBLE, n BIGINT, whisker_low DOUBLE, "
+              "whisker_high DOUBLE, n_outliers BIGINT")

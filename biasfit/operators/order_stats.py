@@ -170,6 +170,31 @@ def type7_ranks(n: int, p: float) -> tuple[int, int, float]:
     return lo, hi, h - lo
 
 
+def _values(d, key, groups, searches, bins, final_rows) -> dict[tuple, float]:
+    """``{(group, rank asked for): value}`` of every search."""
+    _refine(d, key, groups, searches, bins, final_rows, settle_equal=True)
+    pending = [s for s in searches if not s.done]
+    if pending:
+        for r in _final_rows(d, key, groups, pending, ()).collect():
+            s = searches[r["_sid"]]
+            s.value, s.done = float(r[key]), True
+    return {(s.group, s.orig): s.value for s in searches}
+
+
+def ranked_values(df: DataFrame, key: str, group_cols: Sequence[str], bounds: Mapping[tuple, tuple], *,
+                  bins: int = 4096, final_rows: int = 10_000) -> dict[tuple, float]:
+    """Values at ranks whose whereabouts are known: ``{(*group, rank): value}``.
+
+    ``bounds[(*group, rank)]`` is ``(rank within the range, low, high, rows of
+    the group in the range)``; ``df`` may hold the rows of those ranges only.
+    """
+    d, groups = _prep(df, key, group_cols)
+    searches = [_Search(i, k[:-1], r, float(lo), float(hi), n, orig=k[-1])
+                for i, (k, (r, lo, hi, n)) in enumerate(bounds.items())]
+    found = _values(d, key, groups, searches, bins, final_rows)
+    return {(*g, r): v for (g, r), v in found.items()}
+
+
 def exact_percentiles(df: DataFrame, key: str, probs: Sequence[float],
                       group_cols: Sequence[str] = (), *, bins: int = 4096,
                       final_rows: int = 10_000) -> dict[tuple, list[float | None]]:
@@ -183,13 +208,7 @@ def exact_percentiles(df: DataFrame, key: str, probs: Sequence[float],
     plan = {g: [type7_ranks(ext[0], p) for p in probs] for g, ext in extents.items()}
     ranks = {g: [r for lo, hi, _w in pl for r in (lo, hi)] for g, pl in plan.items()}
     searches = _make_searches(extents, ranks)
-    _refine(d, key, groups, searches, bins, final_rows, settle_equal=True)
-    pending = [s for s in searches if not s.done]
-    if pending:
-        for r in _final_rows(d, key, groups, pending, ()).collect():
-            s = searches[r["_sid"]]
-            s.value, s.done = float(r[key]), True
-    value = {(s.group, s.orig): s.value for s in searches}
+    value = _values(d, key, groups, searches, bins, final_rows)
     out = {}
     for g, pl in plan.items():
         qs = []

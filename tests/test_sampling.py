@@ -5,8 +5,8 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from biasfit.operators.sampling import (STRATUM, anti_join_all, assign_holdout_roles, exact_stratified_sample,
-                                        semi_join_keys, strata_breaks, window_stratified_sample)
+from biasfit.operators.sampling import (ROW_ID, STRATUM, anti_join_all, assign_holdout_roles, exact_stratified_sample,
+                                        semi_join_keys, strata_breaks, window_stratified_sample, written_rows)
 from biasfit.sources.testdata import KEY_COLS, TIE_COLS, TestdataViews
 
 from conftest import SF001, SF01
@@ -129,3 +129,23 @@ def test_all_rows_identical(spark):
     df = spark.createDataFrame([(1, 4.0)] * 300, "id INT, rating DOUBLE")
     a = exact_stratified_sample(df, "rating", 0.1, "s", ["id"], ["id"], final_rows=5)
     assert a.where("sampled").count() == 30
+
+
+def test_cut_by_number_needs_no_join(spark):
+    """No tie at the cut: the sample is a predicate on the rating and the order key."""
+    rows = written_rows(spark.range(500).select("id", F.lit(4.0).alias("rating")), "rows")
+    s = exact_stratified_sample(rows, "rating", 0.1, "1", ["id"], ["id"], row_id=ROW_ID).where("sampled")
+    plan = s._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan
+    assert s.count() == 50
+
+
+def test_copies_cut_by_their_place_in_the_file(spark):
+    df = spark.createDataFrame([(i, 4.0) for i in range(50)] + [(7, 4.0)] * 100, "id INT, rating DOUBLE").repartition(4)
+    rows = written_rows(df, "copies")
+    for p in (0.2, 0.5, 0.8):
+        s = exact_stratified_sample(rows, "rating", p, "s", ["id"], ["id"], final_rows=5, row_id=ROW_ID).where("sampled")
+        first = {(r["_file"], r["_row"]) for r in s.collect()}
+        assert len(first) == math.ceil(150 * p)
+        again = s.sparkSession.createDataFrame(s.repartition(3).collect(), s.schema)
+        assert {(r["_file"], r["_row"]) for r in again.collect()} == first
