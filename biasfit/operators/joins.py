@@ -76,7 +76,7 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
 
 def keyed_join(left: DataFrame, right: DataFrame, keys: str | list[str], how: str = "left", *,
                count_col: str | None = None, total: int | None = None, null_safe: bool = False,
-               counts: DataFrame | None = None,
+               salt_cols: list[str] | None = None, counts: DataFrame | None = None,
                policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
     """Join ``left`` to ``right`` (unique on ``keys``); runs no Spark job itself.
 
@@ -91,12 +91,12 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: str | list[str], how: st
     if not count_col or not total or total < policy.threshold(total):
         return _join(left, right, keys, how, null_safe)
     return _salted_join(left, right, keys, how, count_col, policy.threshold(total), null_safe,
-                        right if counts is None else counts, policy)
+                        salt_cols or left.columns, right if counts is None else counts, policy)
 
 
 def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
                  count_col: str, threshold: int, null_safe: bool,
-                 counts: DataFrame, policy: JoinPolicy) -> DataFrame:
+                 salt_cols: list[str], counts: DataFrame, policy: JoinPolicy) -> DataFrame:
     n = F.col(count_col)
     salts = F.ceil(n / F.lit(policy.rows_per_bucket)).cast("int")
     is_hot = n >= threshold
@@ -105,7 +105,7 @@ def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
     marked = _join(left, F.broadcast(hot_keys), keys, "left", null_safe)
     salted_left = marked.withColumn(
         _SALT,
-        F.when(F.col(_HOT).isNotNull(), F.pmod(F.xxhash64(*left.columns), F.col(_HOT))).otherwise(F.lit(0)).cast("int"),
+        F.when(F.col(_HOT).isNotNull(), F.pmod(F.xxhash64(*salt_cols), F.col(_HOT))).otherwise(F.lit(0)).cast("int"),
     ).drop(_HOT)
     salted_right = right.withColumn(
         _SALT,
