@@ -14,8 +14,9 @@ repeatedly, until no key is large.  No link is lost and none is capped.
 
 Defined results: a null or blank text has fingerprint zero, linked like any
 other; equal fingerprints are one node, so groups of copies never meet pair by
-pair; rows with the same id are kept each; an empty table gives no rows; other
-columns are ignored (or kept, by ``keep_one``).
+pair; rows with the same id are kept each, and ``keep_one`` tells them apart by
+their texts; a null id comes last in its component; an empty table gives no
+rows; other columns are ignored (or kept, by ``keep_one``).
 """
 
 from __future__ import annotations
@@ -65,7 +66,8 @@ def _fingerprint_task(shingle: int):
         for batch in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column("text")), dtype=np.uint64,
                               count=batch.num_rows)
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": pa.array(fps.view(np.int64))})
+            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "th": batch.column("th"),
+                                              "fp": pa.array(fps.view(np.int64))})
     return run
 
 
@@ -171,15 +173,18 @@ def links(fps: DataFrame, *, max_bits: int = MAX_BITS, bucket: int = 256) -> Dat
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, fp) per row, and per fingerprint its component's smallest id."""
-    rows = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    rows = table(rows.mapInArrow(_fingerprint_task(shingle), "doc_id long, fp long"), "fingerprints")
-    nodes = table(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "nodes")
+    """(doc_id, th, fp) per row, th the text's hash; and per fingerprint its
+    component's first document: the smallest id, then the smallest hash."""
+    rows = pick(docs, doc_id=id_col, text=text_col).select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text")
+    rows = table(rows.mapInArrow(_fingerprint_task(shingle), "doc_id long, th long, fp long"), "fingerprints")
+    document = F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "th")
+    nodes = table(rows.groupBy("fp").agg(F.min(document).alias("least"), F.count(F.lit(1)).alias("n")), "nodes")
     groups = components(links(nodes, max_bits=max_bits))
     rooted = nodes.join(groups, nodes["fp"] == groups["node"], "left").select(
         "fp", "least", "n", F.coalesce("root", "fp").alias("root"))
-    roots = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rows, table(rooted.join(roots, "root").select("fp", "n", "component_id"), "components")
+    roots = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    return rows, table(rooted.join(roots, "root").select("fp", "n", "first"), "components")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -187,21 +192,24 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     """doc_id, fingerprint (16 hex digits), component_id per row."""
     rows, comps = _members(docs, id_col, text_col, shingle, max_bits)
     out = keyed_join(rows, comps, "fp", "inner", count_col="n", total=rows.count(), salt_cols=["doc_id"])
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                      F.col("first.doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
              max_bits: int = MAX_BITS) -> DataFrame:
-    """One row of each component: of the rows with its smallest id the least by
-    text, with all columns of ``docs``."""
+    """One row of each component, with all columns of ``docs``: its first
+    document (smallest id, null last, then smallest hash of the text)."""
     rows, comps = _members(docs, id_col, text_col, shingle, max_bits)
-    kept = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias(TMP + "copies"))
-    kept = kept.join(comps.select(F.col("component_id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    kept = table(kept.select(F.col("doc_id").alias(TMP + "id"), TMP + "copies"), "kept")
+    first = comps.select("first.*").distinct().select(F.col("doc_id").alias(TMP + "id"), F.col("th").alias(TMP + "th"))
+    copies = rows.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias(TMP + "copies"))
+    same = copies["doc_id"].eqNullSafe(first[TMP + "id"]) & (copies["th"] == first[TMP + "th"])
+    kept = table(copies.join(first, same).select(TMP + "id", TMP + "th", TMP + "copies"), "kept")
     cols = docs.columns
     # the kept ids grow with the corpus: one plan at every size
-    out = docs.join(kept.hint("merge"), docs[id_col].cast("long") == F.col(TMP + "id"))
+    out = docs.join(kept.hint("merge"), docs[id_col].cast("long").eqNullSafe(F.col(TMP + "id"))
+                    & (F.xxhash64(docs[text_col]) == F.col(TMP + "th")))
     once = out.filter(F.col(TMP + "copies") == 1).select(*cols)
-    order = Window.partitionBy(TMP + "id").orderBy(F.col(text_col).asc_nulls_first(), *[F.col(c) for c in cols if c != text_col])
+    order = Window.partitionBy(TMP + "id", TMP + "th").orderBy(*[F.col(c) for c in cols])
     more = out.filter(F.col(TMP + "copies") > 1).withColumn(TMP + "k", F.row_number().over(order))
     return once.unionByName(more.filter(F.col(TMP + "k") == 1).select(*cols))
