@@ -152,7 +152,10 @@ def _post_task(shared, dim: int, ratio: float, at_least: int, most: int | None):
 
 def exact(q: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Cosines in double precision on the vectors as they are; row by row, so
-    that equal vectors score equally."""
+    that equal vectors score equally.  Scaling by powers of two, which changes
+    no digit, keeps the squares from overflow and underflow."""
+    m = np.ldexp(m, -np.frexp(np.abs(m).max(axis=1, keepdims=True))[1])
+    q = np.ldexp(q, -np.frexp(np.abs(q).max())[1])
     return (m * q).sum(axis=1) / (np.sqrt((m * m).sum(axis=1)) * np.sqrt((q * q).sum()))
 
 
@@ -167,10 +170,13 @@ def _best(k: int):
             rough[qids[:, None] == ids[None, :]] = -2
             n = min(k, len(ids))
             floor = np.partition(rough, len(ids) - n, axis=1)[:, len(ids) - n] - 1e-9
+            if len(np.unique(ids)) < len(ids):      # rows that repeat an id count once among the best
+                floor[:] = -2
             for i in range(len(q)):
                 at = np.nonzero((rough[i] >= floor[i]) & (rough[i] > -1.5))[0]
                 s = exact(q[i], m[at])
-                top = np.lexsort((ids[at], -s))[:k]
+                order = np.lexsort((ids[at], -s))
+                top = order[np.sort(np.unique(ids[at][order], return_index=True)[1])[:k]]
                 out.append(pd.DataFrame({"query_id": qids[i], "vec_id": ids[at][top], "score": s[top]}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"),
                                                         "score": pd.Series(dtype="float64")})
