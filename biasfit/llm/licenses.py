@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -143,14 +144,16 @@ def scan(text: str | None) -> dict:
             for m in r.expression.finditer(line):
                 if not any(a <= m.start() and m.end() <= b for a, b, _ in accepted):
                     accepted.append((m.start(), m.end(), r))
-    starts = [line.count(b" ", 0, a) for a, _, _ in base]
+    blanks = np.flatnonzero(np.frombuffer(line, dtype=np.uint8) == 32)
+    word = lambda at: int(np.searchsorted(blanks, at))                                # noqa: E731
+    starts = [word(a) for a, _, _ in base]
     names = {label for _, _, label in base}
     return {
         "n_words": len(ws), "n_base": len(base), "first_word": min(starts, default=None),
         "last_word": max(starts, default=None), "base_labels": ",".join(sorted(names)),
         "labels": ",".join(sorted(names | {r.label for _, _, r in accepted})),
         "score": 1.0 if base else max((r.confidence for _, _, r in accepted), default=0.0),
-        "spans": ",".join(f"{r.label}:{line.count(b' ', 0, a)}:{line.count(b' ', 0, b) + 1}"
+        "spans": ",".join(f"{r.label}:{word(a)}:{word(b) + 1}"
                           for a, b, r in sorted(accepted, key=lambda x: x[:2])),
     }
 
