@@ -50,6 +50,9 @@ LOOSE_GATES = {"email": r"@|[\[({]at[\])}]", "ip": r"[0-9]\x20?[\[(]?\.", "card"
 CUES = r"(?i)(mail|phone|tel|call|fax|mobile|contact|card|visa|account|pay|host|server|addr|login|ssh)"
 CONTEXT = 32
 SPAN = "array<struct<s:int,e:int,m:string,l:string,r:string>>"
+#: Spans handled together, so that texts with very many don't take time in the
+#: square of their number.
+BLOCK = 256
 
 
 def matches(text: Column, pattern: str, gate: str) -> Column:
@@ -57,15 +60,21 @@ def matches(text: Column, pattern: str, gate: str) -> Column:
     the match, and the text around it.  The pieces between the matches give
     the positions."""
     def build(v: Column) -> Column:
-        zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-
         def add(acc: Column, k: Column) -> Column:
             p, m, after = F.get(v["p"], k), F.get(v["m"], k), F.get(v["p"], k + 1)
             s = acc["at"] + F.length(p)
             span = F.struct(s.alias("s"), (s + F.length(m)).alias("e"), m.alias("m"),
                             F.right(p, F.lit(CONTEXT)).alias("l"), F.left(after, F.lit(CONTEXT)).alias("r"))
             return F.struct((s + F.length(m)).alias("at"), F.concat(acc["out"], F.array(span)).cast(SPAN).alias("out"))
-        return F.when(F.size(v["m"]) > 0, F.aggregate(F.sequence(F.lit(0), F.size(v["m"]) - 1), zero, add, lambda a: a["out"]))
+
+        def add_block(acc: Column, k: Column) -> Column:
+            zero = F.struct(acc["at"].alias("at"), F.array().cast(SPAN).alias("out"))
+            of_block = F.aggregate(F.sequence(k, F.least(k + BLOCK, F.size(v["m"])) - 1), zero, add)
+            return let(of_block, lambda x: F.struct(
+                x["at"].alias("at"), F.concat(acc["out"], F.array(x["out"])).cast(f"array<{SPAN}>").alias("out")))
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out"))
+        blocks = F.sequence(F.lit(0), F.size(v["m"]) - 1, F.lit(BLOCK))
+        return F.when(F.size(v["m"]) > 0, F.flatten(F.aggregate(blocks, zero, add_block, lambda a: a["out"])))
 
     both = F.struct(F.split(text, pattern, -1).alias("p"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
     return F.coalesce(F.when(text.rlike(gate), let(both, build)), F.array().cast(SPAN))
@@ -126,13 +135,25 @@ def _meets(x: Column, spans: Column) -> Column:
     return F.exists(spans, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
 
 
+def blocks(spans: Column) -> Column:
+    """Spans in order of their start, ``BLOCK`` together, with the reach of each block."""
+    starts = F.filter(F.sequence(F.lit(0), F.size(spans), F.lit(BLOCK)), lambda k: k < F.size(spans))
+    return F.transform(starts, lambda k: let(F.slice(spans, k + 1, F.lit(BLOCK)), lambda x: F.struct(
+        F.array_min(F.transform(x, lambda y: y["s"])).alias("s"), F.array_max(F.transform(x, lambda y: y["e"])).alias("e"),
+        x.alias("spans"))))
+
+
+def _meets_blocks(x: Column, found: Column) -> Column:
+    return F.exists(found, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]) & _meets(x, b["spans"]))
+
+
 def candidates(text: Column, base: dict[str, Column]) -> Column:
     """array of (kind, s, e, f, y): proposed spans, their features, and whether
     they meet a base span of their kind."""
     def of(n: int, kind: str) -> Column:
-        return F.transform(matches(text, LOOSE[kind], LOOSE_GATES[kind]), lambda x: F.struct(
+        return let(blocks(base[kind]), lambda own: F.transform(matches(text, LOOSE[kind], LOOSE_GATES[kind]), lambda x: F.struct(
             F.lit(n).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), features(n, x).alias("f"),
-            _meets(x, base[kind]).alias("y")))
+            _meets_blocks(x, own).alias("y"))))
     return F.concat(*[of(n, k) for n, k in enumerate(KINDS)])
 
 
@@ -215,14 +236,14 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         limit = F.array(*[F.lit(limits[k]) for k in range(len(KINDS))])
 
         def choose(all_spans: Column) -> Column:
-            new = F.filter(candidates(text, base), lambda c: ~_meets(c, all_spans))
+            new = F.filter(candidates(text, base), lambda c: ~_meets_blocks(c, all_spans))
             scored = F.transform(new, lambda c: F.struct(
                 (-let(c["f"], lambda f: score(trees, f))).alias("p"), c["s"].alias("s"), c["kind"].alias("k"), c["e"].alias("e")))
             good = F.array_sort(F.filter(scored, lambda c: -c["p"] >= F.get(limit, c["k"])))
             # best first; a span that meets a better one is dropped
             return F.aggregate(good, F.array().cast(one), lambda acc, c: F.when(_meets(c, acc), acc).otherwise(
                 F.concat(acc, F.array(F.struct(c["s"].alias("s"), c["k"].alias("k"), c["e"].alias("e")))).cast(one)))
-        added = let(F.col("all"), choose)
+        added = let(blocks(F.col("all")), choose)
     out = out.withColumn("added", added)
     names = F.array(*[F.lit(k) for k in KINDS])
     joined = lambda a: F.array_join(F.transform(a, lambda x: F.concat_ws(":", F.get(names, x["k"]), x["s"].cast("string"), x["e"].cast("string"))), ",")
