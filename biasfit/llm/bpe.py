@@ -3,18 +3,24 @@
 The encoder is built from the ``tokenizers`` file itself.  A file whose
 vocabulary is in merge order (rank = id) and whose pre-tokeniser is the plain
 byte-level split is encoded by tiktoken's core, which gives the same ids about
-four times faster; any other file is encoded by ``tokenizers``.
+four times faster; any other file is encoded by ``tokenizers``, and so is any
+text with a white-space run so long that the core's pattern has no stack for it.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import re
 
 #: The byte-level split pattern, and the printable bytes that
 #: stand for themselves in a byte-level vocabulary.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [(33, 126), (161, 172), (174, 255)]
+#: Characters of a white-space run that the core is not given (its limit is about
+#: a million); looked for at a run's start only, which is linear.
+LONG_RUN = 100_000
+_LONG = re.compile(r"(?<!\s)\s{%d}" % LONG_RUN)
 
 
 def _byte_of() -> dict[str, int]:
@@ -23,6 +29,10 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def has_long_run(text: str) -> bool:
+    return len(text) >= LONG_RUN and _LONG.search(text) is not None
+
+
 class Encoder:
     """``ids(texts)``: token ids as the library gives them, special strings
     inside texts being special tokens, nothing added, cut or padded."""
@@ -31,9 +41,11 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.path, self.fast = path, self._core(spec)
-        if self.fast is None:
-            from tokenizers import Tokenizer
-            self.slow = Tokenizer.from_file(path)
+
+    @functools.cached_property
+    def slow(self):
+        from tokenizers import Tokenizer
+        return Tokenizer.from_file(self.path)
 
     @staticmethod
     def _core(spec: dict):
@@ -57,7 +69,8 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         if self.fast is not None:
-            return [self.fast.encode(t, allowed_special="all") for t in texts]
+            return [self.slow.encode(t, add_special_tokens=False).ids if has_long_run(t)
+                    else self.fast.encode(t, allowed_special="all") for t in texts]
         return [e.ids for e in self.slow.encode_batch(texts, add_special_tokens=False)]
 
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from .bpe import SPLIT, default_path, encoder
+from .bpe import SPLIT, default_path, encoder, has_long_run
 from .common import pick
 
 #: Longest pre-token kept in the table or in a worker's cache.
@@ -81,7 +81,8 @@ class Counting:
     def _miss(self, token: str) -> int:
         n = self.cache.get(token)
         if n is None:
-            n = len(self.enc.fast.encode_ordinary(token))
+            # no special string is in a token: count() has seen to that
+            n = len(self.enc.ids([token])[0] if has_long_run(token) else self.enc.fast.encode_ordinary(token))
             if len(token) <= MAX_BYTES:
                 if len(self.cache) >= CACHE:
                     self.cache.clear()

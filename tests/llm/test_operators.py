@@ -79,6 +79,23 @@ def test_token_counts(spark, docs, rows, none):
     assert tokens.token_counts(none).count() == 0
 
 
+def test_very_long_white_space_runs(spark):
+    from tokenizers import Tokenizer
+    path = bpe.default_path()
+    enc, lib = bpe.encoder(path), Tokenizer.from_file(path)
+    n = bpe.LONG_RUN
+    texts = ["a" + " " * 1_200_000 + "b", "a" + "\n" * 1_200_000, "\u3000" * 1_200_000 + "<|endoftext|> c" + " " * n + "it's",
+             "a" + " \n" * 600_000 + "<|endoftext|>", " " * (n - 1) + "x", "x" + "\t" * n + "1"]
+    want = [lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert enc.ids(texts) == want and enc.fast is not None
+    assert [bpe.has_long_run(t) for t in texts] == [True, True, True, True, False, True]
+    counting = tokens.Counting(path, {})
+    assert [counting.count(t) for t in texts] == [len(w) for w in want]
+    docs = spark.createDataFrame([(0, texts[0]), (1, "plain")], "doc_id long, text string")
+    assert {r.doc_id: r.n_tokens for r in tokens.token_counts(docs).collect()}[0] == len(want[0])
+    assert sum(r.length for r in packing.pack(docs).filter("doc_id = 0").collect()) == len(want[0]) + 1
+
+
 def test_packing(docs, rows, none):
     enc = bpe.encoder(bpe.default_path())
     ids = collections.defaultdict(list)
