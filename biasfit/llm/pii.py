@@ -1,12 +1,17 @@
 """Personal data by candidate gradient boosting.
 
 High-recall generators (a loose expression per kind) propose spans, which may
-overlap.  Boosted trees score each from its format and context; a span is
-redacted if its score is above its kind's threshold.  Base matches (strict
-expression and checksum) are always redacted and are also what the trees learn
-from: a proposed span that covers a base match of its kind is positive, one
-that meets none is negative.  Thresholds are calibrated on held-out spans: the
-least score at which ``precision`` of the spans above it are positive.
+overlap.  Boosted trees score each from its context; a span is redacted if its
+score is above its kind's threshold.  Base matches (strict expression and
+checksum) are always redacted and are also what the trees learn from: a
+proposed span that meets a base match of its kind is positive.  One that meets
+only those of other kinds is redacted already and left out.  Of the rest, one
+that fails its kind's range, length or checksum is negative and never added, and
+any other is unlabelled: it takes no part in fit or thresholds, and only such
+are added.
+No feature tells base forms from others, or repeats what decides a label.
+Thresholds are calibrated on held-out spans: the least score at which
+``precision`` of the labelled spans above it are positive.
 
 Everything runs in one pass over each row's arrays, so nothing is shuffled but
 the bounded training sample (``max_rows`` spans, least by a hash).
@@ -46,8 +51,11 @@ LOOSE = {
 }
 LOOSE_GATES = {"email": r"@|[\[({]at[\])}]", "ip": r"[0-9]\x20?[\[(]?\.", "card": r"[0-9][\x20./-]{0,2}[0-9]",
                "phone": r"[0-9]\)?[\x20./-]"}
-#: Words before a span that speak for personal data.
-CUES = r"(?i)(mail|phone|tel|call|fax|mobile|contact|card|visa|account|pay|host|server|addr|login|ssh)"
+#: Words before a span that speak for personal data, by kind.
+CUES = {
+    "email": r"(?i)(mail|contact|write)", "ip": r"(?i)(host|server|addr|login|ssh|\bip\b)",
+    "card": r"(?i)(card|visa|account|pay)", "phone": r"(?i)(phone|tel|call|fax|mobile)",
+}
 CONTEXT = 32
 SPAN = "array<struct<s:int,e:int,m:string,l:string,r:string>>"
 #: Spans handled together, so that texts with very many don't take time in the
@@ -115,20 +123,36 @@ def base_spans(text: Column) -> dict[str, Column]:
     return {k: passing(k) for k in KINDS}
 
 
-FEATURES = ("kind", "length", "n_digits", "n_letters", "n_seps", "has_at", "plus", "parens", "card_check", "ip_check",
-            "joined_left", "joined_right", "cue", "n_groups", "last_group")
+#: How a loose email is written plainly.
+PLAIN = ((r"[\[({]at[\])}]", "@"), (r"[\[({]dot[\])}]", "."), (r"\x20", ""))
+
+
+def _plain(m: Column) -> Column:
+    for pattern, by in PLAIN:
+        m = F.regexp_replace(m, pattern, by)
+    return m
+
+
+#: What a proposed span must pass not to be refuted.
+FITS = CHECKS | {
+    "email": lambda m: let(_plain(m), lambda p: (F.length(p) <= 254) & p.rlike(r"\.[A-Za-z][A-Za-z0-9-]*[A-Za-z0-9]$")),
+    "ip": lambda m: (F.regexp_count(m, F.lit("[0-9]+")) == 4) & parts_fit(m),
+}
+
+FEATURES = ("kind", "joined_left", "joined_right", "number_left", "number_right", "word_left", "word_right", "own_cue",
+            "any_cue", "digits_left", "digits_right", "letters_left", "letters_right")
 
 
 def features(kind: int, x: Column) -> Column:
-    m = x["m"]
+    """Of the text around a span only: its form is what the labels go by."""
+    l, r = x["l"], x["r"]
     flag = lambda c: F.when(c, 1.0).otherwise(0.0)                                     # noqa: E731
-    letters = F.length(F.regexp_replace(m, "[^A-Za-z]", ""))
-    n = F.length(digits(m))
+    count = lambda t, cls: F.length(F.regexp_replace(t, f"[^{cls}]", ""))              # noqa: E731
     return F.array(*[c.cast("double") for c in (
-        F.lit(kind), F.length(m), n, letters, F.length(m) - n - letters, flag(m.contains("@")), flag(m.startswith("+")),
-        flag(m.rlike(r"[()]")), flag(is_card(m)), flag(parts_fit(m) & (F.regexp_count(m, F.lit("[0-9]+")) == 4)),
-        flag(x["l"].rlike("[A-Za-z0-9]$")), flag(x["r"].rlike("^[A-Za-z0-9]")), flag(x["l"].rlike(CUES)),
-        F.regexp_count(m, F.lit("[0-9]+")), F.length(F.regexp_extract(m, "([0-9]*)[^0-9]*$", 1)))])
+        F.lit(kind), flag(l.rlike("[A-Za-z0-9]$")), flag(r.rlike("^[A-Za-z0-9]")), flag(l.rlike(r"[0-9]\W{0,3}$")),
+        flag(r.rlike(r"^\W{0,3}[0-9]")), flag(l.rlike(r"\p{L}\W{0,3}$")), flag(r.rlike(r"^\W{0,3}\p{L}")),
+        flag(l.rlike(CUES[KINDS[kind]])), flag(l.rlike("|".join(CUES.values()))),
+        count(l, "0-9"), count(r, "0-9"), count(l, r"\p{L}"), count(r, r"\p{L}"))])
 
 
 def _meets(x: Column, spans: Column) -> Column:
@@ -147,13 +171,31 @@ def _meets_blocks(x: Column, found: Column) -> Column:
     return F.exists(found, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]) & _meets(x, b["spans"]))
 
 
-def candidates(text: Column, base: dict[str, Column]) -> Column:
-    """array of (kind, s, e, f, y): proposed spans, their features, and whether
-    they meet a base span of their kind."""
+ONE = "array<struct<s:int,k:int,e:int>>"
+
+
+def in_order(base: dict[str, Column]) -> Column:
+    """Base spans of all kinds in order: by start, then kind."""
+    def placed(n: int, kind: str) -> Column:
+        return F.transform(base[kind], lambda x: F.struct(x["s"].alias("s"), F.lit(n).alias("k"), x["e"].alias("e")))
+    return F.array_sort(F.concat(*[placed(n, k) for n, k in enumerate(KINDS)])).cast(ONE)
+
+
+def candidates(text: Column, base: dict[str, Column], all_spans: Column) -> Column:
+    """array of (kind, s, e, f, y): proposed spans that meet no base span or one
+    of their kind, their features, and their label: 1 if they meet one, 0 if
+    refuted, else null."""
     def of(n: int, kind: str) -> Column:
-        return let(blocks(base[kind]), lambda own: F.transform(matches(text, LOOSE[kind], LOOSE_GATES[kind]), lambda x: F.struct(
-            F.lit(n).alias("kind"), x["s"].alias("s"), x["e"].alias("e"), features(n, x).alias("f"),
-            _meets_blocks(x, own).alias("y"))))
+        def label(x: Column, own: Column, taken: Column) -> Column:
+            return F.when(_meets_blocks(x, own), 1.0).when(_meets_blocks(x, taken), -1.0).when(~FITS[kind](x["m"]), 0.0)
+
+        def proposed(own: Column, taken: Column) -> Column:
+            found = F.transform(matches(text, LOOSE[kind], LOOSE_GATES[kind]), lambda x: F.struct(
+                x.alias("x"), label(x, own, taken).alias("y")))
+            return F.transform(F.filter(found, lambda c: c["y"].isNull() | (c["y"] >= 0)), lambda c: F.struct(
+                F.lit(n).alias("kind"), c["x"]["s"].alias("s"), c["x"]["e"].alias("e"), features(n, c["x"]).alias("f"),
+                c["y"].alias("y")))
+        return let(blocks(base[kind]), lambda own: let(blocks(all_spans), lambda taken: proposed(own, taken)))
     return F.concat(*[of(n, k) for n, k in enumerate(KINDS)])
 
 
@@ -185,11 +227,12 @@ def score(trees: list[tuple[float, list[str]]], f: Column) -> Column:
 
 def train(docs: DataFrame, *, max_rows: int, rounds: int, depth: int, precision: float, least: int
           ) -> tuple[list, dict[int, float]] | None:
-    """Trees and thresholds by kind, from a bounded sample of the proposed spans."""
+    """Trees and thresholds by kind, from a bounded sample of the labelled spans."""
     base = {k: F.col("b." + k) for k in KINDS}
     found = docs.withColumn("b", F.struct(*[c.alias(k) for k, c in base_spans(F.col("text")).items()]))
-    found = found.select("doc_id", F.explode(candidates(F.col("text"), base)).alias("c")).select(
-        F.xxhash64("doc_id", "c.kind", "c.s").alias("x"), "c.kind", "c.f", F.col("c.y").cast("double").alias("y"))
+    found = found.withColumn("all", in_order(base))
+    found = found.select("doc_id", F.explode(candidates(F.col("text"), base, F.col("all"))).alias("c")).select(
+        F.xxhash64("doc_id", "c.kind", "c.s").alias("x"), "c.kind", "c.f", "c.y").filter("y is not null")
     sample = table(found.orderBy("x", "kind", F.col("f").cast("string")).limit(max_rows), "spans")
     rows = sample.withColumn("part", F.pmod("x", F.lit(4)))
     fit = rows.filter("part <> 0")
@@ -221,29 +264,22 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     model = train(d, max_rows=max_rows, rounds=rounds, depth=depth, precision=precision, least=least)
     text = F.col("text")
-    one = "array<struct<s:int,k:int,e:int>>"
     out = d.withColumn("b", F.struct(*[c.alias(k) for k, c in base_spans(text).items()]))
     base = {k: F.col("b." + k) for k in KINDS}
-    # base spans in order: by start, then kind
-    def placed(n: int, kind: str) -> Column:
-        return F.transform(base[kind], lambda x: F.struct(x["s"].alias("s"), F.lit(n).alias("k"), x["e"].alias("e")))
-    merged = F.array_sort(F.concat(*[placed(n, k) for n, k in enumerate(KINDS)])).cast(one)
-    out = out.withColumn("all", merged)
+    out = out.withColumn("all", in_order(base))
     if model is None:
-        added = F.array().cast(one)
+        added = F.array().cast(ONE)
     else:
         trees, limits = model
         limit = F.array(*[F.lit(limits[k]) for k in range(len(KINDS))])
 
-        def choose(all_spans: Column) -> Column:
-            new = F.filter(candidates(text, base), lambda c: ~_meets_blocks(c, all_spans))
-            scored = F.transform(new, lambda c: F.struct(
-                (-let(c["f"], lambda f: score(trees, f))).alias("p"), c["s"].alias("s"), c["kind"].alias("k"), c["e"].alias("e")))
-            good = F.array_sort(F.filter(scored, lambda c: -c["p"] >= F.get(limit, c["k"])))
-            # best first; a span that meets a better one is dropped
-            return F.aggregate(good, F.array().cast(one), lambda acc, c: F.when(_meets(c, acc), acc).otherwise(
-                F.concat(acc, F.array(F.struct(c["s"].alias("s"), c["k"].alias("k"), c["e"].alias("e")))).cast(one)))
-        added = let(blocks(F.col("all")), choose)
+        new = F.filter(candidates(text, base, F.col("all")), lambda c: c["y"].isNull())
+        scored = F.transform(new, lambda c: F.struct(
+            (-let(c["f"], lambda f: score(trees, f))).alias("p"), c["s"].alias("s"), c["kind"].alias("k"), c["e"].alias("e")))
+        good = F.array_sort(F.filter(scored, lambda c: -c["p"] >= F.get(limit, c["k"])))
+        # best first; a span that meets a better one is dropped
+        added = F.aggregate(good, F.array().cast(ONE), lambda acc, c: F.when(_meets(c, acc), acc).otherwise(
+            F.concat(acc, F.array(F.struct(c["s"].alias("s"), c["k"].alias("k"), c["e"].alias("e")))).cast(ONE)))
     out = out.withColumn("added", added)
     names = F.array(*[F.lit(k) for k in KINDS])
     joined = lambda a: F.array_join(F.transform(a, lambda x: F.concat_ws(":", F.get(names, x["k"]), x["s"].cast("string"), x["e"].cast("string"))), ",")

@@ -167,6 +167,46 @@ def test_pii_base_and_added(spark, docs, rows, none):
     assert pii.find_pii(none).count() == 0
 
 
+def luhn_number(rng):
+    d = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+    return next(d + c for c in "0123456789" if ("card", d + c) in {(s[2].split(":")[0], d + c) for s in base_spans(d + c)})
+
+
+def planted_rows(rng, n):
+    """(text, spans of other than base form) in prose; numbers that fail their check in logs."""
+    words = ["river", "stone", "cloud", "winter", "garden", "letter"]
+    say = lambda k: " ".join(rng.choice(words) for _ in range(k))                      # noqa: E731
+    num = lambda k: "".join(rng.choice("123456789") for _ in range(k))                 # noqa: E731
+    host = lambda: ".".join(str(rng.randint(1, 255)) for _ in range(4))                # noqa: E731
+    out = []
+    for k in range(n):
+        t, spans = "", []
+        card, loose = luhn_number(rng), luhn_number(rng)
+        for kind, cue, base, other in (
+                ("email", "mail", f"{rng.choice(words)}{k}@{rng.choice(words)}.org", f"{rng.choice(words)} [at] {rng.choice(words)} [dot] com"),
+                ("ip", "server", host(), host().replace(".", " . ")),
+                ("card", "card", " ".join(card[j:j + 4] for j in (0, 4, 8, 12)), "/".join(loose[j:j + 4] for j in (0, 4, 8, 12))),
+                ("phone", "phone", f"+1 ({num(3)}) {num(3)}-{num(4)}", f"({num(3)}) {num(3)}-{num(4)}")):
+            t += f"{say(6)} {cue} {base}, {say(6)} {cue} "
+            spans.append(f"{kind}:{len(t)}:{len(t) + len(other)}")
+            t += f"{other}, {say(6)}\n"
+        out.append((t, spans))
+    for k in range(n):
+        out.append(("\n".join(f"{num(5)} {num(2)}; {num(3)} | {rng.randint(256, 999)}.{num(3)}.{num(3)}.{num(3)} | {num(22)} | {num(2)}-{num(2)}-{num(3)} | "
+                              f"{num(3)}@{num(2)} .{num(2)} | {num(2)}" for _ in range(6)), []))
+    return out
+
+
+def test_pii_adds_other_forms_with_production_parameters(spark):
+    rows = planted_rows(random.Random(11), 200)
+    got = pii.find_pii(spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")).collect()
+    for r in got:
+        text, planted = rows[r.doc_id]
+        found = set(r.spans.split(",")) - {""}
+        assert set(planted) <= found, (text, planted, r.spans)
+        assert r.n_added == len(planted)
+
+
 def test_quality_rules(docs, rows, none):
     def plain(t):
         w, t = words_of(t), t or ""
