@@ -13,8 +13,11 @@ No feature tells base forms from others, or repeats what decides a label.
 Thresholds are calibrated on held-out spans: the least score at which
 ``precision`` of the labelled spans above it are positive.
 
-Everything runs in one pass over each row's arrays, so nothing is shuffled but
-the bounded training sample (``max_rows`` spans, least by a hash).
+Everything runs in passes over each row's arrays.  A quarter of the texts, by
+hash, is held out: all labelled spans there are scored and counted by kind and
+score for the thresholds.  The fit takes at most its share of ``max_rows`` spans
+of each kind and label from the other texts, least by a hash; the cut comes from
+counts by hash level, so nothing is shuffled but that sample.
 
 Defined results: null and empty texts have no spans; repeated rows are each
 scanned; without spans of both classes nothing is added to the base; an empty
@@ -225,17 +228,46 @@ def score(trees: list[tuple[float, list[str]]], f: Column) -> Column:
     return 1.0 / (1.0 + F.exp(-2.0 * margin))
 
 
-def train(docs: DataFrame, *, max_rows: int, rounds: int, depth: int, precision: float, least: int
-          ) -> tuple[list, dict[int, float]] | None:
-    """Trees and thresholds by kind, from a bounded sample of the labelled spans."""
+#: Hash levels of the sample: a level holds half the spans of the one before.
+LEVELS = 63
+
+
+def labelled(docs: DataFrame) -> DataFrame:
+    """kind, y, f, x (a hash) and level of each labelled span."""
     base = {k: F.col("b." + k) for k in KINDS}
     found = docs.withColumn("b", F.struct(*[c.alias(k) for k, c in base_spans(F.col("text")).items()]))
     found = found.withColumn("all", in_order(base))
-    found = found.select("doc_id", F.explode(candidates(F.col("text"), base, F.col("all"))).alias("c")).select(
-        F.xxhash64("doc_id", "c.kind", "c.s").alias("x"), "c.kind", "c.f", "c.y").filter("y is not null")
-    sample = table(found.orderBy("x", "kind", F.col("f").cast("string")).limit(max_rows), "spans")
-    rows = sample.withColumn("part", F.pmod("x", F.lit(4)))
-    fit = rows.filter("part <> 0")
+    found = found.select("doc_id", "h", F.explode(candidates(F.col("text"), base, F.col("all"))).alias("c")).filter(
+        "c.y is not null").select("c.kind", "c.y", "c.f", F.xxhash64("doc_id", "h", "c.kind", "c.s").alias("x"))
+    return found.withColumn("level", F.lit(LEVELS) - F.length(F.bin(F.shiftrightunsigned("x", 1))))
+
+
+def sample(spans: DataFrame, max_rows: int) -> DataFrame:
+    """At most ``max_rows`` spans, an equal share of it for each kind and label."""
+    share = max_rows // (2 * len(KINDS))
+    groups: dict[tuple, dict[int, int]] = {}
+    # at most 64 levels a kind and label
+    for r in spans.groupBy("kind", "y", "level").count().collect():
+        groups.setdefault((r["kind"], r["y"]), {})[r["level"]] = r["count"]
+    keep = F.lit(False)
+    for (kind, y), counts in groups.items():
+        total, cut = 0, max(counts)    # the last level is taken even if copies crowd it
+        for level in sorted(counts, reverse=True):
+            total += counts[level]
+            if total > share:
+                break
+            cut = level
+        keep = keep | ((F.col("kind") == kind) & (F.col("y") == y) & (F.col("level") >= cut))
+    return table(spans.filter(keep).orderBy("x", "kind", F.col("f").cast("string")).limit(max_rows), "spans")
+
+
+def train(docs: DataFrame, *, max_rows: int, rounds: int, depth: int, precision: float, least: int
+          ) -> tuple[list, dict[int, float]] | None:
+    """Trees from a bounded sample of the labelled spans, and thresholds by kind
+    from all that are held out.  Copies of a text are on the same side."""
+    docs = docs.withColumn("h", F.xxhash64("text"))
+    part = F.pmod("h", F.lit(4))
+    fit = sample(labelled(docs.filter(part != 0)), max_rows)
     if fit.select("y").distinct().count() < 2:
         return None
     from pyspark.ml.classification import GBTClassifier
@@ -243,13 +275,14 @@ def train(docs: DataFrame, *, max_rows: int, rounds: int, depth: int, precision:
     model = GBTClassifier(featuresCol="v", labelCol="y", maxIter=rounds, maxDepth=depth, stepSize=0.3, seed=1,
                           cacheNodeIds=False).fit(fit.select(array_to_vector("f").alias("v"), "y").coalesce(4))
     trees = tree_columns(model)
-    bins = rows.filter("part = 0").withColumn("p", let(F.col("f"), lambda f: score(trees, f))).groupBy(
+    bins = labelled(docs.filter(part == 0)).withColumn("p", let(F.col("f"), lambda f: score(trees, f))).groupBy(
         "kind", F.floor(F.col("p") * 100).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
+    # at most 101 bins a kind
+    bins = bins.collect()
     limits = {k: 2.0 for k in range(len(KINDS))}
     for kind in limits:
         n = pos = 0
-        # at most 101 bins a kind
-        for b in sorted((r for r in bins.collect() if r["kind"] == kind), key=lambda r: -r["bin"]):
+        for b in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
             n, pos = n + b["n"], pos + b["pos"]
             if n >= least and pos >= precision * n:
                 limits[kind] = b["bin"] / 100

@@ -207,6 +207,20 @@ def test_pii_adds_other_forms_with_production_parameters(spark):
         assert r.n_added == len(planted)
 
 
+def test_pii_thresholds_of_rare_kinds_beside_many_spans_of_others(spark):
+    rng = random.Random(12)
+    rows = planted_rows(rng, 150)
+    d = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")
+    num = F.expr("array_join(transform(sequence(1, 60), k -> substr(conv(substr(sha2(concat(id, '-', k), 256), 1, 15), 16, 10), 1, 11)), ' ; ')")
+    logs = spark.range(1500).select((F.col("id") + 10_000).alias("doc_id"), num.alias("text"))    # 90,000 failing card spans
+    got = {r.doc_id: r for r in pii.find_pii(d.unionByName(logs)).filter("doc_id < 10000").collect()}
+    for k, (text, planted) in enumerate(rows):
+        assert set(planted) <= set(got[k].spans.split(",")), (text, planted, got[k].spans)
+    spans = pii.labelled(d.unionByName(logs).withColumn("h", F.xxhash64("text")))
+    counts = {(r.kind, r.y): r["count"] for r in pii.sample(spans, 800).groupBy("kind", "y").count().collect()}
+    assert len(counts) == 8 and max(counts.values()) <= 100 and min(counts.values()) >= 30
+
+
 def test_quality_rules(docs, rows, none):
     def plain(t):
         w, t = words_of(t), t or ""
