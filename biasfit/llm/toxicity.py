@@ -3,12 +3,12 @@
 Features are hashed byte n-grams, present or not.  Each is scaled by its
 log-count ratio between the classes and a logistic regression is fitted on the
 scaled features.  The fit uses a bounded sample of labelled rows
-(``max_rows`` a class, texts of at most ``max_chars``, least by a hash of the
-id); every text is scored whole.
+(``max_rows`` a class among the ids that have a text of at most ``max_chars``,
+least by a hash of the id); every text is scored whole.
 
 Defined results: null and empty texts score the classifier's intercept;
 rows with a null id are scored but never trained on; repeated rows score alike;
-without labels of both classes every score is the share of toxic labels (0.5
+without such texts of both classes every score is the share of toxic labels (0.5
 without any); an empty table gives no rows; other columns are ignored.
 """
 
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import pick
+from .common import pick, table
 
 BITS = 20
 #: Lengths of the n-grams, in bytes.
@@ -67,11 +67,14 @@ def _sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_chars: int) -
     l = l.groupBy("doc_id").agg(F.max("y").alias("y"))
     n = {int(r["y"]): r["count"] for r in l.groupBy("y").count().collect()}
     pos, neg = n.get(1, 0), n.get(0, 0)
+    short = docs.filter(F.length("text") <= max_chars)
+    # ids only: the classes are cut among the labels that have a text to learn from
+    usable = table(l.join(short.select("doc_id").filter("doc_id is not null").distinct(), "doc_id", "left_semi"), "labelled")
     chosen = None
     for y in (0, 1):       # at most max_rows each: broadcast is bounded
-        one = l.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
+        one = usable.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
         chosen = one if chosen is None else chosen.unionByName(one)
-    texts = (docs.filter(F.length("text") <= max_chars).join(F.broadcast(chosen), "doc_id")
+    texts = (short.join(F.broadcast(chosen), "doc_id")
              .groupBy("doc_id").agg(F.min("text").alias("text"), F.first("y").alias("y")))
     got = texts.select("doc_id", F.col("y").cast("int").alias("y"), "text").mapInArrow(
         _features_task, "doc_id long, y int, x binary").toArrow()

@@ -276,6 +276,20 @@ def test_toxicity_learns_and_is_blind_to_labels(spark, docs, rows, none):
     assert toxicity.toxicity(none, l).count() == 0
 
 
+def test_toxicity_replaces_labels_without_a_usable_text(spark):
+    rng = random.Random(6)
+    say = lambda n: " ".join(rng.choice(["sun", "moon", "river", "stone", "wind"]) for _ in range(n))
+    data = [(k, say(20) + (" grobnik " if k % 2 else " ") + say(20), k % 2) for k in range(200)]
+    # far more labels of missing, null and long texts, in both classes
+    odd = [(10_000 + k, None if k % 2 else "long " * 300, k // 2 % 2) for k in range(1000)]
+    d = spark.createDataFrame([(i, t) for i, t, _ in data + odd], "doc_id long, text string")
+    l = spark.createDataFrame([(i, y) for i, _, y in data + odd] + [(50_000 + k, k % 2) for k in range(3000)], "doc_id long, toxic int")
+    y, xs, share = toxicity._sample(d, l.withColumnRenamed("toxic", "y"), 40, 1000)
+    assert (y == 0).sum() == (y == 1).sum() == len(xs) / 2 == 40 and share == pytest.approx(0.5, abs=0.05)
+    got = {r.doc_id: r.score for r in toxicity.toxicity(d, l, max_rows=40, max_chars=1000).collect()}
+    assert min(got[i] for i, _, y in data if y) > max(got[i] for i, _, y in data if not y)
+
+
 def test_golay_codewords_share_an_index_within_one_bit():
     rng = np.random.default_rng(0)
     v = rng.integers(0, 1 << 23, 4000)
