@@ -7,15 +7,18 @@ has its DuckDB twin beside it.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from biasfit import schemas as S
 from biasfit.functions.flags import add_flags
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.diagnostics import null_cells_by_column
-from biasfit.operators.effects import fit_bias, item_stats, global_mean, predict_bias, residuals, user_flag_effects, user_flag_stats
-from biasfit.operators.joins import JoinPolicy
+from biasfit.operators.effects import attach_bias, fit_bias, item_stats, global_mean, predict_bias, residuals, user_flag_effects, user_flag_stats
+from biasfit.operators.joins import JoinPolicy, keyed_join
 from biasfit.operators.sampling import anti_join_all, assign_holdout_roles, semi_join_keys
+from biasfit.operators.select import forward_select
 from biasfit.operators.sweep import sweep_bias
 from biasfit.session import scratch_path
 from biasfit.sources.testdata import TestdataViews
@@ -36,12 +39,12 @@ def r6(c: str):
 # ------------------------------------------------------------------- NULLs
 
 def null_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Facts with some user, item and tag values missing."""
+    """Facts with some user, item and tag values missing; ``tags`` has them all."""
     f = TestdataViews(spark, sf_dir).facts()
     return f.withColumns({
         "movieId": F.when(F.col("l_suppkey") % 7 != 0, F.col("movieId")),
         "userId": F.when((F.col("l_linenumber") != 3) | (F.col("l_orderkey") % 4 != 0), F.col("userId")),
-        "genres": F.when(F.col("l_suppkey") % 5 != 0, F.col("genres"))})
+        "genres": F.when(F.col("l_suppkey") % 5 != 0, F.col("genres")), "tags": F.col("genres")})
 
 
 def _null_parts(spark, sf_dir):
@@ -80,6 +83,23 @@ def q_effect_nulls(spark, sf_dir):
     return nulls.withColumn("of", F.lit("facts")).unionByName(eff.withColumn("of", F.lit("effects")))
 
 
+def q_forward_selection_nulls(spark, sf_dir):
+    """Every second flag misses the rows without tags; a set with such a term
+    has RMSE NULL and is rejected, the others are screened as usual."""
+    train, test = _null_parts(spark, sf_dir)
+    flags = list(S.TESTDATA_FLAGS)
+    part = lambda k: {f: S.TESTDATA_FLAGS[f] for f in flags[k::2]}                     # noqa: E731
+    put = lambda df: add_flags(add_flags(df, part(0), drop=()), part(1), tags="tags", drop=("genres", "tags", "title"))
+    test = put(semi_join_keys(test, train))
+    train = put(train)
+    model = fit_bias(train, LAMBDA)
+    effects = user_flag_effects(user_flag_stats(residuals(train, model), flags), flags, S.SCREEN_LAMBDA)
+    scored = keyed_join(attach_bias(test, model), effects, "userId", "left", count_col="m_u", null_safe=True)
+    rows = [(s["step"], s["flag"], None if math.isnan(s["rmse"]) else round(float(s["rmse"]), 6), s["decision"], s["kept"])
+            for s in forward_select(scored, flags, model.mu).steps]
+    return spark.createDataFrame(rows, "step INT, flag STRING, rmse DOUBLE, decision STRING, kept STRING")
+
+
 # ----------------------------------------------------------------- hold-out
 
 def _cut(n: int):
@@ -155,11 +175,45 @@ def q_genre_flags_compat(spark, sf_dir):
 
 
 QUERIES = {f.__name__[2:]: f for f in (
-    q_user_effect_nulls, q_bias_rmse_nulls, q_bias_sweep_salted, q_effect_nulls, q_holdout_orphans_returned,
+    q_user_effect_nulls, q_bias_rmse_nulls, q_bias_sweep_salted, q_effect_nulls, q_forward_selection_nulls, q_holdout_orphans_returned,
     q_split_orphans_dropped, q_holdout_by_joins, q_validation_refiltered, q_rejected_lines, q_genre_flags_19,
     q_genre_flags_compat)}
 
 
+def _selection_sql(flags: list[tuple[str, str]], lam: str) -> str:
+    """Greedy steps over the rows of ``ntr`` and ``nte``, each scored directly."""
+    put = ", ".join(f"contains({('genres', 'tags')[k % 2]}, '{p}')::INT AS {f}" for k, (f, p) in enumerate(flags))
+    screen = f"CAST({float(S.SCREEN_LAMBDA)!r} AS DOUBLE)"
+    effect = ", ".join(f"coalesce(sum(e) FILTER (WHERE {f} = {v}), 0) / (count(*) FILTER (WHERE {f} = {v}) + {screen}) AS {f}_{d}"
+                       for f, _ in flags for v, d in ((1, "up"), (0, "down")))
+    xs = ", ".join(f"(r.{f} * 2 - 1) * (u.{f}_up - u.{f}_down) / 2 AS x{k}" for k, (f, _) in enumerate(flags))
+    # a row without the term makes the RMSE of the set NULL
+    rmse = lambda x: f"CASE WHEN count(*) = count({x}) THEN sqrt(avg(power({x}, 2))) END"          # noqa: E731
+    sql = f"""
+      , nbias AS (SELECT movieId, s / (n + {lam}) AS b_i FROM nst),
+      nbu AS (SELECT userId, u / (m_u + {lam}) AS b_u FROM nus WHERE lam = {lam}),
+      nft AS (SELECT l_linenumber <> 1 AS train, rating, CASE WHEN l_suppkey % 7 <> 0 THEN movieId END AS movieId,
+        CASE WHEN l_linenumber <> 3 OR l_orderkey % 4 <> 0 THEN userId END AS userId,
+        CASE WHEN l_suppkey % 5 <> 0 THEN genres END AS genres, genres AS tags FROM facts),
+      nall AS (SELECT t.*, rating - (m + b_i + b_u) AS e FROM nft t
+        JOIN nbias ON nbias.movieId IS NOT DISTINCT FROM t.movieId JOIN nbu ON nbu.userId IS NOT DISTINCT FROM t.userId, nmu),
+      nfl AS MATERIALIZED (SELECT train, userId, e, {put} FROM nall),
+      nfe AS MATERIALIZED (SELECT userId, {effect} FROM nfl WHERE train GROUP BY userId),
+      nxs AS MATERIALIZED (SELECT r.e, {xs} FROM nfl r JOIN nfe u ON u.userId IS NOT DISTINCT FROM r.userId WHERE NOT r.train),
+      ns0 AS (SELECT {rmse('e')} AS best0 FROM nxs)"""
+    for k in range(len(flags)):
+        kept = "".join(f" - CASE WHEN p.inc{j} THEN x{j} ELSE 0 END" for j in range(k))
+        sql += f""",
+      ns{k}a AS MATERIALIZED (SELECT p.*, (SELECT {rmse(f'e{kept} - x{k}')} FROM nxs) AS cand{k} FROM ns{k} p),
+      ns{k + 1} AS MATERIALIZED (SELECT *, coalesce(cand{k} < best{k}, false) AS inc{k},
+        CASE WHEN cand{k} < best{k} THEN cand{k} ELSE best{k} END AS best{k + 1} FROM ns{k}a)"""
+    names = lambda k: ", ".join(f"CASE WHEN inc{j} THEN '{flags[j][0]}' END" for j in range(k + 1))
+    return sql + " UNION ALL ".join(
+        f""" SELECT {k + 1}::INT AS step, '{f}' AS flag, round(cand{k}, 6) AS rmse,
+            CASE WHEN inc{k} THEN 'include' ELSE 'reject' END AS decision, concat_ws(',', {names(k)}) AS kept
+            FROM ns{len(flags)}""" for k, (f, _) in enumerate(flags))
+
+
 def oracle_sql(with_) -> dict[str, str]:
     """``with_(final, upto)`` puts the shared CTEs up to ``upto`` before a query."""
     flags = list(S.TESTDATA_FLAGS.items())
@@ -197,6 +251,7 @@ def oracle_sql(with_) -> dict[str, str]:
     cells += ["SELECT 'userId', count(*) FILTER (WHERE userId IS NULL), 'effects' FROM (SELECT DISTINCT userId FROM ntr)"]
     cells += [f"SELECT '{f}_{d}', 0, 'effects'" for f, _ in flags for d in ("down", "up")]
     q["effect_nulls"] = chain(" UNION ALL ".join(cells))
+    q["forward_selection_nulls"] = chain(_selection_sql(flags, lam))
     h = "md5(l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR)"
     order = f""", bo AS (SELECT userId, l_orderkey AS movieId, l_orderkey, l_linenumber,
         substr({h}, 1, 2) < '1a' AS sampled, substr({h}, 3, 2) < '1a' AS later FROM ratings),

@@ -77,3 +77,24 @@ def test_writers_keep_nulls(spark, tmp_path):
     i = spark.createDataFrame([(1, None, "A|B"), (2, "T", None)], "movieId LONG, title STRING, genres STRING")
     write_items_text(i, str(tmp_path / "i"))
     assert sorted(map(tuple, read_items_text(spark, str(tmp_path / "i")).collect())) == [(1, "", "A|B"), (2, "T", "")]
+
+
+def test_selection_with_missing_flags_on_the_tables(spark):
+    import duckdb
+
+    import __spark_entry__ as entry
+    from conftest import SF001
+    con = duckdb.connect()
+    for t in ("part", "orders", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
+    df = entry.queries()["forward_selection_nulls"](spark, SF001)
+    got = {r.flag: tuple(r) for r in df.collect()}
+    res = con.execute(entry.oracle_sql()["forward_selection_nulls"])
+    assert [d[0] for d in res.description] == df.columns
+    want = {r[1]: r for r in res.fetchall()}
+    assert got.keys() == want.keys()
+    for f, r in got.items():
+        assert (r[0], *r[3:]) == (want[f][0], *want[f][3:]) and r[2] == pytest.approx(want[f][2], abs=2e-6)
+    missing = [r for r in got.values() if r[2] is None]
+    assert len(missing) == (len(got) + 1) // 2 and all(r[3] == "reject" for r in missing)
+    assert any(r[3] == "include" for r in got.values())
