@@ -1,6 +1,6 @@
 """Operations for preparing language-model training data.
 
-Ten operators (one module each) and the queries that apply them to the
-``documents`` and ``embeddings`` tables.  Nothing else in the library imports
+Thirteen operators (one module each) and the queries that apply them to the
+``documents``, ``embeddings`` and ``benchmark`` tables.  Nothing else in the library imports
 this subpackage; it imports only general helpers of the library.
 """

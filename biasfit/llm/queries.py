@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import licenses, lines, mixing, neighbours, packing, pii, rules, simhash, tokens, toxicity
+from . import (fingerprints, hard_negatives, lexical, licenses, lines, mixing, neighbours, packing, pii, rules, simhash, tokens,
+               toxicity)
 from .common import read
 
 
@@ -49,10 +50,25 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_documents(read(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return hard_negatives.mine(rows, F.col("id") % 50 == 0)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_pii, op3_quality_rules, op4_toxicity, op5_simhash, op6_license_scan, op7_neighbours, op8_line_dedup,
-    op9_token_counts, op10_mixing)}
-ORACLE = {"op3_quality_rules": rules.ORACLE, "op8_line_dedup": lines.ORACLE, "op10_mixing": mixing.ORACLE}
+    op9_token_counts, op10_mixing, op11_fingerprints, op12_hard_negatives, op13_lexical_search)}
+ORACLE = {"op3_quality_rules": rules.ORACLE, "op8_line_dedup": lines.ORACLE, "op10_mixing": mixing.ORACLE,
+          "op12_hard_negatives": hard_negatives.ORACLE, "op13_lexical_search": lexical.ORACLE}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
