@@ -36,80 +36,92 @@ from pyspark.sql import DataFrame, functions as F
 
 from .common import pick
 
-SAMPLES = 128
+SAMPLES = 64
 SEED = 42
 #: (term, weight) rows kept by a worker, and rows drawn at a time.
-KEPT, BLOCK = 1 << 16, 1 << 10
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+KEPT, BLOCK = 1 << 17, 1 << 9
+_PLACE = np.uint64(0xFFFF)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    """A 64-bit finaliser (two rounds of shift, xor and odd multiplier)."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two uniform numbers in (0, 1) from each hash."""
-    low = (x & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    return ((x >> np.uint64(32)).astype(np.float64) + 0.5) * 2.0 ** -32, (low + 0.5) * 2.0 ** -32
-
-
-def draws(terms: list[bytes], weights: np.ndarray, samples: int = SAMPLES) -> tuple[np.ndarray, np.ndarray]:
-    """For each (term, weight) and draw: the number whose least wins, and the
-    16 bits that the fingerprint holds if it does."""
+    """A 32-bit finaliser (shifts, xors and odd multipliers), in place."""
+    x ^= x >> np.uint32(16)
+    x *= np.uint32(0x85EBCA6B)
+    x ^= x >> np.uint32(13)
+    x *= np.uint32(0xC2B2AE35)
+    x ^= x >> np.uint32(16)
+    return x
+
+
+def _gamma(x: np.ndarray) -> np.ndarray:
+    """Gamma variables of shape 2: two uniform numbers of 16 bits a hash."""
+    half = np.float32(0.5)
+    return -np.log(((x >> np.uint32(16)).astype(np.float32) + half) * ((x & np.uint32(0xFFFF)).astype(np.float32) + half)
+                   * np.float32(2.0 ** -32))
+
+
+def draws(terms: list[bytes], weights: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
+    """For each (term, weight) and draw, the number whose least wins; its last
+    16 bits are what the fingerprint then holds, a hash of the term and the
+    step of its weight."""
     h = np.fromiter((xxhash.xxh64_intdigest(t, SEED) for t in terms), dtype=np.uint64, count=len(terms))
-    k = _STEP * np.arange(1, 3 * samples + 1, dtype=np.uint64).reshape(3, 1, samples)
-    gamma_r, gamma_c, place = (_mix(h[:, None] + k[i]) for i in range(3))
-    u, v = _halves(gamma_r)
-    r = -np.log(u * v)
-    u, v = _halves(gamma_c)
-    ln_c = np.log(-np.log(u * v))
-    beta, _ = _halves(place)
-    t = np.floor(np.log(weights)[:, None] / r + beta)
-    value = ln_c - r * (t - beta) - r
-    bits = (place + t.astype(np.int64).astype(np.uint64) * _STEP) & np.uint64(0xFFFFFFFF)
-    return value.astype(np.float32), (bits >> np.uint64(8)).astype("<u2")
+    low, high = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)[:, None], (h >> np.uint64(32)).astype(np.uint32)[:, None]
+    k = np.arange(samples, dtype=np.uint32)[None, :] * np.uint32(0x9E3779B1)
+    own = _mix(low + k) ^ high
+    first, second, place = (_mix(own + np.uint32(c)) for c in (0x3C6EF372, 0xDAA66D2B, 0x78DDE6E4))
+    r, ln_c = _gamma(first), np.log(_gamma(second))
+    beta = ((place >> np.uint32(9)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -23)
+    t = np.floor(np.log(weights.astype(np.float32))[:, None] / r + beta)
+    value = (ln_c - r * (t - beta) - r).astype(np.float64)
+    bits = _mix(place + t.astype(np.int64).astype(np.uint32) * np.uint32(0x9E3779B1) + np.uint32(1))
+    # a single-precision number leaves the last 29 bits of a double free
+    return (value.view(np.uint64) | (bits.astype(np.uint64) & _PLACE)).view(np.float64)
 
 
 class Sampler:
-    """Fingerprints of texts, with the draws of frequent (term, weight) pairs kept."""
+    """Fingerprints of texts.  The draws of (term, weight) pairs are kept while
+    there is room; when there is none, the half that was met least goes."""
 
     def __init__(self, samples: int = SAMPLES):
         self.samples = samples
         self.rows: dict[tuple[bytes, int], int] = {}
-        self.value = np.empty((KEPT, samples), dtype=np.float32)
-        self.bits = np.empty((KEPT, samples), dtype="<u2")
-
-    def _place(self, pairs: list[tuple[bytes, int]]) -> list[int]:
-        new = [p for p in pairs if p not in self.rows]
-        if len(self.rows) + len(new) > KEPT:
-            self.rows.clear()
-            new = pairs
-        for a in range(0, len(new), BLOCK):
-            part = new[a:a + BLOCK]
-            at = len(self.rows)
-            end = at + len(part)
-            self.value[at:end], self.bits[at:end] = draws([t for t, _ in part], np.array([w for _, w in part], dtype=np.float64),
-                                                          self.samples)
-            self.rows.update(zip(part, range(at, end)))
-        return [self.rows[p] for p in pairs]
+        self.drawn = np.empty((KEPT, samples))
+        self.met = np.zeros(KEPT, dtype=np.int64)
+
+    def _make_room(self) -> None:
+        order = np.argsort(-self.met[:len(self.rows)], kind="stable")[:KEPT // 2]
+        pairs = list(self.rows)
+        self.rows = {pairs[i]: at for at, i in enumerate(order.tolist())}
+        self.drawn[:len(order)] = self.drawn[order]
+        self.met[:len(order)] = self.met[order] // 2
+        self.met[len(order):] = 0
+
+    def _least(self, pairs: list[tuple[bytes, int]]) -> np.ndarray:
+        """The least draws among at most ``BLOCK`` pairs not kept yet."""
+        new = draws([t for t, _ in pairs], np.array([w for _, w in pairs]), self.samples)
+        if len(self.rows) + len(pairs) > KEPT:
+            self._make_room()
+        at = len(self.rows)
+        self.drawn[at:at + len(pairs)] = new
+        self.rows.update(zip(pairs, range(at, at + len(pairs))))
+        return new.min(axis=0)
 
     def __call__(self, text: str | None) -> np.ndarray:
         pairs = list(Counter((text or "").encode().lower().split()).items())
-        best = np.full(self.samples, np.inf, dtype=np.float32)
-        out = np.zeros(self.samples, dtype="<u2")
-        each = np.arange(self.samples)
-        for a in range(0, len(pairs), 4 * BLOCK):
-            rows = np.array(self._place(pairs[a:a + 4 * BLOCK]))
-            values = self.value[rows]
-            win = values.argmin(axis=0)
-            least = values[win, each]
-            better = least < best
-            best[better] = least[better]
-            out[better] = self.bits[rows[win], each][better]
-        return out
+        if not pairs:
+            return np.zeros(self.samples, dtype="<u2")
+        best = np.full(self.samples, np.inf)
+        for a in range(0, len(pairs), 16 * BLOCK):
+            some = pairs[a:a + 16 * BLOCK]
+            found = list(map(self.rows.get, some))
+            rows = np.array([i for i in found if i is not None], dtype=np.int64)
+            if len(rows):
+                self.met[rows] += 1
+                best = np.minimum(best, self.drawn[rows].min(axis=0))
+            new = [p for p, i in zip(some, found) if i is None]
+            for b in range(0, len(new), BLOCK):
+                best = np.minimum(best, self._least(new[b:b + BLOCK]))
+        return (best.view(np.uint64) & _PLACE).astype("<u2")
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:
