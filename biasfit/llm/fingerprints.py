@@ -39,7 +39,7 @@ from .common import pick
 SAMPLES = 64
 SEED = 42
 #: (term, weight) rows kept by a worker, and rows drawn at a time.
-KEPT, BLOCK = 1 << 17, 1 << 9
+KEPT, BLOCK = 1 << 16, 1 << 8
 _PLACE = np.uint64(0xFFFF)
 
 
@@ -54,39 +54,57 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def _gamma(x: np.ndarray) -> np.ndarray:
-    """Gamma variables of shape 2: two uniform numbers of 16 bits a hash."""
-    half = np.float32(0.5)
-    return -np.log(((x >> np.uint32(16)).astype(np.float32) + half) * ((x & np.uint32(0xFFFF)).astype(np.float32) + half)
-                   * np.float32(2.0 ** -32))
+    """Minus gamma variables of shape 2: two uniform numbers of 16 bits a hash."""
+    u, v = (h.view(np.int32).astype(np.float32) for h in (x >> np.uint32(16), x & np.uint32(0xFFFF)))
+    u += np.float32(0.5)
+    v += np.float32(0.5)
+    u *= v
+    u *= np.float32(2.0 ** -32)
+    return np.log(u, out=u)
 
 
-def draws(terms: list[bytes], weights: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
-    """For each (term, weight) and draw, the number whose least wins; its last
-    16 bits are what the fingerprint then holds, a hash of the term and the
-    step of its weight."""
-    h = np.fromiter((xxhash.xxh64_intdigest(t, SEED) for t in terms), dtype=np.uint64, count=len(terms))
+def term_hashes(terms: list[bytes]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(t, SEED) for t in terms), dtype=np.uint64, count=len(terms))
+
+
+def draws(h: np.ndarray, weights: np.ndarray, samples: int = SAMPLES) -> np.ndarray:
+    """For each term (by its hash) with its weight and each draw, the number
+    whose least wins; its last 16 bits are what the fingerprint then holds, a
+    hash of the term and the step of its weight."""
     low, high = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)[:, None], (h >> np.uint64(32)).astype(np.uint32)[:, None]
     k = np.arange(samples, dtype=np.uint32)[None, :] * np.uint32(0x9E3779B1)
-    own = _mix(low + k) ^ high
+    own = _mix(low + k)
+    own ^= high
     first, second, place = (_mix(own + np.uint32(c)) for c in (0x3C6EF372, 0xDAA66D2B, 0x78DDE6E4))
-    r, ln_c = _gamma(first), np.log(_gamma(second))
-    beta = ((place >> np.uint32(9)).astype(np.float32) + np.float32(0.5)) * np.float32(2.0 ** -23)
-    t = np.floor(np.log(weights.astype(np.float32))[:, None] / r + beta)
-    value = (ln_c - r * (t - beta) - r).astype(np.float64)
-    bits = _mix(place + t.astype(np.int64).astype(np.uint32) * np.uint32(0x9E3779B1) + np.uint32(1))
+    minus_r, minus_c = _gamma(first), _gamma(second)
+    beta = (place >> np.uint32(9)).view(np.int32).astype(np.float32)
+    beta += np.float32(0.5)
+    beta *= np.float32(2.0 ** -23)
+    t = np.floor(beta - np.log(weights.astype(np.float32))[:, None] / minus_r)
+    place += t.astype(np.int32).view(np.uint32) * np.uint32(0x9E3779B1) + np.uint32(1)
+    # ln c - r (t - beta) - r
+    beta -= t
+    beta -= np.float32(1)
+    beta *= minus_r
+    value = np.log(np.negative(minus_c, out=minus_c), out=minus_c)
+    value -= beta
     # a single-precision number leaves the last 29 bits of a double free
-    return (value.view(np.uint64) | (bits.astype(np.uint64) & _PLACE)).view(np.float64)
+    out = value.astype(np.float64)
+    out.view(np.uint64)[...] |= _mix(place) & np.uint32(0xFFFF)
+    return out
 
 
 class Sampler:
-    """Fingerprints of texts.  The draws of (term, weight) pairs are kept while
-    there is room; when there is none, the half that was met least goes."""
+    """Fingerprints of texts.  The draws of (term, weight) pairs met again are
+    kept while there is room; when there is none, the half met least goes."""
 
     def __init__(self, samples: int = SAMPLES):
         self.samples = samples
         self.rows: dict[tuple[bytes, int], int] = {}
         self.drawn = np.empty((KEPT, samples))
         self.met = np.zeros(KEPT, dtype=np.int64)
+        self.seen = np.zeros(16 * KEPT, dtype=bool)
+        self.marks = 0
 
     def _make_room(self) -> None:
         order = np.argsort(-self.met[:len(self.rows)], kind="stable")[:KEPT // 2]
@@ -98,12 +116,20 @@ class Sampler:
 
     def _least(self, pairs: list[tuple[bytes, int]]) -> np.ndarray:
         """The least draws among at most ``BLOCK`` pairs not kept yet."""
-        new = draws([t for t, _ in pairs], np.array([w for _, w in pairs]), self.samples)
-        if len(self.rows) + len(pairs) > KEPT:
+        h, w = term_hashes([t for t, _ in pairs]), np.array([w for _, w in pairs])
+        new = draws(h, w, self.samples)
+        mark = (h + w.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(len(self.seen))
+        again = np.nonzero(self.seen[mark])[0]
+        self.seen[mark] = True
+        self.marks += len(pairs) - len(again)
+        if self.marks > len(self.seen) // 4:
+            self.seen[:] = False
+            self.marks = 0
+        if len(self.rows) + len(again) > KEPT:
             self._make_room()
         at = len(self.rows)
-        self.drawn[at:at + len(pairs)] = new
-        self.rows.update(zip(pairs, range(at, at + len(pairs))))
+        self.drawn[at:at + len(again)] = new[again]
+        self.rows.update(zip([pairs[i] for i in again.tolist()], range(at, at + len(again))))
         return new.min(axis=0)
 
     def __call__(self, text: str | None) -> np.ndarray:

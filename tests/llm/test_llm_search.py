@@ -62,7 +62,7 @@ def test_sampling_estimates_generalised_jaccard():
 def test_sampling_follows_the_definition(monkeypatch):
     """The least over all terms, one by one; with a full store and small blocks too."""
     text = "a b b c c c d " * 3 + " ".join(f"t{i}" for i in range(300))
-    each = np.concatenate([fingerprints.draws([t], np.array([w]), 32) for t, w in weights(text).items()])
+    each = np.concatenate([fingerprints.draws(fingerprints.term_hashes([t]), np.array([w]), 32) for t, w in weights(text).items()])
     want = each.min(axis=0).view(np.uint64) & np.uint64(0xFFFF)
     assert (fingerprints.Sampler(32)(text) == want).all()
     monkeypatch.setattr(fingerprints, "KEPT", 100)
