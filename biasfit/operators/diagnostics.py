@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from biasfit.operators.order_stats import ranked_values, type7_ranks
+from biasfit.operators.order_stats import radix, ranked_values, type7_ranks, with_image
 
 
 def null_cells(df: DataFrame) -> DataFrame:
@@ -54,18 +54,19 @@ def flag_quantiles(df: DataFrame, flags: Sequence[str], value: str, probs: Seque
                    final_rows: int = 10_000) -> dict[tuple[str, int], tuple[int, list[float]]]:
     """``{(flag, level): (n, type-7 quantiles)}`` of the rows at each level of each 0/1 flag.
 
-    One histogram over the whole value range counts every (flag, level) in its
-    own column, so rows are not repeated by flag; only rows of the buckets that
-    hold a wanted rank are, for the exact search among them.
+    One histogram over the images of the values (see ``order_stats``) counts
+    every (flag, level) in its own column, so rows are not repeated by flag;
+    only rows of the buckets that hold a wanted rank are, for the exact search
+    among them.
     """
     d = df.where(F.col(value).isNotNull() & ~F.isnan(value)).select(F.col(value).alias("value"), *flags)
     lo, hi = d.agg(F.min("value"), F.max("value")).first()
     if lo is None:
         return {}
-    scale = BINS / (hi - lo) if hi > lo else 0.0
-    bucket = F.least(F.lit(BINS - 1), F.floor((F.col("value") - F.lit(lo)) * F.lit(scale))).cast("int")
-    hist = d.groupBy(bucket.alias("_b")).agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"),
-                                             *_level_counts(flags)).orderBy("_b").collect()   # at most BINS rows
+    shift, base = radix(lo, hi, BINS)
+    d = with_image(d, "value", "_img").withColumn("_b", F.expr(f"CAST(shiftright(_img, {shift}) - {base}L AS INT)")).drop("_img")
+    hist = d.groupBy("_b").agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"),
+                                             *_level_counts(flags)).orderBy("_b").collect()   # at most BINS + 1 rows
     plan, ranks, bounds, wanted = {}, {}, {}, set()
     for f in flags:
         for v in LEVELS:
@@ -83,7 +84,7 @@ def flag_quantiles(df: DataFrame, flags: Sequence[str], value: str, probs: Seque
                 ranks.setdefault((f, v), []).append(rank)
                 bounds[(f, v, rank)] = (rank - before, r["_mn"], r["_mx"], r[col])
                 wanted.add(r["_b"])
-    near = unpivot_flags(d.where(bucket.isin(sorted(wanted))), flags, "value").where(F.col("level").isNotNull())
+    near = unpivot_flags(d.where(F.col("_b").isin(sorted(wanted))), flags, "value").where(F.col("level").isNotNull())
     at = ranked_values(near, "value", ["flag", "level"], bounds, final_rows=final_rows)
     out = {}
     for g, pl in plan.items():
@@ -95,33 +96,32 @@ def flag_quantiles(df: DataFrame, flags: Sequence[str], value: str, probs: Seque
     return out
 
 
-def boxplot_stats(df: DataFrame, flags: Sequence[str], value: str = "resid",
-                  coef: float = 1.5, chunk: int = 12) -> DataFrame:
+def boxplot_stats(df: DataFrame, flags: Sequence[str], value: str = "resid", coef: float = 1.5) -> DataFrame:
     """Per flag and level: ``n, q1, median, q3, whisker_low, whisker_high, n_outliers``.
 
-    Quartiles are exact type-7 (histogram search, no group gathered in one
+    Quartiles are exact type-7 (radix selection, no group gathered in one
     task); whiskers are the most extreme values within ``coef * IQR`` of the
     hinges; outliers lie beyond.  Rows with a NULL flag are left out.  Flags go
     in chunks, whose aggregates stay under the whole-stage-codegen field limit.
     """
-    parts = []
     v = F.col(value)
-    for i in range(0, len(flags), chunk):
-        some = list(flags[i:i + chunk])
-        aggs, rows = [], []
-        for (f, lvl), (n, (q1, q2, q3)) in flag_quantiles(df, some, value, [0.25, 0.5, 0.75]).items():
+    rows = df.where(v.isNotNull() & ~F.isnan(v))
+    stats = {}
+    for i in range(0, len(flags), COUNTED):
+        stats |= flag_quantiles(df, list(flags[i:i + COUNTED]), value, [0.25, 0.5, 0.75])
+    parts = []
+    for some in (list(stats.items())[i:i + WHISKERS] for i in range(0, len(stats), WHISKERS)):
+        aggs, cells = [], []
+        for k, ((f, lvl), (n, (q1, q2, q3))) in enumerate(some):
             at = F.col(f) == lvl
             inside = (v >= F.lit(q1 - coef * (q3 - q1))) & (v <= F.lit(q3 + coef * (q3 - q1)))
-            k = len(rows)
             aggs += [F.min(F.when(at & inside, v)).alias(f"_lo{k}"), F.max(F.when(at & inside, v)).alias(f"_hi{k}"),
                      F.count(F.when(at & ~inside, 1)).alias(f"_out{k}")]
-            rows.append(F.struct(
+            cells.append(F.struct(
                 F.lit(f).alias("flag"), F.lit(lvl).alias("level"), F.lit(q1).alias("q1"), F.lit(q2).alias("median"),
                 F.lit(q3).alias("q3"), F.lit(n).cast("bigint").alias("n"), F.col(f"_lo{k}").alias("whisker_low"),
                 F.col(f"_hi{k}").alias("whisker_high"), F.col(f"_out{k}").alias("n_outliers")))
-        if rows:
-            wide = df.where(v.isNotNull() & ~F.isnan(v)).agg(*aggs)
-            parts.append(wide.select(F.inline(F.array(*rows))))
+        parts.append(rows.agg(*aggs).select(F.inline(F.array(*cells))))
     if not parts:
         return df.sparkSession.createDataFrame([], BOX_SCHEMA)
     out = parts[0]
@@ -130,5 +130,31 @@ def boxplot_stats(df: DataFrame, flags: Sequence[str], value: str = "resid",
     return out
 
 
+def boxplot_outliers(df: DataFrame, stats: DataFrame, flags: Sequence[str], value: str = "resid", coef: float = 1.5) -> DataFrame:
+    """``flag, level, value``: every point beyond the whiskers of ``stats``.
+
+    ``stats`` is :func:`boxplot_stats` of the same rows: at most two rows per
+    flag, which become conditions; a row is repeated only for the flags at
+    whose level it lies outside.  The result grows with the data: write it."""
+    fences = {}
+    for r in stats.select("flag", "level", "q1", "q3").collect():
+        fences[(r["flag"], r["level"])] = (r["q1"] - coef * (r["q3"] - r["q1"]), r["q3"] + coef * (r["q3"] - r["q1"]))
+    v = F.col(value)
+    cells = []
+    for f in flags:
+        out = F.lit(False)
+        for lvl in LEVELS:
+            if (f, lvl) in fences:
+                lo, hi = fences[(f, lvl)]
+                out = out | ((F.col(f) == lvl) & ((v < F.lit(lo)) | (v > F.lit(hi))))
+        cells.append(F.when(out, F.struct(F.lit(f).alias("flag"), F.col(f).cast("int").alias("level"))))
+    rows = df.where(v.isNotNull() & ~F.isnan(v))
+    return rows.select(F.explode(F.filter(F.array(*cells), lambda x: x.isNotNull())).alias("_x"), v.alias("value")).select(
+        "_x.flag", "_x.level", "value")
+
+
+#: Flags counted in one histogram and (flag, level) cells in one whisker
+#: aggregate: below the codegen field limit.
+COUNTED, WHISKERS = 40, 30
 BOX_SCHEMA = ("flag STRING, level INT, q1 DOUBLE, median DOUBLE, q3 DOUBLE, n BIGINT, whisker_low DOUBLE, "
               "whisker_high DOUBLE, n_outliers BIGINT")

@@ -3,27 +3,25 @@
 ``percentile`` (exact) sorts every value of a group inside one task, and a
 window ordered within a group does the same; with a handful of groups over
 billions of rows neither scales.  Here the k-th smallest value of a group is
-found by successive histogram passes:
-
-1. one aggregate gives ``count, min, max`` per group;
-2. each pass splits the current value range of every open search into
-   ``bins`` equal-width buckets and counts rows per bucket with a
-   partial-aggregated ``groupBy`` (the driver receives at most
-   ``searches x bins`` small rows); the bucket holding the wanted rank
-   becomes the next range (its own min/max, so the range always shrinks);
+found by radix selection on an image of the values:
+
+1. one aggregate gives ``count, min, max`` per group (or bounds are known);
+2. the image of a double is its 64-bit pattern read as an ordered integer, so
+   equal steps of the image follow the values whatever their spread.  Each
+   pass takes the leading 12 bits in which the ends of a search's range
+   differ, counts rows per value of those bits with a partial-aggregated
+   ``groupBy`` (the driver receives at most ``searches x bins`` small rows),
+   and goes on in the bucket that holds the wanted rank, from its least to its
+   largest value: at most six passes for any values;
 3. once a range holds at most ``final_rows`` rows (or a single value),
    the few remaining candidates are ranked with ``row_number`` inside their
    search, a window over a bounded set.
-
-The bucket index ``floor((x - lo) * bins / (hi - lo))`` is monotone in ``x``
-under IEEE rounding, so cumulative bucket counts order rows exactly.  With
-uniform keys (hashes) two passes reach a bounded set at any realistic size;
-for smooth values a few more.
 """
 
 from __future__ import annotations
 
 import math
+import struct
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -32,6 +30,37 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 _G0 = "_grp0"
+_IMG = "_img"
+_A, _E = "_abs", "_exp"
+
+
+def image_of(x: float) -> int:
+    """The image of a value that :func:`with_image` gives it."""
+    bits = struct.unpack("<q", struct.pack("<d", x))[0]
+    return bits if bits >= 0 else -(bits & 0x7FFFFFFFFFFFFFFF)
+
+
+def with_image(df: DataFrame, key: str, name: str = _IMG) -> DataFrame:
+    """Add the order-preserving BIGINT image of a DOUBLE (no NaN; -0 as 0): its
+    exponent from a logarithm, put right by comparison, and its mantissa, both
+    by exact steps."""
+    two = lambda e: f"pow(2.0D, {e})"                                                   # noqa: E731
+    d = df.withColumn(_A, F.abs(F.col(key).cast("double")))
+    d = d.withColumn(_E, F.expr(f"CASE WHEN {_A} > 0 AND {_A} < double('inf') THEN floor(log2({_A})) ELSE 0L END"))
+    d = d.withColumn(_E, F.expr(f"CASE WHEN {_A} = 0 THEN 0L WHEN {_A} < {two(_E)} THEN {_E} - 1 "
+                                f"WHEN {_A} >= {two(_E + ' + 1')} THEN {_E} + 1 ELSE {_E} END"))
+    size = (f"CASE WHEN {_A} = double('inf') THEN {0x7FF << 52}L "
+            f"WHEN {_A} < {two('-1022')} THEN CAST({_A} * {two('537')} * {two('537')} AS BIGINT) "
+            f"ELSE ({_E} + 1022) * {1 << 52}L + CAST({_A} / {two(_E)} * {two('52')} AS BIGINT) END")
+    return d.withColumn(name, F.expr(f"CASE WHEN `{key}` < 0 THEN -1L ELSE 1L END * ({size})")).drop(_A, _E)
+
+
+def radix(lo: float, hi: float, bins: int) -> tuple[int, int]:
+    """``(shift, base)``: the bucket of ``x`` in [lo, hi] is ``(image >> shift) - base``,
+    from 0 to ``bins``; two buckets at least if the ends differ."""
+    span = image_of(hi) - image_of(lo)
+    shift = max(0, span.bit_length() - max(1, bins.bit_length() - 1))
+    return shift, image_of(lo) >> shift
 
 
 @dataclass
@@ -79,26 +108,26 @@ def _ranges_frame(d: DataFrame, groups: list[str], rows: list[tuple], extra: Seq
 
 
 def _refine(d: DataFrame, key: str, groups: list[str], searches: list[_Search],
-            bins: int, final_rows: int, settle_equal: bool) -> None:
+            bins: int, final_rows: int, settle_equal: bool, info: dict | None = None) -> None:
     """Narrow every search until it is small (or resolved when ``settle_equal``).
 
-    A range shrinks at every level (its least value is in the first bucket and
-    its largest in the last), so this ends however the values are spread.
-    """
+    ``info["passes"]`` counts the histogram passes."""
+    d = with_image(d.select(*groups, key), key)
     while True:
         open_ = [s for s in searches if not s.done and s.cnt > final_rows and s.hi > s.lo]
         if not open_:
             break
+        if info is not None:
+            info["passes"] = info.get("passes", 0) + 1
         # searches sharing a range share one histogram
         rid_of: dict[tuple, int] = {}
         for s in open_:
             rid_of.setdefault((s.group, s.lo, s.hi), len(rid_of))
-        frame = _ranges_frame(d, groups, [(rid, *g, lo, hi) for (g, lo, hi), rid in rid_of.items()])
+        frame = _ranges_frame(d, groups, [(rid, *g, lo, hi, *radix(lo, hi, bins)) for (g, lo, hi), rid in rid_of.items()],
+                              extra=[("_shift", T.IntegerType()), ("_base", T.LongType())])
         x = F.col(key)
-        width = F.col("_hi") - F.col("_lo")
-        bucket = F.least(F.lit(bins - 1),
-                         F.floor((x - F.col("_lo")) * (F.lit(float(bins)) / width))).cast("int")
-        hist = (d.select(*groups, key).join(F.broadcast(frame), on=groups)
+        bucket = F.expr(f"CAST(shiftright({_IMG}, _shift) - _base AS INT)")
+        hist = (d.join(F.broadcast(frame), on=groups)
                 .where((x >= F.col("_lo")) & (x <= F.col("_hi")))
                 .groupBy("_rid", bucket.alias("_b"))
                 .agg(F.count(F.lit(1)).alias("_n"), F.min(key).alias("_mn"), F.max(key).alias("_mx"))
@@ -170,9 +199,9 @@ def type7_ranks(n: int, p: float) -> tuple[int, int, float]:
     return lo, hi, h - lo
 
 
-def _values(d, key, groups, searches, bins, final_rows) -> dict[tuple, float]:
+def _values(d, key, groups, searches, bins, final_rows, info=None) -> dict[tuple, float]:
     """``{(group, rank asked for): value}`` of every search."""
-    _refine(d, key, groups, searches, bins, final_rows, settle_equal=True)
+    _refine(d, key, groups, searches, bins, final_rows, settle_equal=True, info=info)
     pending = [s for s in searches if not s.done]
     if pending:
         for r in _final_rows(d, key, groups, pending, ()).collect():
@@ -197,7 +226,7 @@ def ranked_values(df: DataFrame, key: str, group_cols: Sequence[str], bounds: Ma
 
 def exact_percentiles(df: DataFrame, key: str, probs: Sequence[float],
                       group_cols: Sequence[str] = (), *, bins: int = 4096,
-                      final_rows: int = 10_000) -> dict[tuple, list[float | None]]:
+                      final_rows: int = 10_000, info: dict | None = None) -> dict[tuple, list[float | None]]:
     """Type-7 quantiles of ``key`` (DOUBLE) per group: ``{group: [q(p) for p]}``.
 
     Groups with no non-null value are absent.  For no grouping the single
@@ -208,7 +237,7 @@ def exact_percentiles(df: DataFrame, key: str, probs: Sequence[float],
     plan = {g: [type7_ranks(ext[0], p) for p in probs] for g, ext in extents.items()}
     ranks = {g: [r for lo, hi, _w in pl for r in (lo, hi)] for g, pl in plan.items()}
     searches = _make_searches(extents, ranks)
-    value = _values(d, key, groups, searches, bins, final_rows)
+    value = _values(d, key, groups, searches, bins, final_rows, info)
     out = {}
     for g, pl in plan.items():
         qs = []

@@ -98,3 +98,56 @@ def test_selection_with_missing_flags_on_the_tables(spark):
     missing = [r for r in got.values() if r[2] is None]
     assert len(missing) == (len(got) + 1) // 2 and all(r[3] == "reject" for r in missing)
     assert any(r[3] == "include" for r in got.values())
+
+
+WIDE = [0.0, -0.0, math.inf, -math.inf, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308,
+        1.0, math.nextafter(1.0, 0), math.nextafter(1.0, 2), -1.0, 8.0, math.nextafter(8.0, 0), 1e-300, 1e300, -1e-300, 3.0, 0.1]
+
+
+def test_image_is_the_ordered_bit_pattern(spark):
+    import random
+
+    from biasfit.operators.order_stats import image_of, with_image
+    rng = random.Random(4)
+    vals = WIDE + [rng.choice([-1, 1]) * 2.0 ** rng.randint(-1074, 1023) * rng.choice([1.0, 1.0, rng.random() + 1]) for _ in range(3000)]
+    vals = [v for v in vals if math.isfinite(v)] + [math.inf, -math.inf]
+    got = with_image(spark.createDataFrame([(v,) for v in vals], "v DOUBLE"), "v", "i").collect()
+    assert all(r.i == image_of(r.v + 0.0) for r in got)
+    by = sorted({(r.v, r.i) for r in got})
+    assert all(a[1] < b[1] for a, b in zip(by, by[1:]) if a[0] < b[0])
+
+
+@pytest.mark.parametrize("final_rows", [5, 1])
+def test_at_most_six_passes_for_any_spread(spark, final_rows):
+    import numpy as np
+    rng = np.random.default_rng(8)
+    sign = np.where(rng.random(4000) < 0.3, -1.0, 1.0)
+    vals = list(sign * 10.0 ** rng.uniform(-300, 300, 4000)) + [0.0, -0.0] * 50 + [math.inf] * 3 + [-math.inf] * 2 + [7.5] * 700
+    vals += [1e-300, math.nextafter(1e-300, 1), 1e300, math.nextafter(1e300, 0)] * 5
+    df = spark.createDataFrame([(float(v),) for v in vals], "v DOUBLE").repartition(4)
+    ranks = [0.001, 0.2, 0.25, 0.37, 0.5, 0.61, 0.9, 0.999]
+    info: dict = {}
+    got = exact_percentiles(df, "v", ranks, final_rows=final_rows, info=info)[(0,)]
+    assert got == pytest.approx(list(np.quantile(vals, ranks)), rel=1e-12)
+    assert 1 <= info["passes"] <= 6
+
+
+def test_outlier_points_of_the_box_plots(spark):
+    import numpy as np
+
+    from biasfit.operators.diagnostics import boxplot_outliers, boxplot_stats
+    rng = np.random.default_rng(2)
+    rows = [(float(v), int(a), None if i % 9 == 0 else int(b)) for i, (v, a, b) in enumerate(
+        zip(rng.standard_t(2, 1500), rng.integers(0, 2, 1500), rng.integers(0, 2, 1500)))]
+    df = spark.createDataFrame(rows + [(None, 1, 1), (float("nan"), 0, 1)], "resid DOUBLE, a INT, b INT")
+    stats = boxplot_stats(df, ["a", "b"])
+    got = sorted(map(tuple, boxplot_outliers(df, stats, ["a", "b"]).collect()))
+    want = []
+    for k, f in ((1, "a"), (2, "b")):
+        for lvl in (0, 1):
+            x = np.array([r[0] for r in rows if r[k] == lvl])
+            q1, q3 = np.quantile(x, [0.25, 0.75])
+            want += [(f, lvl, v) for v in x if v < q1 - 1.5 * (q3 - q1) or v > q3 + 1.5 * (q3 - q1)]
+    assert got == sorted(want)
+    counts = {(r.flag, r.level): r.n_outliers for r in stats.collect()}
+    assert sum(counts.values()) == len(got) > 20
