@@ -21,7 +21,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from biasfit.functions.hashing import hash_prefix_number, order_hash
-from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, key_counts, keyed_join
+from biasfit.operators.bitmaps import MAX_BITS, known_keys
+from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy
 from biasfit.operators.order_stats import exact_percentiles, kth_rows, type7_ranks
 from biasfit.session import materialize
 
@@ -221,35 +222,22 @@ def window_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
 
 def semi_join_keys(df: DataFrame, reference: DataFrame, keys: Sequence[str] = ("movieId", "userId"),
                    total: int | None = None, policy: JoinPolicy = DEFAULT_POLICY,
-                   counts: Mapping[str, DataFrame] | None = None) -> DataFrame:
+                   counts: Mapping[str, DataFrame] | None = None, max_bits: int = MAX_BITS) -> DataFrame:
     """Rows of ``df`` whose every key occurs in ``reference`` (NULL matches NULL).
 
-    ``total`` bounds the rows of ``df`` (enables hot-key salting); ``counts``
-    holds tables of ``reference``'s keys (``key, _n``) that exist already."""
-    out = df
-    for k in keys:
-        ks = counts[k] if counts and k in counts else key_counts(reference, k)
-        out = keyed_join(out, ks, k, "left_semi", count_col="_n", total=total,
-                         null_safe=True, policy=policy)
-    return out
+    By bitmaps of the keys (:mod:`biasfit.operators.bitmaps`): rows of ``df``
+    are shuffled only if a bitmap cannot settle them.  ``total`` bounds the rows
+    of ``df`` (hot-key salting of that exact join); ``counts`` holds tables of
+    ``reference``'s keys (``key, ...``) that exist already."""
+    source = {k: counts[k] if counts and k in counts else reference for k in keys} if counts else reference
+    return known_keys(df, source, keys, "_known", total=total, policy=policy, max_bits=max_bits).where("_known").drop("_known")
 
 
 def mark_known(df: DataFrame, reference: DataFrame, keys: Sequence[str] = ("movieId", "userId"),
                flag: str = "_known", total: int | None = None,
-               policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
+               policy: JoinPolicy = DEFAULT_POLICY, max_bits: int = MAX_BITS) -> DataFrame:
     """Add boolean ``flag``: every key of the row occurs in ``reference``."""
-    out = df
-    marks = []
-    for k in keys:
-        m = f"_known_{k}"
-        ks = key_counts(reference, k).withColumn(m, F.lit(True))
-        out = keyed_join(out, ks, k, "left", count_col="_n", total=total, null_safe=True,
-                         policy=policy).drop("_n")
-        marks.append(F.coalesce(F.col(m), F.lit(False)))
-    cond = marks[0]
-    for m in marks[1:]:
-        cond = cond & m
-    return out.withColumn(flag, cond).drop(*[f"_known_{k}" for k in keys])
+    return known_keys(df, reference, keys, flag, total=total, policy=policy, max_bits=max_bits)
 
 
 def anti_join_all(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -273,7 +261,8 @@ def assign_holdout_roles(df: DataFrame, sampled: str, *, orphan: str = "return",
     A sampled row is held out only if its keys all occur among the
     *unsampled* rows; otherwise it goes back to ``rest_role``
     (``orphan='return'``) or is dropped (``orphan='drop'``, role ``dropped``).
-    Only the sampled share of rows passes through the key joins.
+    Only the sampled share of rows is asked about, and only those of them that
+    the key bitmaps can't settle are joined.
     """
     if orphan not in ("return", "drop"):
         raise ValueError("orphan must be 'return' or 'drop'")

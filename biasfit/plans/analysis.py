@@ -33,9 +33,9 @@ from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.effects import (USER, ITEM, attach_bias, dlit, fit_bias, flag_term_sql, global_mean, item_stats,
                                        predict_bias, predict_flags, residuals, user_flag_effects,
                                        user_flag_stats)
-from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
-from biasfit.operators.sampling import (ROW_ID, assign_holdout_roles, exact_stratified_sample, key_counts, mark_known,
-                                        semi_join_keys, written_rows)
+from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, key_counts, keyed_join
+from biasfit.operators.sampling import (ROW_ID, assign_holdout_roles, exact_stratified_sample, mark_known, semi_join_keys,
+                                        written_rows)
 from biasfit.operators.select import Selection, forward_select
 from biasfit.operators.sweep import best_lambda, sweep_bias, sweep_flags
 from biasfit.session import materialize
