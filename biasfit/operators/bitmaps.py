@@ -27,7 +27,7 @@ from biasfit.session import materialize
 MAX_BITS = 1 << 27
 SEGMENT_WORDS = 64
 _SEGMENT_BITS = 12          # 64 words of 64 bits
-_INTEGERS = (ByteType, ShortType, IntegerType, LongType)
+INTEGERS = (ByteType, ShortType, IntegerType, LongType)
 
 
 @dataclass(frozen=True)
@@ -55,7 +55,7 @@ def layouts(extents: Mapping[str, tuple], schema, max_bits: int = MAX_BITS) -> d
     """``extents``: least and largest value of each key (None: unknown or no integer)."""
     out = {}
     for k, (lo, hi) in extents.items():
-        whole = isinstance(schema[k].dataType, _INTEGERS) and lo is not None
+        whole = isinstance(schema[k].dataType, INTEGERS) and lo is not None
         if whole and hi - lo < max_bits:
             out[k] = Layout(k, int(lo), int(hi - lo + 1))
         else:
@@ -65,7 +65,7 @@ def layouts(extents: Mapping[str, tuple], schema, max_bits: int = MAX_BITS) -> d
 
 def key_extents(reference: DataFrame, keys: Sequence[str]) -> dict[str, tuple]:
     """Least and largest value of the integer keys, in one narrow aggregate."""
-    whole = [k for k in keys if isinstance(reference.schema[k].dataType, _INTEGERS)]
+    whole = [k for k in keys if isinstance(reference.schema[k].dataType, INTEGERS)]
     r = reference.agg(F.count(F.lit(1)), *[f(k) for k in whole for f in (F.min, F.max)]).first()
     return {k: (r[1 + 2 * whole.index(k)], r[2 + 2 * whole.index(k)]) if k in whole else (None, None) for k in keys}
 
@@ -99,20 +99,21 @@ def with_bits(df: DataFrame, table: DataFrame, layout: Mapping[str, Layout], fla
 
 def known_keys(df: DataFrame, reference: DataFrame | Mapping[str, DataFrame], keys: Sequence[str], flag: str = "_known", *,
                total: int | None = None, policy: JoinPolicy = DEFAULT_POLICY, max_bits: int = MAX_BITS,
-               written: bool = False) -> DataFrame:
+               written: bool = False, extents: Mapping[str, tuple] | None = None) -> DataFrame:
     """Add boolean ``flag``: every key of the row occurs in ``reference`` (NULL matches NULL).
 
     ``reference`` is one table, or a table per key.  Planning runs one narrow
-    aggregate for the ranges of the keys; ``written`` writes the bitmaps first,
-    for a result that is evaluated more than once."""
+    aggregate for the ranges of the keys, unless ``extents`` has them (or wider
+    ones); ``written`` writes the bitmaps first, for a result that is evaluated
+    more than once."""
     per_key = dict(reference) if isinstance(reference, Mapping) else None
     layout, table = {}, None
     if per_key is None:
-        layout = layouts(key_extents(reference, keys), reference.schema, max_bits)
+        layout = layouts(extents or key_extents(reference, keys), reference.schema, max_bits)
         table = segments(reference, layout)
     else:
         for i, k in enumerate(keys):
-            layout |= layouts(key_extents(per_key[k], [k]), per_key[k].schema, max_bits)
+            layout |= layouts({k: extents[k]} if extents else key_extents(per_key[k], [k]), per_key[k].schema, max_bits)
             part = segments(per_key[k], {k: layout[k]}).withColumn("_k", F.lit(i))
             table = part if table is None else table.unionByName(part)
     if written:

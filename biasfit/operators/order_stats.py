@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 _G0 = "_grp0"
-_IMG = "_img"
+IMAGE = "_img"
 _A, _E = "_abs", "_exp"
 
 
@@ -40,7 +40,7 @@ def image_of(x: float) -> int:
     return bits if bits >= 0 else -(bits & 0x7FFFFFFFFFFFFFFF)
 
 
-def with_image(df: DataFrame, key: str, name: str = _IMG) -> DataFrame:
+def with_image(df: DataFrame, key: str, name: str = IMAGE) -> DataFrame:
     """Add the order-preserving BIGINT image of a DOUBLE (no NaN; -0 as 0): its
     exponent from a logarithm, put right by comparison, and its mantissa, both
     by exact steps."""
@@ -126,7 +126,7 @@ def _refine(d: DataFrame, key: str, groups: list[str], searches: list[_Search],
         frame = _ranges_frame(d, groups, [(rid, *g, lo, hi, *radix(lo, hi, bins)) for (g, lo, hi), rid in rid_of.items()],
                               extra=[("_shift", T.IntegerType()), ("_base", T.LongType())])
         x = F.col(key)
-        bucket = F.expr(f"CAST(shiftright({_IMG}, _shift) - _base AS INT)")
+        bucket = F.expr(f"CAST(shiftright({IMAGE}, _shift) - _base AS INT)")
         hist = (d.join(F.broadcast(frame), on=groups)
                 .where((x >= F.col("_lo")) & (x <= F.col("_hi")))
                 .groupBy("_rid", bucket.alias("_b"))

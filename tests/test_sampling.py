@@ -149,3 +149,29 @@ def test_copies_cut_by_their_place_in_the_file(spark):
         assert len(first) == math.ceil(150 * p)
         again = s.sparkSession.createDataFrame(s.repartition(3).collect(), s.schema)
         assert {(r["_file"], r["_row"]) for r in again.collect()} == first
+
+
+@pytest.mark.parametrize("kind", ["discrete", "continuous", "mixed"])
+def test_one_path_for_all_targets(spark, kind):
+    """Brackets, searches within them and smaller strata than the hash bracket
+    expects all give the window definition's sample."""
+    import numpy as np
+    rng = np.random.default_rng(6)
+    n = 20_000
+    vals = {"discrete": rng.integers(1, 11, n) / 2, "continuous": rng.lognormal(0, 3, n),
+            "mixed": np.where(rng.random(n) < 0.7, 3.0, rng.normal(3, 1e-7, n))}[kind]
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)] + [(-1, None), (-2, float("nan"))], "id INT, rating DOUBLE").repartition(4)
+    a = exact_stratified_sample(df, "rating", 0.1, "s", ["id"], ["id"]).where("sampled")
+    b = window_stratified_sample(df, "rating", 0.1, "s", ["id"], ["id"]).where("sampled")
+    assert a.count() == b.count() > 1990
+    assert a.exceptAll(b).count() == 0
+    assert strata_breaks(df, "rating") == sorted(set(np.quantile(vals, [0, 0.25, 0.5, 0.75, 1.0])))
+
+
+def test_wrong_brackets_change_nothing(spark):
+    """Brackets only guide the pass: its exact counts decide."""
+    df = spark.range(3000).selectExpr("id", "CAST(id % 97 AS DOUBLE) AS rating")
+    want = exact_stratified_sample(df, "rating", 0.2, "s", ["id"], ["id"]).where("sampled")
+    for bounds, total in (([1.0, 1.0, 2.0, 2.0, 96.0, 96.0], 3000), ([-5.0, -4.0, 500.0, 600.0, 20.0, 70.0], 10), (None, 10 ** 9)):
+        got = exact_stratified_sample(df, "rating", 0.2, "s", ["id"], ["id"], bounds=bounds, total=total).where("sampled")
+        assert got.exceptAll(want).count() == 0 and got.count() == want.count()
