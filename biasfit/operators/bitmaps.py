@@ -70,31 +70,39 @@ def key_extents(reference: DataFrame, keys: Sequence[str]) -> dict[str, tuple]:
     return {k: (r[1 + 2 * whole.index(k)], r[2 + 2 * whole.index(k)]) if k in whole else (None, None) for k in keys}
 
 
-def segments(reference: DataFrame, layout: Mapping[str, Layout]) -> DataFrame:
-    """``_k, _seg, _words``: the bitmaps of all keys, one row per non-empty segment."""
+def segments(reference: DataFrame | Mapping[str, DataFrame], layout: Mapping[str, Layout]) -> DataFrame:
+    """``_at, _words``: the bitmaps of all keys, one row per non-empty segment;
+    segment ``s`` of the i-th of ``n`` keys is at ``s * n + i``."""
     keys = list(layout)
-    places = F.expr("stack({}, {}) AS (_k, _p)".format(len(keys), ", ".join(f"{i}, {layout[k].place()}" for i, k in enumerate(keys))))
-    words = (reference.select(places).groupBy("_k", F.shiftright("_p", 6).alias("_w"))
+    if isinstance(reference, Mapping):
+        parts = [reference[k].select(F.lit(i).alias("_k"), F.expr(layout[k].place()).alias("_p")) for i, k in enumerate(keys)]
+        places = parts[0]
+        for p in parts[1:]:
+            places = places.unionByName(p)
+    else:
+        places = reference.select(F.expr("stack({}, {}) AS (_k, _p)".format(
+            len(keys), ", ".join(f"{i}, {layout[k].place()}" for i, k in enumerate(keys)))))
+    words = (places.groupBy("_k", F.shiftright("_p", 6).alias("_w"))
              .agg(F.expr("bit_or(shiftleft(1L, CAST(_p & 63 AS INT)))").alias("_bits")))
     each = [F.expr(f"coalesce(bit_or(CASE WHEN (_w & 63) = {i} THEN _bits END), 0L)").alias(f"_w{i}") for i in range(SEGMENT_WORDS)]
-    return (words.groupBy("_k", F.shiftright("_w", 6).alias("_seg")).agg(*each)
-            .select("_k", "_seg", F.array(*[f"_w{i}" for i in range(SEGMENT_WORDS)]).alias("_words")))
+    return (words.groupBy((F.shiftright("_w", 6) * len(keys) + F.col("_k")).alias("_at")).agg(*each)
+            .select("_at", F.array(*[f"_w{i}" for i in range(SEGMENT_WORDS)]).alias("_words")))
 
 
 def with_bits(df: DataFrame, table: DataFrame, layout: Mapping[str, Layout], flag: str = "_bit") -> DataFrame:
-    """Add ``flag``: the bits of all keys are set.  One broadcast join of a
-    bounded table per key; no shuffle of ``df``."""
+    """Add ``flag``: the bits of all keys are set.  Broadcast joins of one
+    bounded table, the same for each key; no shuffle of ``df``."""
     out = df
     bits = []
     for i, (k, lay) in enumerate(layout.items()):
-        part = table.where(F.col("_k") == i).select(F.col("_seg").alias(f"_seg{i}"), F.col("_words").alias(f"_words{i}"))
+        part = table.select(F.col("_at").alias(f"_at{i}"), F.col("_words").alias(f"_words{i}"))
         out = out.withColumn(f"_p{i}", F.expr(lay.place()))
-        out = out.join(F.broadcast(part), F.shiftright(f"_p{i}", _SEGMENT_BITS) == F.col(f"_seg{i}"), "left")
+        out = out.join(F.broadcast(part), F.shiftright(f"_p{i}", _SEGMENT_BITS) * len(layout) + i == F.col(f"_at{i}"), "left")
         bits.append(F.expr(f"coalesce(bit_get(get(_words{i}, CAST(shiftright(_p{i}, 6) & 63 AS INT)), CAST(_p{i} & 63 AS INT)) = 1, false)"))
     cond = bits[0]
     for b in bits[1:]:
         cond = cond & b
-    return out.withColumn(flag, cond).drop(*[f"{c}{i}" for i in range(len(layout)) for c in ("_p", "_seg", "_words")])
+    return out.withColumn(flag, cond).drop(*[f"{c}{i}" for i in range(len(layout)) for c in ("_p", "_at", "_words")])
 
 
 def known_keys(df: DataFrame, reference: DataFrame | Mapping[str, DataFrame], keys: Sequence[str], flag: str = "_known", *,
@@ -107,15 +115,11 @@ def known_keys(df: DataFrame, reference: DataFrame | Mapping[str, DataFrame], ke
     ones); ``written`` writes the bitmaps first, for a result that is evaluated
     more than once."""
     per_key = dict(reference) if isinstance(reference, Mapping) else None
-    layout, table = {}, None
-    if per_key is None:
-        layout = layouts(extents or key_extents(reference, keys), reference.schema, max_bits)
-        table = segments(reference, layout)
-    else:
-        for i, k in enumerate(keys):
-            layout |= layouts({k: extents[k]} if extents else key_extents(per_key[k], [k]), per_key[k].schema, max_bits)
-            part = segments(per_key[k], {k: layout[k]}).withColumn("_k", F.lit(i))
-            table = part if table is None else table.unionByName(part)
+    schema = {k: (reference if per_key is None else per_key[k]).schema for k in keys}
+    if extents is None:
+        extents = key_extents(reference, keys) if per_key is None else {k: key_extents(per_key[k], [k])[k] for k in keys}
+    layout = {k: layouts({k: extents[k]}, schema[k], max_bits)[k] for k in keys}
+    table = segments(reference, layout)
     if written:
         table = materialize(table, "table", "bitmaps")
     hashed = [k for k in keys if not layout[k].exact]

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from biasfit.operators.order_stats import radix, ranked_values, type7_ranks, with_image
+from biasfit.functions.literals import dlit
+from biasfit.operators.order_stats import bucket_sql, linear, radix, ranked_values, type7_ranks, with_image
 
 
 def null_cells(df: DataFrame) -> DataFrame:
@@ -64,9 +65,10 @@ def flag_quantiles(df: DataFrame, flags: Sequence[str], value: str, probs: Seque
     if lo is None:
         return {}
     shift, base = radix(lo, hi, BINS)
-    d = with_image(d, "value", "_img").withColumn("_b", F.expr(f"CAST(shiftright(_img, {shift}) - {base}L AS INT)")).drop("_img")
+    bucket = F.expr(bucket_sql("value", dlit(lo), dlit(linear(lo, hi, BINS)), str(shift), f"{base}L", BINS))
+    d = with_image(d, "value").select("value", *flags, bucket.alias("_b"))
     hist = d.groupBy("_b").agg(F.min("value").alias("_mn"), F.max("value").alias("_mx"),
-                                             *_level_counts(flags)).orderBy("_b").collect()   # at most BINS + 1 rows
+                                             *_level_counts(flags)).orderBy("_b").toArrow().to_pylist()   # at most 2 BINS rows
     plan, ranks, bounds, wanted = {}, {}, {}, set()
     for f in flags:
         for v in LEVELS:

@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from biasfit.functions.literals import dlit
 from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
 
 USER, ITEM, RATING = "userId", "movieId", "rating"
@@ -100,11 +101,6 @@ def residuals(df: DataFrame, model: BiasModel, policy: JoinPolicy = DEFAULT_POLI
 # The wide builders below emit SQL expression text: one parse per output
 # column instead of one JVM round-trip per operator (hundreds of columns).
 
-def dlit(x: float | None) -> str:
-    """A DOUBLE literal in Spark SQL text."""
-    return "CAST(NULL AS DOUBLE)" if x is None else f"({float(x)!r}D)"
-
-
 def shrunk_sql(total: str, n: str, lam: float | str) -> str:
     lam_s = dlit(lam) if not isinstance(lam, str) else lam
     return f"(CASE WHEN {n} > 0 THEN {total} / ({n} + {lam_s}) WHEN {n} = 0 THEN 0.0D END)"

@@ -9,10 +9,12 @@ found by radix selection on an image of the values:
 2. the image of a double is its 64-bit pattern read as an ordered integer, so
    equal steps of the image follow the values whatever their spread.  Each
    pass takes the leading 12 bits in which the ends of a search's range
-   differ, counts rows per value of those bits with a partial-aggregated
-   ``groupBy`` (the driver receives at most ``searches x bins`` small rows),
-   and goes on in the bucket that holds the wanted rank, from its least to its
-   largest value: at most six passes for any values;
+   differ, and beside them the value's place among equal widths of the range
+   (both grow with the value, so together they only cut finer); it counts rows
+   per bucket with a partial-aggregated ``groupBy`` (the driver receives at most
+   ``2 x searches x bins`` small rows), and goes on in the bucket that holds
+   the wanted rank, from its least to its largest value: at most six passes for
+   any values, and few rows left after one where they spread evenly;
 3. once a range holds at most ``final_rows`` rows (or a single value),
    the few remaining candidates are ranked with ``row_number`` inside their
    search, a window over a bounded set.
@@ -63,6 +65,18 @@ def radix(lo: float, hi: float, bins: int) -> tuple[int, int]:
     return shift, image_of(lo) >> shift
 
 
+def linear(lo: float, hi: float, bins: int) -> float:
+    """Buckets per unit of the value; 0 where they can't be told in doubles."""
+    scale = bins / (hi - lo) if hi > lo else 0.0
+    return scale if math.isfinite(scale) and math.isfinite(lo) else 0.0
+
+
+def bucket_sql(x: str, lo: str, scale: str, shift: str, base: str, bins: int) -> str:
+    """The bucket of ``x`` by both cuts, ascending with it (needs the image)."""
+    width = f"CASE WHEN {scale} = 0 THEN 0L ELSE least({bins - 1}L, floor(({x} - {lo}) * {scale})) END"
+    return f"({width}) * {4 * bins}L + (shiftright({IMAGE}, {shift}) - {base})"
+
+
 @dataclass
 class _Search:
     sid: int
@@ -123,10 +137,11 @@ def _refine(d: DataFrame, key: str, groups: list[str], searches: list[_Search],
         rid_of: dict[tuple, int] = {}
         for s in open_:
             rid_of.setdefault((s.group, s.lo, s.hi), len(rid_of))
-        frame = _ranges_frame(d, groups, [(rid, *g, lo, hi, *radix(lo, hi, bins)) for (g, lo, hi), rid in rid_of.items()],
-                              extra=[("_shift", T.IntegerType()), ("_base", T.LongType())])
+        frame = _ranges_frame(d, groups, [(rid, *g, lo, hi, *radix(lo, hi, bins), linear(lo, hi, bins))
+                                          for (g, lo, hi), rid in rid_of.items()],
+                              extra=[("_shift", T.IntegerType()), ("_base", T.LongType()), ("_scale", T.DoubleType())])
         x = F.col(key)
-        bucket = F.expr(f"CAST(shiftright({IMAGE}, _shift) - _base AS INT)")
+        bucket = F.expr(bucket_sql(f"`{key}`", "_lo", "_scale", "_shift", "_base", bins))
         hist = (d.join(F.broadcast(frame), on=groups)
                 .where((x >= F.col("_lo")) & (x <= F.col("_hi")))
                 .groupBy("_rid", bucket.alias("_b"))

@@ -402,8 +402,8 @@ def anti_join_all(left: DataFrame, right: DataFrame) -> DataFrame:
 def assign_holdout_roles(df: DataFrame, sampled: str, *, orphan: str = "return",
                          keys: Sequence[str] = ("movieId", "userId"),
                          held_role: str = "held", rest_role: str = "rest", role: str = "role",
-                         total: int | None = None, policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
-    """Leak-free hold-out as one role column.
+                         total: int | None = None, policy: JoinPolicy = DEFAULT_POLICY, **kw) -> DataFrame:
+    """Leak-free hold-out as one role column (``kw``: of :func:`known_keys`).
 
     A sampled row is held out only if its keys all occur among the
     *unsampled* rows; otherwise it goes back to ``rest_role``
@@ -415,7 +415,7 @@ def assign_holdout_roles(df: DataFrame, sampled: str, *, orphan: str = "return",
         raise ValueError("orphan must be 'return' or 'drop'")
     s = F.col(sampled)
     rest = df.where(~s)
-    held = mark_known(df.where(s), rest, keys, total=total, policy=policy)
+    held = mark_known(df.where(s), rest, keys, total=total, policy=policy, **kw)
     orphan_role = rest_role if orphan == "return" else "dropped"
     held = held.withColumn(role, F.when(F.col("_known"), F.lit(held_role)).otherwise(F.lit(orphan_role))).drop("_known")
     # only the sampled share is shuffled, into files of a good size when written by role

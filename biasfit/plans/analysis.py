@@ -24,23 +24,27 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from biasfit import schemas as S
 from biasfit.functions.flags import add_flags
 from biasfit.functions.hashing import hash_prefix_number, order_hash
 from biasfit.functions.metrics import rmse_columns
-from biasfit.operators.effects import (USER, ITEM, attach_bias, dlit, fit_bias, flag_term_sql, global_mean, item_stats,
+from biasfit.operators.bitmaps import MAX_BITS, layouts, segments, with_bits
+from biasfit.operators.effects import (USER, ITEM, attach_bias, dlit, fit_bias, flag_term_sql, item_stats,
                                        predict_bias, predict_flags, residuals, user_flag_effects,
                                        user_flag_stats)
 from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, key_counts, keyed_join
-from biasfit.operators.sampling import (ROW_ID, assign_holdout_roles, exact_stratified_sample, mark_known, semi_join_keys,
-                                        written_rows)
+from biasfit.operators.sampling import (ROW_ID, SampleInput, assign_holdout_roles, exact_stratified_sample, mark_known, prepare,
+                                        semi_join_keys)
 from biasfit.operators.select import Selection, forward_select
 from biasfit.operators.sweep import best_lambda, sweep_bias, sweep_flags
 from biasfit.session import materialize
 
 
+ROLES = ("train", "test", "validation", "dropped")
+
+
 @dataclass
 class PipelineConfig:
     flags: dict[str, str] = field(default_factory=lambda: dict(S.GENRE_FLAGS))
@@ -54,8 +58,9 @@ class PipelineConfig:
     key_cols: Sequence[str] = (USER, ITEM, "timestamp")
     tie_cols: Sequence[str] = (USER, ITEM, "timestamp", "rating")
     keep_cols: Sequence[str] | None = None   # identity columns to keep after the split
-    materialize: str = "table"             # hold-out marks and the final split: written tables
+    materialize: str = "table"             # the final split (and hold-out marks, if joined): written tables
     policy: JoinPolicy = field(default_factory=lambda: DEFAULT_POLICY)
+    max_bits: int = MAX_BITS               # of a key bitmap
 
     @property
     def screen(self) -> list[str]:
@@ -70,35 +75,65 @@ class RatingsPipeline:
 
     # ---------------------------------------------------------------- data
     @cached_property
-    def work(self) -> DataFrame:
+    def prepared(self) -> SampleInput:
         """Facts, flags and the order keys of both samples, written once: every
         pass of the sampler reads the two or three narrow columns it needs."""
         c = self.cfg
-        keys = {f"_h{i}": hash_prefix_number(order_hash(s, c.key_cols)) for i, s in enumerate(c.seeds)}
-        return written_rows(add_flags(self.facts, c.flags).withColumns(keys), "facts")
+        hashes = {f"_h{i}": hash_prefix_number(order_hash(s, c.key_cols)) for i, s in enumerate(c.seeds)}
+        return prepare(add_flags(self.facts, c.flags), "facts", "rating", hashes, groups=c.groups, keys=(ITEM, USER))
+
+    @property
+    def work(self) -> DataFrame:
+        return self.prepared.df
 
     @cached_property
-    def split(self) -> DataFrame:
-        """Only sampled rows meet the key joins; nothing is kept on executors."""
-        c = self.cfg
-        info: dict = {}
-        s1 = exact_stratified_sample(self.work, "rating", c.p, c.seeds[0], c.key_cols, c.tie_cols, groups=c.groups,
-                                     flag="_s1", info=info, hash_col="_h0", row_id=ROW_ID)
-        n = info["n"]   # bounds every later fact side: enables hot-key salting
-        rest = s1.where(~F.col("_s1")).drop("_s1")
-        held = mark_known(s1.where("_s1").drop("_s1"), rest, total=n, policy=c.policy)
-        # about p of the rows: the second sample's passes need to know which of them go back
-        held = materialize(held.hint("rebalance"), c.materialize, "holdout")
-        pool = rest.unionByName(held.where(~F.col("_known")).drop("_known"))
-        s2 = exact_stratified_sample(pool, "rating", c.p, c.seeds[1], c.key_cols, c.tie_cols, groups=c.groups,
-                                     flag="_s2", hash_col="_h1", row_id=ROW_ID)
-        roles = assign_holdout_roles(s2, "_s2", orphan="drop", held_role="test", rest_role="train",
-                                     role="role", total=n, policy=c.policy).drop("_s2")
-        val = held.where("_known").drop("_known").withColumn("role", F.lit("validation"))
-        out = roles.unionByName(val)
+    def _split(self) -> tuple[DataFrame, dict]:
+        """The split, and what was observed while it was written.
+
+        Whether a sampled row's keys are known is read from key bitmaps.  Where
+        the keys' ranges allow exact ones, no row is shuffled; else the rows
+        that they leave open are joined.  Nothing is kept on executors."""
+        c, w = self.cfg, self.prepared
+        n = w.n_rows   # bounds every later fact side: enables hot-key salting
+        sample = dict(groups=c.groups, row_id=ROW_ID, bounds=w.bounds, total=n)
+        known = dict(total=n, policy=c.policy, max_bits=c.max_bits, extents=w.extents)
+        s1 = exact_stratified_sample(w.df, "rating", c.p, c.seeds[0], c.key_cols, c.tie_cols, flag="_s1", hash_col="_h0", **sample)
+        layout = layouts(w.extents, w.df.schema, c.max_bits)
+        second = dict(flag="_s2", hash_col="_h1", **sample)
+        if all(x.exact for x in layout.values()):
+            # bits decide: one scan gives every row its role
+            bits = materialize(segments(s1.where(~F.col("_s1")), layout), "table", "bitmaps")
+            held = F.col("_s1") & F.col("_k1")
+            s2 = exact_stratified_sample(with_bits(s1, bits, layout, "_k1"), "rating", c.p, c.seeds[1], c.key_cols, c.tie_cols,
+                                         eligible=~held, **second)
+            out = with_bits(s2, segments(s2.where(~held & ~F.col("_s2")), layout), layout, "_k2")
+            out = out.withColumn("role", F.when(held, "validation").when(~F.col("_s2"), "train").when(F.col("_k2"), "test")
+                                 .otherwise("dropped")).drop("_s1", "_k1", "_s2", "_k2")
+        else:
+            # rows that bitmaps leave open are joined: about p of the rows, written for the second sample's pass
+            rest = s1.where(~F.col("_s1")).drop("_s1")
+            marked = materialize(mark_known(s1.where("_s1").drop("_s1"), rest, **known).hint("rebalance"), c.materialize, "holdout")
+            pool = rest.unionByName(marked.where(~F.col("_known")).drop("_known"))
+            s2 = exact_stratified_sample(pool, "rating", c.p, c.seeds[1], c.key_cols, c.tie_cols, **second)
+            roles = assign_holdout_roles(s2, "_s2", orphan="drop", held_role="test", rest_role="train", role="role", **known)
+            out = roles.drop("_s2").unionByName(marked.where("_known").drop("_known").withColumn("role", F.lit("validation")))
         out = out.select(*c.keep_cols, "role") if c.keep_cols is not None else out.drop("_h0", "_h1", *ROW_ID)
+        seen = Observation("biasfit-split")
+        train = F.col("role") == "train"
+        rating = F.when(train, F.col("rating"))
+        out = out.observe(seen, F.avg(rating).alias("mu"), F.count(rating).alias("k"),
+                          *[F.count(F.when(F.col("role") == r, 1)).alias(r) for r in ROLES])
         # partitioned by role: reading test or validation skips the train files
-        return materialize(out, c.materialize, "split", partition_by=["role"])
+        return materialize(out, c.materialize, "split", partition_by=["role"]), seen.get
+
+    @property
+    def split(self) -> DataFrame:
+        return self._split[0]
+
+    @property
+    def role_counts(self) -> dict[str, int]:
+        """Rows of each role that has any."""
+        return {r: self._split[1][r] for r in ROLES if self._split[1][r]}
 
     def release(self) -> None:
         """Unpersist the cached statistics tables of this analysis."""
@@ -123,21 +158,19 @@ class RatingsPipeline:
     def validation(self) -> DataFrame:
         """Hold-out rows whose user and item are both known to *train*."""
         return semi_join_keys(self.part("validation"), self.train, total=self.n_train, policy=self.cfg.policy,
-                              counts={ITEM: self.item_stats.select(ITEM, F.col("n_i").alias("_n")),
-                                      USER: self.user_counts})
+                              counts={ITEM: self.item_stats, USER: self.user_counts}, max_bits=self.cfg.max_bits,
+                              extents=self.prepared.extents)
 
     # --------------------------------------------------------------- biases
-    @cached_property
-    def _mean(self) -> tuple[float, int]:
-        return global_mean(self.train)
-
     @property
-    def mu(self) -> float:
-        return self._mean[0]
+    def mu(self) -> float | None:
+        """Observed on the split's write; None if a rating of train is missing."""
+        seen = self._split[1]
+        return seen["mu"] if seen["k"] == seen["train"] else None
 
     @property
     def n_train(self) -> int:
-        return self._mean[1]
+        return self._split[1]["train"]
 
     @cached_property
     def item_stats(self) -> DataFrame:

@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from biasfit import schemas as S
 from biasfit.functions.flags import add_flags
+from biasfit.functions.hashing import hash_prefix_number, order_hash
 from biasfit.functions.metrics import rmse_columns
-from biasfit.operators.diagnostics import boxplot_stats, null_cells, null_cells_by_column, preview, row_counts
-from biasfit.operators.sampling import ROW_ID, STRATUM, assign_holdout_roles, exact_stratified_sample, written_rows
+from biasfit.operators.diagnostics import boxplot_stats, null_cells, null_cells_by_column, preview
+from biasfit.operators.sampling import ROW_ID, STRATUM, assign_holdout_roles, exact_stratified_sample, prepare
 from biasfit.plans import edge_cases
 from biasfit.plans.analysis import PipelineConfig, RatingsPipeline
 from biasfit.session import scratch_path
@@ -92,10 +93,10 @@ def q_null_cells_by_column(spark, sf_dir):
 
 
 def _split1(spark, sf_dir, info: dict | None = None):
-    # written: the sampler's passes (and the row id that splits copy runs) read one stable copy
-    facts = written_rows(TestdataViews(spark, sf_dir).facts(), "facts")
-    return exact_stratified_sample(facts, "rating", S.HOLDOUT_FRACTION, "1", KEY_COLS, TIE_COLS, flag="sampled",
-                                   keep_stratum=True, info=info, row_id=ROW_ID).drop(*ROW_ID)
+    # written: the sampler's pass (and the row id that splits copy runs) reads the narrow columns of one stable copy
+    w = prepare(TestdataViews(spark, sf_dir).facts(), "facts", "rating", {"_h0": hash_prefix_number(order_hash("1", KEY_COLS))})
+    return exact_stratified_sample(w.df, "rating", S.HOLDOUT_FRACTION, "1", KEY_COLS, TIE_COLS, flag="sampled", keep_stratum=True,
+                                   info=info, row_id=ROW_ID, hash_col="_h0", bounds=w.bounds, total=w.n_rows).drop("_h0", *ROW_ID)
 
 
 def q_rating_strata(spark, sf_dir):
@@ -133,14 +134,16 @@ def q_train_test_split(spark, sf_dir):
 
 
 def q_row_counts(spark, sf_dir):
-    return row_counts(analysis(spark, sf_dir).split, "role")
+    """Counted while the split was written: no job of its own."""
+    return spark.createDataFrame(list(analysis(spark, sf_dir).role_counts.items()), "role STRING, n_rows BIGINT")
 
 
 # ------------------------------------------------------------------ biases
 
 def q_global_mean(spark, sf_dir):
+    """Observed while the split was written."""
     p = analysis(spark, sf_dir)
-    return p.train.agg(r6(F.avg("rating")).alias("mu"), F.count(F.lit(1)).alias("n_rows"))
+    return spark.createDataFrame([(p.mu, p.n_train)], "mu DOUBLE, n_rows BIGINT").select(r6("mu").alias("mu"), "n_rows")
 
 
 def q_item_effect(spark, sf_dir):

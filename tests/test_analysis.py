@@ -57,3 +57,11 @@ def test_write_reports_sink(spark, base, tmp_path):
     assert got["bias_sweep"] == 41 and got["flag_sweep"] == 9
     assert got["flag_boxstats"] == 2 * len(p0.cfg.screen)
     assert got["ledger"] == len(p0.cfg.screen) + 3
+
+
+def test_split_by_joins_equals_split_by_bits(spark, base):
+    p0, _ = base
+    p = analysis(spark, SF001, max_bits=64)
+    assert p.split.exceptAll(p0.split).count() == 0 and p.split.count() == p0.split.count()
+    assert p.role_counts == p0.role_counts == {r["role"]: r["count"] for r in p0.split.groupBy("role").count().collect()}
+    assert p0.mu == pytest.approx(p0.train.agg({"rating": "avg"}).first()[0], abs=1e-12)
