@@ -31,10 +31,10 @@ from biasfit.functions.flags import add_flags
 from biasfit.functions.hashing import hash_prefix_number, order_hash
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.bitmaps import MAX_BITS, layouts, segments, with_bits
-from biasfit.operators.effects import (USER, ITEM, attach_bias, dlit, fit_bias, flag_term_sql, item_stats,
+from biasfit.operators.effects import (USER, ITEM, attach_bias, fit_bias, item_stats,
                                        predict_bias, predict_flags, residuals, user_flag_effects,
                                        user_flag_stats)
-from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, key_counts, keyed_join
+from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, key_counts
 from biasfit.operators.sampling import (ROW_ID, SampleInput, assign_holdout_roles, exact_stratified_sample, mark_known, prepare,
                                         semi_join_keys)
 from biasfit.operators.select import Selection, forward_select
@@ -231,18 +231,8 @@ class RatingsPipeline:
     @cached_property
     def selection(self) -> Selection:
         flags = self.cfg.screen
-        eff = self.flag_effects(self.cfg.screen_lambda, flags)
-        cols = [USER, "m_u"] + [c for f in flags for c in (f"{f}_down", f"{f}_up")]
-        t = keyed_join(self.test_scored, eff.select(*cols), USER, "left", count_col="m_u",
-                       total=self.n_train, null_safe=True, policy=self.cfg.policy)
-        sel = forward_select(t, flags, self.mu)
-        # the chosen set, scored directly on the same rows
-        flag_sum = " + ".join([f"{dlit(self.mu)} + b_i + b_u"] + [flag_term_sql(f) for f in sel.kept])
-        sel.direct_rmse = t.withColumn("pred", F.expr(flag_sum)).agg(*rmse_columns()).first()["rmse"]
-        best = next((s["rmse"] for s in reversed(sel.steps) if s["decision"] == "include"), sel.base_rmse)
-        if sel.direct_rmse is not None and abs(sel.direct_rmse - best) > 1e-9 * max(1.0, best):
-            raise AssertionError(f"selection: RMSE {best} from the sums, {sel.direct_rmse} scored directly")
-        return sel
+        return forward_select(self.test_scored, flags, self.mu, self.flag_effects(self.cfg.screen_lambda, flags),
+                              total=self.n_train, policy=self.cfg.policy)
 
     @cached_property
     def flag_sweep(self) -> DataFrame:

@@ -16,7 +16,7 @@ from biasfit.functions.flags import add_flags
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.diagnostics import null_cells_by_column
 from biasfit.operators.effects import attach_bias, fit_bias, item_stats, global_mean, predict_bias, residuals, user_flag_effects, user_flag_stats
-from biasfit.operators.joins import JoinPolicy, keyed_join
+from biasfit.operators.joins import JoinPolicy
 from biasfit.operators.sampling import anti_join_all, assign_holdout_roles, semi_join_keys
 from biasfit.operators.select import forward_select
 from biasfit.operators.sweep import sweep_bias
@@ -94,9 +94,8 @@ def q_forward_selection_nulls(spark, sf_dir):
     train = put(train)
     model = fit_bias(train, LAMBDA)
     effects = user_flag_effects(user_flag_stats(residuals(train, model), flags), flags, S.SCREEN_LAMBDA)
-    scored = keyed_join(attach_bias(test, model), effects, "userId", "left", count_col="m_u", null_safe=True)
     rows = [(s["step"], s["flag"], None if math.isnan(s["rmse"]) else round(float(s["rmse"]), 6), s["decision"], s["kept"])
-            for s in forward_select(scored, flags, model.mu).steps]
+            for s in forward_select(attach_bias(test, model), flags, model.mu, effects).steps]
     return spark.createDataFrame(rows, "step INT, flag STRING, rmse DOUBLE, decision STRING, kept STRING")
 
 

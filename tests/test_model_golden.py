@@ -116,13 +116,58 @@ def test_compat_flag_map_keeps_documentary_slip(spark):
     assert [r.Documentary for r in c] == [r.Children for r in c] == [0, 1]
 
 
-def test_gram_chunking_is_exact(mini):
-    from biasfit.operators.select import gram_sums
+def test_gram_of_rows_equals_plain_sums(mini):
+    from biasfit.operators.select import gram_sums, row_terms
     tr, te = _flagged(mini)
     m = fit_bias(tr, 1.0, 3.0)
     stats = user_flag_stats(residuals(tr, m), list(FLAGS))
     scored = attach_bias(te, m).join(user_flag_effects(stats, list(FLAGS), 30.0), "userId", "left")
-    whole = gram_sums(scored, list(FLAGS), 3.0)
-    assert len(whole) == 1 + 10
-    for width in (1, 3, 4):
-        assert gram_sums(scored, list(FLAGS), 3.0, max_sums=width) == pytest.approx(whole, abs=1e-12)
+    terms = row_terms(scored, list(FLAGS), 3.0)
+    got = gram_sums(terms, 3)
+    assert len(got) == 1 + 10 and got["n"] == 3
+    plain = terms.selectExpr("sum(see)", "sum(se * x0)", "sum(se * x2)", "sum(x0 * x0)", "sum(x0 * x1)", "sum(x1 * x2)").first()
+    assert [got[c] for c in ("g_e_e", "g_e_0", "g_e_2", "g_0_0", "g_0_1", "g_1_2")] == pytest.approx(list(plain), abs=1e-12)
+
+
+def test_gram_of_200_flags_repeats_no_row(spark):
+    """Lines per user and pattern, missing flags and unknown users, against numpy."""
+    import math
+
+    import numpy as np
+
+    from biasfit.operators.select import forward_select, gram_sums, pattern_terms
+    rng = np.random.default_rng(5)
+    users, n, k = 30, 600, 200
+    flags = [f"f{i}" for i in range(k)]
+    up, down = rng.normal(0, 0.05, (users, k)), rng.normal(0, 0.05, (users, k))
+    eff = spark.createDataFrame([(u, 20, *map(float, up[u]), *map(float, down[u])) for u in range(users)],
+                                "userId INT, m_u BIGINT, " + ", ".join(f"{f}_{d} DOUBLE" for d in ("up", "down") for f in flags))
+    u, pattern = rng.integers(0, users, n), rng.integers(0, 2, (40, k))
+    f = pattern[rng.integers(0, 40, n)]
+    e = rng.normal(0, 1, n)
+    rows = [(int(a), float(3 + b), 0.0, 0.0, *[int(x) for x in c[:-1]], None if i == 7 else int(c[-1]))
+            for i, (a, b, c) in enumerate(zip(u, e, f))]
+    test = spark.createDataFrame(rows, "userId INT, rating DOUBLE, b_i DOUBLE, b_u DOUBLE, " + ", ".join(f"{x} INT" for x in flags))
+    terms = pattern_terms(test, eff, flags, 3.0)
+    plan = terms._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan
+    terms = terms.cache()
+    assert terms.count() < n
+    g = gram_sums(terms, k)
+    x = (2 * f - 1) * (up[u] - down[u]) / 2
+    want = x.T @ x
+    assert g["n"] == n and g["g_e_e"] == pytest.approx(e @ e)
+    for a in range(k - 1):
+        assert g[f"g_e_{a}"] == pytest.approx(e @ x[:, a], abs=1e-9)
+        for b in range(a, k - 1, 7):
+            assert g[f"g_{a}_{b}"] == pytest.approx(want[a, b], abs=1e-9)
+    assert math.isnan(g["g_199_199"])
+    some = flags[:6] + flags[-1:]
+    sel = forward_select(test, some, 3.0, eff)
+    base, kept = math.sqrt(np.mean(e ** 2)), []
+    for i, name in enumerate(some[:-1]):
+        cand = math.sqrt(np.mean((e - x[:, kept + [i]].sum(axis=1)) ** 2))
+        assert sel.steps[i]["rmse"] == pytest.approx(cand, abs=1e-9)
+        if cand < base:
+            base, kept = cand, kept + [i]
+    assert sel.kept == [some[i] for i in kept] and sel.steps[-1]["decision"] == "reject"
