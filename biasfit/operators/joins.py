@@ -20,7 +20,11 @@ Every join here goes through :func:`keyed_join`:
    too small to have a hot key skips salting entirely.
    The salt is a hash of the whole row, so only identical rows stay together:
    a salt by row number would not survive a recomputed task.
-3. AQE's skew-join split stays on as a further safety net.
+3. Where no counts exist (raw facts), :func:`hot_keys` lists the hot keys from a
+   sketch: per-task counters of frequent items with a proven error, merged in
+   one narrow job.  A wrong estimate only changes the balance.  The list is
+   bounded and fixed before the join, so both sides salt alike.
+4. AQE's skew-join split stays on as a further safety net.
 """
 
 from __future__ import annotations
@@ -77,7 +81,7 @@ def key_counts(df: DataFrame, key: str) -> DataFrame:
 def keyed_join(left: DataFrame, right: DataFrame, keys: str | list[str], how: str = "left", *,
                count_col: str | None = None, total: int | None = None, null_safe: bool = False,
                salt_cols: list[str] | None = None, counts: DataFrame | None = None,
-               policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
+               hot: DataFrame | None = None, policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
     """Join ``left`` to ``right`` (unique on ``keys``); runs no Spark job itself.
 
     ``count_col`` names a right-side column with the number of left-side rows
@@ -85,15 +89,47 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: str | list[str], how: st
     enable hot-key salting.  ``counts`` is a narrow table of ``keys`` and
     ``count_col`` to list the hot keys from, for a ``right`` that is costly to
     compute twice.  ``count_col`` stays in the output unless the join is a
-    semi/anti join.
+    semi/anti join.  ``hot`` (:func:`hot_keys` of ``left``) salts a join without
+    counts.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if hot is not None:
+        return _listed_join(left, right, keys, how, null_safe, salt_cols or left.columns, hot)
     if not count_col or not total or total < policy.threshold(total):
         return _join(left, right, keys, how, null_safe)
     return _salted_join(left, right, keys, how, count_col, policy.threshold(total), null_safe,
                         salt_cols or left.columns, right if counts is None else counts, policy)
 
 
+#: Counters of a sketch (its error is at most 3.5 / TRACKED of the rows), and
+#: keys that it may list.
+TRACKED, LISTED = 1 << 16, 10_000
+
+
+def hot_keys(df: DataFrame, key: str, policy: JoinPolicy = DEFAULT_POLICY) -> DataFrame:
+    """``key, _salts`` of the keys that hold more than a bucket's rows, by a
+    mergeable frequent-items sketch; at most ``LISTED`` local rows (one job)."""
+    top = df.agg(F.expr(f"approx_top_k(`{key}`, {LISTED}, {TRACKED})").alias("_top"))
+    found = top.select(F.inline("_top")).where((F.col("count") > policy.rows_per_bucket) & F.col("item").isNotNull()).collect()
+    kind = df.schema[key].dataType.simpleString()
+    return df.sparkSession.createDataFrame([(r["item"], math.ceil(r["count"] / policy.rows_per_bucket)) for r in found],
+                                           f"`{key}` {kind}, {_HOT} INT")
+
+
+def _listed_join(left: DataFrame, right: DataFrame, keys: list[str], how: str, null_safe: bool, salt_cols: list[str],
+                 hot: DataFrame) -> DataFrame:
+    (key,) = keys
+    spread = F.pmod(F.xxhash64(*salt_cols), F.col(_HOT))
+    if not null_safe:
+        # rows without a key match nothing: any place does
+        spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*salt_cols), F.lit(1 << 16))).otherwise(spread)
+    salted = left.join(F.broadcast(hot), key, "left")
+    salted = salted.select(*left.columns, F.coalesce(spread, F.lit(0)).cast("int").alias(_SALT))
+    copies = right.join(F.broadcast(hot), key, "left")
+    copies = copies.select(*right.columns, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_HOT), F.lit(1)) - 1)).alias(_SALT))
+    return _join(salted, copies, keys, how, null_safe, extra=[_SALT]).drop(_SALT)
+
+
 def _salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
                  count_col: str, threshold: int, null_safe: bool,
                  salt_cols: list[str], counts: DataFrame, policy: JoinPolicy) -> DataFrame:

@@ -17,7 +17,7 @@ from biasfit import schemas as S
 from biasfit.functions.flags import add_flags
 from biasfit.functions.hashing import hash_prefix_number, order_hash
 from biasfit.functions.metrics import rmse_columns
-from biasfit.operators.diagnostics import boxplot_stats, null_cells, null_cells_by_column, preview
+from biasfit.operators.diagnostics import boxplot_outliers, boxplot_stats, null_cells, null_cells_by_column, preview
 from biasfit.operators.sampling import ROW_ID, STRATUM, assign_holdout_roles, exact_stratified_sample, prepare
 from biasfit.plans import edge_cases
 from biasfit.plans.analysis import PipelineConfig, RatingsPipeline
@@ -191,6 +191,13 @@ def q_flag_boxstats(spark, sf_dir):
                                             ("q1", "median", "q3", "whisker_low", "whisker_high")], "n_outliers")
 
 
+def q_flag_outliers(spark, sf_dir):
+    """The points that the box plots show beyond their whiskers."""
+    p = analysis(spark, sf_dir)
+    out = boxplot_outliers(p.train_residuals, boxplot_stats(p.train_residuals, FLAGS, "resid"), FLAGS, "resid")
+    return out.select("flag", "level", r6("value").alias("resid"))
+
+
 def q_user_flag_effects(spark, sf_dir):
     p = analysis(spark, sf_dir)
     e = p.flag_effects(S.SCREEN_LAMBDA)
@@ -265,6 +272,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "best_bias_lambda": q_best_bias_lambda,
     "bias_residuals": q_bias_residuals,
     "flag_boxstats": q_flag_boxstats,
+    "flag_outliers": q_flag_outliers,
     "user_flag_effects": q_user_flag_effects,
     "flag_predictions": q_flag_predictions,
     "forward_selection": q_forward_selection,

@@ -16,7 +16,8 @@ from biasfit.functions.flags import add_flags
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.diagnostics import null_cells_by_column
 from biasfit.operators.effects import attach_bias, fit_bias, item_stats, global_mean, predict_bias, residuals, user_flag_effects, user_flag_stats
-from biasfit.operators.joins import JoinPolicy
+from biasfit.operators import state as ST
+from biasfit.operators.joins import JoinPolicy, keyed_join
 from biasfit.operators.sampling import anti_join_all, assign_holdout_roles, semi_join_keys
 from biasfit.operators.select import forward_select
 from biasfit.operators.sweep import sweep_bias
@@ -99,6 +100,55 @@ def q_forward_selection_nulls(spark, sf_dir):
     return spark.createDataFrame(rows, "step INT, flag STRING, rmse DOUBLE, decision STRING, kept STRING")
 
 
+# ---------------------------------------------------- states that are merged
+
+def _merged(spark, sf_dir):
+    """Train with NULLs as three lots of ratings, one of them withdrawn again."""
+    f = null_facts(spark, sf_dir)
+    lots = [f.where("l_linenumber = 1"), f.where("l_linenumber in (2, 3)"), f.where("l_linenumber > 3")]
+    made = lambda put, keys, value: ST.merge(*[ST.state(put(x), keys, value) for x in lots],       # noqa: E731
+                                             ST.withdrawn(ST.state(put(lots[0]), keys, value)))
+    return lots, made
+
+
+def q_merged_item_effect(spark, sf_dir):
+    _, made = _merged(spark, sf_dir)
+    s = made(lambda x: x, "movieId", "rating")
+    return ST.item_effects(s, ST.mean_of(s)[0], LAMBDA).select("movieId", r6("b_i").alias("b_i"), "n_i")
+
+
+def _with_items(spark, sf_dir):
+    lots, made = _merged(spark, sf_dir)
+    s = made(lambda x: x, "movieId", "rating")
+    mu, n = ST.mean_of(s)
+    items = ST.item_effects(s, mu, LAMBDA)
+    join = lambda df, it: keyed_join(df, it, "movieId", "left", count_col="n_i", total=n, null_safe=True, policy=SALTED)
+    return made, lambda x: ST.item_residual(x, items, mu, join)
+
+
+def q_merged_user_effect(spark, sf_dir):
+    made, put = _with_items(spark, sf_dir)
+    return ST.user_effects(made(put, "userId", "_value"), LAMBDA).select("userId", r6("b_u").alias("b_u"), "m_u")
+
+
+def q_merged_flag_effect(spark, sf_dir):
+    """Flag effects of ``r - mu - b_i`` from states per user, flag and level."""
+    made, put = _with_items(spark, sf_dir)
+    lots, _ = _merged(spark, sf_dir)
+    flags = list(S.TESTDATA_FLAGS)
+    each = [ST.flag_states(add_flags(put(x), S.TESTDATA_FLAGS), flags, "_value") for x in lots]
+    return ST.flag_effects(ST.merge(*each, ST.withdrawn(each[0])), S.SCREEN_LAMBDA).select(
+        "userId", "flag", "level", r6("effect").alias("effect"))
+
+
+# ------------------------------------------------------------------ hot item
+
+def q_ratings_fact_hot_item(spark, sf_dir):
+    """The facts join with a third of the rows on one item, salted from the sketch."""
+    return TestdataViews(spark, sf_dir, hot_item=True, policy=SALTED).facts().select(
+        "userId", "movieId", "rating", "timestamp", "title", "genres")
+
+
 # ----------------------------------------------------------------- hold-out
 
 def _cut(n: int):
@@ -174,7 +224,7 @@ def q_genre_flags_compat(spark, sf_dir):
 
 
 QUERIES = {f.__name__[2:]: f for f in (
-    q_user_effect_nulls, q_bias_rmse_nulls, q_bias_sweep_salted, q_effect_nulls, q_forward_selection_nulls, q_holdout_orphans_returned,
+    q_user_effect_nulls, q_bias_rmse_nulls, q_bias_sweep_salted, q_effect_nulls, q_forward_selection_nulls, q_merged_item_effect, q_merged_user_effect, q_merged_flag_effect, q_ratings_fact_hot_item, q_holdout_orphans_returned,
     q_split_orphans_dropped, q_holdout_by_joins, q_validation_refiltered, q_rejected_lines, q_genre_flags_19,
     q_genre_flags_compat)}
 
@@ -249,6 +299,19 @@ def oracle_sql(with_) -> dict[str, str]:
     # an effect of a user without rows at a level is 0, never missing
     cells += ["SELECT 'userId', count(*) FILTER (WHERE userId IS NULL), 'effects' FROM (SELECT DISTINCT userId FROM ntr)"]
     cells += [f"SELECT '{f}_{d}', 0, 'effects'" for f, _ in flags for d in ("down", "up")]
+    q["merged_item_effect"] = chain(f"SELECT movieId, round(s / (n + {lam}), 6) AS b_i, n AS n_i FROM nst")
+    q["merged_user_effect"] = q["user_effect_nulls"]
+    screen = f"CAST({float(S.SCREEN_LAMBDA)!r} AS DOUBLE)"
+    q["merged_flag_effect"] = chain(f""", nv AS (SELECT t.userId, genres, t.rating - m - s / (n + {lam}) AS v FROM ntr t
+        JOIN nst ON nst.movieId IS NOT DISTINCT FROM t.movieId, nmu) """ + " UNION ALL ".join(
+        f"""SELECT userId, '{f}' AS flag, {lvl}::INT AS level, round(sum(v) / (count(*) + {screen}), 6) AS effect FROM nv
+            WHERE contains(genres, '{p}')::INT = {lvl} GROUP BY userId""" for f, p in flags for lvl in (0, 1)))
+    hot = "CASE WHEN l.l_linenumber % 3 = 0 THEN 1 ELSE l.l_partkey END"
+    q["ratings_fact_hot_item"] = f"""SELECT o.o_custkey AS userId, {hot} AS movieId,
+        CAST(least(10, greatest(1, floor((l.l_quantity * 2 + ({hot} % 7) * 10 + (o.o_custkey % 5) * 10
+          + CASE WHEN p.p_type = 'PROMO' THEN CASE WHEN o.o_custkey % 2 = 0 THEN 40 ELSE -40 END ELSE 0 END) / 20))) / 2 AS DOUBLE) AS rating,
+        CAST(epoch(l.l_shipdate) AS BIGINT) AS timestamp, p_name AS title, concat_ws('|', p_type, replace(p_name, ' ', '|')) AS genres
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN part p ON p.p_partkey = {hot}"""
     q["effect_nulls"] = chain(" UNION ALL ".join(cells))
     q["forward_selection_nulls"] = chain(_selection_sql(flags, lam))
     h = "md5(l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR)"

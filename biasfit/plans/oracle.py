@@ -237,6 +237,12 @@ def oracle_sql() -> dict[str, str]:
         "\nSELECT flag, level, count(*) AS n",
         f",\nlng AS MATERIALIZED (SELECT * FROM ({long_}) WHERE level IS NOT NULL AND value IS NOT NULL)\n"
         "SELECT flag, level, count(*) AS n", 1)
+    q["flag_outliers"] = _with(f"""SELECT flag, level, round(value, 6) AS resid FROM lng JOIN (
+              SELECT flag, level, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM lng GROUP BY flag, level) q
+            USING (flag, level) WHERE value < q1 - 1.5 * (q3 - q1) OR value > q3 + 1.5 * (q3 - q1)""", "tresid").replace(
+        "\nSELECT flag, level, round(value",
+        f",\nlng AS MATERIALIZED (SELECT * FROM ({long_}) WHERE level IS NOT NULL AND value IS NOT NULL)\n"
+        "SELECT flag, level, round(value", 1)
     eff_out = ", ".join(f"round({f}_down, 6) AS {f}_down, round({f}_up, 6) AS {f}_up" for f, _p in FLAGS)
     q["user_flag_effects"] = _with(f"SELECT userId, {eff_out} FROM eff30", "eff30")
     q["forward_selection"] = _with(" UNION ALL ".join(

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
+from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, hot_keys, keyed_join
 
 # Columns hashed to order rows for sampling, and the tie-break order after it.
 KEY_COLS = ("l_orderkey", "l_linenumber", "movieId", "l_suppkey")
@@ -49,6 +49,7 @@ class TestdataViews:
     spark: SparkSession
     sf_dir: str
     planted: bool = True
+    hot_item: bool = False
     policy: JoinPolicy = field(default=DEFAULT_POLICY)
 
     def table(self, name: str) -> DataFrame:
@@ -65,21 +66,29 @@ class TestdataViews:
             F.concat_ws("|", F.col("p_type"), F.regexp_replace(F.col("p_name"), " ", "|")).alias("genres"),
         )
 
+    def lines(self) -> DataFrame:
+        """The lines; every third one is of part 1 if ``hot_item``."""
+        li = self.table("lineitem")
+        if self.hot_item:
+            li = li.withColumn("l_partkey", F.when(F.col("l_linenumber") % 3 == 0, F.lit(1)).otherwise(F.col("l_partkey")).cast("bigint"))
+        return li
+
     def ratings(self, with_identity: bool = True, item_cols: tuple[str, ...] = ()) -> DataFrame:
         """``userId, movieId, rating, timestamp`` (+ identity and item columns)."""
-        li = self.table("lineitem").select(
+        li = self.lines().select(
             "l_orderkey", "l_linenumber", F.col("l_partkey").alias("movieId"), "l_suppkey",
             "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
             "l_linestatus", epoch_seconds(F.col("l_shipdate")).alias("timestamp"))
         orders = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"),
                                              F.col("o_custkey").alias("userId"))
-        # Two large tables on a unique, unskewed key: a shuffle join, which also
-        # spreads a table of few files over all tasks.
-        r = li.join(orders.hint("shuffle_hash"), "l_orderkey", "inner")
+        # two large tables on a unique, unskewed key
+        r = li.join(orders, "l_orderkey", "inner")
         # one join with the item table gives the rating's input and, if wanted, the item columns
         items = self._parts()
         if self.planted or item_cols:
-            r = keyed_join(r, items.select("movieId", "p_type", *item_cols), "movieId", "left", policy=self.policy)
+            # popular items are the skewed key: listed by a sketch of the one column
+            r = keyed_join(r, items.select("movieId", "p_type", *item_cols), "movieId", "left", policy=self.policy,
+                           hot=hot_keys(li, "movieId", self.policy))
         if self.planted:
             rating = planted_rating(F.col("l_quantity"), F.col("movieId"), F.col("userId"), F.col("p_type"))
         else:
