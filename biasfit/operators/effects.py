@@ -135,12 +135,24 @@ def flag_stat_columns(flags: Sequence[str], resid: str = "resid") -> list[Column
     return cols
 
 
-def user_flag_stats(resid_df: DataFrame, flags: Sequence[str], resid: str = "resid") -> DataFrame:
-    """One pass over the residual rows for all flags: ``userId, m_u, <f>__s1, <f>__n1, <f>__s0, <f>__n0``.
+#: Flags of one aggregate: 4 sums each and the count stay below the codegen field limit.
+FLAGS_AT_ONCE = 24
 
-    Every lambda's effect is a projection over this table (no rescan).
-    """
-    return resid_df.groupBy(USER).agg(F.count(F.lit(1)).alias("m_u"), *flag_stat_columns(flags, resid))
+
+def user_flag_stats(resid_df: DataFrame, flags: Sequence[str], resid: str = "resid") -> DataFrame:
+    """Residual sums and counts of all flags: ``userId, m_u, <f>__s1, <f>__n1, <f>__s0, <f>__n0``.
+
+    One aggregate per ``FLAGS_AT_ONCE`` flags, joined by user.  Every lambda's
+    effect is a projection over this table (no rescan)."""
+    out = None
+    for i in range(0, max(len(flags), 1), FLAGS_AT_ONCE):
+        part = resid_df.groupBy(USER).agg(F.count(F.lit(1)).alias("m_u"), *flag_stat_columns(flags[i:i + FLAGS_AT_ONCE], resid))
+        if out is None:
+            out = part
+        else:
+            part = part.drop("m_u").withColumnRenamed(USER, "_same_user")
+            out = out.join(part, out[USER].eqNullSafe(part["_same_user"])).drop("_same_user")
+    return out
 
 
 def flag_effect_columns(flags: Sequence[str], lam: float) -> list[Column]:

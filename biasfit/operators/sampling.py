@@ -221,12 +221,15 @@ def stratum_column(target: str | Column, breaks: Sequence[float]) -> Column:
     return F.when(t.isNotNull() & ~F.isnan(t.cast("double")), s)
 
 
-def written_rows(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once and read back, with the ``ROW_ID`` of every row.
+def with_row_id(written: DataFrame) -> DataFrame:
+    """Add the ``ROW_ID`` of every row of a table just read from files: the same
+    however often, and by whichever executor, it is read."""
+    return written.select("*", F.col("_metadata.file_name").alias(ROW_ID[0]), F.col("_metadata.row_index").alias(ROW_ID[1]))
+
 
-    The id stays the same however often, and by whichever executor, the table is read."""
-    return materialize(df, "table", name).select(
-        "*", F.col("_metadata.file_name").alias(ROW_ID[0]), F.col("_metadata.row_index").alias(ROW_ID[1]))
+def written_rows(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once and read back, with the ``ROW_ID`` of every row."""
+    return with_row_id(materialize(df, "table", name))
 
 
 @dataclass
@@ -240,18 +243,29 @@ class SampleInput:
 
 
 def prepare(df: DataFrame, name: str, target: str, hashes: Mapping[str, Column], *, groups: int = 5,
-            keys: Sequence[str] = ()) -> SampleInput:
+            keys: Sequence[str] = (), stage=None) -> SampleInput:
     """Write ``df`` with the order hashes ``hashes`` (column name: number); the
-    brackets of the strata and the ranges of the keys cost no job of their own."""
+    brackets of the strata and the ranges of the keys cost no job of their own.
+
+    ``stage(name, make)`` (:class:`biasfit.plans.stages.Stages`) keeps the table
+    and what was observed beyond this run."""
     whole = [k for k in keys if isinstance(df.schema[k].dataType, INTEGERS)]
-    seen = Observation(f"biasfit-{name}")
-    rows = df.withColumns(dict(hashes)).observe(
-        seen, F.count(F.lit(1)).alias("n"), bracket_column(target, groups).alias("bounds"),
-        *[f(k).alias(f"{i}_{k}") for k in whole for i, f in enumerate((F.min, F.max))])
-    out = written_rows(rows, name)
-    got = seen.get
+
+    def make(write) -> dict:
+        seen = Observation(f"biasfit-{name}")
+        write(df.withColumns(dict(hashes)).observe(
+            seen, F.count(F.lit(1)).alias("n"), bracket_column(target, groups).alias("bounds"),
+            *[f(k).alias(f"{i}_{k}") for k in whole for i, f in enumerate((F.min, F.max))]))
+        return {**seen.get, "bounds": seen.get["bounds"] and list(seen.get["bounds"])}
+
+    if stage is None:
+        kept = []
+        got = make(lambda rows: kept.append(materialize(rows, "table", name)))
+        out = kept[0]
+    else:
+        out, got = stage(name, make)
     extents = {k: (got[f"0_{k}"], got[f"1_{k}"]) if k in whole else (None, None) for k in keys}
-    return SampleInput(out, got["n"], got["bounds"], extents)
+    return SampleInput(with_row_id(out), got["n"], got["bounds"], extents)
 
 
 def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,

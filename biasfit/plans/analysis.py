@@ -19,7 +19,9 @@ Parameters are the published analysis's fixed values unless overridden.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
 
@@ -31,6 +33,7 @@ from biasfit.functions.flags import add_flags
 from biasfit.functions.hashing import hash_prefix_number, order_hash
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.bitmaps import MAX_BITS, layouts, segments, with_bits
+from biasfit.operators.diagnostics import boxplot_outliers, boxplot_stats
 from biasfit.operators.effects import (USER, ITEM, attach_bias, fit_bias, item_stats,
                                        predict_bias, predict_flags, residuals, user_flag_effects,
                                        user_flag_stats)
@@ -39,6 +42,7 @@ from biasfit.operators.sampling import (ROW_ID, SampleInput, assign_holdout_role
                                         semi_join_keys)
 from biasfit.operators.select import Selection, forward_select
 from biasfit.operators.sweep import best_lambda, sweep_bias, sweep_flags
+from biasfit.plans.stages import Files, Stages
 from biasfit.session import materialize
 
 
@@ -68,10 +72,25 @@ class PipelineConfig:
 
 
 class RatingsPipeline:
-    def __init__(self, spark: SparkSession, facts: DataFrame, cfg: PipelineConfig | None = None):
+    """``stages`` keeps the written tables, so that a run can be taken up again."""
+
+    def __init__(self, spark: SparkSession, facts: DataFrame, cfg: PipelineConfig | None = None, stages: Stages | None = None):
         self.spark = spark
         self.facts = facts
         self.cfg = cfg or PipelineConfig()
+        self.stages = stages
+
+    def _stage(self, name: str, make: Callable[[Callable], dict]) -> tuple[DataFrame, dict]:
+        """A written table and what was observed of it; kept if the run has stages."""
+        if self.stages is not None:
+            return self.stages.run(name, make)
+        kept: list[DataFrame] = []
+
+        def write(df: DataFrame, partition_by: list[str] | None = None) -> None:
+            kept.append(materialize(df, self.cfg.materialize, name, partition_by=partition_by))
+
+        info = make(write)
+        return kept[0], info
 
     # ---------------------------------------------------------------- data
     @cached_property
@@ -80,7 +99,8 @@ class RatingsPipeline:
         pass of the sampler reads the two or three narrow columns it needs."""
         c = self.cfg
         hashes = {f"_h{i}": hash_prefix_number(order_hash(s, c.key_cols)) for i, s in enumerate(c.seeds)}
-        return prepare(add_flags(self.facts, c.flags), "facts", "rating", hashes, groups=c.groups, keys=(ITEM, USER))
+        return prepare(add_flags(self.facts, c.flags), "facts", "rating", hashes, groups=c.groups, keys=(ITEM, USER),
+                       stage=self.stages and self.stages.run)
 
     @property
     def work(self) -> DataFrame:
@@ -88,7 +108,10 @@ class RatingsPipeline:
 
     @cached_property
     def _split(self) -> tuple[DataFrame, dict]:
-        """The split, and what was observed while it was written.
+        return self._stage("split", self._make_split)
+
+    def _make_split(self, write: Callable) -> dict:
+        """Write the split; return what was observed meanwhile.
 
         Whether a sampled row's keys are known is read from key bitmaps.  Where
         the keys' ranges allow exact ones, no row is shuffled; else the rows
@@ -124,7 +147,8 @@ class RatingsPipeline:
         out = out.observe(seen, F.avg(rating).alias("mu"), F.count(rating).alias("k"),
                           *[F.count(F.when(F.col("role") == r, 1)).alias(r) for r in ROLES])
         # partitioned by role: reading test or validation skips the train files
-        return materialize(out, c.materialize, "split", partition_by=["role"]), seen.get
+        write(out, partition_by=["role"])
+        return dict(seen.get)
 
     @property
     def split(self) -> DataFrame:
@@ -214,7 +238,11 @@ class RatingsPipeline:
     @cached_property
     def train_residuals(self) -> DataFrame:
         """Written once: the flag sums and the box plots read it many times."""
-        return materialize(residuals(self.train, self.bias_model, self.cfg.policy, self.n_train), "table", "residuals")
+        def make(write: Callable) -> dict:
+            write(residuals(self.train, self.bias_model, self.cfg.policy, self.n_train))
+            return {}
+
+        return self._stage("residuals", make)[0]
 
     # ---------------------------------------------------------------- flags
     @cached_property
@@ -276,26 +304,29 @@ class RatingsPipeline:
         rows.append((k + 1, "validation", fin["rmse"], None, "final"))
         return self.spark.createDataFrame(rows, "step INT, model STRING, rmse DOUBLE, delta DOUBLE, decision STRING")
 
-    def write_reports(self, path: str, mode: str = "overwrite") -> dict[str, str]:
-        """Persist the tables behind the analysis's plots and printouts (parquet sink).
+    def write_reports(self, path: str) -> dict[str, str]:
+        """Write the tables behind the analysis's plots and printouts as Parquet.
 
         ``bias_sweep`` / ``flag_sweep`` (lambda, rmse): the tuning curves;
-        ``flag_boxstats``: the residual box plots per flag; ``ledger``: every
-        reported RMSE with its decision.
-        """
-        import os
-
-        from biasfit.operators.diagnostics import boxplot_stats
-
+        ``flag_boxstats`` and ``flag_outliers``: the residual box plots per
+        flag; ``ledger``: every reported RMSE with its decision.  Each goes to a
+        folder of its own; ``manifest.json`` names them and is published last,
+        so readers see the reports of one run whole, or those before it."""
+        stats = boxplot_stats(self.train_residuals, self.cfg.screen, "resid")
         out = {
             "bias_sweep": self.bias_sweep,
             "flag_sweep": self.flag_sweep,
-            "flag_boxstats": boxplot_stats(self.train_residuals, self.cfg.screen, "resid"),
+            "flag_boxstats": stats,
+            "flag_outliers": boxplot_outliers(self.train_residuals, stats, self.cfg.screen, "resid"),
             "ledger": self.ledger(),
         }
-        paths = {}
+        run = uuid.uuid4().hex[:12]
+        paths = {name: f"{path.rstrip('/')}/{name}-{run}" for name in out}
         for name, df in out.items():
-            paths[name] = os.path.join(path, name)
-            df.write.mode(mode).parquet(paths[name])
+            df.write.parquet(paths[name])
+        files = Files(self.spark)
+        before = files.read(f"{path}/manifest.json")
+        files.publish(f"{path}/manifest.json", json.dumps(paths))
+        for old in (json.loads(before).values() if before else ()):
+            files.delete(old)
         return paths
-

@@ -21,6 +21,7 @@ from biasfit.operators.diagnostics import boxplot_outliers, boxplot_stats, null_
 from biasfit.operators.sampling import ROW_ID, STRATUM, assign_holdout_roles, exact_stratified_sample, prepare
 from biasfit.plans import edge_cases
 from biasfit.plans.analysis import PipelineConfig, RatingsPipeline
+from biasfit.plans.stages import Files
 from biasfit.session import scratch_path
 from biasfit.sources.testdata import KEY_COLS, TIE_COLS, TestdataViews
 from biasfit.sources.text import read_items_text, read_ratings_text, write_items_text, write_ratings_text
@@ -38,18 +39,19 @@ def testdata_config(**kw) -> PipelineConfig:
     return PipelineConfig(flags=dict(S.TESTDATA_FLAGS), key_cols=KEY_COLS, tie_cols=TIE_COLS, **kw)
 
 
-_ANALYSES: dict[tuple[str, str], RatingsPipeline] = {}
+_ANALYSES: dict[tuple[str, str, str], RatingsPipeline] = {}
 
 
 def analysis(spark: SparkSession, sf_dir: str, **kw) -> RatingsPipeline:
     """The staged analysis of ``sf_dir``.
 
     With the default configuration it is kept per Spark application and
-    folder, so queries run in one session share the written split and the
+    state of the input files, so queries run in one session share the written split and the
     persisted statistics (like reusing a materialised table); every stage is
     still computed from the parquet tables by Spark the first time.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    files = Files(spark)
+    key = (spark.sparkContext.applicationId, sf_dir, str([files.state(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders", "part")]))
     if not kw and key in _ANALYSES:
         return _ANALYSES[key]
     v = TestdataViews(spark, sf_dir)
