@@ -469,7 +469,7 @@ def test_neighbours(spark):
     odd = [(900, None, 0.0, 1), (901, [0.0] * 16, 0.0, 1), (902, [float("nan")] + [1.0] * 15, 0.0, 1), (903, [None] * 16, 0.0, 1),
            (904, [1.0, 2.0], 0.0, 1), (950, [float("inf")] * 16, 0.0, 1), (None, [1.0] * 16, 0.0, 1)]
     df = spark.createDataFrame(data + odd + data[:1], "vec_id long, embedding array<double>, score double, rank int")
-    got = neighbours.nearest(df, F.col("id") % 50 == 0, list_rows=32, block_rows=64).collect()
+    got = neighbours.nearest(df, F.col("id") % 50 == 0, list_rows=32, chunk_rows=64).collect()
     unit = m / np.sqrt((m * m).sum(axis=1, keepdims=True))
     hit = total = 0
     by = collections.defaultdict(list)
@@ -486,7 +486,7 @@ def test_neighbours(spark):
     assert hit / total >= 0.9
     assert [v for _, v, _ in by[150]] == [100, 101, 102, 103, 104]
     many = df.unionByName(spark.createDataFrame([data[100]] * 40 + [data[101]] * 40, df.schema))
-    many = neighbours.nearest(many, F.col("id") == 150, list_rows=32, block_rows=64).orderBy("rank").collect()
+    many = neighbours.nearest(many, F.col("id") == 150, list_rows=32, chunk_rows=64).orderBy("rank").collect()
     assert [r.vec_id for r in many] == [100, 101, 102, 103, 104]
     far = spark.createDataFrame([(k, [s * x for x in v]) for k, (s, v) in enumerate(
         [(2.0 ** 900, [3.0, 4.0]), (2.0 ** -900, [3.0, 4.0]), (1.0, [4.0, 3.0])])], "vec_id long, embedding array<double>")
@@ -495,3 +495,55 @@ def test_neighbours(spark):
     few = neighbours.nearest(df.filter("vec_id < 3"), F.col("id") == 0).collect()
     assert sorted(r.vec_id for r in few) == [1, 2]
     assert neighbours.nearest(df.limit(0), F.col("id") == 0).count() == 0
+
+
+@pytest.mark.parametrize("kind, sample_rows, most", [("clusters", 256, 0.5), ("clusters", 20_000, 0.1), ("none", 256, 1.0), ("none", 20_000, 1.0)])
+def test_neighbours_score_fewer_pairs_than_brute_force(spark, kind, sample_rows, most, monkeypatch):
+    """Pairs scored and recall; with a small sample most lists are made in tasks."""
+    rng = np.random.default_rng(9)
+    n, dim = 8000, 24
+    if kind == "clusters":
+        m = rng.normal(size=(160, dim))[rng.integers(0, 160, n)] + 0.15 * rng.normal(size=(n, dim))
+    else:
+        m = rng.normal(size=(n, dim))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id long, embedding array<double>").repartition(4)
+    scored = spark.sparkContext.accumulator(0)
+    lists = spark.sparkContext.accumulator(0)
+    among, init = neighbours.Chunk._among, neighbours.Chunk.__init__
+
+    def counted(self, q, qid, rough, at):
+        scored.add(len(rough))
+        return among(self, q, qid, rough, at)
+
+    def built(self, *args):
+        init(self, *args)
+        lists.add(1 if self.sub is None else len(self.sub.centroids))
+
+    search = neighbours._visit_task
+
+    def visit(*args):
+        run = search(*args)
+
+        def task(batches):
+            neighbours.Chunk._among, neighbours.Chunk.__init__ = counted, built
+            try:
+                yield from run(batches)
+            finally:
+                neighbours.Chunk._among, neighbours.Chunk.__init__ = among, init
+        return task
+
+    monkeypatch.setattr(neighbours, "_visit_task", visit)
+    got = neighbours.nearest(df, F.col("id") % 50 == 0, list_rows=32, sample_rows=sample_rows, chunk_rows=1024).collect()
+    u = m / np.sqrt((m * m).sum(axis=1, keepdims=True))
+    hit = 0
+    found = collections.defaultdict(set)
+    for r in got:
+        found[r.query_id].add(r.vec_id)
+    for q in range(0, n, 50):
+        s = u @ u[q]
+        s[q] = -2
+        hit += len(found[q] & set(np.argsort(-s)[:5].tolist()))
+    recall, share = hit / (n // 50 * 5), scored.value / (n // 50 * n)
+    print(f"{kind}, sample {sample_rows}: recall {recall:.3f}, pairs {share:.3f} of brute force, lists {lists.value}")
+    assert recall >= 0.9 and share < most
+    assert lists.value > 32
