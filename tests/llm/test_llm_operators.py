@@ -367,6 +367,111 @@ def test_simhash_links_with_crowded_keys(spark):
     assert {(min(r.a, r.b), max(r.a, r.b)) for r in got} == want
 
 
+def sample_of(expression, rng):
+    """A text that a rule's expression matches: one choice of each part."""
+    def group(e):
+        out, i = "", 0
+        while i < len(e):
+            if e.startswith("(?!", i):
+                i = e.index(")", i) + (2 if e[i + 3] == " " and "(?:" in e[i:e.index(")", i)] else 1)
+                continue
+            if e.startswith("(?:", i):
+                depth, j = 1, i + 3
+                while depth:
+                    depth += {"(": 1, ")": -1}.get(e[j], 0)
+                    j += 1
+                body, parts, d, last = e[i + 3:j - 1], [], 0, 0
+                for x, c in enumerate(body):
+                    d += {"(": 1, ")": -1}.get(c, 0)
+                    if c == "|" and d == 0:
+                        parts.append(body[last:x])
+                        last = x + 1
+                parts.append(body[last:])
+                if (got := re.match(r"\{(\d+),(\d+)\}", e[j:])):
+                    out += "".join(group(rng.choice(parts)) for _ in range(rng.randint(*map(int, got.groups()))))
+                    j += got.end()
+                elif e[j:j + 1] == "?":
+                    out += group(rng.choice(parts)) if rng.random() < 0.5 else ""
+                    j += 1
+                else:
+                    out += group(rng.choice(parts))
+                i = j
+                continue
+            if e.startswith("\\d{4}", i):
+                out, i = out + "1999", i + 5
+            elif e.startswith("\\d", i):
+                out, i = out + "4", i + 2
+            elif e.startswith("\\w+", i):
+                out, i = out + "word", i + 3
+            elif e[i] == "[":
+                out, i = out + rng.choice(e[i + 1:e.index("]", i)]), e.index("]", i) + 1
+            else:
+                out, i = out + e[i], i + 1
+            if e[i:i + 1] == "?":
+                out, i = out[:-1] if rng.random() < 0.5 else out, i + 1
+        return out
+    return group(expression)
+
+
+def plain_scan(text):
+    """Every match of every rule, compared with every one accepted before."""
+    line = " ".join(re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", text.lower()))
+    accepted = []
+    for r in licenses.rules():
+        own = []
+        for m in re.finditer(rf"(?<!\S)(?:{r.expression.pattern.decode()[4:-6]})(?!\S)", line):
+            if not any(a <= m.start() and m.end() <= b for a, b, _ in accepted):
+                own.append((m.start(), m.end(), r.label))
+        accepted += own
+    word = lambda at: line[:at].count(" ")                                             # noqa: E731
+    return ",".join(f"{label}:{word(a)}:{word(b) + 1}" for a, b, label in sorted(accepted, key=lambda x: x[:2]))
+
+
+def test_license_rules_one_by_one():
+    """Each rule finds a text made from it, and its keywords are in whatever it matches."""
+    rng = random.Random(3)
+    for r in licenses.rules():
+        expression = r.expression.pattern.decode()[4:-6]
+        for _ in range(6):
+            text = " ".join(sample_of(expression, rng).split())
+            if not r.expression.search(b" " + text.encode() + b" "):
+                continue        # an optional part ran into a forbidden one
+            got = set(text.encode().split())
+            got |= {licenses.SPELLINGS[w] for w in got if w in licenses.SPELLINGS}
+            assert r.keywords <= got, (r.label, text)
+            assert licenses.scan("so " + text + " then")["spans"], (r.label, text)
+
+
+def test_license_suppression_against_the_plain_version():
+    rng = random.Random(8)
+    every = [r.expression.pattern.decode()[4:-6] for r in licenses.rules()]
+    found = 0
+    for _ in range(150):
+        parts = [sample_of(rng.choice(every), rng) for _ in range(rng.randint(1, 9))]
+        parts = [p if rng.random() < 0.7 else " ".join(p.split()[rng.randint(0, 2):]) for p in parts]
+        text = rng.choice([" ", " and ", ". "]).join(parts)
+        assert licenses.scan(text)["spans"] == plain_scan(text), text
+        found += licenses.scan(text)["spans"].count(",")
+    assert found > 300
+
+
+def test_license_scan_of_ten_megabytes_is_linear():
+    import time
+    lines = ["Licensed under the MIT License, version %d.", "released under CC BY-NC 4.0 by someone %d", "see the GNU GPL version 2 or later (%d)",
+             "Permission is hereby granted, free of charge, to any person obtaining a copy %d"]
+    took = {}
+    for size in (1_000_000, 10_000_000):
+        text, k = [], 0
+        while k < size:
+            text.append(lines[len(text) % 4] % len(text))
+            k += len(text[-1]) + 1
+        t = time.process_time()
+        got = licenses.scan("\n".join(text))
+        took[size] = time.process_time() - t
+        assert got["spans"].count(":") == 2 * len(text) and got["labels"] == "cc-by-nc,gpl-2,mit"
+    assert took[10_000_000] < 25 * max(took[1_000_000], 0.2)
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(k, k + 1) for k in range(0, 40)] + [(100, 100 + k) for k in range(1, 30)] + [(200, 200), (301, 300)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
