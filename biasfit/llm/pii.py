@@ -1,17 +1,20 @@
 """Personal data by candidate gradient boosting.
 
 High-recall generators (a loose expression per kind) propose spans, which may
-overlap.  Boosted trees score each from its context; a span is redacted if its
-score is above its kind's threshold.  Base matches (strict expression and
+overlap.  Boosted trees score each from its form and its context; a span is
+redacted if its score is above its kind's threshold.  Base matches (strict expression and
 checksum) are always redacted and are also what the trees learn from: a
 proposed span that meets a base match of its kind is positive.  One that meets
 only those of other kinds is redacted already and left out.  Of the rest, one
 that fails its kind's range, length or checksum is negative and never added, and
 any other is unlabelled: it takes no part in fit or thresholds, and only such
 are added.
-No feature tells base forms from others, or repeats what decides a label.
+No feature repeats what decides a label, and a random half of the labelled spans
+has its form masked, so that form neither decides nor vanishes; an unlabelled
+span takes the better of its scores with and without its form.
 Thresholds are calibrated on held-out spans: the least score at which
-``precision`` of the labelled spans above it are positive.
+``precision`` of the labelled spans above it are positive, each kind's share
+being drawn towards that of all kinds by ``weight`` spans.
 
 Everything runs in passes over each row's arrays.  A quarter of the texts, by
 hash, is held out: all labelled spans there are scored and counted by kind and
@@ -143,11 +146,32 @@ FITS = CHECKS | {
 }
 
 FEATURES = ("kind", "joined_left", "joined_right", "number_left", "number_right", "word_left", "word_right", "own_cue",
-            "any_cue", "digits_left", "digits_right", "letters_left", "letters_right")
+            "any_cue", "digits_left", "digits_right", "letters_left", "letters_right",
+            # of the form
+            "length", "digit_share", "letter_share", "separators", "separator_kinds", "digit_groups", "longest_group", "distinct_digits")
+FORM = 8
+MASKED = -1.0
+
+
+def masked(f: Column) -> Column:
+    """The features without those of the form."""
+    return F.concat(F.slice(f, 1, len(FEATURES) - FORM), F.array_repeat(F.lit(MASKED), FORM))
+
+
+def form(m: Column) -> list[Column]:
+    """Of a match: nothing that a check or a base expression goes by."""
+    n = F.greatest(F.length(m), F.lit(1))
+    seps = F.regexp_replace(m, r"[A-Za-z0-9\x20]", "")
+    groups = F.regexp_extract_all(m, F.lit("[0-9]+"), F.lit(0))
+    kinds = F.size(F.array_distinct(F.filter(F.split(seps, ""), lambda c: c != "")))
+    longest = F.coalesce(F.array_max(F.transform(groups, lambda g: F.length(g))), F.lit(0))
+    distinct = F.size(F.array_distinct(F.filter(F.split(digits(m), ""), lambda c: c != "")))
+    return [n, F.length(digits(m)) / n, F.length(F.regexp_replace(m, r"[^\p{L}]", "")) / n, F.length(seps), kinds, F.size(groups), longest,
+            distinct]
 
 
 def features(kind: int, x: Column) -> Column:
-    """Of the text around a span only: its form is what the labels go by."""
+    """Of the text around a span, then of its form."""
     l, r = x["l"], x["r"]
     flag = lambda c: F.when(c, 1.0).otherwise(0.0)                                     # noqa: E731
     count = lambda t, cls: F.length(F.regexp_replace(t, f"[^{cls}]", ""))              # noqa: E731
@@ -155,7 +179,7 @@ def features(kind: int, x: Column) -> Column:
         F.lit(kind), flag(l.rlike("[A-Za-z0-9]$")), flag(r.rlike("^[A-Za-z0-9]")), flag(l.rlike(r"[0-9]\W{0,3}$")),
         flag(r.rlike(r"^\W{0,3}[0-9]")), flag(l.rlike(r"\p{L}\W{0,3}$")), flag(r.rlike(r"^\W{0,3}\p{L}")),
         flag(l.rlike(CUES[KINDS[kind]])), flag(l.rlike("|".join(CUES.values()))),
-        count(l, "0-9"), count(r, "0-9"), count(l, r"\p{L}"), count(r, r"\p{L}"))])
+        count(l, "0-9"), count(r, "0-9"), count(l, r"\p{L}"), count(r, r"\p{L}"), *form(x["m"]))])
 
 
 def _meets(x: Column, spans: Column) -> Column:
@@ -239,6 +263,7 @@ def labelled(docs: DataFrame) -> DataFrame:
     found = found.withColumn("all", in_order(base))
     found = found.select("doc_id", "h", F.explode(candidates(F.col("text"), base, F.col("all"))).alias("c")).filter(
         "c.y is not null").select("c.kind", "c.y", "c.f", F.xxhash64("doc_id", "h", "c.kind", "c.s").alias("x"))
+    found = found.withColumn("f", F.when(F.xxhash64("x") % 2 == 0, masked(F.col("f"))).otherwise(F.col("f")))
     return found.withColumn("level", F.lit(LEVELS) - F.length(F.bin(F.shiftrightunsigned("x", 1))))
 
 
@@ -261,7 +286,7 @@ def sample(spans: DataFrame, max_rows: int) -> DataFrame:
     return table(spans.filter(keep).orderBy("x", "kind", F.col("f").cast("string")).limit(max_rows), "spans")
 
 
-def train(docs: DataFrame, *, max_rows: int, rounds: int, depth: int, precision: float, least: int
+def train(docs: DataFrame, *, max_rows: int, rounds: int, depth: int, precision: float, weight: float
           ) -> tuple[list, dict[int, float]] | None:
     """Trees from a bounded sample of the labelled spans, and thresholds by kind
     from all that are held out.  Copies of a text are on the same side."""
@@ -278,24 +303,34 @@ def train(docs: DataFrame, *, max_rows: int, rounds: int, depth: int, precision:
     bins = labelled(docs.filter(part == 0)).withColumn("p", let(F.col("f"), lambda f: score(trees, f))).groupBy(
         "kind", F.floor(F.col("p") * 100).alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("pos"))
     # at most 101 bins a kind
-    bins = bins.collect()
+    return trees, thresholds([tuple(r) for r in bins.collect()], precision, weight)
+
+
+def thresholds(bins: list[tuple[int, int, int, float]], precision: float, weight: float) -> dict[int, float]:
+    """bins: (kind, score in percent, spans, positive ones).  By kind, the least
+    score above which the share of positive spans, drawn towards that of all
+    kinds as by ``weight`` spans, is at least ``precision``; 2 if there is none."""
     limits = {k: 2.0 for k in range(len(KINDS))}
-    for kind in limits:
-        n = pos = 0
-        for b in sorted((r for r in bins if r["kind"] == kind), key=lambda r: -r["bin"]):
-            n, pos = n + b["n"], pos + b["pos"]
-            if n >= least and pos >= precision * n:
-                limits[kind] = b["bin"] / 100
-    return trees, limits
+    seen = {k: [0, 0.0] for k in (*limits, None)}
+    for at in sorted({b[1] for b in bins}, reverse=True):
+        for kind, _, n, pos in (b for b in bins if b[1] == at):
+            for k in (kind, None):
+                seen[k][0] += n
+                seen[k][1] += pos
+        for k in limits:
+            n, pos = seen[k]
+            if pos + weight * seen[None][1] / seen[None][0] >= precision * (n + weight):
+                limits[k] = at / 100
+    return limits
 
 
 def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_rows: int = 20_000, rounds: int = 12,
-             depth: int = 3, precision: float = 0.98, least: int = 20) -> DataFrame:
+             depth: int = 3, precision: float = 0.98, weight: float = 20.0) -> DataFrame:
     """Per row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (all
     redacted spans as kind:start:end), n_added."""
     d = pick(docs, doc_id=id_col, text=text_col).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    model = train(d, max_rows=max_rows, rounds=rounds, depth=depth, precision=precision, least=least)
+    model = train(d, max_rows=max_rows, rounds=rounds, depth=depth, precision=precision, weight=weight)
     text = F.col("text")
     out = d.withColumn("b", F.struct(*[c.alias(k) for k, c in base_spans(text).items()]))
     base = {k: F.col("b." + k) for k in KINDS}
@@ -308,7 +343,7 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
         new = F.filter(candidates(text, base, F.col("all")), lambda c: c["y"].isNull())
         scored = F.transform(new, lambda c: F.struct(
-            (-let(c["f"], lambda f: score(trees, f))).alias("p"), c["s"].alias("s"), c["kind"].alias("k"), c["e"].alias("e")))
+            (-F.greatest(let(c["f"], lambda f: score(trees, f)), let(masked(c["f"]), lambda f: score(trees, f)))).alias("p"), c["s"].alias("s"), c["kind"].alias("k"), c["e"].alias("e")))
         good = F.array_sort(F.filter(scored, lambda c: -c["p"] >= F.get(limit, c["k"])))
         # best first; a span that meets a better one is dropped
         added = F.aggregate(good, F.array().cast(ONE), lambda acc, c: F.when(_meets(c, acc), acc).otherwise(

@@ -210,6 +210,7 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     out = docs.join(kept.hint("merge"), docs[id_col].cast("long").eqNullSafe(F.col(TMP + "id"))
                     & (F.xxhash64(docs[text_col]) == F.col(TMP + "th")))
     once = out.filter(F.col(TMP + "copies") == 1).select(*cols)
-    order = Window.partitionBy(TMP + "id", TMP + "th").orderBy(*[F.col(c) for c in cols])
+    # any copy does; the least by a hash of all columns, so that reruns agree (columns of any type have a JSON form)
+    order = Window.partitionBy(TMP + "id", TMP + "th").orderBy(F.xxhash64(F.to_json(F.struct(*[docs[c] for c in cols]))))
     more = out.filter(F.col(TMP + "copies") > 1).withColumn(TMP + "k", F.row_number().over(order))
     return once.unionByName(more.filter(F.col(TMP + "k") == 1).select(*cols))

@@ -157,7 +157,7 @@ def test_pii_base_and_added(spark, docs, rows, none):
     texts = collections.defaultdict(list)
     for i, t in [(i, t) for i, t, _ in rows] + [(1000 + k, t) for k, t in enumerate(hard)]:
         texts[i].append(t)
-    for r in pii.find_pii(both, least=1, precision=0.0, rounds=2).collect():
+    for r in pii.find_pii(both, weight=1, precision=0.0, rounds=2).collect():
         spans = base_spans(texts[r.doc_id][0])
         text = ",".join(s for _, _, s in spans)
         assert r.base_sha256 == hashlib.sha256(text.encode()).hexdigest(), r
@@ -276,20 +276,106 @@ def test_toxicity_learns_and_is_blind_to_labels(spark, docs, rows, none):
     assert toxicity.toxicity(none, l).count() == 0
 
 
-def test_toxicity_replaces_labels_without_a_usable_text(spark):
+def test_toxicity_replaces_labels_without_a_text(spark):
     rng = random.Random(6)
     say = lambda n: " ".join(rng.choice(["sun", "moon", "river", "stone", "wind"]) for _ in range(n))
     data = [(k, say(20) + (" grobnik " if k % 2 else " ") + say(20), k % 2) for k in range(200)]
-    # far more labels of missing, null and long texts, in both classes
-    odd = [(10_000 + k, None if k % 2 else "long " * 300, k // 2 % 2) for k in range(1000)]
+    # far more labels of missing and null texts, in both classes
+    odd = [(10_000 + k, None, k // 2 % 2) for k in range(1000)]
     d = spark.createDataFrame([(i, t) for i, t, _ in data + odd], "doc_id long, text string")
     l = spark.createDataFrame([(i, y) for i, _, y in data + odd] + [(50_000 + k, k % 2) for k in range(3000)], "doc_id long, toxic int")
-    y, xs, share = toxicity._sample(d, l.withColumnRenamed("toxic", "y"), 40, 1000)
-    assert (y == 0).sum() == (y == 1).sum() == len(xs) / 2 == 40 and share == pytest.approx(0.5, abs=0.05)
-    got = {r.doc_id: r.score for r in toxicity.toxicity(d, l, max_rows=40, max_chars=1000).collect()}
+    s = toxicity._sample(d, l.withColumnRenamed("toxic", "y"), 40)
+    assert (s.y == 0).sum() == (s.y == 1).sum() == len(s.x) / 2 == 40 and s.share == pytest.approx(0.5, abs=0.05)
+    got = {r.doc_id: r.score for r in toxicity.toxicity(d, l, max_rows=40).collect()}
     assert min(got[i] for i, _, y in data if y) > max(got[i] for i, _, y in data if not y)
 
 
+def test_toxicity_learns_from_long_texts(spark):
+    """The word that tells the classes stands in texts of 40,000 characters only."""
+    rng = random.Random(16)
+    say = lambda n: " ".join(rng.choice(["sun", "moon", "river", "stone", "wind"]) for _ in range(n))
+    data = [(k, say(8000) + (" grobnik " if k % 2 else " "), k % 2) for k in range(60)]
+    d = spark.createDataFrame([(i, t) for i, t, _ in data] + [(900, "a grobnik"), (901, "a stone")], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in toxicity.toxicity(d, spark.createDataFrame([(i, y) for i, _, y in data], "doc_id long, toxic int")).collect()}
+    assert got[900] > got[901]
+
+
+def test_toxicity_counts_and_fit_against_a_plain_version(spark):
+    rng = random.Random(26)
+    words = ["sun", "moon", "river", "stone", "wind", "grobnik", "drat"]
+    data = [(k, " ".join(rng.choices(words, weights=[5, 5, 5, 5, 5, 1 + 4 * (k % 3 == 0), 1], k=30)), int(k % 3 == 0)) for k in range(240)]
+    d = spark.createDataFrame([(i, t) for i, t, _ in data], "doc_id long, text string").repartition(4)
+    s = toxicity._sample(d, spark.createDataFrame([(i, y) for i, _, y in data], "doc_id long, y int"), 1000, min_ratio=0.3, max_features=50)
+    rows = sorted((i, y, set(toxicity.features(t).tolist())) for i, t, y in data if zlib.crc32(str(i).encode()) % 3 != 1)
+    n = [sum(y == c for _, y, _ in rows) for c in (0, 1)]
+    count = collections.Counter((f, y) for _, y, x in rows for f in x)
+    ratio = {f: math.log((count[f, 1] + 1) / (n[1] + 2)) - math.log((count[f, 0] + 1) / (n[0] + 2)) for f, _ in count}
+    strength = {f: abs(r) * math.sqrt(count[f, 0] + count[f, 1]) for f, r in ratio.items()
+                if count[f, 0] + count[f, 1] >= 4 and abs(r) >= 0.3}
+    kept = sorted(sorted(strength, key=lambda f: (-round(strength[f], 12), f))[:50])
+    assert s.features.tolist() == kept and s.ratio == pytest.approx([ratio[f] for f in kept])
+    assert [set(s.features[x].tolist()) for x in s.x] == [x & set(kept) for _, _, x in rows] and s.y.tolist() == [y for _, y, _ in rows]
+    # the same fit with a dense matrix
+    x = np.array([[float(f in r) for f in kept] for _, _, r in rows]) * s.ratio
+    c = np.where(s.y == 1, s.share / n[1], (1 - s.share) / n[0])
+    w, b, m, v = np.zeros(50), math.log((s.share + 1e-6) / (1 - s.share + 1e-6)), np.zeros(51), np.zeros(51)
+    for t in range(1, 151):
+        err = c * (1 / (1 + np.exp(-(x @ w + b))) - s.y)
+        g = np.append(x.T @ err + 1e-4 * w, err.sum())
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        step = 0.1 * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        w, b = w - step[:-1], b - step[-1]
+    got, intercept = toxicity.fit(s, block=7)
+    assert got[kept] == pytest.approx(w * s.ratio, rel=1e-4, abs=1e-6) and intercept == pytest.approx(b, rel=1e-6)
+
+
+def test_pii_trees_equal_the_model(spark):
+    """The printed trees as conditions score as the model itself does."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, len(pii.FEATURES))).round(3)
+    y = (x[:, 0] * x[:, 2] + x[:, 15] > 0.2).astype(float)
+    df = spark.createDataFrame([(v.tolist(), float(t)) for v, t in zip(x, y)], "f array<double>, y double").select(
+        "f", "y", array_to_vector("f").alias("v"))
+    model = GBTClassifier(featuresCol="v", labelCol="y", maxIter=6, maxDepth=3, seed=1).fit(df)
+    trees = pii.tree_columns(model)
+    got = model.transform(df).select(vector_to_array("probability")[1].alias("p"), pii.score(trees, F.col("f")).alias("q")).collect()
+    assert [r.q for r in got] == pytest.approx([r.p for r in got], abs=1e-9)
+
+
+def test_pii_thresholds_are_pooled():
+    bins = [(0, 90, 1000, 1000), (0, 50, 1000, 0), (1, 90, 3, 3), (2, 90, 3, 0)]
+    got = pii.thresholds(bins, 0.98, 20.0)
+    assert got[0] == 0.9 and got[1] == 0.9        # three spans of a kind count with those of all kinds
+    assert got[2] == 2.0                          # and so do three that speak against it
+    assert got[3] == 0.9                          # a kind without labelled spans goes by the others
+    assert pii.thresholds([], 0.98, 20.0) == {k: 2.0 for k in range(4)}
+    assert pii.thresholds([(0, 90, 10, 1)], 0.98, 20.0)[3] == 2.0
+
+
+def test_pii_other_forms_inside_real_documents(spark):
+    """Planted spans of other than base form in the given texts: recall, and what else is added."""
+    rng = random.Random(21)
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").collect()]
+    planted = {}
+    rows = planted_rows(rng, 150)
+    out = []
+    for (i, t), (extra, spans) in zip(docs, rows + [(None, None)] * len(docs)):
+        if extra and spans:
+            t = (t or "") + "\n"
+            planted[i] = {":".join([k, str(int(a) + len(t)), str(int(b) + len(t))]) for k, a, b in (x.split(":") for x in spans)}
+            t += extra
+        elif extra:
+            t = (t or "") + "\n" + extra
+        out.append((i, t))
+    got = {r.doc_id: r for r in pii.find_pii(spark.createDataFrame(out, "doc_id long, text string")).collect()}
+    hit = sum(len(s & set(got[i].spans.split(","))) for i, s in planted.items())
+    total, added = sum(map(len, planted.values())), sum(r.n_added for r in got.values())
+    print(f"planted {total}, found {hit}, added {added}")
+    assert hit >= 0.95 * total and added <= 1.05 * hit
+
+
 def test_golay_codewords_share_an_index_within_one_bit():
     rng = np.random.default_rng(0)
     v = rng.integers(0, 1 << 23, 4000)

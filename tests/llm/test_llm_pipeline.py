@@ -35,3 +35,17 @@ def test_every_query_is_named():
     found = [n for n in queries.QUERIES if n.startswith("op")]
     assert [int(n[2:].split("_")[0]) for n in found] == list(range(1, 11))
     assert set(queries.ORACLE) <= set(queries.QUERIES)
+
+
+def test_near_duplicates_with_a_map_column_and_many_copies_of_a_row_without_id(spark):
+    from biasfit.llm import simhash
+    copies = spark.range(100_000).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'the same text of a row without an id' AS text",
+                                             "map('k', 1) AS meta", "'s' AS source")
+    others = spark.createDataFrame([(k, f"text number {k} is about {'x' * k} and {k * 7}", {"k": k}, "s") for k in range(20)],
+                                   "doc_id long, text string, meta map<string,int>, source string")
+    docs = copies.unionByName(others)
+    out = simhash.keep_one(docs)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert sum(r.doc_id is None for r in got) == 1 and {r.doc_id for r in got if r.doc_id is not None} == set(range(20))
+    assert next(r for r in got if r.doc_id is None).meta == {"k": 1}
