@@ -8,8 +8,9 @@ exponential key ``-ln(u) / w`` (``u`` a uniform hash of the id, ``w`` the
 document's quality weight) until their prefix sum of words reaches the rest.
 
 The order within a source is cut in fixed key ranges, which are summed first;
-only the range that holds the end of a source's budget is sorted, so no source,
-however large, lies in one task.  What remains is one cutoff per source, and
+the range that holds the end of a source's budget is cut and summed once more,
+and only the part of it that holds the end, a ``RANGES``-squared-th of the source,
+is sorted, so no source, however large, lies in one task.  What remains is one cutoff per source, and
 documents are chosen row by row against it.
 
 Defined results: null and blank texts have size 0 and no words taken; a null
@@ -54,6 +55,12 @@ def key_range(key: Column) -> Column:
     return F.least(F.floor((1.0 - F.exp(-key * 0.5)) * RANGES), F.lit(RANGES - 1)).cast("int")
 
 
+def key_part(key: Column) -> Column:
+    """The part of its range that a key is in; monotone within the range."""
+    within = (1.0 - F.exp(-key * 0.5)) * RANGES - key_range(key)
+    return F.least(F.floor(within * RANGES), F.lit(RANGES - 1)).cast("int")
+
+
 def source_targets(sizes: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = 3,
                    share: float = 1.0) -> DataFrame:
     """sizes: source, source_size.  Adds weight and target.
@@ -90,9 +97,32 @@ def _sized(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> Data
     return d.select("doc_id", "source", "size", es_key(F.col("doc_id"), quality_weight(F.col("text"), F.col("size"))).alias("key"))
 
 
+def _end(budgets: DataFrame, sums: DataFrame, name: str) -> DataFrame:
+    """budgets (source, before, rest, ...) with ``name``: the first place, in
+    order, at which the sums from ``before`` on reach the rest (null if none
+    does); ``before`` becomes the sum of all places ahead of it.
+
+    sums: source, at, size; at most ``RANGES`` rows per source, gathered."""
+    per = sums.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("at", "size"))).alias(TMP + "places"))
+    joined = budgets.join(per.withColumnRenamed("source", TMP + "source"), F.col("source").eqNullSafe(F.col(TMP + "source")), "left")
+    state = lambda before, found: F.struct(before.alias("before"), found.alias("found"))             # noqa: E731
+
+    def walk(rest: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            after = acc["before"] + x["size"]
+            return F.when(acc["found"].isNotNull(), acc).when(after.cast("double") >= rest, state(acc["before"], x["at"])).otherwise(
+                state(after, acc["found"]))
+        places = F.coalesce(TMP + "places", F.array().cast("array<struct<at:int,size:bigint>>"))
+        return F.aggregate(places, state(F.col("before"), F.lit(None).cast("int")), step)
+
+    keep = [F.col(c) for c in budgets.columns if c != "before"]
+    return joined.withColumn(TMP + "end", walk(F.col("rest"))).select(
+        *keep, F.when(F.col("rest") > 0, F.col(TMP + "end.found")).alias(name), F.col(TMP + "end.before").alias("before"))
+
+
 def _plan(sized: DataFrame, weights, max_epochs, share) -> DataFrame:
-    """Per source: source_size, target, epochs and the cutoff (range, key, id)
-    of the fractional selection.  ``sized`` is read twice."""
+    """Per source: source_size, target, epochs and the cutoff (range, part, key,
+    id) of the fractional selection.  ``sized`` is read three times."""
     binned = sized.withColumn("r", key_range(F.col("key")))
     per_range = table(binned.groupBy("source", "r").agg(F.sum("size").alias("size")), "ranges")
     sizes = per_range.groupBy("source").agg(F.sum("size").alias("source_size"))
@@ -100,23 +130,21 @@ def _plan(sized: DataFrame, weights, max_epochs, share) -> DataFrame:
     full = targets.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
                               .otherwise(0).cast("long"))
     full = full.withColumn("rest", F.col("target") - (F.col("epochs") * F.col("source_size")).cast("double"))
-    # at most RANGES rows per source: the range where the prefix sum passes the rest
-    per = per_range.groupBy("source").agg(F.sort_array(F.collect_list(F.struct("r", "size"))).alias("ranges"))
-    joined = full.join(per.withColumnRenamed("source", TMP + "source"), F.col("source").eqNullSafe(F.col(TMP + "source")))
-    step = lambda acc, x: F.when(                                                     # noqa: E731
-        acc["found"].isNull() & ((acc["before"] + x["size"]).cast("double") >= acc["rest"]),
-        F.struct(acc["before"].alias("before"), x["r"].alias("found"), acc["rest"].alias("rest"))
-    ).when(acc["found"].isNull(),
-           F.struct((acc["before"] + x["size"]).alias("before"), acc["found"].alias("found"), acc["rest"].alias("rest"))
-           ).otherwise(acc)
-    zero = F.struct(F.lit(0).cast("long").alias("before"), F.lit(None).cast("int").alias("found"), F.col("rest").alias("rest"))
-    plan = joined.withColumn("at", F.aggregate("ranges", zero, step)).select(
-        "source", "source_size", "weight", "target", "epochs", "rest",
-        F.when(F.col("rest") > 0, F.col("at.found")).alias("range"), F.col("at.before").alias("before"))
-    plan = table(plan, "plan")
-    # the one range per source that must be sorted
-    edge = (binned.join(plan.filter("range is not null").select(F.col("source").alias(TMP + "source"), "range", "before", "rest"),
-                        F.col("source").eqNullSafe(F.col(TMP + "source")) & (F.col("r") == F.col("range")))
+    plan = table(_end(full.withColumn("before", F.lit(0).cast("long")), per_range.withColumnRenamed("r", "at"), "range"), "plan")
+
+    def at_end(df: DataFrame, plan: DataFrame, places: dict[str, str]) -> DataFrame:
+        """Rows of each source at the place where its budget ends."""
+        ends = plan.filter(F.col(list(places.values())[-1]).isNotNull()).select(
+            F.col("source").alias(TMP + "source"), *places.values(), "before", "rest")
+        on = F.col("source").eqNullSafe(F.col(TMP + "source"))
+        for c, place in places.items():
+            on = on & (F.col(c) == F.col(place))
+        return df.join(ends, on)
+
+    parts = at_end(binned, plan, {"r": "range"}).groupBy("source", key_part(F.col("key")).alias("at")).agg(F.sum("size").alias("size"))
+    plan = table(_end(plan, table(parts, "parts"), "part"), "plan")
+    # the one part of a range per source that must be sorted
+    edge = (at_end(binned.withColumn("p", key_part(F.col("key"))), plan, {"r": "range", "p": "part"})
             .groupBy(TMP + "source", "key", "doc_id", "before", "rest").agg(F.sum("size").alias("size")))
     run = Window.partitionBy(TMP + "source").orderBy("key", F.col("doc_id").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     edge = edge.withColumn("sum", F.col("before") + F.coalesce(F.sum("size").over(run), F.lit(0)))
@@ -129,10 +157,10 @@ def _plan(sized: DataFrame, weights, max_epochs, share) -> DataFrame:
 def _times(plan_prefix: str, key: Column, doc_id: Column) -> Column:
     """How often the mix takes a document."""
     p = lambda c: F.col(plan_prefix + c)                                              # noqa: E731
-    r = key_range(key)
-    chosen = (r < p("range")) | ((r == p("range")) & p("cut").isNotNull() & (
-        (key < p("cut")["key"]) | ((key == p("cut")["key"]) & (
-            doc_id.isNull() | (doc_id <= p("cut")["doc_id"])))))
+    r, part = key_range(key), key_part(key)
+    in_part = p("cut").isNotNull() & ((key < p("cut")["key"]) | ((key == p("cut")["key"]) & (
+        doc_id.isNull() | (doc_id <= p("cut")["doc_id"]))))
+    chosen = (r < p("range")) | ((r == p("range")) & ((part < p("part")) | ((part == p("part")) & in_part)))
     return p("epochs") + F.when(chosen, 1).otherwise(0)
 
 

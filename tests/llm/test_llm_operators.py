@@ -738,3 +738,11 @@ def test_neighbours_score_fewer_pairs_than_brute_force(spark, kind, sample_rows,
     print(f"{kind}, sample {sample_rows}: recall {recall:.3f}, pairs {share:.3f} of brute force, lists {lists.value}")
     assert recall >= 0.9 and share < most
     assert lists.value > 32
+
+
+@pytest.mark.parametrize("ranges", [2, 3, 4096])
+def test_mixing_cuts_alike_for_any_ranges(spark, docs, monkeypatch, ranges):
+    """The cutoff doesn't depend on how the keys are cut before they are sorted."""
+    want = sorted(map(tuple, mixing.mix(docs).collect()), key=str)
+    monkeypatch.setattr(mixing, "RANGES", ranges)
+    assert sorted(map(tuple, mixing.mix(docs).collect()), key=str) == want
