@@ -27,6 +27,7 @@ from biasfit.session import materialize
 MAX_BITS = 1 << 27
 SEGMENT_WORDS = 64
 _SEGMENT_BITS = 12          # 64 words of 64 bits
+_TMP = "__bits_"
 INTEGERS = (ByteType, ShortType, IntegerType, LongType)
 
 
@@ -95,14 +96,15 @@ def with_bits(df: DataFrame, table: DataFrame, layout: Mapping[str, Layout], fla
     out = df
     bits = []
     for i, (k, lay) in enumerate(layout.items()):
-        part = table.select(F.col("_at").alias(f"_at{i}"), F.col("_words").alias(f"_words{i}"))
-        out = out.withColumn(f"_p{i}", F.expr(lay.place()))
-        out = out.join(F.broadcast(part), F.shiftright(f"_p{i}", _SEGMENT_BITS) * len(layout) + i == F.col(f"_at{i}"), "left")
-        bits.append(F.expr(f"coalesce(bit_get(get(_words{i}, CAST(shiftright(_p{i}, 6) & 63 AS INT)), CAST(_p{i} & 63 AS INT)) = 1, false)"))
+        p, at, words = (f"{_TMP}{c}{i}" for c in ("place", "at", "words"))
+        part = table.select(F.col("_at").alias(at), F.col("_words").alias(words))
+        out = out.withColumn(p, F.expr(lay.place()))
+        out = out.join(F.broadcast(part), F.shiftright(p, _SEGMENT_BITS) * len(layout) + i == F.col(at), "left")
+        bits.append(F.expr(f"coalesce(bit_get(get({words}, CAST(shiftright({p}, 6) & 63 AS INT)), CAST({p} & 63 AS INT)) = 1, false)"))
     cond = bits[0]
     for b in bits[1:]:
         cond = cond & b
-    return out.withColumn(flag, cond).drop(*[f"{c}{i}" for i in range(len(layout)) for c in ("_p", "_at", "_words")])
+    return out.withColumn(flag, cond).drop(*[f"{_TMP}{c}{i}" for i in range(len(layout)) for c in ("place", "at", "words")])
 
 
 def known_keys(df: DataFrame, reference: DataFrame | Mapping[str, DataFrame], keys: Sequence[str], flag: str = "_known", *,
