@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from biasfit.operators.bitmaps import key_extents, known_keys, layouts
 from biasfit.operators.sampling import assign_holdout_roles, mark_known, semi_join_keys
 from biasfit.plans.edge_cases import by_order
+from biasfit.session import materialize
 
 from conftest import SF01
 
@@ -53,7 +54,8 @@ def shuffled(df):
 
 
 def test_held_rows_are_not_shuffled(spark):
-    f = by_order(spark, SF01).where("movieId is not null")
+    # written first: the joins that make the facts have exchanges of their own
+    f = materialize(by_order(spark, SF01).where("movieId is not null"), "table", "by-order")
     rest = f.where("not sampled")
     for df in (semi_join_keys(f.where("sampled"), rest), mark_known(f.where("sampled"), rest)):
         assert not shuffled(df)
