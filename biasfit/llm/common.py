@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ..operators.bitmaps import MAX_BITS, Layout, segments, with_bits
 from ..session import materialize
 
 #: Words are runs of anything but these six characters.
@@ -51,6 +52,18 @@ def pick(df: DataFrame, **cols: str) -> DataFrame:
     return df.select(*[df[c].alias(new) for new, c in cols.items()])
 
 
+def may_be_among(docs: DataFrame, key: Column, keys: DataFrame, flag: str) -> DataFrame:
+    """Add boolean ``flag``: false where ``key`` (a hash) is certainly not among
+    those of ``keys`` (its one column), by a broadcast bitmap of bounded size.
+
+    Rows that the few keys don't concern can stay where they are; the others,
+    false hits included, go on to the exact join."""
+    name = TMP + "key"
+    layout = {name: Layout(name, None, MAX_BITS)}
+    bits = table(segments(keys.toDF(name), layout), "bits")
+    return with_bits(docs.withColumn(name, key), bits, layout, flag).drop(name)
+
+
 def global_index(df: DataFrame, order: Iterable[str], name: str, weight: str | None = None,
                  parts: int | None = None) -> DataFrame:
     """Add the number of rows before each row (or the sum of ``weight`` before

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.joins import keyed_join
-from .common import TMP, WORD, global_index, let, n_words, pick, table
+from .common import TMP, WORD, global_index, let, may_be_among, n_words, pick, table
 
 KEY = ["doc_id", "th"]
 
@@ -123,9 +123,16 @@ def _cut(text: Column, cut: Column) -> Column:
 
 
 def _with_cuts(docs: DataFrame, doc_id: Column, text: Column, found: DataFrame) -> DataFrame:
+    """Join the cuts: only rows that may have some are moved."""
     found = found.select(F.col("doc_id").alias(TMP + "d"), F.col("th").alias(TMP + "t"), F.col("cut").alias(TMP + "cut"))
+    rows = docs.withColumns({TMP + "id": doc_id, TMP + "th": F.xxhash64(text)})
+    rows = may_be_among(rows, F.xxhash64(TMP + "id", TMP + "th"), found.select(F.xxhash64(TMP + "d", TMP + "t")), TMP + "some")
+    stay = rows.filter(~F.col(TMP + "some")).withColumn(TMP + "cut", F.lit(None).cast("array<int>"))
     # the cuts grow with the corpus: one plan at every size, no broadcast of a small table's
-    return docs.join(found.hint("merge"), doc_id.eqNullSafe(F.col(TMP + "d")) & (F.xxhash64(text) == F.col(TMP + "t")), "left")
+    move = rows.filter(TMP + "some").join(
+        found.hint("merge"), F.col(TMP + "id").eqNullSafe(F.col(TMP + "d")) & (F.col(TMP + "th") == F.col(TMP + "t")), "left")
+    cols = [*docs.columns, TMP + "cut"]
+    return stay.select(*cols).unionByName(move.select(*cols))
 
 
 def line_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 25) -> DataFrame:

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.joins import keyed_join
-from .common import TMP, pick, table
+from .common import TMP, may_be_among, pick, table
 from .components import components
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -204,13 +204,20 @@ def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     first = comps.select("first.*").distinct().select(F.col("doc_id").alias(TMP + "id"), F.col("th").alias(TMP + "th"))
     copies = rows.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias(TMP + "copies"))
     same = copies["doc_id"].eqNullSafe(first[TMP + "id"]) & (copies["th"] == first[TMP + "th"])
-    kept = table(copies.join(first, same).select(TMP + "id", TMP + "th", TMP + "copies"), "kept")
+    of = copies.join(first.withColumn(TMP + "first", F.lit(True)), same, "left").select(
+        copies["doc_id"].alias(TMP + "id"), copies["th"].alias(TMP + "th"), TMP + "copies", F.col(TMP + "first").isNotNull().alias(TMP + "first"))
+    of = table(of, "kept")
     cols = docs.columns
+    # rows that are kept as they stand aren't moved: the rest, and false hits, are joined
+    open_ = of.filter(~F.col(TMP + "first") | (F.col(TMP + "copies") > 1)).select(F.xxhash64(TMP + "id", TMP + "th"))
+    rows = docs.withColumns({TMP + "i": docs[id_col].cast("long"), TMP + "t": F.xxhash64(docs[text_col])})
+    rows = may_be_among(rows, F.xxhash64(TMP + "i", TMP + "t"), open_, TMP + "open")
+    stay = rows.filter(~F.col(TMP + "open")).select(*cols)
+    kept = of.filter(TMP + "first").select(TMP + "id", TMP + "th", TMP + "copies")
     # the kept ids grow with the corpus: one plan at every size
-    out = docs.join(kept.hint("merge"), docs[id_col].cast("long").eqNullSafe(F.col(TMP + "id"))
-                    & (F.xxhash64(docs[text_col]) == F.col(TMP + "th")))
+    out = rows.filter(TMP + "open").join(kept.hint("merge"), F.col(TMP + "i").eqNullSafe(F.col(TMP + "id")) & (F.col(TMP + "t") == F.col(TMP + "th")))
     once = out.filter(F.col(TMP + "copies") == 1).select(*cols)
     # any copy does; the least by a hash of all columns, so that reruns agree (columns of any type have a JSON form)
-    order = Window.partitionBy(TMP + "id", TMP + "th").orderBy(F.xxhash64(F.to_json(F.struct(*[docs[c] for c in cols]))))
+    order = Window.partitionBy(TMP + "id", TMP + "th").orderBy(F.xxhash64(F.to_json(F.struct(*cols))))
     more = out.filter(F.col(TMP + "copies") > 1).withColumn(TMP + "k", F.row_number().over(order))
-    return once.unionByName(more.filter(F.col(TMP + "k") == 1).select(*cols))
+    return stay.unionByName(once).unionByName(more.filter(F.col(TMP + "k") == 1).select(*cols))

@@ -33,7 +33,7 @@ def test_run_on_an_empty_table(spark, tmp_path):
 
 def test_every_query_is_named():
     found = [n for n in queries.QUERIES if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in found] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in found] == list(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.QUERIES)
 
 
