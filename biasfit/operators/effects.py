@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from biasfit.functions.literals import dlit
-from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
+from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join, placed_by
 
 USER, ITEM, RATING = "userId", "movieId", "rating"
 
@@ -76,10 +76,18 @@ def attach_bias(df: DataFrame, model: BiasModel, policy: JoinPolicy = DEFAULT_PO
                 total: int | None = None) -> DataFrame:
     """``df`` + ``b_i``, ``b_u`` (left joins; unknown keys give NULL).
 
-    Hot keys are judged by their *training* counts; ``total`` bounds them."""
+    Hot keys are judged by their *training* counts; ``total`` bounds them.
+    Where rows and users lie side by side, they are joined before the items'
+    join may move the rows."""
+    users = model.users.select(USER, "b_u", "m_u", *placed_by(model.users, USER))
+    if placed_by(df, USER) and placed_by(users, USER):
+        out = keyed_join(df, users, USER, "left", null_safe=True).drop("m_u")
+        out = keyed_join(out, model.items.select(ITEM, "b_i", "n_i"), ITEM, "left", count_col="n_i", total=total,
+                         null_safe=True, policy=policy)
+        return out.select(*df.columns, "b_i", "b_u")
     out = keyed_join(df, model.items.select(ITEM, "b_i", "n_i"), ITEM, "left", count_col="n_i", total=total,
                      null_safe=True, policy=policy)
-    out = keyed_join(out.drop("n_i"), model.users.select(USER, "b_u", "m_u"), USER, "left",
+    out = keyed_join(out.drop("n_i"), users.select(USER, "b_u", "m_u"), USER, "left",
                      count_col="m_u", total=total, null_safe=True, policy=policy)
     return out.drop("m_u")
 
@@ -165,13 +173,13 @@ def flag_effect_columns(flags: Sequence[str], lam: float) -> list[Column]:
 
 
 def user_flag_effects(stats: DataFrame, flags: Sequence[str], lam: float) -> DataFrame:
-    return stats.select(USER, "m_u", *flag_effect_columns(flags, lam))
+    return stats.select(USER, "m_u", *placed_by(stats, USER), *flag_effect_columns(flags, lam))
 
 
 def predict_flags(df_with_bias: DataFrame, mu: float, effects: DataFrame, flags: Sequence[str],
                   pred: str = "pred", policy: JoinPolicy = DEFAULT_POLICY, total: int | None = None) -> DataFrame:
     """``mu + b_i + b_u + sum(flag terms)`` with one join to the wide user table."""
-    cols = [USER, "m_u"] + [c for f in flags for c in (f"{f}_down", f"{f}_up")]
+    cols = [USER, "m_u", *placed_by(effects, USER)] + [c for f in flags for c in (f"{f}_down", f"{f}_up")]
     j = keyed_join(df_with_bias, effects.select(*cols), USER, "left", count_col="m_u", total=total,
                    null_safe=True, policy=policy).drop("m_u")
     p = " + ".join([f"{dlit(mu)} + b_i + b_u"] + [flag_term_sql(f) for f in flags])

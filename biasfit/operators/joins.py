@@ -24,7 +24,10 @@ Every join here goes through :func:`keyed_join`:
    sketch: per-task counters of frequent items with a proven error, merged in
    one narrow job.  A wrong estimate only changes the balance.  The list is
    bounded and fixed before the join, so both sides salt alike.
-4. AQE's skew-join split stays on as a further safety net.
+4. Two sides laid out by one placement of the key (``operators/copartition.py``)
+   are joined where they are, by the columns of their place; hot keys are split
+   in the layout.
+5. AQE's skew-join split stays on as a further safety net.
 """
 
 from __future__ import annotations
@@ -73,6 +76,27 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
     return out.drop(*ren.values(), *[r[e] for e in extra])
 
 
+def place_cols(key: str) -> list[str]:
+    """The columns of a row's place in a layout by ``key``."""
+    return [f"_at_{key}", f"_part_{key}"]
+
+
+def placed_by(df: DataFrame, key: str) -> list[str]:
+    """``place_cols(key)`` if ``df`` has them, else nothing."""
+    cols = place_cols(key)
+    return cols if set(cols) <= set(df.columns) else []
+
+
+def _placed_join(left: DataFrame, right: DataFrame, key: str, how: str, null_safe: bool) -> DataFrame:
+    at = place_cols(key)
+    if not null_safe:      # a missing key matches nothing
+        right = right.where(F.col(key).isNotNull())
+    rest = [c for c in right.columns if c != key and c not in at]
+    out = left.join(right.select(*at, *rest), at, how)
+    semi = how in ("left_semi", "leftsemi", "semi", "left_anti", "leftanti", "anti")
+    return out.select(*left.columns, *([] if semi else rest))
+
+
 def key_counts(df: DataFrame, key: str) -> DataFrame:
     """Distinct keys of ``df`` with their row counts (partial-aggregated)."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
@@ -93,6 +117,8 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: str | list[str], how: st
     counts.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if len(keys) == 1 and how in ("left", "inner", "left_semi", "left_anti") and placed_by(left, keys[0]) and placed_by(right, keys[0]):
+        return _placed_join(left, right, keys[0], how, null_safe)
     if hot is not None:
         return _listed_join(left, right, keys, how, null_safe, salt_cols or left.columns, hot)
     if not count_col or not total or total < policy.threshold(total):

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from biasfit.functions.literals import dlit
 from biasfit.operators.effects import USER, flag_term_sql
-from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join
+from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join, placed_by
 from biasfit.session import materialize
 
 
@@ -67,9 +67,10 @@ def pattern_terms(scored_test: DataFrame, effects: DataFrame, flags: Sequence[st
     words = [F.expr(x).alias(f"_one{i}") for i, x in enumerate(ones)] + [F.expr(x).alias(f"_gone{i}") for i, x in enumerate(gone)]
     names = [f"{n}{i}" for n in ("_one", "_gone") for i in range(len(ones))]
     e = F.expr(f"coalesce(rating - ({dlit(mu)} + b_i + b_u), double('NaN'))")
-    lines = (scored_test.select(USER, *words, e.alias("_e")).groupBy(USER, *names)
+    place = placed_by(scored_test, USER)
+    lines = (scored_test.select(USER, *place, *words, e.alias("_e")).groupBy(USER, *place, *names)
              .agg(F.count(F.lit(1)).alias("n"), F.sum("_e").alias("se"), F.expr("sum(_e * _e)").alias("see")))
-    gaps = effects.select(USER, F.col("m_u").alias("_m"), *[F.expr(f"(`{f}_up` - `{f}_down`) / 2").alias(f"_gap{k}")
+    gaps = effects.select(USER, F.col("m_u").alias("_m"), *placed_by(effects, USER), *[F.expr(f"(`{f}_up` - `{f}_down`) / 2").alias(f"_gap{k}")
                                                             for k, f in enumerate(flags)])
     t = keyed_join(lines, gaps, USER, "left", count_col="_m", total=total, null_safe=True, policy=policy)
     bit = lambda name, k: f"bit_get({name}{k // _WORD}, {k % _WORD})"                   # noqa: E731

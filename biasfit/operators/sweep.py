@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.effects import (ITEM, RATING, USER, dlit, fit_bias, flag_term_sql,
                                        item_stats, predict_bias, strict_sum_sql)
-from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, key_counts, keyed_join
+from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, key_counts, keyed_join, placed_by
 
 CHUNK = 64   # sums per aggregate; stays under spark.sql.codegen.maxFields (100)
 
@@ -107,7 +107,7 @@ def sweep_flags(scored_test: DataFrame, stats: DataFrame, flags: Sequence[str],
     ``scored_test`` carries ``b_i, b_u`` and the flag columns; ``stats`` is
     ``effects.user_flag_stats`` (frozen biases, one table for all lambdas).
     """
-    cols = [USER, "m_u"] + [f"{f}__{x}" for f in flags for x in ("s1", "n1", "s0", "n0")]
+    cols = [USER, "m_u", *placed_by(stats, USER)] + [f"{f}__{x}" for f in flags for x in ("s1", "n1", "s0", "n0")]
     t = keyed_join(scored_test, stats.select(*cols), USER, "left", count_col="m_u", total=total,
                    null_safe=True, policy=policy)
     parts = []

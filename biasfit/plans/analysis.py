@@ -22,7 +22,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -32,6 +32,7 @@ from biasfit import schemas as S
 from biasfit.functions.flags import add_flags
 from biasfit.functions.hashing import hash_prefix_number, order_hash
 from biasfit.functions.metrics import rmse_columns
+from biasfit.operators.copartition import Placement
 from biasfit.operators.bitmaps import MAX_BITS, layouts, segments, with_bits
 from biasfit.operators.diagnostics import boxplot_outliers, boxplot_stats
 from biasfit.operators.effects import (USER, ITEM, attach_bias, fit_bias, item_stats,
@@ -65,6 +66,7 @@ class PipelineConfig:
     materialize: str = "table"             # the final split (and hold-out marks, if joined): written tables
     policy: JoinPolicy = field(default_factory=lambda: DEFAULT_POLICY)
     max_bits: int = MAX_BITS               # of a key bitmap
+    user_buckets: int | None = None        # lay facts and users' statistics out by user, in so many buckets
 
     @property
     def screen(self) -> list[str]:
@@ -79,6 +81,13 @@ class RatingsPipeline:
         self.facts = facts
         self.cfg = cfg or PipelineConfig()
         self.stages = stages
+        if stages is not None and self.cfg.user_buckets:
+            raise ValueError("stages publish plain files: they can't be laid out by user")
+
+    @cached_property
+    def layout(self) -> Placement | None:
+        c = self.cfg
+        return Placement(self.work, USER, c.user_buckets, c.policy) if c.user_buckets else None
 
     def _stage(self, name: str, make: Callable[[Callable], dict]) -> tuple[DataFrame, dict]:
         """A written table and what was observed of it; kept if the run has stages."""
@@ -87,7 +96,10 @@ class RatingsPipeline:
         kept: list[DataFrame] = []
 
         def write(df: DataFrame, partition_by: list[str] | None = None) -> None:
-            kept.append(materialize(df, self.cfg.materialize, name, partition_by=partition_by))
+            if self.layout is not None:
+                kept.append(self.layout.write(df, name, partition_by or ()))
+            else:
+                kept.append(materialize(df, self.cfg.materialize, name, partition_by=partition_by))
 
         info = make(write)
         return kept[0], info
@@ -147,7 +159,10 @@ class RatingsPipeline:
         out = out.observe(seen, F.avg(rating).alias("mu"), F.count(rating).alias("k"),
                           *[F.count(F.when(F.col("role") == r, 1)).alias(r) for r in ROLES])
         # partitioned by role: reading test or validation skips the train files
-        write(out, partition_by=["role"])
+        if self.layout is not None:
+            write(self.layout.place(out), partition_by=["role"])
+        else:
+            write(out, partition_by=["role"])
         return dict(seen.get)
 
     @property
@@ -166,6 +181,8 @@ class RatingsPipeline:
                 self.__dict__[name].unpersist()
         if "bias_model" in self.__dict__:
             self.__dict__["bias_model"].users.unpersist()
+        if self.__dict__.get("layout") is not None:
+            self.layout.release()
 
     def part(self, role: str) -> DataFrame:
         return self.split.where(F.col("role") == role).drop("role")
@@ -224,11 +241,24 @@ class RatingsPipeline:
         m.users = m.users.persist(StorageLevel.MEMORY_AND_DISK)
         return m
 
+    def _placed(self, name: str, stats: DataFrame) -> DataFrame:
+        """Users' statistics beside the facts, if these are laid out by user."""
+        return stats if self.layout is None else self.layout.write(self.layout.copies(stats), name)
+
+    @cached_property
+    def joined_model(self):
+        """The model as joins with facts read it."""
+        return replace(self.bias_model, users=self._placed("users", self.bias_model.users))
+
+    @cached_property
+    def joined_flag_stats(self) -> DataFrame:
+        return self._placed("flag_stats", self.flag_stats)
+
     def attach(self, df: DataFrame) -> DataFrame:
-        return attach_bias(df, self.bias_model, self.cfg.policy, self.n_train)
+        return attach_bias(df, self.joined_model, self.cfg.policy, self.n_train)
 
     def predictions(self, df: DataFrame) -> DataFrame:
-        return predict_bias(df, self.bias_model, policy=self.cfg.policy, total=self.n_train)
+        return predict_bias(df, self.joined_model, policy=self.cfg.policy, total=self.n_train)
 
     @cached_property
     def test_scored(self) -> DataFrame:
@@ -239,7 +269,7 @@ class RatingsPipeline:
     def train_residuals(self) -> DataFrame:
         """Written once: the flag sums and the box plots read it many times."""
         def make(write: Callable) -> dict:
-            write(residuals(self.train, self.bias_model, self.cfg.policy, self.n_train))
+            write(residuals(self.train, self.joined_model, self.cfg.policy, self.n_train))
             return {}
 
         return self._stage("residuals", make)[0]
@@ -253,18 +283,18 @@ class RatingsPipeline:
         return user_flag_effects(self.flag_stats, flags or self.cfg.screen, lam)
 
     def flag_predictions(self, df_with_bias: DataFrame, flags: Sequence[str], lam: float) -> DataFrame:
-        return predict_flags(df_with_bias, self.mu, self.flag_effects(lam, flags), flags,
+        return predict_flags(df_with_bias, self.mu, user_flag_effects(self.joined_flag_stats, flags, lam), flags,
                              policy=self.cfg.policy, total=self.n_train)
 
     @cached_property
     def selection(self) -> Selection:
         flags = self.cfg.screen
-        return forward_select(self.test_scored, flags, self.mu, self.flag_effects(self.cfg.screen_lambda, flags),
+        return forward_select(self.test_scored, flags, self.mu, user_flag_effects(self.joined_flag_stats, flags, self.cfg.screen_lambda),
                               total=self.n_train, policy=self.cfg.policy)
 
     @cached_property
     def flag_sweep(self) -> DataFrame:
-        return sweep_flags(self.test_scored, self.flag_stats, self.selection.kept, self.cfg.flag_grid, self.mu,
+        return sweep_flags(self.test_scored, self.joined_flag_stats, self.selection.kept, self.cfg.flag_grid, self.mu,
                            total=self.n_train, policy=self.cfg.policy)
 
     @cached_property

@@ -212,6 +212,14 @@ def q_flag_predictions(spark, sf_dir):
     return pr.select("userId", "movieId", "rating", *LINE_ID, r6("pred").alias("pred"))
 
 
+def q_placed_flag_predictions(spark, sf_dir):
+    """The analysis with facts and users' statistics laid out by user: the joins
+    of residuals, selection, flag sweep and predictions with them move no row."""
+    p = analysis(spark, sf_dir, user_buckets=16, policy=edge_cases.SALTED)
+    pr = p.flag_predictions(p.test_scored, p.selection.kept, p.best_flag[0])
+    return pr.select("userId", "movieId", "rating", *LINE_ID, r6("pred").alias("pred"))
+
+
 def q_forward_selection(spark, sf_dir):
     sel = analysis(spark, sf_dir).selection
     rows = [(s["step"], s["flag"], None if math.isnan(s["rmse"]) else round(float(s["rmse"]), 6), s["decision"], s["kept"])
@@ -277,6 +285,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flag_outliers": q_flag_outliers,
     "user_flag_effects": q_user_flag_effects,
     "flag_predictions": q_flag_predictions,
+    "placed_flag_predictions": q_placed_flag_predictions,
     "forward_selection": q_forward_selection,
     "flag_lambda_sweep": q_flag_lambda_sweep,
     "best_flag_lambda": q_best_flag_lambda,

@@ -8,6 +8,7 @@ has its DuckDB twin beside it.
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,7 @@ from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.diagnostics import null_cells_by_column
 from biasfit.operators.effects import attach_bias, fit_bias, item_stats, global_mean, predict_bias, residuals, user_flag_effects, user_flag_stats
 from biasfit.operators import state as ST
+from biasfit.operators.copartition import Placement
 from biasfit.operators.joins import JoinPolicy, keyed_join
 from biasfit.operators.sampling import anti_join_all, assign_holdout_roles, semi_join_keys
 from biasfit.operators.select import forward_select
@@ -73,6 +75,17 @@ def q_bias_sweep_salted(spark, sf_dir):
                       policy=SALTED).select("lambda", r6("rmse").alias("rmse"))
 
 
+def q_placed_predictions_nulls(spark, sf_dir):
+    """Predictions of rows laid out by user beside the users' effects: hot users
+    and the missing user are split, and the users' join moves no row."""
+    train, test = _null_parts(spark, sf_dir)
+    model = fit_bias(train, LAMBDA)
+    layout = Placement(train, "userId", 16, SALTED)
+    rows = layout.write(layout.place(semi_join_keys(test, train)), "rows")
+    placed = replace(model, users=layout.write(layout.copies(model.users), "users"))
+    return predict_bias(rows, placed).select("userId", "movieId", *ROW_ID, r6("pred").alias("pred"))
+
+
 def q_effect_nulls(spark, sf_dir):
     """Missing cells of the flag effects: rows without tags belong to no level."""
     train, _ = _null_parts(spark, sf_dir)
@@ -224,7 +237,7 @@ def q_genre_flags_compat(spark, sf_dir):
 
 
 QUERIES = {f.__name__[2:]: f for f in (
-    q_user_effect_nulls, q_bias_rmse_nulls, q_bias_sweep_salted, q_effect_nulls, q_forward_selection_nulls, q_merged_item_effect, q_merged_user_effect, q_merged_flag_effect, q_ratings_fact_hot_item, q_holdout_orphans_returned,
+    q_user_effect_nulls, q_bias_rmse_nulls, q_bias_sweep_salted, q_placed_predictions_nulls, q_effect_nulls, q_forward_selection_nulls, q_merged_item_effect, q_merged_user_effect, q_merged_flag_effect, q_ratings_fact_hot_item, q_holdout_orphans_returned,
     q_split_orphans_dropped, q_holdout_by_joins, q_validation_refiltered, q_rejected_lines, q_genre_flags_19,
     q_genre_flags_compat)}
 
@@ -290,6 +303,7 @@ def oracle_sql(with_) -> dict[str, str]:
         "user_effect_nulls": chain(f"SELECT userId, round(u / (m_u + lam), 6) AS b_u, m_u FROM nus WHERE lam = {lam}"),
         "bias_rmse_nulls": chain(f"""SELECT {rmse}, count(*) AS n_rows, count(*) - count(pred) AS n_null_pred
             FROM npr WHERE lam = {lam}"""),
+        "placed_predictions_nulls": chain(f"SELECT userId, movieId, l_orderkey, l_linenumber, round(pred, 6) AS pred FROM npr WHERE lam = {lam}"),
         "bias_sweep_salted": chain(f"SELECT lam AS lambda, {rmse} FROM npr GROUP BY lam"),
     }
     flag = {f: f"CASE WHEN genres IS NOT NULL THEN (contains(genres, '{p}'))::INT END" for f, p in flags}

@@ -254,6 +254,7 @@ def oracle_sql() -> dict[str, str]:
     q["best_flag_lambda"] = _with("SELECT lf AS lambda, round(rmse, 6) AS rmse FROM fbest", "fbest")
     q["flag_predictions"] = _with(f"""SELECT userId, movieId, rating, l_orderkey, l_linenumber, round(pred, 6) AS pred
         FROM ({_scored('tscored', 'fb.lf')})""", "kept")
+    q["placed_flag_predictions"] = q["flag_predictions"]
     q["final_score"] = _with(f"""SELECT round(CASE WHEN count(*) = count(pred) AND count(*) > 0
                 THEN sqrt(avg(power(rating - pred, 2))) END, 6) AS rmse,
             count(*) AS n_rows, count(*) - count(pred) AS n_null_pred,
