@@ -64,11 +64,33 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+#: Hosts made by rule: documents by length in code points, in steps of so many, up to a last host.
+LENGTH_STEP, LAST_HOST = 150, 20
+
+
+def quality_rules_by_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality rules with hosts made by rule, of which the one of the shortest
+    texts is rejected with its good documents; verdicts joined, not broadcast."""
+    docs = read(spark, sf_dir, "documents")
+    step = F.floor(F.length(F.coalesce("text", F.lit(""))) / LENGTH_STEP).cast("int")
+    return rules.quality(docs.withColumn("source", F.least(step, F.lit(LAST_HOST))), broadcast_rows=0)
+
+
+def mixing_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mix with the sources' plan joined, not broadcast."""
+    return mixing.mix(read(spark, sf_dir, "documents"), broadcast_rows=0).select(
+        "doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_packing, op2_pii, op3_quality_rules, op4_toxicity, op5_simhash, op6_license_scan, op7_neighbours, op8_line_dedup,
-    op9_token_counts, op10_mixing, op11_fingerprints, op12_hard_negatives, op13_lexical_search)}
+    op9_token_counts, op10_mixing, op11_fingerprints, op12_hard_negatives, op13_lexical_search, quality_rules_by_length,
+    mixing_joined)}
 ORACLE = {"op3_quality_rules": rules.ORACLE, "op8_line_dedup": lines.ORACLE, "op10_mixing": mixing.ORACLE,
-          "op12_hard_negatives": hard_negatives.ORACLE, "op13_lexical_search": lexical.ORACLE}
+          "op12_hard_negatives": hard_negatives.ORACLE, "op13_lexical_search": lexical.ORACLE,
+          "quality_rules_by_length": rules.ORACLE.replace(
+              "doc_id, source, coalesce(text", f"doc_id, least(length(coalesce(text, '')) // {LENGTH_STEP}, {LAST_HOST}) as source, coalesce(text", 1),
+          "mixing_joined": mixing.ORACLE}
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,3 +49,15 @@ def test_near_duplicates_with_a_map_column_and_many_copies_of_a_row_without_id(s
     got = out.collect()
     assert sum(r.doc_id is None for r in got) == 1 and {r.doc_id for r in got if r.doc_id is not None} == set(range(20))
     assert next(r for r in got if r.doc_id is None).meta == {"k": 1}
+
+
+def test_hosts_made_by_length_are_rejected_with_good_documents(spark):
+    from biasfit.llm import queries
+    got = queries.quality_rules_by_length(spark, "/root/testdata/sf0.01")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert got.count() == docs.count()
+    short = {r[0] for r in docs.selectExpr("doc_id", "length(coalesce(text, '')) n").where(f"n < {queries.LENGTH_STEP}").collect()}
+    rows = got.collect()
+    assert short and not any(r.kept for r in rows if r.doc_id in short)
+    assert all(r.kept != r.base_failed for r in rows if r.doc_id not in short)
+    assert any(not r.kept and not r.base_failed for r in rows if r.doc_id in short)
