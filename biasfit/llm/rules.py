@@ -1,19 +1,26 @@
 """Quality rules by host.
 
-Each document is measured and fails or passes the base rules.  Failures are
-counted by host (the ``source`` column), and a host's failure rate is shrunk
-by a beta prior fitted to all hosts (method of moments): few documents move a
-host little.  A host whose shrunk rate is above ``max_rate`` is rejected with
-all its documents; otherwise a document stands on its own.
-
-Defined results: a null or empty text has no words and fails; a null host is a
-host; repeated rows count each; with fewer than two hosts or hosts that do not
-differ the prior is weak (one document's worth); an empty table gives no rows;
-other columns are ignored (or kept, by ``keep_documents``).
+Each document is measured and fails or passes every rule of ``RULES``; those of
+``BASE`` also decide on the document itself.  Each rule's failures are counted
+by host (the ``source`` column), and a host's failure rate of a rule is shrunk
+by that rule's own beta prior, fitted to all hosts: few documents move a host
+little.  A host with a shrunk rate above ``max_rate`` is rejected with all its
+documents; otherwise a document stands on its own.
+
+Defined results: a null or empty text has no words, fails ``short`` and passes
+the others; a null host is a host; repeated rows count each; where hosts do not
+differ by more than chance, or all have one document, the prior is strong (1000
+documents' worth: such a host alone proves nothing); one host alone has its own
+rate; an empty table gives no rows; other columns are ignored (or kept, by
+``keep_documents``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import TMP, SPACE, let, pick, table, words
@@ -22,6 +29,17 @@ from .common import TMP, SPACE, let, pick, table, words
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+#: What fails a rule; ``v`` gives a measure's column by name.
+RULES = {
+    "short": lambda v: v("n_words") < 20,
+    "repeats": lambda v: 100 * v("n_repeat_words") > 30 * v("n_words"),
+    "symbols": lambda v: 10 * v("n_symbols") > v("n_words"),
+    "dup_lines": lambda v: 100 * v("n_dup_lines") > 30 * v("n_lines"),
+}
+#: Rules a document must pass itself.  Hosts are also judged by failures of any of them.
+BASE = ("short", "repeats")
+#: Bounds of 1 / (1 + strength) of a prior: 1000 documents' worth, and ten.
+PRIOR = (1 / 1001, 1 / 11)
 
 
 def repeat_words(ws: Column) -> Column:
@@ -60,38 +78,63 @@ def measures(text: Column) -> dict[str, Column]:
     of_words = let(words(text), lambda ws: F.struct(F.size(ws).cast("long").alias("n"), repeat_words(ws).alias("r")))
     return {
         TMP + "w": of_words,
+        TMP + "l": let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), (
+            F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("dup"))),
         "word_chars": F.length(F.translate(t, SPACE, "")).cast("long"),
         "n_symbols": (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
     }
 
 
 def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Add METRICS and base_failed."""
+    """Add METRICS, n_lines and base_failed."""
     out = docs.withColumns(measures(docs[text_col]))
-    out = out.withColumns({"n_words": F.col(TMP + "w")["n"], "n_repeat_words": F.col(TMP + "w")["r"]}).drop(TMP + "w")
-    return out.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
+    w, lines = F.col(TMP + "w"), F.col(TMP + "l")
+    out = out.withColumns({"n_words": w["n"], "n_repeat_words": w["r"], "n_lines": lines["n"], "n_dup_lines": lines["dup"]})
+    return out.drop(TMP + "w", TMP + "l").withColumn("base_failed", base_failed())
 
 
-def base_failed(n: Column, repeats: Column) -> Column:
-    return (n < 20) | (100 * repeats > 30 * n)
+def base_failed(v: Callable[[str], Column] = F.col) -> Column:
+    return reduce(or_, [RULES[r](v) for r in BASE])
 
 
 def host_verdicts(measured: DataFrame, *, host_col: str = "source", max_rate: float = 0.5) -> DataFrame:
-    """host, n_docs, n_failed, rate (shrunk), rejected.
-
-    Prior: mean m and variance v of the hosts' rates; strength
-    m (1 - m) / v - 1, at least 1 and at most 1000 documents' worth.
+    """host, n_docs, rejected, rejected_by (the rules, comma-joined), and for
+    each rule and for ``base`` (any of BASE) failed_<rule>, rate_<rule> (shrunk).
+
+    Prior of a rule: mean m = failures / documents, and a strength by the
+    moments of beta-binomial counts, so that the chance spread of small hosts
+    isn't taken for a difference between hosts: with S = sum n (f/n - m)^2 over
+    H hosts and N documents, 1 / (1 + strength) =
+    (S / (m (1 - m)) - (H - 1)) / (N - sum n^2 / N - (H - 1)), within PRIOR.
     """
+    fails = {**{r: failed(F.col) for r, failed in RULES.items()}, "base": base_failed()}
     hosts = measured.groupBy(F.col(host_col).alias("host")).agg(
-        F.count(F.lit(1)).alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
+        F.count(F.lit(1)).alias("n_docs"), *[F.count(F.when(e, 1)).alias(f"failed_{r}") for r, e in fails.items()])
     hosts = table(hosts, "hosts")
-    rate = F.col("n_failed") / F.col("n_docs").cast("double")
-    m, v = hosts.agg(F.avg(rate), F.var_pop(rate)).first()
-    m = 0.0 if m is None else m
-    strength = min(1000.0, max(1.0, m * (1 - m) / v - 1)) if v else 1.0
-    shrunk = (F.col("n_failed") + F.lit(m * strength)) / (F.col("n_docs") + F.lit(strength))
-    return hosts.withColumn("rate", shrunk).withColumn("rejected", F.col("rate") > max_rate)
+    n = F.col("n_docs").cast("double")
+    moments = hosts.agg(
+        F.count(F.lit(1)).alias("hosts"), F.sum(n).alias("docs"), F.sum(n * n).alias("squares"),
+        *[F.sum(F.col(f"failed_{r}")).alias(f"f_{r}") for r in fails],
+        *[F.sum(F.col(f"failed_{r}") * F.col(f"failed_{r}") / n).alias(f"q_{r}") for r in fails]).first()
+    rates = {}
+    for r in fails:
+        m, strength = _prior(moments["hosts"], moments["docs"], moments["squares"], moments[f"f_{r}"], moments[f"q_{r}"])
+        rates[r] = (F.col(f"failed_{r}") + F.lit(m * strength)) / (n + F.lit(strength))
+    out = hosts.withColumns({f"rate_{r}": rate for r, rate in rates.items()})
+    out = out.withColumn("rejected_by", F.concat_ws(",", *[F.when(F.col(f"rate_{r}") > max_rate, F.lit(r)) for r in fails]))
+    return out.withColumn("rejected", F.col("rejected_by") != "")
+
+
+def _prior(hosts: int, docs: float | None, squares: float, failed: int, q: float) -> tuple[float, float]:
+    """Mean and strength of a rule's prior from sums over hosts (q: of f^2 / n)."""
+    if not hosts:
+        return 0.0, 1.0
+    m = failed / docs
+    least, most = PRIOR
+    spread, beyond = m * (1 - m), docs - squares / docs - (hosts - 1)
+    # beyond is 0 if every host has one document: nothing tells hosts from documents
+    rho = ((q - m * failed) / spread - (hosts - 1)) / beyond if spread > 0 and beyond > 1e-9 * docs else least
+    return m, 1 / min(most, max(least, rho)) - 1
 
 
 def _with_hosts(docs: DataFrame, host: Column, verdicts: DataFrame, bound: int) -> DataFrame:
@@ -105,22 +148,23 @@ def _with_hosts(docs: DataFrame, host: Column, verdicts: DataFrame, bound: int)
 
 def quality(docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text",
             max_rate: float = 0.5, broadcast_rows: int = 100_000) -> DataFrame:
-    """doc_id, METRICS, base_failed, kept per row."""
+    """doc_id, METRICS, base_failed, kept, n_lines per row."""
     d = pick(docs, doc_id=id_col, host=host_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    m = table(measure(d).select("doc_id", "host", *METRICS, "base_failed"), "measured")
+    m = table(measure(d).select("doc_id", "host", *METRICS, "n_lines", "base_failed"), "measured")
     verdicts = host_verdicts(m, host_col="host", max_rate=max_rate)
     return _with_hosts(m, F.col("host"), verdicts, broadcast_rows).select(
-        "doc_id", *METRICS, "base_failed", (~F.col("base_failed") & F.col(TMP + "bad").isNull()).alias("kept"))
+        "doc_id", *METRICS, "base_failed", (~F.col("base_failed") & F.col(TMP + "bad").isNull()).alias("kept"), "n_lines")
 
 
 def keep_documents(docs: DataFrame, *, host_col: str = "source", text_col: str = "text", max_rate: float = 0.5,
                    broadcast_rows: int = 100_000) -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns."""
     d = pick(docs, host=host_col, text=text_col)
-    verdicts = host_verdicts(measure(d).select("host", "base_failed"), host_col="host", max_rate=max_rate)
+    verdicts = host_verdicts(measure(d).select("host", *METRICS, "n_lines"), host_col="host", max_rate=max_rate)
     m = measures(docs[text_col])
     rows = docs.withColumn(TMP + "w", m[TMP + "w"])
-    rows = rows.filter(~base_failed(F.col(TMP + "w")["n"], F.col(TMP + "w")["r"]))
+    of = {"n_words": F.col(TMP + "w")["n"], "n_repeat_words": F.col(TMP + "w")["r"]}
+    rows = rows.filter(~base_failed(of.__getitem__))
     return _with_hosts(rows, rows[host_col], verdicts, broadcast_rows).filter(F.col(TMP + "bad").isNull()).select(*docs.columns)
 
 
@@ -138,13 +182,26 @@ m as (
     coalesce(cov.n, 0)::bigint n_repeat_words
   from w left join cov using (rid)),
 b as (
-  select *, (len(ls) - len(list_distinct(ls)))::bigint n_dup_lines,
-    n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from m),
-h as (select source, count(*) n, sum(base_failed::int) f from b group by source),
-p as (select avg(f / n::double) m, var_pop(f / n::double) v from h),
-s as (select m, case when v > 0 then least(1000.0, greatest(1.0, m * (1 - m) / v - 1)) else 1.0 end k from p),
-bad as (select source, (f + m * k) / (n + k) > 0.5 as rejected from h, s)
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed
+  from (select *, (len(ls) - len(list_distinct(ls)))::bigint n_dup_lines, len(ls)::bigint n_lines from m)),
+h as (
+  select source, count(*)::double n,
+    unnest([{'rule': 'base', 'f': count(*) filter (where base_failed)},
+            {'rule': 'short', 'f': count(*) filter (where n_words < 20)},
+            {'rule': 'repeats', 'f': count(*) filter (where 100 * n_repeat_words > 30 * n_words)},
+            {'rule': 'symbols', 'f': count(*) filter (where 10 * n_symbols > n_words)},
+            {'rule': 'dup_lines', 'f': count(*) filter (where 100 * n_dup_lines > 30 * n_lines)}]) x
+  from b group by source),
+p as (select x.rule as rule, sum(x.f) / sum(n) m, sum(n) docs, sum(n * n) sq, count(*) hosts from h group by x.rule),
+v as (
+  select rule, any_value(m) m, any_value(m * (1 - m)) spread, any_value(docs - sq / docs - (hosts - 1)) beyond,
+    any_value(hosts) hosts, any_value(docs) docs, sum(n * (x.f / n - m) * (x.f / n - m)) s
+  from h join p on x.rule = p.rule group by rule),
+s as (
+  select rule, m, 1 / least(1 / 11.0, greatest(1 / 1001.0, case when spread > 0 and beyond > 1e-9 * docs
+    then (s / spread - (hosts - 1)) / beyond else 0.0 end)) - 1 k from v),
+bad as (select source, bool_or((x.f + m * k) / (n + k) > 0.5) as rejected from h join s on x.rule = s.rule group by source)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and not rejected as kept
+  not base_failed and not rejected as kept, n_lines
 from b join bad on b.source is not distinct from bad.source
 """

@@ -221,6 +221,26 @@ def test_pii_thresholds_of_rare_kinds_beside_many_spans_of_others(spark):
     assert len(counts) == 8 and max(counts.values()) <= 100 and min(counts.values()) >= 30
 
 
+def plain_rejected(rows, max_rate=0.5):
+    """Hosts with a shrunk rate of any rule above max_rate: (host, failures by rule) rows."""
+    by_host = collections.defaultdict(list)
+    for host, fails in rows:
+        by_host[host].append(fails)
+    out = set()
+    for r in range(len(rows[0][1])):
+        f = {h: sum(x[r] for x in v) for h, v in by_host.items()}
+        n = {h: len(v) for h, v in by_host.items()}
+        docs, hosts = len(rows), len(n)
+        m = sum(f.values()) / docs
+        beyond = docs - sum(k * k for k in n.values()) / docs - (hosts - 1)
+        rho = 0.0
+        if 0 < m < 1 and beyond > 1e-9 * docs:
+            rho = (sum(n[h] * (f[h] / n[h] - m) ** 2 for h in n) / (m * (1 - m)) - (hosts - 1)) / beyond
+        k = 1 / min(1 / 11, max(1 / 1001, rho)) - 1
+        out |= {h for h in n if (f[h] + m * k) / (n[h] + k) > max_rate}
+    return out
+
+
 def test_quality_rules(docs, rows, none):
     def plain(t):
         w, t = words_of(t), t or ""
@@ -229,34 +249,49 @@ def test_quality_rules(docs, rows, none):
             at[tuple(w[k:k + 8])].append(k)
         covered = {p + d for v in at.values() if len(v) > 1 for p in v for d in range(8)}
         ls = [x for x in t.split("\n") if words_of(x)]
-        return (len(w), sum(map(len, w)), sum(c in rules.SYMBOLS for c in t), len(ls) - len(set(ls)), len(covered))
+        return (len(w), sum(map(len, w)), sum(c in rules.SYMBOLS for c in t), len(ls) - len(set(ls)), len(covered)), len(ls)
     want = []
     for i, t, s in rows:
-        m = plain(t)
-        want.append((i, s, *m, m[0] < 20 or 100 * m[4] > 30 * m[0]))
-    host = collections.defaultdict(lambda: [0, 0])
-    for w in want:
-        host[w[1]][0] += 1
-        host[w[1]][1] += w[-1]
-    rate = [f / n for n, f in host.values()]
-    m, v = np.mean(rate), np.var(rate)
-    k = min(1000.0, max(1.0, m * (1 - m) / v - 1)) if v else 1.0
-    bad = {s for s, (n, f) in host.items() if (f + m * k) / (n + k) > 0.5}
-    want = [(*w[:1], *w[2:], not w[-1] and w[1] not in bad) for w in want]
+        m, n_lines = plain(t)
+        short, repeats = m[0] < 20, 100 * m[4] > 30 * m[0]
+        fails = (short, repeats, 10 * m[2] > m[0], 100 * m[3] > 30 * n_lines, short or repeats)
+        want.append((i, s, *m, fails[-1], n_lines, fails))
+    bad = plain_rejected([(w[1], w[-1]) for w in want])
+    want = [(w[0], *w[2:8], not w[7] and w[1] not in bad, w[8]) for w in want]
     got = [tuple(r) for r in rules.quality(docs).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
     kept = rules.keep_documents(docs)
-    assert kept.columns == docs.columns and kept.count() == sum(w[-1] for w in want)
+    assert kept.columns == docs.columns and kept.count() == sum(w[-2] for w in want)
     assert rules.quality(none).count() == 0 and rules.keep_documents(none).count() == 0
 
 
 def test_host_verdicts_reject_a_bad_host(spark):
+    """Each rule rejects the host where most documents fail it, with the
+    documents there that pass; a host with few documents stands."""
+    good = " ".join(f"w{k}" for k in range(30))
+    lines = "\n".join(f"w{k} x y" for k in range(20))
+    bad = {"short": "short", "repeats": "a b c d e f g h " * 9, "symbols": good + " ####", "dup_lines": lines + "\n" + "\n".join(
+        f"w{k} x y" for k in range(0, 20, 2))}
+    data = [(bad[r] if k < 30 else good, r) for r in bad for k in range(33)]
+    data += [(bad["symbols"], f"one{k}") for k in range(4)]
+    data += [(good, f"g{k % 40}") for k in range(2000)]
+    df = spark.createDataFrame([(k, t, h) for k, (t, h) in enumerate(data)], "doc_id long, text string, source string")
+    verdicts = {r.host: r for r in rules.host_verdicts(rules.measure(df)).collect()}
+    assert {h: r.rejected_by for h, r in verdicts.items() if r.rejected} == {
+        "short": "short,base", "repeats": "repeats,base", "symbols": "symbols", "dup_lines": "dup_lines"}
+    assert verdicts["symbols"].failed_symbols == 30 and verdicts["symbols"].failed_base == 0
+    got = {r.doc_id: r for r in rules.quality(df).collect()}
+    assert all(not got[k].kept for k, (_, h) in enumerate(data) if h in bad)
+    assert all(got[k].kept for k, (_, h) in enumerate(data) if h not in bad)
+    assert {r.doc_id for r in rules.keep_documents(df).collect()} == {k for k in got if got[k].kept}
+
+
+def test_hosts_of_one_document_each_prove_nothing(spark):
+    """Rates of 0 and 1 are then chance: documents stand on their own."""
     good = " ".join(f"w{k}" for k in range(30))
-    df = spark.createDataFrame([(k, "short" if k % 2 == 0 or k < 40 else good, "bad" if k < 42 else f"g{k % 5}")
-                                for k in range(40)] + [(k, good, f"g{k % 5}") for k in range(40, 200)],
+    df = spark.createDataFrame([(k, good + (" ####" if k % 3 == 0 else ""), f"h{k}") for k in range(300)],
                                "doc_id long, text string, source string")
-    bad = {r.host for r in rules.host_verdicts(rules.measure(df)).filter("rejected").collect()}
-    assert bad == {"bad"}
+    assert rules.quality(df).filter("kept").count() == 300
 
 
 def test_toxicity_learns_and_is_blind_to_labels(spark, docs, rows, none):
