@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from biasfit.functions.literals import dlit
 from biasfit.operators.order_stats import bucket_sql, linear, radix, ranked_values, type7_ranks, with_image
@@ -27,6 +27,17 @@ def null_cells_by_column(df: DataFrame) -> DataFrame:
     return wide.select(F.explode(F.array(*items)).alias("_x")).select("_x.column", "_x.n_null")
 
 
+def null_counters(columns: Sequence[str]) -> list[Column]:
+    """Aggregates for ``DataFrame.observe``: NULL cells by column, counted while
+    the rows pass by on their way to a write."""
+    return [F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}") for c in columns]
+
+
+def counted_nulls(spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+    """``column, n_null`` from counts that were observed."""
+    return spark.createDataFrame(list(counts.items()), "column STRING, n_null BIGINT")
+
+
 def row_counts(df: DataFrame, by: str) -> DataFrame:
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("n_rows"))
 

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from biasfit.functions.hashing import hash_prefix_number, order_hash
 from biasfit.operators.bitmaps import INTEGERS, MAX_BITS, known_keys
+from biasfit.operators.diagnostics import null_counters
 from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy
 from biasfit.operators.order_stats import IMAGE, kth_rows, radix, ranked_values, type7_ranks, with_image
 from biasfit.session import materialize
@@ -240,12 +241,14 @@ class SampleInput:
     n_rows: int
     bounds: Sequence[float] | None
     extents: dict[str, tuple]
+    nulls: dict[str, int]       # NULL cells by column
 
 
 def prepare(df: DataFrame, name: str, target: str, hashes: Mapping[str, Column], *, groups: int = 5,
             keys: Sequence[str] = (), stage=None) -> SampleInput:
     """Write ``df`` with the order hashes ``hashes`` (column name: number); the
-    brackets of the strata and the ranges of the keys cost no job of their own.
+    brackets of the strata, the ranges of the keys and the NULL cells of every
+    column of ``df`` cost no job of their own.
 
     ``stage(name, make)`` (:class:`biasfit.plans.stages.Stages`) keeps the table
     and what was observed beyond this run."""
@@ -255,7 +258,7 @@ def prepare(df: DataFrame, name: str, target: str, hashes: Mapping[str, Column],
         seen = Observation(f"biasfit-{name}")
         write(df.withColumns(dict(hashes)).observe(
             seen, F.count(F.lit(1)).alias("n"), bracket_column(target, groups).alias("bounds"),
-            *[f(k).alias(f"{i}_{k}") for k in whole for i, f in enumerate((F.min, F.max))]))
+            *[f(k).alias(f"{i}_{k}") for k in whole for i, f in enumerate((F.min, F.max))], *null_counters(df.columns)))
         return {**seen.get, "bounds": seen.get["bounds"] and list(seen.get["bounds"])}
 
     if stage is None:
@@ -265,7 +268,7 @@ def prepare(df: DataFrame, name: str, target: str, hashes: Mapping[str, Column],
     else:
         out, got = stage(name, make)
     extents = {k: (got[f"0_{k}"], got[f"1_{k}"]) if k in whole else (None, None) for k in keys}
-    return SampleInput(with_row_id(out), got["n"], got["bounds"], extents)
+    return SampleInput(with_row_id(out), got["n"], got["bounds"], extents, {c: got[f"null_{c}"] for c in df.columns})
 
 
 def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,

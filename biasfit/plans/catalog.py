@@ -17,7 +17,7 @@ from biasfit import schemas as S
 from biasfit.functions.flags import add_flags
 from biasfit.functions.hashing import hash_prefix_number, order_hash
 from biasfit.functions.metrics import rmse_columns
-from biasfit.operators.diagnostics import boxplot_outliers, boxplot_stats, null_cells, null_cells_by_column, preview
+from biasfit.operators.diagnostics import boxplot_outliers, boxplot_stats, counted_nulls, preview
 from biasfit.operators.sampling import ROW_ID, STRATUM, assign_holdout_roles, exact_stratified_sample, prepare
 from biasfit.plans import edge_cases
 from biasfit.plans.analysis import PipelineConfig, RatingsPipeline
@@ -85,13 +85,18 @@ def q_preview_head(spark, sf_dir):
     return preview(f, order, S.PREVIEW_ROWS).select(*RATING_COLS, *FLAGS)
 
 
+def _nulls(spark, sf_dir) -> dict[str, int]:
+    """NULL cells by column, counted while the facts were written: no job of their own."""
+    seen = analysis(spark, sf_dir).prepared.nulls
+    return {c: seen[c] for c in [*RATING_COLS, *FLAGS]}
+
+
 def q_null_cells(spark, sf_dir):
-    f = q_genre_flags(spark, sf_dir)
-    return null_cells(f)
+    return spark.createDataFrame([(sum(_nulls(spark, sf_dir).values()),)], "n_null BIGINT")
 
 
 def q_null_cells_by_column(spark, sf_dir):
-    return null_cells_by_column(q_genre_flags(spark, sf_dir))
+    return counted_nulls(spark, _nulls(spark, sf_dir))
 
 
 def _split1(spark, sf_dir, info: dict | None = None):

@@ -15,12 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from biasfit import schemas as S
 from biasfit.functions.flags import add_flags
 from biasfit.functions.metrics import rmse_columns
-from biasfit.operators.diagnostics import null_cells_by_column
+from biasfit.operators.diagnostics import counted_nulls, null_cells_by_column
 from biasfit.operators.effects import attach_bias, fit_bias, item_stats, global_mean, predict_bias, residuals, user_flag_effects, user_flag_stats
 from biasfit.operators import state as ST
 from biasfit.operators.copartition import Placement
 from biasfit.operators.joins import JoinPolicy, keyed_join
-from biasfit.operators.sampling import anti_join_all, assign_holdout_roles, semi_join_keys
+from biasfit.operators.sampling import anti_join_all, assign_holdout_roles, prepare, semi_join_keys
 from biasfit.operators.select import forward_select
 from biasfit.operators.sweep import sweep_bias
 from biasfit.session import scratch_path
@@ -67,6 +67,12 @@ def q_bias_rmse_nulls(spark, sf_dir):
     return predict_bias(known, model).agg(*rmse_columns()).select(r6("rmse").alias("rmse"), "n_rows", "n_null_pred")
 
 
+def q_observed_null_cells(spark, sf_dir):
+    """NULL cells of the facts with missing values, counted on their one write."""
+    w = prepare(add_flags(null_facts(spark, sf_dir).drop("tags"), S.TESTDATA_FLAGS), "null-facts", "rating", {})
+    return counted_nulls(spark, {c: w.nulls[c] for c in ("userId", "movieId", "rating", *S.TESTDATA_FLAGS)})
+
+
 def q_bias_sweep_salted(spark, sf_dir):
     """The sweep with every join salted, NULL keys included."""
     train, test = _null_parts(spark, sf_dir)
@@ -237,7 +243,7 @@ def q_genre_flags_compat(spark, sf_dir):
 
 
 QUERIES = {f.__name__[2:]: f for f in (
-    q_user_effect_nulls, q_bias_rmse_nulls, q_bias_sweep_salted, q_placed_predictions_nulls, q_effect_nulls, q_forward_selection_nulls, q_merged_item_effect, q_merged_user_effect, q_merged_flag_effect, q_ratings_fact_hot_item, q_holdout_orphans_returned,
+    q_user_effect_nulls, q_bias_rmse_nulls, q_bias_sweep_salted, q_placed_predictions_nulls, q_effect_nulls, q_observed_null_cells, q_forward_selection_nulls, q_merged_item_effect, q_merged_user_effect, q_merged_flag_effect, q_ratings_fact_hot_item, q_holdout_orphans_returned,
     q_split_orphans_dropped, q_holdout_by_joins, q_validation_refiltered, q_rejected_lines, q_genre_flags_19,
     q_genre_flags_compat)}
 
@@ -327,6 +333,9 @@ def oracle_sql(with_) -> dict[str, str]:
         CAST(epoch(l.l_shipdate) AS BIGINT) AS timestamp, p_name AS title, concat_ws('|', p_type, replace(p_name, ' ', '|')) AS genres
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey LEFT JOIN part p ON p.p_partkey = {hot}"""
     q["effect_nulls"] = chain(" UNION ALL ".join(cells))
+    q["observed_null_cells"] = chain(" UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {e} IS NULL) AS n_null FROM nf" for c, e in [
+            *((k, k) for k in ("userId", "movieId", "rating")), *((f, f"contains(genres, '{p}')") for f, p in flags)]))
     q["forward_selection_nulls"] = chain(_selection_sql(flags, lam))
     h = "md5(l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR)"
     order = f""", bo AS (SELECT userId, l_orderkey AS movieId, l_orderkey, l_linenumber,

@@ -27,6 +27,18 @@ def test_null_item_is_an_item(spark):
     assert best_lambda(sweep_bias(train, test, [0.0, 1.0], mu)).first()["rmse"] is not None
 
 
+def test_null_cells_are_observed_on_the_write(spark):
+    from biasfit.operators.diagnostics import null_cells_by_column
+    from biasfit.operators.sampling import prepare
+
+    facts = spark.createDataFrame([(1, 10, 5.0), (None, None, 3.0), (2, None, None), (2, 10, float("nan"))], RATINGS)
+    for df in (facts, facts.where("false"), facts.repartition(3)):
+        got = prepare(df, "nulls", "rating", {}, keys=("movieId", "userId"))
+        assert got.nulls == {r["column"]: r["n_null"] for r in null_cells_by_column(df).collect()}
+        assert got.n_rows == df.count()
+    assert got.nulls == {"userId": 1, "movieId": 2, "rating": 1}
+
+
 def test_null_rating_makes_everything_null(spark):
     train = spark.createDataFrame([(1, 10, None), (1, 20, 3.0), (2, 10, 4.0)], RATINGS)
     m = fit_bias(train, 1.0)

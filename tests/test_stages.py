@@ -5,6 +5,7 @@ import os
 
 import pytest
 
+from biasfit.operators.sampling import ROW_ID
 from biasfit.plans.analysis import RatingsPipeline
 from biasfit.plans.catalog import testdata_config as config
 from biasfit.plans.stages import Stages
@@ -41,6 +42,7 @@ def test_a_stopped_run_is_taken_up(spark, tmp_path, monkeypatch):
     plain = RatingsPipeline(spark, TestdataViews(spark, SF001).facts(), config()).final_score().first()
     assert again["rmse"] == pytest.approx(plain["rmse"], abs=1e-12) and again["flags"] == plain["flags"]
     assert second.role_counts == first.role_counts and second.mu == first.mu
+    assert second.prepared.nulls == first.prepared.nulls and set(first.prepared.nulls) == set(first.work.columns) - {"_h0", "_h1", *ROW_ID}
 
 
 def test_a_half_written_stage_is_made_again(spark, tmp_path):
