@@ -1,9 +1,11 @@
 """Shrinkage sweeps in one plan per grid chunk.
 
-Bias sweep: with ``s_i, n_i`` per item, ``b_i(l) = s_i / (n_i + l)``; one
-aggregate per user produces ``U_l = sum(r - mu - b_i(l))`` for *every* l as
-separate columns, and one global aggregate over the scored test rows gives
-every l's squared error.  The naive form (:func:`sweep_bias_naive`) rescans
+Bias sweep: with ``s_i, n_i`` per item, ``b_i(l) = s_i / (n_i + l)``.  Items
+with the same ``n_i`` share a divisor, so train is first added up by user and
+``n_i`` (three narrow sums); one aggregate per user of those lines, dealt out by
+user, produces ``U_l = sum(r - mu - b_i(l))`` for *every* l as separate columns,
+which are never shuffled as partial sums.  One global aggregate over the scored
+test rows gives every l's squared error.  The naive form (:func:`sweep_bias_naive`) rescans
 train per lambda and exists to check this one.
 
 Flag sweep: user-by-flag sums and counts are computed once
@@ -58,9 +60,13 @@ def sweep_bias(train: DataFrame, test: DataFrame, grid: Sequence[float], mu: flo
     for g in _chunks(list(grid), chunk):
         j = keyed_join(train.select(USER, ITEM, RATING), st, ITEM, "left", count_col="n_i", total=total,
                        null_safe=True, policy=policy)
-        users = j.groupBy(USER).agg(
-            F.count(F.lit(1)).alias("m_u"),
-            *[F.expr(strict_sum_sql(f"(rating - {m}) - s_i / (n_i + {dlit(l)})")).alias(f"_u{k}") for k, l in enumerate(g)])
+        # a hot user has at most one line per n_i, so dealing these out by user leaves no task behind
+        lines = j.groupBy(USER, "n_i").agg(
+            F.count(F.lit(1)).alias("_rows"), F.expr(strict_sum_sql(f"{RATING} - {m}")).alias("_r"),
+            F.expr(strict_sum_sql("s_i")).alias("_s"))
+        users = lines.repartition(USER).groupBy(USER).agg(
+            F.sum("_rows").alias("m_u"),
+            *[F.expr(strict_sum_sql(f"_r - _s / (n_i + {dlit(l)})")).alias(f"_u{k}") for k, l in enumerate(g)])
         t = keyed_join(test.select(USER, ITEM, RATING), st, ITEM, "left", count_col="n_i", total=total,
                        null_safe=True, policy=policy)
         t = keyed_join(t, users, USER, "left", count_col="m_u", total=total, null_safe=True, policy=policy,
