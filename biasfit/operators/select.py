@@ -27,6 +27,7 @@ from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame, functions as F
 
+from biasfit.functions.flags import flag_of_words, flag_words, word_names
 from biasfit.functions.literals import dlit
 from biasfit.operators.effects import USER, flag_term_sql
 from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, keyed_join, placed_by
@@ -42,9 +43,6 @@ class Selection:
     direct_rmse: float | None = None     # of the kept set, scored line by line
 
 
-_WORD = 62          # flags packed in one BIGINT
-
-
 def row_terms(scored_test: DataFrame, flags: Sequence[str], mu: float) -> DataFrame:
     """``n, se, see, x0..``: one line per row of a table that holds the effects
     (``<flag>_up/_down``) beside the flags."""
@@ -59,13 +57,7 @@ def pattern_terms(scored_test: DataFrame, effects: DataFrame, flags: Sequence[st
 
     Flags (and which of them are missing) are packed into integers; the join
     with the users' gaps meets the aggregated lines."""
-    def packed(test: str) -> list[str]:
-        return [" | ".join(f"(CASE WHEN {test.format(f)} THEN {1 << j}L ELSE 0L END)" for j, f in enumerate(flags[i:i + _WORD])) or "0L"
-                for i in range(0, max(len(flags), 1), _WORD)]
-
-    ones, gone = packed("`{}` = 1"), packed("`{}` IS NULL")
-    words = [F.expr(x).alias(f"_one{i}") for i, x in enumerate(ones)] + [F.expr(x).alias(f"_gone{i}") for i, x in enumerate(gone)]
-    names = [f"{n}{i}" for n in ("_one", "_gone") for i in range(len(ones))]
+    words, names = flag_words(flags), word_names(flags)
     e = F.expr(f"coalesce(rating - ({dlit(mu)} + b_i + b_u), double('NaN'))")
     place = placed_by(scored_test, USER)
     lines = (scored_test.select(USER, *place, *words, e.alias("_e")).groupBy(USER, *place, *names)
@@ -73,9 +65,7 @@ def pattern_terms(scored_test: DataFrame, effects: DataFrame, flags: Sequence[st
     gaps = effects.select(USER, F.col("m_u").alias("_m"), *placed_by(effects, USER), *[F.expr(f"(`{f}_up` - `{f}_down`) / 2").alias(f"_gap{k}")
                                                             for k, f in enumerate(flags)])
     t = keyed_join(lines, gaps, USER, "left", count_col="_m", total=total, null_safe=True, policy=policy)
-    bit = lambda name, k: f"bit_get({name}{k // _WORD}, {k % _WORD})"                   # noqa: E731
-    return t.select("n", "se", "see", *[F.expr(f"CASE WHEN {bit('_gone', k)} = 0 THEN (2 * {bit('_one', k)} - 1) * _gap{k} END")
-                                        .alias(f"x{k}") for k in range(len(flags))])
+    return t.select("n", "se", "see", *[F.expr(f"(2 * {flag_of_words(k)} - 1) * _gap{k}").alias(f"x{k}") for k in range(len(flags))])
 
 
 def _strict(expr: str) -> str:

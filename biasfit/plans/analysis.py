@@ -37,7 +37,7 @@ from biasfit.operators.bitmaps import MAX_BITS, layouts, segments, with_bits
 from biasfit.operators.diagnostics import boxplot_outliers, boxplot_stats
 from biasfit.operators.effects import (USER, ITEM, attach_bias, fit_bias, item_stats,
                                        predict_bias, predict_flags, residuals, user_flag_effects,
-                                       user_flag_stats)
+                                       user_flag_stats, with_residual)
 from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, key_counts
 from biasfit.operators.sampling import (ROW_ID, SampleInput, assign_holdout_roles, exact_stratified_sample, mark_known, prepare,
                                         semi_join_keys)
@@ -254,25 +254,31 @@ class RatingsPipeline:
     def joined_flag_stats(self) -> DataFrame:
         return self._placed("flag_stats", self.flag_stats)
 
+    def _flags_of(self, df: DataFrame) -> list[str]:
+        return [f for f in self.cfg.flags if f in df.columns]
+
     def attach(self, df: DataFrame) -> DataFrame:
-        return attach_bias(df, self.joined_model, self.cfg.policy, self.n_train)
+        return attach_bias(df, self.joined_model, self.cfg.policy, self.n_train, self._flags_of(df))
 
     def predictions(self, df: DataFrame) -> DataFrame:
         return predict_bias(df, self.joined_model, policy=self.cfg.policy, total=self.n_train)
 
     @cached_property
     def test_scored(self) -> DataFrame:
-        """Test rows + ``b_i, b_u`` at the tuned bias lambda."""
-        return self.attach(self.test)
+        """Test rows + ``b_i, b_u`` at the tuned bias lambda; written once, as the
+        selection, the flag sweep and the predictions read them."""
+        out = self.attach(self.test)
+        return materialize(out, self.cfg.materialize, "scored") if self.layout is None else self.layout.write(out, "scored")
 
     @cached_property
     def train_residuals(self) -> DataFrame:
-        """Written once: the flag sums and the box plots read it many times."""
+        """Written once: the flag sums and the box plots read it many times.  The
+        residual itself is not stored, it follows from the columns that are."""
         def make(write: Callable) -> dict:
-            write(residuals(self.train, self.joined_model, self.cfg.policy, self.n_train))
+            write(residuals(self.train, self.joined_model, self.cfg.policy, self.n_train, self._flags_of(self.train)).drop("resid"))
             return {}
 
-        return self._stage("residuals", make)[0]
+        return with_residual(self._stage("residuals", make)[0], self.mu)
 
     # ---------------------------------------------------------------- flags
     @cached_property

@@ -36,6 +36,8 @@ def r6(c):
 
 
 def testdata_config(**kw) -> PipelineConfig:
+    # after the split no query reads the columns that only break the samples' ties
+    kw.setdefault("keep_cols", [*RATING_COLS, *LINE_ID, *FLAGS])
     return PipelineConfig(flags=dict(S.TESTDATA_FLAGS), key_cols=KEY_COLS, tie_cols=TIE_COLS, **kw)
 
 
