@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from biasfit.functions.flags import flag_of_words, flag_words, word_names
 from biasfit.operators.effects import ITEM, RATING, USER
 
 TOTAL, ROWS, MISSING = "total", "n_rows", "n_missing"
@@ -82,10 +83,14 @@ def item_residual(df: DataFrame, items: DataFrame, mu: float | None, joined, rat
 
 def flag_states(df: DataFrame, flags: Sequence[str], value: str = "resid", user: str = USER) -> DataFrame:
     """``user, flag, level, total, n_rows, n_missing``: the residual state of each
-    user, flag and level that has rows.  Rows aren't repeated by flag: each
-    aggregate has the sums of some flags as columns, and its lines are unpivoted."""
-    v = F.col(value).cast("double")
-    v = F.when(~F.isnan(v), v)
+    user, flag and level that has rows.  Rows are first added up by user and flag
+    pattern, a narrow state.  These aren't repeated by flag: dealt out by user,
+    each aggregate has the sums of some flags as columns, and its lines are
+    unpivoted; partial sums of that width are never shuffled."""
+    flags = list(flags)
+    names = word_names(flags)
+    lines = state(df.select(user, *flag_words(flags), F.col(value).alias("_v")), [user, *names], "_v").repartition(user)
+    lines = lines.select(user, TOTAL, ROWS, MISSING, *[F.expr(flag_of_words(k)).alias(f) for k, f in enumerate(flags)])
     out = None
     for i in range(0, len(flags), FLAGS_AT_ONCE):
         aggs, cells = [], []
@@ -93,11 +98,11 @@ def flag_states(df: DataFrame, flags: Sequence[str], value: str = "resid", user:
             for level in (0, 1):
                 at = F.col(f) == level
                 k = len(cells)
-                aggs += [F.coalesce(F.sum(F.when(at, v)), F.lit(0.0)).alias(f"_t{k}"), F.count(F.when(at, 1)).alias(f"_n{k}"),
-                         F.count(F.when(at & v.isNull(), 1)).alias(f"_m{k}")]
+                aggs += [F.coalesce(F.sum(F.when(at, F.col(c))), F.lit(0).cast(kind)).alias(f"_{x}{k}")
+                         for x, c, kind in (("t", TOTAL, "double"), ("n", ROWS, "bigint"), ("m", MISSING, "bigint"))]
                 cells.append(F.struct(F.lit(f).alias("flag"), F.lit(level).alias("level"), F.col(f"_t{k}").alias(TOTAL),
                                       F.col(f"_n{k}").alias(ROWS), F.col(f"_m{k}").alias(MISSING)))
-        part = df.groupBy(user).agg(*aggs).select(user, F.inline(F.array(*cells))).where(F.col(ROWS) > 0)
+        part = lines.groupBy(user).agg(*aggs).select(user, F.inline(F.array(*cells))).where(F.col(ROWS) > 0)
         out = part if out is None else out.unionByName(part)
     return out
 
