@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from biasfit import schemas as S
-from biasfit.functions.flags import add_flags
+from biasfit.functions.flags import add_flags, pack_flags, unpack_flags
 from biasfit.functions.metrics import rmse_columns
 from biasfit.operators.diagnostics import counted_nulls, null_cells_by_column
 from biasfit.operators.effects import attach_bias, fit_bias, item_stats, global_mean, predict_bias, residuals, user_flag_effects, user_flag_stats
@@ -50,8 +50,14 @@ def null_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "genres": F.when(F.col("l_suppkey") % 5 != 0, F.col("genres")), "tags": F.col("genres")})
 
 
-def _null_parts(spark, sf_dir):
-    f = null_facts(spark, sf_dir)
+def _null_rows(spark, sf_dir, *cols: str) -> DataFrame:
+    """The columns of :func:`null_facts` that a query reads, written once: every
+    step of the query reads them again, which would repeat the facts' joins."""
+    return materialize(null_facts(spark, sf_dir).select("userId", "movieId", "rating", *ROW_ID, *cols), "table", "null-facts")
+
+
+def _null_parts(spark, sf_dir, *cols: str):
+    f = _null_rows(spark, sf_dir, *cols)
     return f.where("l_linenumber <> 1"), f.where("l_linenumber = 1")
 
 
@@ -94,10 +100,10 @@ def q_placed_predictions_nulls(spark, sf_dir):
 
 def q_effect_nulls(spark, sf_dir):
     """Missing cells of the flag effects: rows without tags belong to no level."""
-    train, _ = _null_parts(spark, sf_dir)
+    train, _ = _null_parts(spark, sf_dir, "genres")
     train = add_flags(train, S.TESTDATA_FLAGS)
-    res = residuals(train, fit_bias(train, LAMBDA))
     flags = list(S.TESTDATA_FLAGS)
+    res = residuals(train, fit_bias(train, LAMBDA), flags=flags)
     nulls = null_cells_by_column(train.select("userId", "movieId", *flags))
     eff = null_cells_by_column(user_flag_effects(user_flag_stats(res, flags), flags, S.SCREEN_LAMBDA).drop("m_u"))
     return nulls.withColumn("of", F.lit("facts")).unionByName(eff.withColumn("of", F.lit("effects")))
@@ -106,24 +112,24 @@ def q_effect_nulls(spark, sf_dir):
 def q_forward_selection_nulls(spark, sf_dir):
     """Every second flag misses the rows without tags; a set with such a term
     has RMSE NULL and is rejected, the others are screened as usual."""
-    train, test = _null_parts(spark, sf_dir)
+    train, test = _null_parts(spark, sf_dir, "genres", "tags")
     flags = list(S.TESTDATA_FLAGS)
     part = lambda k: {f: S.TESTDATA_FLAGS[f] for f in flags[k::2]}                     # noqa: E731
     put = lambda df: add_flags(add_flags(df, part(0), drop=()), part(1), tags="tags", drop=("genres", "tags", "title"))
     test = put(semi_join_keys(test, train))
     train = put(train)
     model = fit_bias(train, LAMBDA)
-    effects = user_flag_effects(user_flag_stats(residuals(train, model), flags), flags, S.SCREEN_LAMBDA)
+    effects = user_flag_effects(user_flag_stats(residuals(train, model, flags=flags), flags), flags, S.SCREEN_LAMBDA)
     rows = [(s["step"], s["flag"], None if math.isnan(s["rmse"]) else round(float(s["rmse"]), 6), s["decision"], s["kept"])
-            for s in forward_select(attach_bias(test, model), flags, model.mu, effects).steps]
+            for s in forward_select(attach_bias(test, model, flags=flags), flags, model.mu, effects).steps]
     return spark.createDataFrame(rows, "step INT, flag STRING, rmse DOUBLE, decision STRING, kept STRING")
 
 
 # ---------------------------------------------------- states that are merged
 
-def _merged(spark, sf_dir):
+def _merged(spark, sf_dir, *cols: str):
     """Train with NULLs as three lots of ratings, one of them withdrawn again."""
-    f = null_facts(spark, sf_dir)
+    f = _null_rows(spark, sf_dir, *cols)
     lots = [f.where("l_linenumber = 1"), f.where("l_linenumber in (2, 3)"), f.where("l_linenumber > 3")]
     made = lambda put, keys, value: ST.merge(*[ST.state(put(x), keys, value) for x in lots],       # noqa: E731
                                              ST.withdrawn(ST.state(put(lots[0]), keys, value)))
@@ -136,26 +142,31 @@ def q_merged_item_effect(spark, sf_dir):
     return ST.item_effects(s, ST.mean_of(s)[0], LAMBDA).select("movieId", r6("b_i").alias("b_i"), "n_i")
 
 
-def _with_items(spark, sf_dir):
-    lots, made = _merged(spark, sf_dir)
-    s = made(lambda x: x, "movieId", "rating")
+def _with_items(spark, sf_dir, *cols: str):
+    lots, made = _merged(spark, sf_dir, *cols)
+    # every lot's join reads the items' states
+    s = materialize(made(lambda x: x, "movieId", "rating"), "table", "item-states")
     mu, n = ST.mean_of(s)
     items = ST.item_effects(s, mu, LAMBDA)
     join = lambda df, it: keyed_join(df, it, "movieId", "left", count_col="n_i", total=n, null_safe=True, policy=SALTED)
-    return made, lambda x: ST.item_residual(x, items, mu, join)
+    return lots, made, lambda x: ST.item_residual(x, items, mu, join)
 
 
 def q_merged_user_effect(spark, sf_dir):
-    made, put = _with_items(spark, sf_dir)
+    _, made, put = _with_items(spark, sf_dir)
     return ST.user_effects(made(put, "userId", "_value"), LAMBDA).select("userId", r6("b_u").alias("b_u"), "m_u")
 
 
 def q_merged_flag_effect(spark, sf_dir):
     """Flag effects of ``r - mu - b_i`` from states per user, flag and level."""
-    made, put = _with_items(spark, sf_dir)
-    lots, _ = _merged(spark, sf_dir)
+    lots, _, put = _with_items(spark, sf_dir, "genres")
     flags = list(S.TESTDATA_FLAGS)
-    each = [ST.flag_states(add_flags(put(x), S.TESTDATA_FLAGS), flags, "_value") for x in lots]
+
+    def valued(x: DataFrame) -> DataFrame:
+        x = pack_flags(add_flags(x, S.TESTDATA_FLAGS), flags)
+        return unpack_flags(put(x), flags, ["userId", "_value", *flags])
+
+    each = [ST.flag_states(valued(x), flags, "_value") for x in lots]
     return ST.flag_effects(ST.merge(*each, ST.withdrawn(each[0])), S.SCREEN_LAMBDA).select(
         "userId", "flag", "level", r6("effect").alias("effect"))
 
