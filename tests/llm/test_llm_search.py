@@ -73,6 +73,49 @@ def test_sampling_follows_the_definition(monkeypatch):
     assert (got == want).all() and len(small.rows) <= 100
 
 
+def brute_force(text, samples):
+    pairs = weights(text)
+    if not pairs:
+        return np.zeros(samples, dtype="<u2")
+    each = fingerprints.draws(fingerprints.term_hashes(list(pairs)), np.array(list(pairs.values())), samples)
+    return each.min(axis=0).view(np.uint64) & np.uint64(0xFFFF)
+
+
+@pytest.mark.parametrize("settings", [{}, {"REACH": 0.2}, {"OFTEN": 1, "KEPT": 60, "BLOCK": 4}, {"OFTEN": 0}, {"BLOCK": 1}])
+def test_texts_sampled_together_equal_brute_force(monkeypatch, settings):
+    """Also where limits are missed, draws are kept at once or given up, and pairs come in many blocks."""
+    for name, x in settings.items():
+        monkeypatch.setattr(fingerprints, name, x)
+    rng = random.Random(8)
+    say = lambda n: " ".join(f"w{int(rng.paretovariate(0.6)) % 10 ** 6}" for _ in range(n))      # noqa: E731
+    sample = fingerprints.Sampler(48)
+    for _ in range(12):
+        texts = [say(rng.choice([1, 2, 5, 60, 300])) for _ in range(rng.randint(1, 9))]
+        texts += [None, "", " \n", texts[0], texts[0].upper(), "often " * 40000 + texts[0], "lone " * 70000]
+        rng.shuffle(texts)
+        for text, got in zip(texts, sample.many(texts), strict=True):
+            assert (got == brute_force(text, 48)).all()
+
+
+def test_a_floor_is_under_every_draw():
+    rng = np.random.default_rng(4)
+    h, w = rng.integers(0, 1 << 63, 20000).astype(np.uint64) * np.uint64(2), rng.integers(1, 9, 20000) ** rng.integers(0, 6, 20000)
+    least, drawn = fingerprints.floors(h, 16) / 2 ** 32 / w[:, None], np.exp(fingerprints.draws(h, w, 16))
+    assert (least <= 1.01 * drawn).all() and np.median(least / drawn) > 0.1
+
+
+def test_few_draws_of_words_met_once_are_made(monkeypatch):
+    """Of new words, only draws that may win: a text and its edited text used to need all of both."""
+    made, gamma = [], fingerprints._gamma
+    monkeypatch.setattr(fingerprints, "_gamma", lambda x: (made.append(x.size), gamma(x))[1])
+    texts = [" ".join(f"w{i}x{j}" for j in range(400)) for i in range(20)]
+    texts += [fingerprints.edited(a, b) for a, b in zip(texts, texts[1:] + texts[:1])]
+    sample = fingerprints.Sampler()
+    got = sample.many(texts) if hasattr(sample, "many") else [sample(t) for t in texts]
+    # two gamma variables a draw
+    assert sum(made) < 0.2 * 2 * fingerprints.SAMPLES * sum(len(weights(t)) for t in texts)
+    assert all((g == brute_force(t, fingerprints.SAMPLES)).all() for g, t in zip(got, texts, strict=True))
+
 
 
 @pytest.mark.parametrize("parts", [1, 7])
