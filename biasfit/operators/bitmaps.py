@@ -123,7 +123,7 @@ def known_keys(df: DataFrame, reference: DataFrame | Mapping[str, DataFrame], ke
     layout = {k: layouts({k: extents[k]}, schema[k], max_bits)[k] for k in keys}
     table = segments(reference, layout)
     if written:
-        table = materialize(table, "table", "bitmaps")
+        table = materialize(table, "table", "bitmaps", lean=True)
     hashed = [k for k in keys if not layout[k].exact]
     out = with_bits(df, table, layout, flag)
     if not hashed:

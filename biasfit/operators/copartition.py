@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegralType, MapType, StringType, VariantType
 
 from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, hot_keys, place_cols
-from biasfit.session import scratch_path
+from biasfit.session import scratch_path, shuffles_removed
 
 _PARTS, _KEY = "_parts", "_placed_key"
 
@@ -76,10 +76,11 @@ class Placement:
         """Write under the shared checkpoint folder, one file per bucket (and
         partition); the catalog's entry only tells readers of the buckets."""
         table = f"biasfit_{name}_{uuid.uuid4().hex[:12]}"
-        w = placed.repartition(self.buckets, self.at, self.part).write.option("path", scratch_path(self.spark, name))
+        w = placed.repartition(self.buckets, self.at, self.part).write.option("path", scratch_path(self.spark, name)).option("compression", "zstd")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.bucketBy(self.buckets, self.at, self.part).sortBy(self.at, self.part).saveAsTable(table)
+        with shuffles_removed(self.spark):
+            w.bucketBy(self.buckets, self.at, self.part).sortBy(self.at, self.part).saveAsTable(table)
         self.tables.append(table)
         return self.spark.table(table)
 

@@ -27,7 +27,10 @@ Every join here goes through :func:`keyed_join`:
 4. Two sides laid out by one placement of the key (``operators/copartition.py``)
    are joined where they are, by the columns of their place; hot keys are split
    in the layout.
-5. AQE's skew-join split stays on as a further safety net.
+5. A key that is known to have no NULL and never a bucket's rows
+   (``JoinPolicy.plain``) is joined as it is, so that one exchange by it serves
+   joins and aggregates alike.
+6. AQE's skew-join split stays on as a further safety net.
 """
 
 from __future__ import annotations
@@ -42,6 +45,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 class JoinPolicy:
     rows_per_bucket: int = 2_000_000
     max_hot_keys: int = 100_000
+    plain: frozenset[str] = frozenset()     # keys known to have no NULL on the fact side, and never a bucket's rows
 
     def threshold(self, total: int) -> int:
         return max(self.rows_per_bucket, math.ceil(total / self.max_hot_keys))
@@ -76,6 +80,13 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str,
     return out.drop(*ren.values(), *[r[e] for e in extra])
 
 
+def _plain_join(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    r, ren = _prefixed(right, keys)
+    cond = [left[k] == r[ren[k]] for k in keys]
+    out = left.join(r, cond, how)
+    return out if "semi" in how or "anti" in how else out.drop(*ren.values())
+
+
 def place_cols(key: str) -> list[str]:
     """The columns of a row's place in a layout by ``key``."""
     return [f"_at_{key}", f"_part_{key}"]
@@ -119,6 +130,8 @@ def keyed_join(left: DataFrame, right: DataFrame, keys: str | list[str], how: st
     keys = [keys] if isinstance(keys, str) else list(keys)
     if len(keys) == 1 and how in ("left", "inner", "left_semi", "left_anti") and placed_by(left, keys[0]) and placed_by(right, keys[0]):
         return _placed_join(left, right, keys[0], how, null_safe)
+    if set(keys) <= policy.plain:
+        return _plain_join(left, right, keys, how)
     if hot is not None:
         return _listed_join(left, right, keys, how, null_safe, salt_cols or left.columns, hot)
     if not count_col or not total or total < policy.threshold(total):

@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
@@ -42,6 +43,10 @@ _THR = "_thr"
 ROW_ID = ("_file", "_row")
 
 
+class TiesNeeded(ValueError):
+    """The cut of a sample falls among rows of one order key, which only the missing tie columns tell apart."""
+
+
 # The order key's leading 52 bits are uniform on [0, 16**13 - 1], so the
 # threshold search starts on that range without a min/max pass.
 HASH_RANGE = (0.0, float(16 ** 13 - 1))
@@ -230,7 +235,7 @@ def with_row_id(written: DataFrame) -> DataFrame:
 
 def written_rows(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once and read back, with the ``ROW_ID`` of every row."""
-    return with_row_id(materialize(df, "table", name))
+    return with_row_id(materialize(df, "table", name, lean=True))
 
 
 @dataclass
@@ -263,7 +268,7 @@ def prepare(df: DataFrame, name: str, target: str, hashes: Mapping[str, Column],
 
     if stage is None:
         kept = []
-        got = make(lambda rows: kept.append(materialize(rows, "table", name)))
+        got = make(lambda rows: kept.append(materialize(rows, "table", name, lean=True)))
         out = kept[0]
     else:
         out, got = stage(name, make)
@@ -278,7 +283,7 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
                             final_rows: int = 100_000,
                             info: dict | None = None, hash_col: str | None = None,
                             row_id: Sequence[str] = (), bounds: Sequence[float] | None = None,
-                            total: int | None = None) -> DataFrame:
+                            total: int | None = None, late_ties: bool = False) -> DataFrame:
     """Add boolean ``flag``: is the row in the exact stratified sample?
 
     ``eligible`` restricts the population (others get ``False`` and take no
@@ -292,9 +297,13 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
     the leading digits of the order key as a number.  ``row_id`` names columns
     that tell identical copies apart (:func:`written_rows`); without them copies
     are told apart by their place in the plan, which is the same in each pass
-    only if the input is read in a fixed order.
+    only if the input is read in a fixed order.  With ``late_ties``, ``df`` may
+    lack tie columns: :class:`TiesNeeded` is raised if the sample depends on them.
     """
     spark = df.sparkSession
+    without = late_ties and not set(tie_cols) <= set(df.columns)
+    if without:      # the order as far as it is known
+        tie_cols = list(takewhile(df.columns.__contains__, tie_cols))
     base = df if eligible is None else df.withColumn("_elig", eligible)
     pop = base.where(F.col(target).isNotNull() & ~F.isnan(F.col(target).cast("double")))
     if eligible is not None:
@@ -340,6 +349,8 @@ def exact_stratified_sample(df: DataFrame, target: str, p: float, seed: str,
         # no row beyond the cut shares its number: the number decides
         cuts |= {r[STRATUM]: float(r[_THR][_HX]) for r in found if r["_take"] == r["_same"]}
         found = [r for r in found if r["_take"] != r["_same"]]
+        if without and any(r["_take"] < r["_copies"] for r in found):
+            raise TiesNeeded("rows of one order key lie on both sides of a cut")
         if found:
             # strata whose threshold value is carried by several identical rows of
             # which only some are taken: pick exactly that many by the row id

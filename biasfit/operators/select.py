@@ -60,7 +60,10 @@ def pattern_terms(scored_test: DataFrame, effects: DataFrame, flags: Sequence[st
     words, names = flag_words(flags), word_names(flags)
     e = F.expr(f"coalesce(rating - ({dlit(mu)} + b_i + b_u), double('NaN'))")
     place = placed_by(scored_test, USER)
-    lines = (scored_test.select(USER, *place, *words, e.alias("_e")).groupBy(USER, *place, *names)
+    rows = scored_test.select(USER, *place, *words, e.alias("_e"))
+    if not place and USER in policy.plain:
+        rows = rows.repartition(USER)       # for the lines and their join alike
+    lines = (rows.groupBy(USER, *place, *names)
              .agg(F.count(F.lit(1)).alias("n"), F.sum("_e").alias("se"), F.expr("sum(_e * _e)").alias("see")))
     gaps = effects.select(USER, F.col("m_u").alias("_m"), *placed_by(effects, USER), *[F.expr(f"(`{f}_up` - `{f}_down`) / 2").alias(f"_gap{k}")
                                                             for k, f in enumerate(flags)])
@@ -115,7 +118,7 @@ def forward_select(scored_test: DataFrame, flags: Sequence[str], mu: float, effe
     if effects is None:
         terms = row_terms(scored_test, flags, mu)
     else:
-        terms = materialize(pattern_terms(scored_test, effects, flags, mu, total=total, policy=policy), "table", "terms")
+        terms = materialize(pattern_terms(scored_test, effects, flags, mu, total=total, policy=policy), "table", "terms", lean=True)
     g = gram_sums(terms, len(flags))
     n = g["n"]
     if not n:

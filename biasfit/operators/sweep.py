@@ -60,11 +60,14 @@ def sweep_bias(train: DataFrame, test: DataFrame, grid: Sequence[float], mu: flo
     for g in _chunks(list(grid), chunk):
         j = keyed_join(train.select(USER, ITEM, RATING), st, ITEM, "left", count_col="n_i", total=total,
                        null_safe=True, policy=policy)
+        if USER in policy.plain:
+            # no hot user: the rows are dealt out by user, once
+            j = j.select(USER, RATING, "s_i", "n_i").repartition(USER)
         # a hot user has at most one line per n_i, so dealing these out by user leaves no task behind
         lines = j.groupBy(USER, "n_i").agg(
             F.count(F.lit(1)).alias("_rows"), F.expr(strict_sum_sql(f"{RATING} - {m}")).alias("_r"),
             F.expr(strict_sum_sql("s_i")).alias("_s"))
-        users = lines.repartition(USER).groupBy(USER).agg(
+        users = (lines if USER in policy.plain else lines.repartition(USER)).groupBy(USER).agg(
             F.sum("_rows").alias("m_u"),
             *[F.expr(strict_sum_sql(f"_r - _s / (n_i + {dlit(l)})")).alias(f"_u{k}") for k, l in enumerate(g)])
         t = keyed_join(test.select(USER, ITEM, RATING), st, ITEM, "left", count_col="n_i", total=total,

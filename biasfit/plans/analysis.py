@@ -39,12 +39,12 @@ from biasfit.operators.effects import (USER, ITEM, attach_bias, fit_bias, item_s
                                        predict_bias, predict_flags, residuals, user_flag_effects,
                                        user_flag_stats, with_residual)
 from biasfit.operators.joins import DEFAULT_POLICY, JoinPolicy, key_counts
-from biasfit.operators.sampling import (ROW_ID, SampleInput, assign_holdout_roles, exact_stratified_sample, mark_known, prepare,
-                                        semi_join_keys)
+from biasfit.operators.sampling import (ROW_ID, SampleInput, TiesNeeded, assign_holdout_roles, exact_stratified_sample, mark_known,
+                                        prepare, semi_join_keys)
 from biasfit.operators.select import Selection, forward_select
 from biasfit.operators.sweep import best_lambda, sweep_bias, sweep_flags
 from biasfit.plans.stages import Files, Stages
-from biasfit.session import materialize
+from biasfit.session import materialize, shuffles_removed
 
 
 ROLES = ("train", "test", "validation", "dropped")
@@ -81,6 +81,7 @@ class RatingsPipeline:
         self.facts = facts
         self.cfg = cfg or PipelineConfig()
         self.stages = stages
+        self._late_ties = True
         if stages is not None and self.cfg.user_buckets:
             raise ValueError("stages publish plain files: they can't be laid out by user")
 
@@ -99,7 +100,7 @@ class RatingsPipeline:
             if self.layout is not None:
                 kept.append(self.layout.write(df, name, partition_by or ()))
             else:
-                kept.append(materialize(df, self.cfg.materialize, name, partition_by=partition_by))
+                kept.append(materialize(df, self.cfg.materialize, name, partition_by=partition_by, lean=True))
 
         info = make(write)
         return kept[0], info
@@ -108,11 +109,23 @@ class RatingsPipeline:
     @cached_property
     def prepared(self) -> SampleInput:
         """Facts, flags and the order keys of both samples, written once: every
-        pass of the sampler reads the two or three narrow columns it needs."""
+        pass of the sampler reads the two or three narrow columns it needs.
+
+        Columns that only break ties between rows of one order key are neither
+        moved nor written unless a sample turns out to need them."""
         c = self.cfg
         hashes = {f"_h{i}": hash_prefix_number(order_hash(s, c.key_cols)) for i, s in enumerate(c.seeds)}
-        return prepare(add_flags(self.facts, c.flags), "facts", "rating", hashes, groups=c.groups, keys=(ITEM, USER),
-                       stage=self.stages and self.stages.run)
+        facts, name = add_flags(self.facts, c.flags), "facts_ties"
+        if self._late_ties:
+            facts, name = facts.drop(*self.only_ties), "facts"
+        return prepare(facts, name, "rating", hashes, groups=c.groups, keys=(ITEM, USER), stage=self.stages and self.stages.run)
+
+    @property
+    def only_ties(self) -> list[str]:
+        """Columns that are read for nothing but the order of rows with one order key."""
+        c = self.cfg
+        read = {*(c.tie_cols if c.keep_cols is None else c.keep_cols), *c.key_cols, *c.flags, USER, ITEM, "rating"}
+        return [x for x in c.tie_cols if x not in read]
 
     @property
     def work(self) -> DataFrame:
@@ -128,16 +141,37 @@ class RatingsPipeline:
         Whether a sampled row's keys are known is read from key bitmaps.  Where
         the keys' ranges allow exact ones, no row is shuffled; else the rows
         that they leave open are joined.  Nothing is kept on executors."""
+        try:
+            out = self._roles()
+        except TiesNeeded:
+            self._late_ties = False
+            del self.__dict__["prepared"]
+            out = self._roles()
+        seen = Observation("biasfit-split")
+        train = F.col("role") == "train"
+        rating = F.when(train, F.col("rating"))
+        out = out.observe(seen, F.avg(rating).alias("mu"), F.count(rating).alias("k"),
+                          *[F.count(F.when(F.col("role") == r, 1)).alias(r) for r in ROLES],
+                          *[F.count(F.when(F.col(k).isNull(), 1)).alias(f"null_{k}") for k in (USER, ITEM)])
+        # partitioned by role: reading test or validation skips the train files
+        if self.layout is not None:
+            write(self.layout.place(out), partition_by=["role"])
+        else:
+            write(out, partition_by=["role"])
+        return dict(seen.get)
+
+    def _roles(self) -> DataFrame:
+        """The facts with the columns kept and ``role``."""
         c, w = self.cfg, self.prepared
         n = w.n_rows   # bounds every later fact side: enables hot-key salting
-        sample = dict(groups=c.groups, row_id=ROW_ID, bounds=w.bounds, total=n)
+        sample = dict(groups=c.groups, row_id=ROW_ID, bounds=w.bounds, total=n, late_ties=self._late_ties)
         known = dict(total=n, policy=c.policy, max_bits=c.max_bits, extents=w.extents)
         s1 = exact_stratified_sample(w.df, "rating", c.p, c.seeds[0], c.key_cols, c.tie_cols, flag="_s1", hash_col="_h0", **sample)
         layout = layouts(w.extents, w.df.schema, c.max_bits)
         second = dict(flag="_s2", hash_col="_h1", **sample)
         if all(x.exact for x in layout.values()):
             # bits decide: one scan gives every row its role
-            bits = materialize(segments(s1.where(~F.col("_s1")), layout), "table", "bitmaps")
+            bits = materialize(segments(s1.where(~F.col("_s1")), layout), "table", "bitmaps", lean=True)
             held = F.col("_s1") & F.col("_k1")
             s2 = exact_stratified_sample(with_bits(s1, bits, layout, "_k1"), "rating", c.p, c.seeds[1], c.key_cols, c.tie_cols,
                                          eligible=~held, **second)
@@ -147,23 +181,12 @@ class RatingsPipeline:
         else:
             # rows that bitmaps leave open are joined: about p of the rows, written for the second sample's pass
             rest = s1.where(~F.col("_s1")).drop("_s1")
-            marked = materialize(mark_known(s1.where("_s1").drop("_s1"), rest, **known).hint("rebalance"), c.materialize, "holdout")
+            marked = materialize(mark_known(s1.where("_s1").drop("_s1"), rest, **known).hint("rebalance"), c.materialize, "holdout", lean=True)
             pool = rest.unionByName(marked.where(~F.col("_known")).drop("_known"))
             s2 = exact_stratified_sample(pool, "rating", c.p, c.seeds[1], c.key_cols, c.tie_cols, **second)
             roles = assign_holdout_roles(s2, "_s2", orphan="drop", held_role="test", rest_role="train", role="role", **known)
             out = roles.drop("_s2").unionByName(marked.where("_known").drop("_known").withColumn("role", F.lit("validation")))
-        out = out.select(*c.keep_cols, "role") if c.keep_cols is not None else out.drop("_h0", "_h1", *ROW_ID)
-        seen = Observation("biasfit-split")
-        train = F.col("role") == "train"
-        rating = F.when(train, F.col("rating"))
-        out = out.observe(seen, F.avg(rating).alias("mu"), F.count(rating).alias("k"),
-                          *[F.count(F.when(F.col("role") == r, 1)).alias(r) for r in ROLES])
-        # partitioned by role: reading test or validation skips the train files
-        if self.layout is not None:
-            write(self.layout.place(out), partition_by=["role"])
-        else:
-            write(out, partition_by=["role"])
-        return dict(seen.get)
+        return out.select(*c.keep_cols, "role") if c.keep_cols is not None else out.drop("_h0", "_h1", *ROW_ID)
 
     @property
     def split(self) -> DataFrame:
@@ -222,14 +245,25 @@ class RatingsPipeline:
         """Train rows per user: the hot users of every later join, and the known ones."""
         return key_counts(self.train, USER).persist(StorageLevel.MEMORY_AND_DISK)
 
+    @cached_property
+    def policy(self) -> JoinPolicy:
+        """The configured policy, with the keys that need neither salt nor care for
+        NULLs: by the split's NULL counts, and as none has a bucket's rows in train."""
+        c, seen = self.cfg.policy, self._split[1]
+        most = {USER: (self.user_counts, "_n"), ITEM: (self.item_stats, "n_i")}
+        plain = [k for k, (stats, n) in most.items()
+                 if not seen[f"null_{k}"] and (stats.agg(F.max(n)).first()[0] or 0) < c.rows_per_bucket]
+        return replace(c, plain=frozenset(plain))
+
     @cached_property
     def bias_sweep(self) -> DataFrame:
         return sweep_bias(self.train, self.test, self.cfg.bias_grid, self.mu, stats=self.item_stats,
-                          user_counts=self.user_counts, total=self.n_train, policy=self.cfg.policy)
+                          user_counts=self.user_counts, total=self.n_train, policy=self.policy)
 
     @cached_property
     def best_bias(self) -> tuple[float, float]:
-        r = best_lambda(self.bias_sweep).first()
+        with shuffles_removed(self.spark):
+            r = best_lambda(self.bias_sweep).first()
         if r["lambda"] is None:
             raise ValueError("no lambda has an RMSE: a rating is NULL or a test row has no prediction")
         return float(r["lambda"]), r["rmse"]
@@ -237,7 +271,7 @@ class RatingsPipeline:
     @cached_property
     def bias_model(self):
         m = fit_bias(self.train, self.best_bias[0], self.mu, items_stats=self.item_stats, total=self.n_train,
-                     policy=self.cfg.policy)
+                     policy=self.policy)
         m.users = m.users.persist(StorageLevel.MEMORY_AND_DISK)
         return m
 
@@ -258,54 +292,64 @@ class RatingsPipeline:
         return [f for f in self.cfg.flags if f in df.columns]
 
     def attach(self, df: DataFrame) -> DataFrame:
-        return attach_bias(df, self.joined_model, self.cfg.policy, self.n_train, self._flags_of(df))
+        return attach_bias(df, self.joined_model, self.policy, self.n_train, self._flags_of(df))
 
     def predictions(self, df: DataFrame) -> DataFrame:
-        return predict_bias(df, self.joined_model, policy=self.cfg.policy, total=self.n_train)
+        return predict_bias(df, self.joined_model, policy=self.policy, total=self.n_train)
 
     @cached_property
     def test_scored(self) -> DataFrame:
         """Test rows + ``b_i, b_u`` at the tuned bias lambda; written once, as the
         selection, the flag sweep and the predictions read them."""
         out = self.attach(self.test)
-        return materialize(out, self.cfg.materialize, "scored") if self.layout is None else self.layout.write(out, "scored")
+        return materialize(out, self.cfg.materialize, "scored", lean=True) if self.layout is None else self.layout.write(out, "scored")
 
     @cached_property
     def train_residuals(self) -> DataFrame:
         """Written once: the flag sums and the box plots read it many times.  The
         residual itself is not stored, it follows from the columns that are."""
         def make(write: Callable) -> dict:
-            write(residuals(self.train, self.joined_model, self.cfg.policy, self.n_train, self._flags_of(self.train)).drop("resid"))
+            write(residuals(self.train, self.joined_model, self.policy, self.n_train, self._flags_of(self.train)).drop("resid"))
             return {}
 
         return with_residual(self._stage("residuals", make)[0], self.mu)
 
+    @property
+    def _residual_rows(self) -> DataFrame:
+        """For a single pass: the written residuals if there are any, or are to be
+        (stages, a layout by user); else the rows as the join with users leaves
+        them, side by side by user, and of the columns that are read only."""
+        if self.stages is not None or self.layout is not None or "train_residuals" in self.__dict__:
+            return self.train_residuals
+        return residuals(self.train, self.joined_model, self.policy, self.n_train, self._flags_of(self.train))
+
     # ---------------------------------------------------------------- flags
     @cached_property
     def flag_stats(self) -> DataFrame:
-        return user_flag_stats(self.train_residuals, self.cfg.screen).persist(StorageLevel.MEMORY_AND_DISK)
+        return user_flag_stats(self._residual_rows, self.cfg.screen).persist(StorageLevel.MEMORY_AND_DISK)
 
     def flag_effects(self, lam: float, flags: Sequence[str] | None = None) -> DataFrame:
         return user_flag_effects(self.flag_stats, flags or self.cfg.screen, lam)
 
     def flag_predictions(self, df_with_bias: DataFrame, flags: Sequence[str], lam: float) -> DataFrame:
         return predict_flags(df_with_bias, self.mu, user_flag_effects(self.joined_flag_stats, flags, lam), flags,
-                             policy=self.cfg.policy, total=self.n_train)
+                             policy=self.policy, total=self.n_train)
 
     @cached_property
     def selection(self) -> Selection:
         flags = self.cfg.screen
         return forward_select(self.test_scored, flags, self.mu, user_flag_effects(self.joined_flag_stats, flags, self.cfg.screen_lambda),
-                              total=self.n_train, policy=self.cfg.policy)
+                              total=self.n_train, policy=self.policy)
 
     @cached_property
     def flag_sweep(self) -> DataFrame:
         return sweep_flags(self.test_scored, self.joined_flag_stats, self.selection.kept, self.cfg.flag_grid, self.mu,
-                           total=self.n_train, policy=self.cfg.policy)
+                           total=self.n_train, policy=self.policy)
 
     @cached_property
     def best_flag(self) -> tuple[float, float]:
-        r = best_lambda(self.flag_sweep).first()
+        with shuffles_removed(self.spark):
+            r = best_lambda(self.flag_sweep).first()
         if r["lambda"] is None:
             raise ValueError("no lambda has an RMSE: a test row lacks a flag or a prediction")
         return float(r["lambda"]), r["rmse"]
@@ -336,7 +380,8 @@ class RatingsPipeline:
         lf, flag_rmse = self.best_flag
         k = len(rows)
         rows.append((k, f"flags λ={lf:g}", float(flag_rmse), float(flag_rmse - best), "tuned"))
-        fin = self.final_score().first()
+        with shuffles_removed(self.spark):
+            fin = self.final_score().first()
         rows.append((k + 1, "validation", fin["rmse"], None, "final"))
         return self.spark.createDataFrame(rows, "step INT, model STRING, rmse DOUBLE, delta DOUBLE, decision STRING")
 

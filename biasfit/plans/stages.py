@@ -21,6 +21,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from biasfit.session import shuffles_removed
+
 Write = Callable[..., DataFrame]
 _MARK = "_published"
 
@@ -118,8 +120,9 @@ class Stages:
         found = self.files.read(f"{path}/{_MARK}")
         if found is None:
             def write(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
-                w = df.write.mode("overwrite")
-                (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+                w = df.write.mode("overwrite").option("compression", "zstd")
+                with shuffles_removed(self.spark):
+                    (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
                 return self.spark.read.parquet(path)
 
             info = make(write)

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,22 +67,45 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"biasfit-{name}-{uuid.uuid4().hex[:12]}")
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside leave no shuffle files behind.  Spark keeps those of an
+    ended query until the driver's JVM happens to collect its garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def materialize(df: DataFrame, mode: str = "table", name: str = "table",
-                partition_by: list[str] | None = None) -> DataFrame:
+                partition_by: list[str] | None = None, lean: bool = False) -> DataFrame:
     """Cut lineage of a table reused by many later jobs.
 
     ``table`` writes compressed parquet under the shared checkpoint folder and
     reads it back (survives executor loss without recomputation, and later
     scans prune columns, and partitions when ``partition_by`` is given); ``checkpoint`` uses Spark's reliable checkpoint;
     ``persist`` keeps rows in executor memory/disk with the lineage as
-    fallback; ``none`` leaves the plan lazy.
+    fallback; ``none`` leaves the plan lazy.  A ``lean`` table takes less disk:
+    zstd, and the shuffle files that made it go at once.
     """
     if mode == "table":
         path = scratch_path(df.sparkSession, name)
         w = df.write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(path)
+        if lean:
+            with shuffles_removed(df.sparkSession):
+                w.option("compression", "zstd").parquet(path)
+        else:
+            w.parquet(path)
         return df.sparkSession.read.parquet(path)
     if mode == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
