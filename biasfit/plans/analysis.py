@@ -272,7 +272,8 @@ class RatingsPipeline:
     def bias_model(self):
         m = fit_bias(self.train, self.best_bias[0], self.mu, items_stats=self.item_stats, total=self.n_train,
                      policy=self.policy)
-        m.users = m.users.persist(StorageLevel.MEMORY_AND_DISK)
+        # written: a persisted table would keep the shuffles of all train rows that made it
+        m.users = materialize(m.users, self.cfg.materialize, "users", lean=True)
         return m
 
     def _placed(self, name: str, stats: DataFrame) -> DataFrame:
@@ -318,10 +319,12 @@ class RatingsPipeline:
     def _residual_rows(self) -> DataFrame:
         """For a single pass: the written residuals if there are any, or are to be
         (stages, a layout by user); else the rows as the join with users leaves
-        them, side by side by user, and of the columns that are read only."""
+        them (which isn't broadcast for that), side by side by user, and of the
+        columns that are read only."""
         if self.stages is not None or self.layout is not None or "train_residuals" in self.__dict__:
             return self.train_residuals
-        return residuals(self.train, self.joined_model, self.policy, self.n_train, self._flags_of(self.train))
+        model = replace(self.joined_model, users=self.joined_model.users.hint("merge"))
+        return residuals(self.train, model, self.policy, self.n_train, self._flags_of(self.train))
 
     # ---------------------------------------------------------------- flags
     @cached_property
